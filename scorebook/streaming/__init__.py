@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+Every job of the reference is a scheduled batch job (features monthly with training, scoring daily); it has
+no stream source, watermark, window or state. Nothing is invented here; the batch scoring job is the unit a
+scheduler runs.
+"""
