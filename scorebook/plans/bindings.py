@@ -63,7 +63,7 @@ DOC_JOIN_SQL = "SELECT doc_id, quality, lang, source, n_chars FROM labels JOIN d
 
 def versions_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_parquet_table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
-    stage = F.when((F.col("event_id") % PRODUCTION_EVERY == 0) & (F.col("event_type") != NEVER_PROMOTED),
+    stage = F.when((F.col("event_id") % PRODUCTION_EVERY == 0) & (F.col("name") != NEVER_PROMOTED),
                    F.lit(PRODUCTION)).otherwise(F.lit(NO_STAGE))
     numbered = number_versions(events.withColumnRenamed("event_type", "name"), "name", "event_id")
     return numbered.select(
