@@ -1,9 +1,10 @@
 """Exact-median imputation (M2) as a persistable ``pyspark.ml`` Estimator.
 
 ``Imputer`` in Spark ML uses an approximate quantile (2.0 for 1, 2, 10, 20 where the median is 6.0), and the
-exact ``median`` aggregate merges one value->count map per column in a single task. Here the values are
-counted per (column, value) with a shuffle, and the middle ranks are found with the bucketed prefix sums.
-NaN and null both count as missing.
+exact ``median`` aggregate merges one value->count map per column in a single task. So the built-in runs
+only while a sketch proves the distinct values few; beyond that the values are counted per (column, value)
+with a shuffle and the middle ranks are found with the bucketed prefix sums. NaN and null both count as
+missing.
 """
 
 from __future__ import annotations
@@ -18,15 +19,33 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorebook.operators.ranks import prefix_sums
+from scorebook.operators.ranks import SINGLE_TASK_ROWS, prefix_sums
 
 
-def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int = 256) -> dict[str, float | None]:
+def _value(c: str):
+    v = F.col(f"`{c}`").cast("double")
+    return F.nanvl(v, F.lit(None).cast("double"))
+
+
+def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int = 256,
+                  single_task_rows: int = SINGLE_TASK_ROWS) -> dict[str, float | None]:
     """Interpolated median of each column (as Spark's ``percentile(c, 0.5)``), ignoring null and NaN.
-    A column with no value gives None."""
+    A column with no value gives None.
+
+    A sketch pass counts distinct values first. While all columns together hold at most
+    ``single_task_rows`` distinct values, the built-in exact ``median`` runs (its final merge holds one
+    value->count map per column, bounded by that count); otherwise the bucketed path below runs."""
     cols = list(cols)
     if not cols:
         return {}
+    approx = df.agg(*[F.approx_count_distinct(_value(c), 0.02).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+    if sum(approx[f"d{i}"] for i in range(len(cols))) * 1.1 <= single_task_rows:
+        row = df.agg(*[F.median(_value(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+        return {c: row[f"m{i}"] for i, c in enumerate(cols)}
+    return _bucketed_medians(df, cols, buckets)
+
+
+def _bucketed_medians(df: DataFrame, cols: list[str], buckets: int) -> dict[str, float | None]:
     stacked = df.select(
         F.explode(F.array(*[
             F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value")) for c in cols

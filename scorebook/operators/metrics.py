@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorebook.functions.expressions import ratio_or_zero
-from scorebook.operators.ranks import prefix_sums
+from scorebook.operators.ranks import SINGLE_TASK_ROWS, prefix_sums
 
 METRIC_NAMES = ("accuracy", "precision", "recall", "f1")
 
@@ -38,16 +38,19 @@ def binary_metrics(df: DataFrame, label_col: str, pred_col: str, prefix: str = "
 
 
 def roc_auc(df: DataFrame, label_col: str, score_col: str, metric_prefix: str = "", positive=1,
-            buckets: int = 1024) -> DataFrame:
+            buckets: int = 1024, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """E5: ROC AUC with ties at half credit: sum over distinct scores of p * (negatives below + n / 2),
-    divided by P * N; null when a class is absent. Scores are first reduced to one row per distinct score,
-    and the running count of negatives uses the bucketed prefix sums (no one-task window)."""
+    divided by P * N; null when a class is absent. Scores are first reduced to one row per distinct score;
+    the running count of negatives is one window task only while the distinct scores are proven few (a
+    sketch pass), and bucketed prefix sums otherwise."""
     y = F.col(label_col) == F.lit(positive)
     per_score = df.where(F.col(score_col).isNotNull()).groupBy(F.col(score_col).cast("double").alias("score")).agg(
         F.sum(F.when(y, 1).otherwise(0)).cast("long").alias("pos"),
         F.sum(F.when(y, 0).otherwise(1)).cast("long").alias("neg"),
     )
-    ranked = prefix_sums(per_score, ["score"], {"neg": F.col("neg")}, buckets=buckets)
+    distinct = df.agg(F.approx_count_distinct(score_col, 0.02).alias("d")).first()["d"]
+    ranked = prefix_sums(per_score, ["score"], {"neg": F.col("neg")}, buckets=buckets,
+                         largest_group=int(distinct * 1.1) + 1, single_task_rows=single_task_rows)
     total = ranked.agg(
         F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)).alias("area"),
         F.sum("pos").alias("P"),

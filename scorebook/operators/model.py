@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from typing import Any, Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
@@ -124,11 +125,16 @@ def preprocess_stages(numeric: Sequence[str], categorical: Sequence[str]) -> lis
     return stages
 
 
+# Execution settings of the forest (they do not change the model): node-statistics memory per iteration,
+# and node ids cached between levels with a lineage cut every 10 iterations (deep trees on big data).
+FOREST_EXECUTION = {"maxMemoryInMB": 1024, "cacheNodeIds": True, "checkpointInterval": 10}
+
+
 def build_pipeline(numeric: Sequence[str], categorical: Sequence[str], label_col: str,
                    model_params: Mapping[str, Any]) -> Pipeline:
     """M6: preprocessing stages + the forest."""
     forest = RandomForestClassifier(featuresCol=FEATURES, labelCol=label_col, predictionCol=PREDICTION,
-                                    **forest_params(model_params))
+                                    **FOREST_EXECUTION, **forest_params(model_params))
     return Pipeline(stages=[*preprocess_stages(numeric, categorical), forest])
 
 
@@ -139,7 +145,7 @@ def fit_layout(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame
 
 def default_fit_partitions(n_rows: int, rows_per_partition: int = 1_000_000) -> int:
     """Deterministic in the row count, so the same data always gets the same layout."""
-    return max(4, math.ceil(n_rows / rows_per_partition))
+    return max(8, math.ceil(n_rows / rows_per_partition))
 
 
 def fit(train: DataFrame, label_col: str, keys: Sequence[str], model_params: Mapping[str, Any],
@@ -152,7 +158,12 @@ def fit(train: DataFrame, label_col: str, keys: Sequence[str], model_params: Map
     labelled = train.withColumn(label_col, F.col(label_col).cast("double"))
     if partitions is None:
         partitions = default_fit_partitions(n_rows if n_rows is not None else train.count())
-    return build_pipeline(numeric, categorical, label_col, model_params).fit(fit_layout(labelled, keys, partitions))
+    # Every stage fit reads the same rows: keep the fixed layout materialised for the duration of the fit.
+    laid_out = fit_layout(labelled, keys, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return build_pipeline(numeric, categorical, label_col, model_params).fit(laid_out)
+    finally:
+        laid_out.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 BUCKET = "_bucket"
 # Offsets tables above this many rows are joined with a shuffle instead of broadcast.
 MAX_BROADCAST_ROWS = 2_000_000
+# A group proven to hold at most this many rows may be one window task (a bounded group); larger or
+# unknown groups are cut into buckets.
+SINGLE_TASK_ROWS = 1_000_000
 
 
 def choose_buckets(n_rows: int, rows_per_bucket: int = 250_000, lo: int = 16, hi: int = 4096) -> int:
@@ -30,7 +33,8 @@ def choose_buckets(n_rows: int, rows_per_bucket: int = 250_000, lo: int = 16, hi
     return int(min(hi, max(lo, math.ceil(max(n_rows, 1) / rows_per_bucket))))
 
 
-def quantile_bucket(df: DataFrame, order_col: str, group_cols: Sequence[str], buckets: int) -> DataFrame:
+def quantile_bucket(df: DataFrame, order_col: str, group_cols: Sequence[str], buckets: int,
+                    known_groups: int | None = None) -> DataFrame:
     """Adds ``_bucket``: the number of approximate quantile bounds (per group) strictly below the value."""
     probs = [i / buckets for i in range(1, buckets)]
     accuracy = max(10_000, 4 * buckets)
@@ -40,7 +44,7 @@ def quantile_bucket(df: DataFrame, order_col: str, group_cols: Sequence[str], bu
         F.array_distinct(F.percentile_approx(F.col(order_col), probs, accuracy)).alias("_bounds")
     )
     # One row per group, each an array of at most `buckets` numbers.
-    n_groups = 1 if not group_cols else bounds.cache().count()
+    n_groups = 1 if not group_cols else (known_groups or bounds.cache().count())
     side = F.broadcast(bounds) if n_groups * buckets <= MAX_BROADCAST_ROWS else bounds
     out = src.join(side, on=key, how="inner").withColumn(
         BUCKET, F.size(F.filter(F.col("_bounds"), lambda b: b < F.col(order_col)))
@@ -56,15 +60,20 @@ def prefix_sums(
     bucket: tuple[Column, int] | None = None,
     buckets: int = 1024,
     known_groups: int | None = None,
+    largest_group: int | None = None,
+    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """For every row add ``<name>_before``: the sum of ``sums[name]`` over the rows of its group that come
     strictly before it in ``order_cols`` (which must be a total order inside a group), and ``<name>_total``.
 
     ``bucket`` is (expression, number of buckets) with the expression monotone in the order; when None,
     ``buckets`` quantile buckets of the first order column are used. ``known_groups`` bounds the number of
-    groups when the caller knows it (it bounds the broadcast offsets table).
+    groups when the caller knows it (it bounds the broadcast offsets table). When the caller has proven
+    ``largest_group <= single_task_rows``, a plain window per group is used (one bounded task per group).
     """
     group_cols = list(group_cols)
+    if largest_group is not None and largest_group <= single_task_rows:
+        return _plain_prefix_sums(df, order_cols, sums, group_cols)
     if bucket is not None:
         staged = df.withColumn(BUCKET, bucket[0])
         buckets = bucket[1]
@@ -72,7 +81,7 @@ def prefix_sums(
         first = order_cols[0]
         if not isinstance(first, str):
             raise TypeError("quantile buckets need the first order column by name")
-        staged = quantile_bucket(df, first, group_cols, buckets)
+        staged = quantile_bucket(df, first, group_cols, buckets, known_groups)
 
     value_cols = {name: f"_v_{name}" for name in sums}
     staged = staged.select("*", *[expr.alias(value_cols[name]) for name, expr in sums.items()])
@@ -112,6 +121,19 @@ def prefix_sums(
     return out.drop(BUCKET)
 
 
+def _plain_prefix_sums(df: DataFrame, order_cols, sums: Mapping[str, Column], group_cols: list[str]) -> DataFrame:
+    spec = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
+    running = spec.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    value_cols = {name: f"_v_{name}" for name in sums}
+    staged = df.select("*", *[expr.alias(value_cols[name]) for name, expr in sums.items()])
+    out = staged.select(
+        *df.columns,
+        *[(F.sum(F.col(v)).over(running) - F.col(v)).alias(f"{name}_before") for name, v in value_cols.items()],
+        *[F.sum(F.col(v)).over(spec).alias(f"{name}_total") for name, v in value_cols.items()],
+    )
+    return out
+
+
 def exact_ranks(
     df: DataFrame,
     order_cols: Sequence[str | Column],
@@ -119,10 +141,13 @@ def exact_ranks(
     bucket: tuple[Column, int] | None = None,
     buckets: int = 1024,
     known_groups: int | None = None,
+    largest_group: int | None = None,
+    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Adds ``rank``: the 0-based position of each row inside its group (order must be total)."""
     out = prefix_sums(
-        df, order_cols, {"rank": F.lit(1).cast("long")}, group_cols, bucket, buckets, known_groups
+        df, order_cols, {"rank": F.lit(1).cast("long")}, group_cols, bucket, buckets, known_groups,
+        largest_group, single_task_rows,
     )
     return out.withColumnRenamed("rank_before", "rank")
 

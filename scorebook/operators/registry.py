@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scorebook.config import ARCHIVED, NO_STAGE, PRODUCTION
-from scorebook.operators.ranks import choose_buckets, exact_ranks
+from scorebook.operators.ranks import SINGLE_TASK_ROWS, choose_buckets, exact_ranks
 
 VERSIONS_SCHEMA = T.StructType([
     T.StructField("name", T.StringType()),
@@ -35,10 +35,14 @@ RUNS_SCHEMA = T.StructType([
 METRIC = "test_accuracy"
 
 
-def number_versions(df: DataFrame, name_col: str, order_col: str, n_rows: int | None = None) -> DataFrame:
-    """Version = 1 + position of the row among its name's rows in ``order_col`` order (exact, bucketed)."""
-    buckets = choose_buckets(n_rows) if n_rows is not None else 256
-    ranked = exact_ranks(df, [order_col], [name_col], buckets=buckets)
+def number_versions(df: DataFrame, name_col: str, order_col: str,
+                    single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+    """Version = 1 + position of the row among its name's rows in ``order_col`` order. One small count per
+    name decides: a name with few rows is one window task, a busy name is cut into quantile buckets."""
+    sizes = df.groupBy(name_col).count().agg(F.count(F.lit(1)).alias("g"), F.max("count").alias("m")).first()
+    largest, groups = (sizes["m"] or 0), (sizes["g"] or 0)
+    ranked = exact_ranks(df, [order_col], [name_col], buckets=choose_buckets(largest), known_groups=groups,
+                         largest_group=largest, single_task_rows=single_task_rows)
     return ranked.withColumn("version", (F.col("rank") + 1).cast("long")).drop("rank", "rank_total")
 
 

@@ -3,7 +3,8 @@
 Sizes follow the documented rule of the reference's splitter: ``n_test = ceil(test_size * N)``; each class
 gets ``floor(n_train * n_c / N)`` train rows and the leftover seats go to the largest fractions (ties: the
 smaller label). The rows a class sends to train are the first ones in ``md5(keys | seed)`` order, then keys.
-Ranks inside a class come from the bucketed rank helper, so a class is never one task.
+Ranks inside a class come from the rank helper: one window task per class only while the class is proven
+small (``SINGLE_TASK_ROWS``), hash-prefix buckets beyond that, so a big class is never one task.
 """
 
 from __future__ import annotations
@@ -11,12 +12,13 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorebook.config import normalize_keys
 from scorebook.functions.expressions import split_order_hash
-from scorebook.operators.ranks import exact_ranks, hex_prefix_bucket
+from scorebook.operators.ranks import SINGLE_TASK_ROWS, exact_ranks, hex_prefix_bucket
 
 MAX_CLASSES = 10_000
 TRAIN, TEST = "train", "test"
@@ -66,15 +68,17 @@ def class_counts(df: DataFrame, label_col: str) -> dict:
 
 
 def assign_split(df: DataFrame, label_col: str, keys: str | Sequence[str], test_size: float | int = 0.2,
-                 seed: int = 42, split_col: str = "split") -> DataFrame:
-    """All rows of ``df`` plus ``split_col`` = 'train' / 'test'."""
+                 seed: int = 42, split_col: str = "split", single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+    """All rows of ``df`` plus ``split_col`` = 'train' / 'test'. A class above ``single_task_rows`` rows is
+    ranked in hash buckets rather than in one task."""
     keys = normalize_keys(keys)
     counts = class_counts(df, label_col)
     sizes = split_sizes(counts, test_size)
     n = sum(counts.values())
     hashed = df.withColumn("_h", split_order_hash(keys, seed))
     ranked = exact_ranks(hashed, ["_h", *keys], [label_col], bucket=hex_prefix_bucket(F.col("_h"), n),
-                         known_groups=len(sizes))
+                         known_groups=len(sizes), largest_group=max(counts.values()),
+                         single_task_rows=single_task_rows)
     seats = F.create_map(*[x for k, (t, _) in sizes.items() for x in (F.lit(k), F.lit(t))])
     out = ranked.withColumn(split_col, F.when(F.col("rank") < seats[F.col(label_col)], F.lit(TRAIN)).otherwise(F.lit(TEST)))
     return out.select(*df.columns, split_col)
@@ -83,6 +87,6 @@ def assign_split(df: DataFrame, label_col: str, keys: str | Sequence[str], test_
 def train_test_split(df: DataFrame, label_col: str, keys: str | Sequence[str], test_size: float | int = 0.2,
                      seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(train, test) frames with the columns of ``df``."""
-    marked = assign_split(df, label_col, keys, test_size, seed, "_split")
+    marked = assign_split(df, label_col, keys, test_size, seed, "_split").persist(StorageLevel.MEMORY_AND_DISK)
     return (marked.where(F.col("_split") == TRAIN).drop("_split"),
             marked.where(F.col("_split") == TEST).drop("_split"))

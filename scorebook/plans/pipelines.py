@@ -25,6 +25,7 @@ from scorebook.operators.metrics import metrics_row
 from scorebook.operators.registry import Registry, conf_json
 from scorebook.operators.split import TRAIN, assign_split
 from scorebook.sources.catalog import write_feature_table, write_labels_table, write_path, write_predictions
+from scorebook.session import scratch_root
 from scorebook.sources.tables import read_path, read_table
 
 
@@ -61,8 +62,7 @@ def train(spark: SparkSession, cfg: TrainConfig, registry: Registry | None = Non
         n_train = train_df.count()
         model = M.fit(train_df, label, keys, cfg.model_params, cfg.include_keys, cfg.fit_partitions, n_train)
         run_id = uuid.uuid4().hex
-        root = registry.root if registry else f"{spark.sparkContext.getCheckpointDir()}/runs"
-        model_path = registry.model_path(run_id) if registry else f"{root}/{run_id}/model"
+        model_path = registry.model_path(run_id) if registry else f"{scratch_root(spark)}/runs/{run_id}/model"
         M.save_model(model, model_path)
         artifacts = model_path.rsplit("/", 1)[0]
         write_path(M.input_example(train_df, keys), f"{artifacts}/input_example", "parquet")
