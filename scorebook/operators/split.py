@@ -52,6 +52,8 @@ def split_sizes(class_counts: dict, test_size: float | int) -> dict:
     n_train = n - n_test
     if n_train <= 0 or n_test <= 0:
         raise ValueError(f"split of {n} rows with test_size={test_size} leaves an empty side")
+    if len(labels) < 2:
+        raise ValueError("a stratified split needs at least two classes")
     if min(counts) < 2:
         raise ValueError("the least populated class has fewer than 2 rows; a stratified split is impossible")
     if n_train < len(labels) or n_test < len(labels):

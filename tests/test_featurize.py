@@ -1,0 +1,70 @@
+"""Featurization quirks and edge cases (label map, one-hot, names, missing rows)."""
+
+import math
+
+import pytest
+
+from scorebook.config import FeaturizerConfig
+from scorebook.operators.featurize import (
+    category_values,
+    clean_column_names,
+    drop_missing,
+    featurize,
+    one_hot,
+    process_label,
+)
+
+
+def test_label_map_unmapped_and_null(spark):
+    df = spark.createDataFrame([(1, "Canceled"), (2, "Not_Canceled"), (3, "weird"), (4, None)], "k long, booking_status string")
+    out = process_label(df, "booking_status")
+    assert out.schema["booking_status"].dataType.simpleString() == "int"
+    assert [r.booking_status for r in out.orderBy("k").collect()] == [1, 0, None, None]
+
+
+def test_label_rename_keeps_position(spark):
+    df = spark.createDataFrame([(1, "Canceled", 2.0)], "k long, status string, x double")
+    assert process_label(df, "status", rename_to="booking_status").columns == ["k", "booking_status", "x"]
+
+
+def test_one_hot_names_order_and_nulls(spark):
+    df = spark.createDataFrame([(1, "b", 1.0), (2, "a", 2.0), (3, None, 3.0)], "k long, c string, x double")
+    out = one_hot(df, ["c"])
+    assert out.columns == ["k", "x", "c_a", "c_b"]
+    rows = {r.k: (r.c_a, r.c_b) for r in out.collect()}
+    assert rows == {1: (0, 1), 2: (1, 0), 3: (0, 0)}
+    assert out.schema["c_a"].dataType.simpleString() == "bigint"
+
+
+def test_clean_names_and_collision(spark):
+    df = spark.createDataFrame([(1, 2, 3)], ["a b", "a(b)", "c) d"])
+    assert clean_column_names(df).columns == ["ab", "a_b", "cd"]
+    with pytest.raises(ValueError, match="clean"):
+        clean_column_names(spark.createDataFrame([(1, 2)], ["ab", "a b"]))
+
+
+def test_drop_missing_counts_nan_and_null(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, None)], "k long, x double")
+    assert [r.k for r in drop_missing(df).collect()] == [1]
+
+
+def test_ohe_requires_cat_cols(spark):
+    df = spark.createDataFrame([(1, "Canceled")], "k long, booking_status string")
+    with pytest.raises(RuntimeError):
+        featurize(df, FeaturizerConfig(ohe=True))
+
+
+def test_featurize_chain(spark):
+    df = spark.createDataFrame(
+        [(1, "Canceled", "x y", 1.0), (2, "Not_Canceled", "z", None), (3, "odd", "z", 3.0)],
+        "id long, booking_status string, room string, price double")
+    out = featurize(df, FeaturizerConfig(ohe=True, cat_cols=("room",), drop_missing=True))
+    assert out.columns == ["id", "booking_status", "price", "room_xy", "room_z"]
+    assert [tuple(r) for r in out.collect()] == [(1, 1, 1.0, 1, 0)]
+
+
+def test_wide_category_guard(spark):
+    df = spark.range(0, 3000).selectExpr("id", "cast(id as string) as c")
+    with pytest.raises(ValueError, match="max_categories"):
+        category_values(df, ["c"], max_categories=100)
+    assert not math.isnan(1.0)
