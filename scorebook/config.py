@@ -49,6 +49,7 @@ class FeatureTableConfig:
     description: str | None = None
     format: str = "parquet"
     location: str | None = None  # root folder for the table's snapshots
+    buckets: int | None = None  # bucket by the keys: later joins on them skip shuffling this table
 
     @property
     def name(self) -> str:

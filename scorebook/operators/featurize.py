@@ -1,7 +1,7 @@
 """Featurization (P1-P9): label encoding, one-hot indicator columns, name cleaning, missing-row drop.
 
 Everything is one lazy projection over the input except the category discovery for one-hot, which needs the
-set of values up front (two small aggregation passes, both bounded by ``max_categories``).
+set of values up front (one distinct pass whose result reaching the driver is bounded by ``max_categories``).
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scorebook.config import DEFAULT_LABEL_MAP, FeaturizerConfig, normalize_keys
 from scorebook.functions.expressions import cleaned_names, encode_label, indicator
@@ -26,21 +27,34 @@ def process_label(df: DataFrame, label_col: str, mapping=DEFAULT_LABEL_MAP, rena
 
 
 def category_values(df: DataFrame, cat_cols: Sequence[str], max_categories: int = 1000) -> dict[str, list]:
-    """Sorted distinct non-null values per column. A sketch pass first guards the exact pass, so a column
-    with more than ``max_categories`` values (an id, a date) raises instead of filling the driver."""
+    """Sorted distinct non-null values per column, in one pass: distinct (column, value) pairs are found with
+    a shuffle (map-side partial aggregation keeps it small), and at most ``len(cols) * max_categories + 1``
+    of them reach the driver, which is enough to prove whether a column (an id, a date) is too wide."""
     cat_cols = list(cat_cols)
     if not cat_cols:
         return {}
-    approx = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), 0.01).alias(f"n{i}") for i, c in enumerate(cat_cols)]).first()
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("col"), F.col(f"`{c}`").cast("string").alias("value")) for i, c in enumerate(cat_cols)
+    ])).alias("p")).select("p.col", "p.value").where(F.col("value").isNotNull()).distinct()
+    rows = pairs.limit(len(cat_cols) * max_categories + 1).collect()
+    found: dict[int, list] = {i: [] for i in range(len(cat_cols))}
+    for r in rows:
+        found[r["col"]].append(r["value"])
+    wide = [cat_cols[i] for i, v in found.items() if len(v) > max_categories]
+    if wide:
+        raise ValueError(f"column(s) {wide} have more than max_categories={max_categories} categories")
+    # Numeric categories go back to their type, so they sort (and name) as numbers.
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out = {}
     for i, c in enumerate(cat_cols):
-        if approx[f"n{i}"] > max_categories * 1.05:
-            raise ValueError(f"column {c!r} has about {approx[f'n{i}']} categories, above max_categories={max_categories}")
-    exact = df.agg(*[F.sort_array(F.collect_set(F.col(f"`{c}`"))).alias(f"v{i}") for i, c in enumerate(cat_cols)]).first()
-    values = {c: list(exact[f"v{i}"]) for i, c in enumerate(cat_cols)}
-    for c, vals in values.items():
-        if len(vals) > max_categories:
-            raise ValueError(f"column {c!r} has {len(vals)} categories, above max_categories={max_categories}")
-    return values
+        t = types[c]
+        if isinstance(t, T.IntegralType):
+            out[c] = sorted(int(v) for v in found[i])
+        elif isinstance(t, T.FractionalType):
+            out[c] = sorted(float(v) for v in found[i])
+        else:
+            out[c] = sorted(found[i])
+    return out
 
 
 def one_hot(df: DataFrame, cat_cols: Sequence[str], values: Mapping[str, Sequence] | None = None,

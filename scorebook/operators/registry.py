@@ -7,6 +7,7 @@ busy model name never lands whole in one task (``max_by`` merges partial results
 
 from __future__ import annotations
 
+import datetime
 import json
 import uuid
 from dataclasses import dataclass
@@ -205,6 +206,21 @@ class Registry:
         self._replace("model_versions", apply_promotion(versions, decisions))
         return decisions
 
+    def register_and_promote(self, name: str, run_id: str) -> DataFrame:
+        """R1 + R5 + R6 in one snapshot: register ``run_id`` as the next version of ``name``, decide against
+        the current champion and write the versions table once. Returns the decision row (cached)."""
+        now = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
+        new = self.spark.createDataFrame([(name, run_id, now)], "name string, run_id string, last_updated timestamp")
+        versions = self.versions()
+        registered = register(versions, new).cache()
+        cand = registered.select("name", F.col("version").alias("candidate_version"),
+                                 F.col("run_id").alias("candidate_run_id"))
+        after = versions.unionByName(registered)
+        decisions = promotion_decisions(after, self.runs(), cand).cache()
+        decisions.count()
+        self._replace("model_versions", apply_promotion(after, decisions))
+        return decisions
+
     def resolve(self, name: str, stage: str = PRODUCTION) -> PipelineModel:
         """The newest version of ``name`` in ``stage``, loaded."""
         row = resolve_stage(self.versions().where(F.col("name") == name), stage).first()

@@ -73,6 +73,13 @@ def assign_split(df: DataFrame, label_col: str, keys: str | Sequence[str], test_
                  seed: int = 42, split_col: str = "split", single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """All rows of ``df`` plus ``split_col`` = 'train' / 'test'. A class above ``single_task_rows`` rows is
     ranked in hash buckets rather than in one task."""
+    return split_with_sizes(df, label_col, keys, test_size, seed, split_col, single_task_rows)[0]
+
+
+def split_with_sizes(df: DataFrame, label_col: str, keys: str | Sequence[str], test_size: float | int = 0.2,
+                     seed: int = 42, split_col: str = "split",
+                     single_task_rows: int = SINGLE_TASK_ROWS) -> tuple[DataFrame, dict]:
+    """``assign_split`` and the per-class (train, test) sizes it enforces."""
     keys = normalize_keys(keys)
     counts = class_counts(df, label_col)
     sizes = split_sizes(counts, test_size)
@@ -83,7 +90,7 @@ def assign_split(df: DataFrame, label_col: str, keys: str | Sequence[str], test_
                          single_task_rows=single_task_rows)
     seats = F.create_map(*[x for k, (t, _) in sizes.items() for x in (F.lit(k), F.lit(t))])
     out = ranked.withColumn(split_col, F.when(F.col("rank") < seats[F.col(label_col)], F.lit(TRAIN)).otherwise(F.lit(TEST)))
-    return out.select(*df.columns, split_col)
+    return out.select(*df.columns, split_col), sizes
 
 
 def train_test_split(df: DataFrame, label_col: str, keys: str | Sequence[str], test_size: float | int = 0.2,

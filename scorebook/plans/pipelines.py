@@ -23,7 +23,7 @@ from scorebook.operators.featurize import feature_frame, featurize, labels_frame
 from scorebook.operators.joins import score_join, training_join
 from scorebook.operators.metrics import metrics_row
 from scorebook.operators.registry import Registry, conf_json
-from scorebook.operators.split import TRAIN, assign_split
+from scorebook.operators.split import TRAIN, split_with_sizes
 from scorebook.sources.catalog import write_feature_table, write_labels_table, write_path, write_predictions
 from scorebook.session import scratch_root
 from scorebook.sources.tables import read_path, read_table
@@ -54,12 +54,12 @@ def train(spark: SparkSession, cfg: TrainConfig, registry: Registry | None = Non
     keys = cfg.feature_table.keys
     label = cfg.labels_table.label_col
     joined = training_join(read_table(spark, cfg.labels_table.name), read_table(spark, cfg.feature_table.name), keys)
-    marked = assign_split(joined, label, keys, cfg.split.test_size, cfg.split.random_state, "_split")
+    marked, sizes = split_with_sizes(joined, label, keys, cfg.split.test_size, cfg.split.random_state, "_split")
     marked = marked.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train_df = marked.where(F.col("_split") == TRAIN).drop("_split")
         test_df = marked.where(F.col("_split") != TRAIN).drop("_split")
-        n_train = train_df.count()
+        n_train = sum(t for t, _ in sizes.values())
         model = M.fit(train_df, label, keys, cfg.model_params, cfg.include_keys, cfg.fit_partitions, n_train)
         run_id = uuid.uuid4().hex
         model_path = registry.model_path(run_id) if registry else f"{scratch_root(spark)}/runs/{run_id}/model"
@@ -75,8 +75,7 @@ def train(spark: SparkSession, cfg: TrainConfig, registry: Registry | None = Non
     if registry is None or cfg.model_name is None:
         return metrics
     registry.log_run(run_id, metrics.drop("run_id"), conf_json(cfg.conf, cfg.logged_conf_keys))
-    version = registry.register(cfg.model_name, run_id)
-    decision = registry.promote_if_better(cfg.model_name, version)
+    decision = registry.register_and_promote(cfg.model_name, run_id)
     return metrics.join(
         decision.select(F.col("candidate_run_id").alias("run_id"), F.col("candidate_version").alias("version"),
                         "promote", "archive"),

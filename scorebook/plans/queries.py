@@ -57,6 +57,9 @@ SHIPPED_SPLIT = SplitConfig(test_size=0.2, random_state=42)
 SHIPPED_FOREST = {"n_estimators": 100, "max_depth": 12, "min_samples_leaf": 1, "max_features": 10, "random_state": 42}
 SMALL_FOREST = {"n_estimators": 10, "max_depth": 5, "min_samples_leaf": 1, "max_features": "sqrt", "random_state": 42}
 
+# Buckets of the feature tables the jobs write (sized for the test data; a cluster picks ~1 GB per bucket).
+FEATURE_BUCKETS = 8
+
 ORDER_KEY = "o_orderkey"
 DOC_KEY = "doc_id"
 
@@ -343,7 +346,8 @@ def q_resolve_stage(spark, sf_dir):
 def _doc_tables(spark, sf_dir) -> TrainConfig:
     """Feature and labels tables for binding D, written as the features job would."""
     db = unique_name("docs")
-    features = FeatureTableConfig(db, "doc_features", DOC_KEY, description="document features")
+    features = FeatureTableConfig(db, "doc_features", DOC_KEY, description="document features",
+                                  buckets=FEATURE_BUCKETS)
     labels = LabelsTableConfig(db, "doc_labels", "quality", DOC_KEY, path=scratch_path(spark, "doc_labels"))
     write_feature_table(spark, B.doc_features(spark, sf_dir), features)
     write_labels_table(spark, B.doc_labels(spark, sf_dir), labels)
@@ -355,7 +359,8 @@ def _doc_tables(spark, sf_dir) -> TrainConfig:
 def q_features_job(spark, sf_dir):
     """B1: features and labels tables written, read back and joined."""
     db = unique_name("orders")
-    features = FeatureTableConfig(db, "orders_features", ORDER_KEY, description="orders features")
+    features = FeatureTableConfig(db, "orders_features", ORDER_KEY, description="orders features",
+                                  buckets=FEATURE_BUCKETS)
     labels = LabelsTableConfig(db, "orders_labels", "label", ORDER_KEY, path=scratch_path(spark, "orders_labels"))
     f_name, l_name = create_feature_tables(spark, B.raw_orders(spark, sf_dir), _order_featurizer(True, True),
                                            features, labels)

@@ -65,9 +65,18 @@ def write_feature_table(spark: SparkSession, df: DataFrame, cfg: FeatureTableCon
     if missing:
         raise ValueError(f"primary key column(s) {missing} not in the feature frame")
     ensure_database(spark, cfg.database_name)
-    snapshot = f"{table_root(spark, cfg.location, cfg.name)}/snapshot-{uuid.uuid4().hex[:12]}"
-    write_path(df, snapshot, cfg.format)
-    point_table(spark, cfg.name, snapshot, cfg.format)
+    tag = uuid.uuid4().hex[:12]
+    snapshot = f"{table_root(spark, cfg.location, cfg.name)}/snapshot-{tag}"
+    if cfg.buckets:
+        # Bucketing lives in the catalog entry, so the snapshot is written as a staging table, then renamed.
+        staging = f"{cfg.name}__{tag}"
+        (df.write.format(cfg.format).bucketBy(cfg.buckets, *keys).sortBy(*keys)
+         .option("path", snapshot).saveAsTable(staging))
+        drop_table(spark, cfg.name)
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {cfg.name}")
+    else:
+        write_path(df, snapshot, cfg.format)
+        point_table(spark, cfg.name, snapshot, cfg.format)
     if not spark.catalog.tableExists(cfg.name):  # K2
         raise RuntimeError(f"table {cfg.name} was not created")
     comment_table(spark, cfg.name, cfg.description)
