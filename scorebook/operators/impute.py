@@ -32,14 +32,19 @@ def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int = 256,
     """Interpolated median of each column (as Spark's ``percentile(c, 0.5)``), ignoring null and NaN.
     A column with no value gives None.
 
-    A sketch pass counts distinct values first. While all columns together hold at most
-    ``single_task_rows`` distinct values, the built-in exact ``median`` runs (its final merge holds one
-    value->count map per column, bounded by that count); otherwise the bucketed path below runs."""
+    While all columns together hold at most ``single_task_rows`` distinct values, the built-in exact
+    ``median`` runs (its final merge holds one value->count map per column, bounded by that count); otherwise
+    the bucketed path below runs. The bound comes from the row count when that suffices, else from a sketch."""
     cols = list(cols)
     if not cols:
         return {}
-    approx = df.agg(*[F.approx_count_distinct(_value(c), 0.02).alias(f"d{i}") for i, c in enumerate(cols)]).first()
-    if sum(approx[f"d{i}"] for i in range(len(cols))) * 1.1 <= single_task_rows:
+    n_rows = df.count()
+    if n_rows * len(cols) <= single_task_rows:
+        bounded = True
+    else:
+        approx = df.agg(*[F.approx_count_distinct(_value(c), 0.02).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+        bounded = sum(approx[f"d{i}"] for i in range(len(cols))) * 1.1 <= single_task_rows
+    if bounded:
         row = df.agg(*[F.median(_value(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
         return {c: row[f"m{i}"] for i, c in enumerate(cols)}
     return _bucketed_medians(df, cols, buckets)

@@ -7,7 +7,8 @@ ordered buckets instead:
 1. every row gets a bucket that is monotone in the order (a caller-supplied expression such as a hash prefix,
    or approximate quantile bounds of the first order column, learnt per group in one aggregation pass);
 2. bucket totals are a small table (groups x buckets rows); their running sum gives each bucket's offset;
-3. a window per (group, bucket) adds the running sum inside the bucket, so each task holds one bucket.
+3. the rows join their offset on (group, bucket) and a window per (group, bucket) adds the running sum
+   inside the bucket; join and window share one shuffle, and each task holds whole buckets only.
 
 The result is exact: offsets are exact counts and the order inside a bucket is the full order.
 """
@@ -68,7 +69,7 @@ def prefix_sums(
 
     ``bucket`` is (expression, number of buckets) with the expression monotone in the order; when None,
     ``buckets`` quantile buckets of the first order column are used. ``known_groups`` bounds the number of
-    groups when the caller knows it (it bounds the broadcast offsets table). When the caller has proven
+    groups when the caller knows it (it bounds the broadcast quantile bounds). When the caller has proven
     ``largest_group <= single_task_rows``, a plain window per group is used (one bounded task per group).
     """
     group_cols = list(group_cols)
@@ -99,14 +100,9 @@ def prefix_sums(
         *[(F.sum(f"_b_{name}").over(running) - F.col(f"_b_{name}")).alias(f"_o_{name}") for name in sums],
         *[F.sum(f"_b_{name}").over(whole).alias(f"{name}_total") for name in sums],
     )
-    bound = (known_groups if known_groups is not None else (1 if not group_cols else None))
-    if bound is None:
-        offsets = offsets.cache()
-        n_rows = offsets.count()
-    else:
-        n_rows = bound * buckets
-    side = F.broadcast(offsets) if n_rows <= MAX_BROADCAST_ROWS else offsets
-    joined = staged.join(side, on=[*group_cols, BUCKET], how="inner")
+    # No broadcast: the window below needs the rows hash-partitioned by (group, bucket) anyway, so an
+    # equi-join on those keys shares that single shuffle (the offsets side is small).
+    joined = staged.join(offsets, on=[*group_cols, BUCKET], how="inner")
 
     inside = Window.partitionBy(*group_cols, BUCKET).orderBy(*order_cols).rowsBetween(
         Window.unboundedPreceding, Window.currentRow

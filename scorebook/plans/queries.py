@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.ml.functions import vector_to_array
@@ -228,6 +229,7 @@ def q_median_impute(spark, sf_dir):
     """M2: medians learnt on the train rows of the orders split, applied to every row."""
     labelled = _labelled_orders(spark, sf_dir).where(F.col("label").isNotNull())
     marked = assign_split(labelled, "label", ORDER_KEY, SHIPPED_SPLIT.test_size, SHIPPED_SPLIT.random_state)
+    marked = marked.persist(StorageLevel.MEMORY_AND_DISK)  # read by the fit passes and by the transform
     imputer = ExactMedianImputer(inputCols=["o_totalprice", "c_acctbal"])
     model = imputer.fit(marked.where(F.col("split") == TRAIN))
     return model.transform(marked).select(ORDER_KEY, "split", _r("o_totalprice"), _r("c_acctbal"))
