@@ -13,7 +13,7 @@ from typing import Any, Mapping, Sequence
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,28 +91,34 @@ def forest_params(model_params: Mapping[str, Any]) -> dict:
     return out
 
 
-def check_category_width(df: DataFrame, categorical: Sequence[str], max_categories: int) -> None:
-    """One sketch pass: refuse to one-hot a column with too many values (an id, a free-text field)."""
-    if not categorical:
-        return
-    row = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), 0.02).alias(f"n{i}") for i, c in enumerate(categorical)]).first()
-    wide = {c: row[f"n{i}"] for i, c in enumerate(categorical) if row[f"n{i}"] > max_categories}
-    if wide:
-        raise ValueError(f"categorical column(s) above max_categories={max_categories}: {wide}")
+def fill_categories(categorical: Sequence[str]) -> SQLTransformer:
+    """String view of each categorical column with null as its own category."""
+    filled = ", ".join(f"coalesce(CAST(`{c}` AS STRING), '{MISSING_CATEGORY}') AS `{c}__cat`" for c in categorical)
+    return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
 
 
-def preprocess_stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
-    """M2-M4 stages: impute numerics, one-hot categoricals, assemble ``features``."""
+def learnt_indexers(train: DataFrame, categorical: Sequence[str], max_categories: int = 1000) -> list:
+    """Fitted indexers from one bounded distinct pass (no separate sketch or indexer pass): labels in
+    ascending order; unseen values go to the extra index that one-hot encoding drops. One model per column
+    (a multi-column model built from ragged label lists would be padded with nulls)."""
+    from scorebook.operators.featurize import category_values
+
+    filled = fill_categories(categorical).transform(train)
+    values = category_values(filled, [f"{c}__cat" for c in categorical], max_categories)
+    return [StringIndexerModel.from_labels(values[f"{c}__cat"], inputCol=f"{c}__cat", outputCol=f"{c}__idx",
+                                           handleInvalid="keep") for c in categorical]
+
+
+def preprocess_stages(numeric: Sequence[str], categorical: Sequence[str], indexers: list | None = None) -> list:
+    """M2-M4 stages: impute numerics, one-hot categoricals, assemble ``features``. With ``indexers`` (see
+    ``learnt_indexers``) the categories are already learnt; otherwise a ``StringIndexer`` learns them."""
     stages: list = []
     assembled: list[str] = []
     if categorical:
-        filled = ", ".join(
-            f"coalesce(CAST(`{c}` AS STRING), '{MISSING_CATEGORY}') AS `{c}__cat`" for c in categorical
-        )
-        stages.append(SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"))
-        stages.append(StringIndexer(inputCols=[f"{c}__cat" for c in categorical],
-                                    outputCols=[f"{c}__idx" for c in categorical],
-                                    handleInvalid="keep", stringOrderType="alphabetAsc"))
+        stages.append(fill_categories(categorical))
+        stages.extend(indexers if indexers is not None else [StringIndexer(
+            inputCols=[f"{c}__cat" for c in categorical], outputCols=[f"{c}__idx" for c in categorical],
+            handleInvalid="keep", stringOrderType="alphabetAsc")])
         stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in categorical],
                                     outputCols=[f"{c}__ohe" for c in categorical], dropLast=True))
         assembled += [f"{c}__ohe" for c in categorical]
@@ -131,11 +137,11 @@ FOREST_EXECUTION = {"maxMemoryInMB": 1024, "cacheNodeIds": True, "checkpointInte
 
 
 def build_pipeline(numeric: Sequence[str], categorical: Sequence[str], label_col: str,
-                   model_params: Mapping[str, Any]) -> Pipeline:
+                   model_params: Mapping[str, Any], indexers: list | None = None) -> Pipeline:
     """M6: preprocessing stages + the forest."""
     forest = RandomForestClassifier(featuresCol=FEATURES, labelCol=label_col, predictionCol=PREDICTION,
                                     **FOREST_EXECUTION, **forest_params(model_params))
-    return Pipeline(stages=[*preprocess_stages(numeric, categorical), forest])
+    return Pipeline(stages=[*preprocess_stages(numeric, categorical, indexers), forest])
 
 
 def fit_layout(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
@@ -154,14 +160,14 @@ def fit(train: DataFrame, label_col: str, keys: Sequence[str], model_params: Map
     """M7: fit the whole pipeline on ``train`` (keys excluded from the features unless ``include_keys``)."""
     exclude = [label_col] + ([] if include_keys else list(keys))
     numeric, categorical = column_roles(train.schema, exclude)
-    check_category_width(train, categorical, max_categories)
     labelled = train.withColumn(label_col, F.col(label_col).cast("double"))
     if partitions is None:
         partitions = default_fit_partitions(n_rows if n_rows is not None else train.count())
     # Every stage fit reads the same rows: keep the fixed layout materialised for the duration of the fit.
     laid_out = fit_layout(labelled, keys, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return build_pipeline(numeric, categorical, label_col, model_params).fit(laid_out)
+        indexers = learnt_indexers(laid_out, categorical, max_categories) if categorical else None
+        return build_pipeline(numeric, categorical, label_col, model_params, indexers).fit(laid_out)
     finally:
         laid_out.unpersist()
 

@@ -82,3 +82,9 @@ def test_predict_keeps_every_row_and_column(spark):
     out = M.predict(model, test)
     assert out.columns == test.columns + ["prediction"]
     assert out.count() == test.count()
+
+
+def test_wide_categorical_feature_rejected(spark):
+    df = spark.range(0, 300).selectExpr("id", "cast(id as string) AS code", "cast(id % 2 as int) AS label")
+    with pytest.raises(ValueError, match="code"):
+        M.fit(df, "label", ["id"], SMALL, max_categories=50)
