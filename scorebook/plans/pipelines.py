@@ -3,6 +3,7 @@ lists, class counts, medians, metrics and tree structure only."""
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 
 from pyspark import StorageLevel
@@ -36,13 +37,17 @@ def create_feature_tables(spark: SparkSession, raw: DataFrame, featurizer: Featu
     keys = features.keys
     if featurizer.ohe:  # names are cleaned, keys included
         keys = [clean_name(k) for k in keys]
+        features = dataclasses.replace(features, primary_keys=tuple(keys))
     label = featurizer.label_out
     if labels.label_col != label:
         raise ValueError(f"labels table expects label {labels.label_col!r}, featurizer writes {label!r}")
     prepared = featurize(raw, featurizer).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         write_feature_table(spark, feature_frame(prepared, label), features)
-        write_labels_table(spark, labels_frame(prepared, labels.primary_keys or keys, label), labels)
+        label_keys = normalize_keys(labels.primary_keys) if labels.primary_keys is not None else keys
+        if featurizer.ohe:
+            label_keys = [clean_name(k) for k in label_keys]
+        write_labels_table(spark, labels_frame(prepared, label_keys, label), labels)
     finally:
         prepared.unpersist()
     return features.name, labels.name
