@@ -145,8 +145,12 @@ def build_pipeline(numeric: Sequence[str], categorical: Sequence[str], label_col
 
 
 def fit_layout(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
-    """A fixed partition layout: the forest's result for a seed depends on it, so fix it for reproducibility."""
-    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
+    """A fixed partition layout: the forest's result for a seed depends on it, so fix it for reproducibility.
+    Rows go by a hash of the key and the whole row, so duplicates of one hot key still spread over all
+    partitions, yet the same rows always land in the same place and order."""
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+    laid = df.select("*", row).repartition(partitions, *keys, "_row").sortWithinPartitions(*keys, "_row")
+    return laid.drop("_row")
 
 
 def default_fit_partitions(n_rows: int, rows_per_partition: int = 1_000_000) -> int:

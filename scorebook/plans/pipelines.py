@@ -60,23 +60,23 @@ def train(spark: SparkSession, cfg: TrainConfig, registry: Registry | None = Non
     label = cfg.labels_table.label_col
     joined = training_join(read_table(spark, cfg.labels_table.name), read_table(spark, cfg.feature_table.name), keys)
     marked, sizes = split_with_sizes(joined, label, keys, cfg.split.test_size, cfg.split.random_state, "_split")
-    marked = marked.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        train_df = marked.where(F.col("_split") == TRAIN).drop("_split")
-        test_df = marked.where(F.col("_split") != TRAIN).drop("_split")
-        n_train = sum(t for t, _ in sizes.values())
-        model = M.fit(train_df, label, keys, cfg.model_params, cfg.include_keys, cfg.fit_partitions, n_train)
-        run_id = uuid.uuid4().hex
-        model_path = registry.model_path(run_id) if registry else f"{scratch_root(spark)}/runs/{run_id}/model"
-        M.save_model(model, model_path)
-        artifacts = model_path.rsplit("/", 1)[0]
-        write_path(M.input_example(train_df, keys), f"{artifacts}/input_example", "parquet")
-        spark.createDataFrame(M.signature(joined, label), "column string, type string, role string").coalesce(1) \
-            .write.mode("overwrite").json(f"{artifacts}/signature")
-        metrics = metrics_row(M.predict(model, test_df), label, M.PREDICTION, run_id).cache()
-        metrics.count()
-    finally:
-        marked.unpersist()
+    # Lineage cut in the shared checkpoint folder: train and test are read from it, and a lost executor
+    # does not recompute the join and the ranks.
+    scratch_root(spark)
+    marked = marked.checkpoint(eager=True)
+    train_df = marked.where(F.col("_split") == TRAIN).drop("_split")
+    test_df = marked.where(F.col("_split") != TRAIN).drop("_split")
+    n_train = sum(t for t, _ in sizes.values())
+    model = M.fit(train_df, label, keys, cfg.model_params, cfg.include_keys, cfg.fit_partitions, n_train)
+    run_id = uuid.uuid4().hex
+    model_path = registry.model_path(run_id) if registry else f"{scratch_root(spark)}/runs/{run_id}/model"
+    M.save_model(model, model_path)
+    artifacts = model_path.rsplit("/", 1)[0]
+    write_path(M.input_example(train_df, keys), f"{artifacts}/input_example", "parquet")
+    spark.createDataFrame(M.signature(joined, label), "column string, type string, role string").coalesce(1) \
+        .write.mode("overwrite").json(f"{artifacts}/signature")
+    metrics = metrics_row(M.predict(model, test_df), label, M.PREDICTION, run_id).cache()
+    metrics.count()
     if registry is None or cfg.model_name is None:
         return metrics
     registry.log_run(run_id, metrics.drop("run_id"), conf_json(cfg.conf, cfg.logged_conf_keys))
