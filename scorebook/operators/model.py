@@ -197,6 +197,25 @@ def signature(df: DataFrame, label_col: str) -> list[tuple[str, str, str]]:
     return [(f.name, f.dataType.simpleString(), "label" if f.name == label_col else "input") for f in df.schema.fields]
 
 
+def column_profile(df: DataFrame, roles: Mapping[str, str]) -> DataFrame:
+    """``(column, type, role, non_missing)`` for the given columns, the counts from one aggregation pass over
+    the whole frame (null and NaN count as missing), unpivoted on the executors."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols = list(roles)
+
+    def present(c):
+        v = F.col(f"`{c}`")
+        return F.count(F.when(~F.isnan(v), 1)) if isinstance(types[c], (T.FloatType, T.DoubleType)) else F.count(v)
+
+    counts = df.agg(*[present(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    rows = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(types[c].simpleString()).alias("type"),
+                 F.lit(roles[c]).alias("role"), F.col(f"c{i}").alias("non_missing"))
+        for i, c in enumerate(cols)
+    ])
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def input_example(train: DataFrame, keys: Sequence[str], n: int = 100) -> DataFrame:
     """The first ``n`` training rows by key (a top-n: the limit is the feature)."""
     return train.orderBy(*keys).limit(n)

@@ -1,7 +1,7 @@
 """DuckDB SQL equivalent to each query in ``plans.queries`` (tables are pre-registered views).
 
-Queries whose output depends on a fitted forest or on the catalog itself (column roles, signature, model
-round trip, the training and scoring jobs) have no SQL twin and are checked by row count only.
+Queries whose output depends on a fitted forest (assembled features, train/score, model round trip, batch
+inference and the training and scoring jobs) have no SQL twin and are checked by row count only.
 """
 
 from __future__ import annotations
@@ -69,6 +69,13 @@ FROM ({VERSIONS}) v LEFT JOIN ({DECISIONS}) d ON v.name = d.name"""
 ORDER_FEATURIZED = f"SELECT * FROM ({_onehot_sql(True)}) x WHERE " + " AND ".join(
     f"{c} IS NOT NULL" for c in ("o_orderkey", "o_custkey", "label", "o_totalprice", "c_nationkey", "c_acctbal"))
 
+
+def _profile_sql(source: str, cols: list[tuple[str, str, str]]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", '{t}' AS type, '{r}' AS role, count({c}) AS non_missing FROM ({source}) s"
+        for c, t, r in cols)
+
+
 ORACLE_SQL: dict[str, str] = {
     "scan_input": RAW,
     "csv_ingest": RAW,
@@ -130,4 +137,9 @@ FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY version DESC) AS r
       FROM ({APPLIED}) a WHERE stage = 'Production') x
 WHERE rn = 1""",
     "features_job": ORDER_FEATURIZED,
+    "column_roles": _profile_sql(B.DOC_JOIN_SQL, [("n_chars", "bigint", "numeric"), ("lang", "string", "categorical"),
+                                                  ("source", "string", "categorical")]),
+    "signature": _profile_sql(f"SELECT * FROM ({DOC_SPLIT}) x WHERE split = 'train'",
+                              [("doc_id", "bigint", "input"), ("quality", "int", "label"), ("lang", "string", "input"),
+                               ("source", "string", "input"), ("n_chars", "bigint", "input")]),
 }

@@ -156,8 +156,7 @@ def q_column_roles(spark, sf_dir):
     """Role of every column of the training join (keys and label excluded from the features)."""
     joined = training_join(B.doc_labels(spark, sf_dir), B.doc_features(spark, sf_dir), DOC_KEY)
     numeric, categorical = M.column_roles(joined.schema, [DOC_KEY, "quality"])
-    rows = [(c, "numeric") for c in numeric] + [(c, "categorical") for c in categorical]
-    return spark.createDataFrame(rows, "column string, role string")
+    return M.column_profile(joined, {**{c: "numeric" for c in numeric}, **{c: "categorical" for c in categorical}})
 
 
 # ---------------------------------------------------------------- sinks
@@ -287,8 +286,9 @@ def q_model_round_trip(spark, sf_dir):
 
 
 def q_signature(spark, sf_dir):
-    joined = q_training_join(spark, sf_dir)
-    return spark.createDataFrame(M.signature(joined, "quality"), "column string, type string, role string")
+    """The input signature of the training rows (type and role per column, with non-missing counts)."""
+    train_df, _ = _doc_train_test(spark, sf_dir)
+    return M.column_profile(train_df, {c: role for c, _, role in M.signature(train_df, "quality")})
 
 
 def q_input_example(spark, sf_dir):
