@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from typing import Any, Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,8 +58,6 @@ def register(versions: DataFrame, new_runs: DataFrame) -> DataFrame:
     name in one batch get consecutive versions in (last_updated, run_id) order. A batch is one training job,
     so its per-name window is small."""
     latest = versions.groupBy("name").agg(F.max("version").alias("_max"))
-    from pyspark.sql import Window
-
     order = Window.partitionBy("name").orderBy("last_updated", "run_id")
     return (
         new_runs.join(latest, on="name", how="left")

@@ -45,6 +45,7 @@ from scorebook.plans import bindings as B
 from scorebook.plans.pipelines import batch_inference, create_feature_tables, run_initial_train, smoke, train
 from scorebook.session import scratch_path, unique_name
 from scorebook.sources.catalog import (
+    ensure_database,
     point_table,
     write_feature_table,
     write_labels_table,
@@ -65,6 +66,13 @@ ORDER_KEY = "o_orderkey"
 DOC_KEY = "doc_id"
 
 
+def _database(spark: SparkSession, prefix: str) -> str:
+    """A fresh database whose folder is under the shared scratch folder (not the warehouse)."""
+    name = unique_name(prefix)
+    ensure_database(spark, name, scratch_path(spark, f"db-{prefix}"))
+    return name
+
+
 def _r(col: str, places: int = 6):
     return F.round(F.col(col), places).alias(col)
 
@@ -82,8 +90,7 @@ def _labelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_table(spark: SparkSession, sf_dir: str) -> str:
     """The raw input registered as a catalog table (S1's input)."""
-    db = unique_name("raw")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    db = _database(spark, "raw")
     path = write_path(B.raw_orders(spark, sf_dir), scratch_path(spark, "raw_orders"))
     point_table(spark, f"{db}.orders_raw", path, "parquet")
     return f"{db}.orders_raw"
@@ -116,8 +123,7 @@ def q_csv_ingest(spark, sf_dir):
     csv_dir = scratch_path(spark, "raw_csv")
     raw.write.option("header", True).mode("overwrite").csv(csv_dir)
     loaded = read_csv(spark, csv_dir, raw.schema)
-    db = unique_name("ingest")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    db = _database(spark, "ingest")
     path = write_path(loaded, scratch_path(spark, "ingested"))
     point_table(spark, f"{db}.orders_raw", path, "parquet")
     return read_table(spark, f"{db}.orders_raw")
@@ -164,7 +170,7 @@ def q_column_roles(spark, sf_dir):
 def q_feature_table_write(spark, sf_dir):
     """Shipped featurizer (no one-hot, keep missing), label dropped, written, read back."""
     prepared = featurize(B.raw_orders(spark, sf_dir), _order_featurizer(ohe=False, drop=False))
-    cfg = FeatureTableConfig(unique_name("features"), "orders_features", ORDER_KEY,
+    cfg = FeatureTableConfig(_database(spark, "features"), "orders_features", ORDER_KEY,
                              description="Order features; one quote ' inside")
     name = write_feature_table(spark, feature_frame(prepared, "label"), cfg)
     return read_table(spark, name)
@@ -173,7 +179,7 @@ def q_feature_table_write(spark, sf_dir):
 def q_labels_table_write(spark, sf_dir):
     """K4, K5, K10, P9."""
     prepared = featurize(B.raw_orders(spark, sf_dir), _order_featurizer(ohe=False, drop=False))
-    cfg = LabelsTableConfig(unique_name("labels"), "orders_labels", "label", ORDER_KEY,
+    cfg = LabelsTableConfig(_database(spark, "labels"), "orders_labels", "label", ORDER_KEY,
                             path=scratch_path(spark, "labels"))
     return read_table(spark, write_labels_table(spark, labels_frame(prepared, ORDER_KEY, "label"), cfg))
 
@@ -184,14 +190,14 @@ def _rule_predictions(spark, sf_dir):
 
 
 def q_predictions_overwrite(spark, sf_dir):
-    table = f"{unique_name('pred')}.predictions"
+    table = f"{_database(spark, 'pred')}.predictions"
     write_predictions(spark, _rule_predictions(spark, sf_dir), table, "overwrite",
                       location=scratch_path(spark, "predictions"))
     return read_table(spark, table)
 
 
 def q_predictions_append(spark, sf_dir):
-    table = f"{unique_name('pred')}.predictions"
+    table = f"{_database(spark, 'pred')}.predictions"
     location = scratch_path(spark, "predictions")
     write_predictions(spark, _rule_predictions(spark, sf_dir), table, "overwrite", location=location)
     write_predictions(spark, _rule_predictions(spark, sf_dir), table, "append")
@@ -347,7 +353,7 @@ def q_resolve_stage(spark, sf_dir):
 
 def _doc_tables(spark, sf_dir) -> TrainConfig:
     """Feature and labels tables for binding D, written as the features job would."""
-    db = unique_name("docs")
+    db = _database(spark, "docs")
     features = FeatureTableConfig(db, "doc_features", DOC_KEY, description="document features",
                                   buckets=FEATURE_BUCKETS)
     labels = LabelsTableConfig(db, "doc_labels", "quality", DOC_KEY, path=scratch_path(spark, "doc_labels"))
@@ -360,7 +366,7 @@ def _doc_tables(spark, sf_dir) -> TrainConfig:
 
 def q_features_job(spark, sf_dir):
     """B1: features and labels tables written, read back and joined."""
-    db = unique_name("orders")
+    db = _database(spark, "orders")
     features = FeatureTableConfig(db, "orders_features", ORDER_KEY, description="orders features",
                                   buckets=FEATURE_BUCKETS)
     labels = LabelsTableConfig(db, "orders_labels", "label", ORDER_KEY, path=scratch_path(spark, "orders_labels"))
@@ -372,7 +378,7 @@ def q_features_job(spark, sf_dir):
 
 
 def _registry(spark) -> Registry:
-    return Registry(spark, unique_name("registry"), scratch_path(spark, "registry"))
+    return Registry(spark, _database(spark, "registry"), scratch_path(spark, "registry"))
 
 
 def q_train_job(spark, sf_dir):
@@ -385,7 +391,7 @@ def q_score_job(spark, sf_dir):
     cfg = _doc_tables(spark, sf_dir)
     registry = _registry(spark)
     train(spark, cfg, registry)
-    out = f"{unique_name('scored')}.predictions"
+    out = f"{_database(spark, 'scored')}.predictions"
     batch_inference(spark, InferenceConfig(cfg.model_name, registry.root, cfg.labels_table.name,
                                            cfg.feature_table.name, DOC_KEY, out,
                                            output_location=scratch_path(spark, "scored")), registry)
@@ -405,7 +411,7 @@ def q_batch_inference(spark, sf_dir):
 
 def q_initial_train_job(spark, sf_dir):
     """B4 on binding O: features job (no one-hot; rows with a missing value dropped), then training."""
-    db = unique_name("orders")
+    db = _database(spark, "orders")
     features = FeatureTableConfig(db, "orders_features", ORDER_KEY)
     labels = LabelsTableConfig(db, "orders_labels", "label", ORDER_KEY, path=scratch_path(spark, "orders_labels"))
     cfg = TrainConfig(features, labels, SHIPPED_SPLIT, SHIPPED_FOREST, model_name="order_filled")
