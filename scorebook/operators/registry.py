@@ -180,11 +180,18 @@ class Registry:
         return f"{self.root}/runs/{run_id}/model"
 
     def log_run(self, run_id: str, metrics: DataFrame, conf: str) -> None:
-        """Append the run: ``metrics`` is a one-row frame of doubles."""
+        """Append the run (runs are history: appended, never rewritten); ``metrics`` is a one-row frame."""
+        from scorebook.sources.catalog import point_table, write_path
+
         m = metrics.select(F.lit(run_id).alias("run_id"),
                            F.create_map(*[x for c in metrics.columns for x in (F.lit(c), F.col(c).cast("double"))]).alias("metrics"),
                            F.lit(conf).alias("conf"))
-        self._replace("model_runs", self.runs().unionByName(m))
+        folder = f"{self.root}/model_runs"
+        write_path(m.coalesce(1), folder, "parquet", mode="append")
+        if not self.spark.catalog.tableExists(self._table("model_runs")):
+            point_table(self.spark, self._table("model_runs"), folder, "parquet")
+        else:
+            self.spark.catalog.refreshTable(self._table("model_runs"))
 
     def register(self, name: str, run_id: str) -> int:
         new = self.spark.createDataFrame([(name, run_id)], "name string, run_id string").withColumn(
