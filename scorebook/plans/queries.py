@@ -332,8 +332,9 @@ def q_champion_select(spark, sf_dir):
     return champions(B.versions_from_events(spark, sf_dir))
 
 
-def _decisions(spark, sf_dir):
-    return promotion_decisions(B.versions_from_events(spark, sf_dir), B.runs_from_events(spark, sf_dir))
+def _decisions(spark, sf_dir, versions: DataFrame | None = None):
+    versions = versions if versions is not None else B.versions_from_events(spark, sf_dir)
+    return promotion_decisions(versions, B.runs_from_events(spark, sf_dir))
 
 
 def q_promotion_decision(spark, sf_dir):
@@ -342,7 +343,9 @@ def q_promotion_decision(spark, sf_dir):
 
 
 def q_apply_promotion(spark, sf_dir):
-    return apply_promotion(B.versions_from_events(spark, sf_dir), _decisions(spark, sf_dir))
+    # One versions frame for both uses: its shuffles appear once in the plan and are reused.
+    versions = B.versions_from_events(spark, sf_dir)
+    return apply_promotion(versions, _decisions(spark, sf_dir, versions))
 
 
 def q_resolve_stage(spark, sf_dir):
