@@ -193,24 +193,6 @@ class Registry:
         else:
             self.spark.catalog.refreshTable(self._table("model_runs"))
 
-    def register(self, name: str, run_id: str) -> int:
-        new = self.spark.createDataFrame([(name, run_id)], "name string, run_id string").withColumn(
-            "last_updated", F.current_timestamp())
-        row = register(self.versions(), new).first()
-        self._replace("model_versions", self.versions().unionByName(
-            self.spark.createDataFrame([row], VERSIONS_SCHEMA)))
-        return int(row["version"])
-
-    def promote_if_better(self, name: str, version: int) -> DataFrame:
-        """R5-R6 for one new version; returns the decision row as a frame."""
-        versions = self.versions()
-        cand = versions.where((F.col("name") == name) & (F.col("version") == version)).select(
-            "name", F.col("version").alias("candidate_version"), F.col("run_id").alias("candidate_run_id"))
-        decisions = promotion_decisions(versions, self.runs(), cand).cache()
-        decisions.count()
-        self._replace("model_versions", apply_promotion(versions, decisions))
-        return decisions
-
     def register_and_promote(self, name: str, run_id: str) -> DataFrame:
         """R1 + R5 + R6 in one snapshot: register ``run_id`` as the next version of ``name``, decide against
         the current champion and write the versions table once. Returns the decision row (cached)."""
