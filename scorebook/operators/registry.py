@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from typing import Any, Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,13 +36,15 @@ RUNS_SCHEMA = T.StructType([
 METRIC = "test_accuracy"
 
 
-def number_versions(df: DataFrame, name_col: str, order_col: str,
+def number_versions(df: DataFrame, name_col: str, order_cols: str | Sequence[str],
                     single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
-    """Version = 1 + position of the row among its name's rows in ``order_col`` order. One small count per
-    name decides: a name with few rows is one window task, a busy name is cut into quantile buckets."""
+    """Version = 1 + position of the row among its name's rows in ``order_cols`` order (a total order inside
+    a name). One small count per name decides: a name with few rows is one window task, a busy name is cut
+    into quantile buckets of the first order column."""
+    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     sizes = df.groupBy(name_col).count().agg(F.count(F.lit(1)).alias("g"), F.max("count").alias("m")).first()
     largest, groups = (sizes["m"] or 0), (sizes["g"] or 0)
-    ranked = exact_ranks(df, [order_col], [name_col], buckets=choose_buckets(largest), known_groups=groups,
+    ranked = exact_ranks(df, order_cols, [name_col], buckets=choose_buckets(largest), known_groups=groups,
                          largest_group=largest, single_task_rows=single_task_rows)
     return ranked.withColumn("version", (F.col("rank") + 1).cast("long")).drop("rank", "rank_total")
 
@@ -52,21 +54,22 @@ def run_metric(runs: DataFrame, metric: str = METRIC) -> DataFrame:
     return runs.select("run_id", F.coalesce(F.col("metrics")[metric], F.lit(0.0)).alias("metric"))
 
 
-def register(versions: DataFrame, new_runs: DataFrame) -> DataFrame:
+def register(versions: DataFrame, new_runs: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """New rows ``(name, version, run_id, stage, last_updated)``; version continues after the name's
     highest one (1 for a new name). ``new_runs`` has ``name, run_id, last_updated``; several runs of one
-    name in one batch get consecutive versions in (last_updated, run_id) order. A batch is one training job,
-    so its per-name window is small."""
+    name in one batch get consecutive versions in (last_updated, run_id) order, numbered like
+    ``number_versions`` (a busy name is cut into buckets, not one window task)."""
     latest = versions.groupBy("name").agg(F.max("version").alias("_max"))
-    order = Window.partitionBy("name").orderBy("last_updated", "run_id")
+    runs = new_runs.select("name", "run_id", F.col("last_updated").cast("timestamp").alias("last_updated"))
+    numbered = number_versions(runs, "name", ["last_updated", "run_id"], single_task_rows)
     return (
-        new_runs.join(latest, on="name", how="left")
+        numbered.join(latest, on="name", how="left")
         .select(
             "name",
-            (F.coalesce(F.col("_max"), F.lit(0)) + F.row_number().over(order)).cast("long").alias("version"),
+            (F.coalesce(F.col("_max"), F.lit(0)) + F.col("version")).cast("long").alias("version"),
             "run_id",
             F.lit(NO_STAGE).alias("stage"),
-            F.col("last_updated").cast("timestamp").alias("last_updated"),
+            "last_updated",
         )
     )
 

@@ -65,6 +65,23 @@ def test_register_continues_versions(spark):
     assert got == {("m", 3, "None"), ("n", 1, "None")}
 
 
+def test_register_busy_name_bucketed_equals_plain(spark):
+    vdf = _versions(spark, [("m", 4, "r0", "None", 0)])
+    new = spark.range(0, 2000).select(
+        F.when(F.col("id") % 4 == 0, "n").otherwise("m").alias("name"),
+        F.format_string("r%05d", (F.col("id") * 13) % 2000).alias("run_id"),
+        (F.lit(T0).cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("id") % 7)).alias("last_updated"))
+    plain = {(r.name, r.run_id, r.version) for r in register(vdf, new).collect()}
+    bucketed = {(r.name, r.run_id, r.version) for r in register(vdf, new, single_task_rows=0).collect()}
+    assert plain == bucketed
+    assert sorted(v for n, _, v in plain if n == "m") == list(range(5, 5 + 1500))
+    assert sorted(v for n, _, v in plain if n == "n") == list(range(1, 1 + 500))
+    # (last_updated, run_id) order: the first version of a name is its earliest run, ties by run id
+    first_m = min((r for r in plain if r[0] == "m"), key=lambda r: r[2])
+    assert first_m[1] == min(
+        r.run_id for r in new.where("name = 'm'").where(F.col("last_updated") == F.lit(T0).cast("timestamp")).collect())
+
+
 def test_number_versions_bucketed_equals_plain(spark):
     df = spark.range(0, 3000).select((F.col("id") % 3).cast("string").alias("name"), (F.col("id") * 7 % 3001).alias("eid"))
     plain = {(r.name, r.eid, r.version) for r in number_versions(df, "name", "eid").collect()}
