@@ -148,9 +148,20 @@ def exact_ranks(
     return out.withColumnRenamed("rank_before", "rank")
 
 
-def hex_prefix_bucket(hex_col: Column, n_rows: int, rows_per_bucket: int = 250_000) -> tuple[Column, int]:
-    """Bucket from the leading hex digits of a uniform hash (monotone in the hash string), and their count."""
+def hex_digits(n_rows: int, rows_per_bucket: int = 250_000, max_digits: int = 5) -> int:
+    """Leading hex digits of a uniform hash that cut ``n_rows`` into buckets of about ``rows_per_bucket``."""
     digits = 1
-    while digits < 5 and n_rows / (16**digits) > rows_per_bucket:
+    while digits < max_digits and n_rows / (16**digits) > rows_per_bucket:
         digits += 1
-    return F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("long"), 16**digits
+    return digits
+
+
+def hex_prefix(hex_col: Column, digits: int) -> Column:
+    """The leading ``digits`` hex digits as a number (monotone in the lowercase hex string)."""
+    return F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("long")
+
+
+def hex_prefix_bucket(hex_col: Column, n_rows: int, rows_per_bucket: int = 250_000) -> tuple[Column, int]:
+    """Bucket from the leading hex digits of a uniform hash (monotone in the hash string), and their count."""
+    digits = hex_digits(n_rows, rows_per_bucket)
+    return hex_prefix(hex_col, digits), 16**digits

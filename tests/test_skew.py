@@ -36,3 +36,27 @@ def test_ranks_in_a_hot_group(spark):
     b = {(r.id, r.rank) for r in plain.collect()}
     assert a == b
     assert max(r for _, r in a) == 1999
+
+
+def test_split_with_a_hot_key(spark):
+    # Key 0 holds a third of the rows (copies that differ in `v`); the rest are unique keys.
+    from scorebook.operators.split import _hot_hashes, assign_split, split_bucket
+    from scorebook.functions.expressions import split_order_hash
+
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("v"),
+        (F.col("id") % 2).cast("int").alias("y"),
+    )
+    plain = {(r.v, r.split) for r in assign_split(df, "y", "k", 0.2, 42).collect()}
+    bucketed = {(r.v, r.split) for r in assign_split(df, "y", "k", 0.2, 42, single_task_rows=0,
+                                                       rows_per_bucket=100).collect()}
+    assert plain == bucketed and len(plain) == 3000
+    # The hot key is named, and its copies are spread over several buckets.
+    hashed = df.select("*", split_order_hash(["k"], 42).alias("_h"), F.xxhash64("k", "v", "y").alias("_row"))
+    per_prefix = hashed.groupBy("y", F.conv(F.substring("_h", 1, 3), 16, 10).cast("long").alias("_p")).count()
+    hot = _hot_hashes(hashed, per_prefix, {0: 1500, 1: 1500}, 100)
+    assert [c for _, c in hot] == [1000]
+    bucket, _ = split_bucket(1, hot, 100)
+    spread = hashed.where(F.col("k") == 0).select(bucket.alias("b")).distinct().count()
+    assert spread >= 5
