@@ -38,12 +38,11 @@ def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int = 256,
     cols = list(cols)
     if not cols:
         return {}
-    n_rows = df.count()
-    if n_rows * len(cols) <= single_task_rows:
-        bounded = True
-    else:
-        approx = df.agg(*[F.approx_count_distinct(_value(c), 0.02).alias(f"d{i}") for i, c in enumerate(cols)]).first()
-        bounded = sum(approx[f"d{i}"] for i in range(len(cols))) * 1.1 <= single_task_rows
+    # One pass: the row count and a distinct-count sketch per column (both merged map-side).
+    sizes = df.agg(F.count(F.lit(1)).alias("n"),
+                   *[F.approx_count_distinct(_value(c), 0.02).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+    bounded = (sizes["n"] * len(cols) <= single_task_rows
+               or sum(sizes[f"d{i}"] for i in range(len(cols))) * 1.1 <= single_task_rows)
     if bounded:
         row = df.agg(*[F.median(_value(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
         return {c: row[f"m{i}"] for i, c in enumerate(cols)}
