@@ -21,6 +21,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scorebook.session import scratch_root
+
 BUCKET = "_bucket"
 # Offsets tables above this many rows are joined with a shuffle instead of broadcast.
 MAX_BROADCAST_ROWS = 2_000_000
@@ -148,6 +150,49 @@ def exact_ranks(
     return out.withColumnRenamed("rank_before", "rank")
 
 
+def range_ranks(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (), partitions: int = 8,
+                known_groups: int | None = None) -> DataFrame:
+    """Adds ``rank`` (0-based position inside the group; the order must be total inside a group) and
+    ``rank_total``, with no group and no repeated order value in one task.
+
+    Rows are range-partitioned on (group, order). Spark samples bounds of that whole composite key, so a
+    group holding a third of all rows, or one first-order value repeated many times, still spans many
+    partitions. Inside a partition the rows are sorted, and ``monotonically_increasing_id`` gives each row's
+    index (partition number in the upper bits). The sorted rows are checkpointed to the shared folder, so
+    every later read sees the same indices. Then a small table, (group, partition) -> first index and row
+    count with at most ``partitions + groups`` rows, gives each group's offset per partition. It is joined
+    back without shuffling the rows (broadcast below a row bound).
+    """
+    group_cols, order_cols = list(group_cols), list(order_cols)
+    keys = [*group_cols, *order_cols]
+    scratch_root(df.sparkSession)  # the shared checkpoint folder
+    laid = (df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
+            .withColumn("_mid", F.monotonically_increasing_id())
+            .checkpoint(eager=True))
+    with_pos = laid.select("*", F.shiftright("_mid", 33).alias("_part"),
+                           F.col("_mid").bitwiseAND((1 << 33) - 1).alias("_idx"))
+    stats = with_pos.groupBy(*group_cols, "_part").agg(F.min("_idx").alias("_first"),
+                                                       F.count(F.lit(1)).alias("_n"))
+    in_group = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
+    before = in_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = stats.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group_cols)],
+                           F.col("_part").alias("_p"), "_first",
+                           (F.sum("_n").over(before) - F.col("_n")).alias("_off"),
+                           F.sum("_n").over(in_group).alias("rank_total"))
+    bound = partitions + (known_groups if known_groups is not None else MAX_BROADCAST_ROWS)
+    side = F.broadcast(offsets) if bound <= MAX_BROADCAST_ROWS else offsets
+    # Null-safe on the group: a null group is a group of its own, and none of its rows is lost.
+    cond = [with_pos[g].eqNullSafe(side[f"_g{i}"]) for i, g in enumerate(group_cols)]
+    joined = with_pos.join(side, on=[*cond, with_pos["_part"] == side["_p"]], how="inner")
+    rank = (F.col("_off") + F.col("_idx") - F.col("_first")).cast("long").alias("rank")
+    return joined.select(*df.columns, rank, F.col("rank_total").cast("long").alias("rank_total"))
+
+
+def range_partitions(n_rows: int, rows_per_partition: int = 250_000, lo: int = 8, hi: int = 100_000) -> int:
+    """Partitions for ``range_ranks`` so that one task sorts about ``rows_per_partition`` rows."""
+    return int(min(hi, max(lo, math.ceil(max(n_rows, 1) / rows_per_partition))))
+
+
 def hex_digits(n_rows: int, rows_per_bucket: int = 250_000, max_digits: int = 5) -> int:
     """Leading hex digits of a uniform hash that cut ``n_rows`` into buckets of about ``rows_per_bucket``."""
     digits = 1

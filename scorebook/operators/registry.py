@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scorebook.config import ARCHIVED, NO_STAGE, PRODUCTION
-from scorebook.operators.ranks import SINGLE_TASK_ROWS, choose_buckets, exact_ranks
+from scorebook.operators.ranks import SINGLE_TASK_ROWS, exact_ranks, range_partitions, range_ranks
 
 VERSIONS_SCHEMA = T.StructType([
     T.StructField("name", T.StringType()),
@@ -37,15 +37,19 @@ METRIC = "test_accuracy"
 
 
 def number_versions(df: DataFrame, name_col: str, order_cols: str | Sequence[str],
-                    single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+                    single_task_rows: int = SINGLE_TASK_ROWS, partitions: int | None = None) -> DataFrame:
     """Version = 1 + position of the row among its name's rows in ``order_cols`` order (a total order inside
-    a name). One small count per name decides: a name with few rows is one window task, a busy name is cut
-    into quantile buckets of the first order column."""
+    a name). One small count per name decides: while every name has few rows, one window task per name;
+    otherwise exact ranks over a range partitioning of (name, order), which spreads a busy name and a
+    repeated order value (many runs of one name with one timestamp) over many tasks."""
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
-    sizes = df.groupBy(name_col).count().agg(F.count(F.lit(1)).alias("g"), F.max("count").alias("m")).first()
-    largest, groups = (sizes["m"] or 0), (sizes["g"] or 0)
-    ranked = exact_ranks(df, order_cols, [name_col], buckets=choose_buckets(largest), known_groups=groups,
-                         largest_group=largest, single_task_rows=single_task_rows)
+    sizes = df.groupBy(name_col).count().agg(F.count(F.lit(1)).alias("g"), F.max("count").alias("m"),
+                                             F.sum("count").alias("n")).first()
+    largest, groups, rows = (sizes["m"] or 0), (sizes["g"] or 0), (sizes["n"] or 0)
+    if largest <= single_task_rows:
+        ranked = exact_ranks(df, order_cols, [name_col], largest_group=largest, single_task_rows=single_task_rows)
+    else:
+        ranked = range_ranks(df, order_cols, [name_col], partitions or range_partitions(rows), known_groups=groups)
     return ranked.withColumn("version", (F.col("rank") + 1).cast("long")).drop("rank", "rank_total")
 
 

@@ -234,7 +234,8 @@ def q_median_impute(spark, sf_dir):
     """M2: medians learnt on the train rows of the orders split, applied to every row."""
     labelled = _labelled_orders(spark, sf_dir).where(F.col("label").isNotNull())
     marked = assign_split(labelled, "label", ORDER_KEY, SHIPPED_SPLIT.test_size, SHIPPED_SPLIT.random_state)
-    marked = marked.persist(StorageLevel.MEMORY_AND_DISK)  # read by the fit passes and by the transform
+    # Read by the fit passes and by the transform: keep only the columns they use.
+    marked = marked.select(ORDER_KEY, "split", "o_totalprice", "c_acctbal").persist(StorageLevel.MEMORY_AND_DISK)
     imputer = ExactMedianImputer(inputCols=["o_totalprice", "c_acctbal"])
     model = imputer.fit(marked.where(F.col("split") == TRAIN))
     return model.transform(marked).select(ORDER_KEY, "split", _r("o_totalprice"), _r("c_acctbal"))

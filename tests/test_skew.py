@@ -60,3 +60,35 @@ def test_split_with_a_hot_key(spark):
     bucket, _ = split_bucket(1, hot, 100)
     spread = hashed.where(F.col("k") == 0).select(bucket.alias("b")).distinct().count()
     assert spread >= 5
+
+
+def test_versions_with_a_hot_name_and_one_timestamp(spark):
+    # A third of the rows are runs of one name that share one timestamp; the order is (ts, run_id).
+    from scorebook.operators.ranks import range_ranks
+    from scorebook.operators.registry import number_versions
+
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("n"), (F.col("id") % 7).cast("string")))
+        .alias("name"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).cast("timestamp").alias("ts"),
+        F.format_string("r%05d", (F.col("id") * 7919) % 3001).alias("run_id"),
+    )
+    plain = {(r.name, r.run_id, r.version) for r in number_versions(df, "name", ["ts", "run_id"]).collect()}
+    ranged = {(r.name, r.run_id, r.version)
+              for r in number_versions(df, "name", ["ts", "run_id"], single_task_rows=0, partitions=16).collect()}
+    assert plain == ranged and len(plain) == 3000
+    assert sorted(v for n, _, v in plain if n == "hot") == list(range(1, 1001))
+    # The tied rows of the hot name are spread over many tasks, not one.
+    spread = (df.repartitionByRange(16, "name", "ts", "run_id").where(F.col("name") == "hot")
+              .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert spread >= 4
+    # A null name is a group of its own; none of its rows is lost.
+    nulls = df.withColumn("name", F.when(F.col("name") != "hot", F.col("name")))
+    a = {(r.run_id, r.version) for r in number_versions(nulls, "name", ["ts", "run_id"]).collect()}
+    b = {(r.run_id, r.version) for r in number_versions(nulls, "name", ["ts", "run_id"], single_task_rows=0,
+                                                        partitions=16).collect()}
+    assert a == b and len(a) == 3000
+    # Without groups: one global order.
+    whole = range_ranks(df, ["ts", "run_id", "name"], partitions=5)
+    assert sorted(r.rank for r in whole.collect()) == list(range(3000))
+    assert {r.rank_total for r in whole.select("rank_total").distinct().collect()} == {3000}
