@@ -59,8 +59,8 @@ SHIPPED_SPLIT = SplitConfig(test_size=0.2, random_state=42)
 SHIPPED_FOREST = {"n_estimators": 100, "max_depth": 12, "min_samples_leaf": 1, "max_features": 10, "random_state": 42}
 SMALL_FOREST = {"n_estimators": 10, "max_depth": 5, "min_samples_leaf": 1, "max_features": "sqrt", "random_state": 42}
 
-# Buckets of the feature tables the jobs write (sized for the test data; a cluster picks ~1 GB per bucket).
-FEATURE_BUCKETS = 8
+# Buckets of the feature tables the jobs write: sized from the row count (at least 8).
+FEATURE_BUCKETS = "auto"
 
 ORDER_KEY = "o_orderkey"
 DOC_KEY = "doc_id"

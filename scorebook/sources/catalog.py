@@ -6,6 +6,7 @@ the previous table, and a job may rewrite a table it reads from.
 
 from __future__ import annotations
 
+import math
 import uuid
 from typing import Sequence
 
@@ -58,6 +59,13 @@ def table_root(spark: SparkSession, location: str | None, name: str) -> str:
     return (location or f"{scratch_root(spark)}/tables").rstrip("/") + "/" + name.replace(".", "/")
 
 
+def bucket_count(df: DataFrame, cfg: FeatureTableConfig) -> int | None:
+    """The configured bucket count; for "auto", one bucket per ``cfg.rows_per_bucket`` rows (one count pass)."""
+    if cfg.buckets != "auto":
+        return int(cfg.buckets) if cfg.buckets else None
+    return max(cfg.min_buckets, math.ceil(df.count() / cfg.rows_per_bucket))
+
+
 def write_feature_table(spark: SparkSession, df: DataFrame, cfg: FeatureTableConfig) -> str:
     """K1-K3, K8: overwrite the feature table (its schema may change), keyed by ``cfg.primary_keys``."""
     keys = cfg.keys
@@ -67,10 +75,13 @@ def write_feature_table(spark: SparkSession, df: DataFrame, cfg: FeatureTableCon
     ensure_database(spark, cfg.database_name)
     tag = uuid.uuid4().hex[:12]
     snapshot = f"{table_root(spark, cfg.location, cfg.name)}/snapshot-{tag}"
-    if cfg.buckets:
-        # Bucketing lives in the catalog entry, so the snapshot is written as a staging table, then renamed.
+    buckets = bucket_count(df, cfg)
+    if buckets:
+        # One task per bucket (the shuffle hashes the keys as bucketing does), so each bucket is one file
+        # rather than one file per writing task. Bucketing lives in the catalog entry, so the snapshot is
+        # written as a staging table, then renamed.
         staging = f"{cfg.name}__{tag}"
-        (df.write.format(cfg.format).bucketBy(cfg.buckets, *keys).sortBy(*keys)
+        (df.repartition(buckets, *keys).write.format(cfg.format).bucketBy(buckets, *keys).sortBy(*keys)
          .option("path", snapshot).saveAsTable(staging))
         drop_table(spark, cfg.name)
         spark.sql(f"ALTER TABLE {staging} RENAME TO {cfg.name}")
