@@ -11,6 +11,7 @@ import uuid
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scorebook.config import FeatureTableConfig, LabelsTableConfig, normalize_keys
 from scorebook.session import scratch_root
@@ -59,11 +60,24 @@ def table_root(spark: SparkSession, location: str | None, name: str) -> str:
     return (location or f"{scratch_root(spark)}/tables").rstrip("/") + "/" + name.replace(".", "/")
 
 
+# "auto" bucketing is dropped when one bucket would hold more than this many times the mean bucket.
+MAX_BUCKET_SKEW = 4.0
+
+
 def bucket_count(df: DataFrame, cfg: FeatureTableConfig) -> int | None:
-    """The configured bucket count; for "auto", one bucket per ``cfg.rows_per_bucket`` rows (one count pass)."""
+    """The configured bucket count. For "auto": one bucket per ``cfg.rows_per_bucket`` rows, unless a key is so
+    hot that one bucket would be oversized. A bucketed table cannot be split by AQE's skew join, so such a
+    table is written unbucketed and the joins shuffle it. Costs a count and a histogram of bucket ids (bucket
+    id = pmod(murmur3(keys), n), as Spark buckets; partial counts keep the shuffle at <= n rows per task)."""
     if cfg.buckets != "auto":
         return int(cfg.buckets) if cfg.buckets else None
-    return max(cfg.min_buckets, math.ceil(df.count() / cfg.rows_per_bucket))
+    n_rows = df.count()
+    n = max(cfg.min_buckets, math.ceil(n_rows / cfg.rows_per_bucket))
+    bucket_id = F.pmod(F.hash(*[F.col(f"`{k}`") for k in cfg.keys]), F.lit(n))
+    largest = df.groupBy(bucket_id.alias("b")).count().agg(F.max("count")).first()[0] or 0
+    if largest > max(MAX_BUCKET_SKEW * n_rows / n, cfg.rows_per_bucket):
+        return None
+    return n
 
 
 def write_feature_table(spark: SparkSession, df: DataFrame, cfg: FeatureTableConfig) -> str:

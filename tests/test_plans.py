@@ -51,6 +51,8 @@ def test_bucketed_ranks_share_one_shuffle_of_the_rows(spark):
 def test_bucketed_write_is_one_file_per_bucket(spark):
     import os
 
+    from pyspark.sql import functions as F
+
     from scorebook.sources.catalog import bucket_count
 
     docs = Q.B.doc_features(spark, SF01).repartition(5)  # several writing tasks
@@ -62,3 +64,7 @@ def test_bucketed_write_is_one_file_per_bucket(spark):
     files = [f for f in os.listdir(location.removeprefix("file:")) if f.endswith(".parquet")]
     assert 0 < len(files) <= 8
     assert spark.table(cfg.name).count() == docs.count()
+    # A key holding a third of the rows would make one bucket (one task) hold them: no bucketing then.
+    hot = docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, F.lit(0)).otherwise(F.col("doc_id")))
+    assert bucket_count(hot, FeatureTableConfig("d", "t", "doc_id", buckets="auto", rows_per_bucket=100)) is None
+    assert bucket_count(hot, FeatureTableConfig("d", "t", "doc_id", buckets=4)) == 4  # explicit: as asked
