@@ -45,14 +45,28 @@ def quantile_bucket(df: DataFrame, order_col: str, group_cols: Sequence[str], bu
     src = df if group_cols else df.withColumn("_all", F.lit(0))
     bounds = src.groupBy(*key).agg(
         F.array_distinct(F.percentile_approx(F.col(order_col), probs, accuracy)).alias("_bounds")
-    )
+    ).withColumn("_coarse", F.filter(F.col("_bounds"), lambda b, i: i % CHUNK == 0))
     # One row per group, each an array of at most `buckets` numbers.
     n_groups = 1 if not group_cols else (known_groups or bounds.cache().count())
     side = F.broadcast(bounds) if n_groups * buckets <= MAX_BROADCAST_ROWS else bounds
     out = src.join(side, on=key, how="inner").withColumn(
-        BUCKET, F.size(F.filter(F.col("_bounds"), lambda b: b < F.col(order_col)))
+        BUCKET, count_below(F.col("_bounds"), F.col("_coarse"), F.col(order_col))
     )
-    return out.drop("_bounds", *([] if group_cols else ["_all"]))
+    return out.drop("_bounds", "_coarse", *([] if group_cols else ["_all"]))
+
+
+# Width of the chunks of sorted bounds that ``count_below`` scans.
+CHUNK = 32
+
+
+def count_below(bounds: Column, coarse: Column, value: Column) -> Column:
+    """Number of elements of the ascending array ``bounds`` strictly below ``value``, where ``coarse`` holds every
+    ``CHUNK``-th element of ``bounds`` (indices 0, CHUNK, ...). Equal to ``size(filter(bounds, b -> b < value))``
+    but scans two short arrays per row instead of the whole one. With k chunks starting below the value, the
+    first k - 1 chunks lie wholly below it and only chunk k - 1 needs a scan."""
+    k = F.size(F.filter(coarse, lambda b: b < value))
+    last = F.slice(bounds, (k - 1) * CHUNK + 1, CHUNK)
+    return F.when(k == 0, F.lit(0)).otherwise((k - 1) * CHUNK + F.size(F.filter(last, lambda b: b < value)))
 
 
 def prefix_sums(

@@ -92,3 +92,16 @@ def test_versions_with_a_hot_name_and_one_timestamp(spark):
     whole = range_ranks(df, ["ts", "run_id", "name"], partitions=5)
     assert sorted(r.rank for r in whole.collect()) == list(range(3000))
     assert {r.rank_total for r in whole.select("rank_total").distinct().collect()} == {3000}
+
+
+def test_count_below_equals_a_whole_scan(spark):
+    from scorebook.operators.ranks import CHUNK, count_below
+
+    for n in (0, 1, 31, 32, 33, 65, 700):
+        bounds = [i * 0.5 for i in range(n)]
+        df = spark.range(0, 800).select((F.col("id") * 0.25 - 2.0).alias("v")).crossJoin(
+            spark.createDataFrame([(bounds,)], "_b array<double>")
+            .withColumn("_c", F.filter("_b", lambda b, i: i % CHUNK == 0)))
+        fast = count_below(F.col("_b"), F.col("_c"), F.col("v"))
+        slow = F.size(F.filter("_b", lambda b: b < F.col("v")))
+        assert df.where(fast != slow).count() == 0
