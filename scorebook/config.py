@@ -49,8 +49,8 @@ class FeatureTableConfig:
     description: str | None = None
     format: str = "parquet"
     location: str | None = None  # root folder for the table's snapshots
-    # Bucket by the keys (later joins on them skip shuffling this table): a count, or "auto" for one bucket per
-    # ``rows_per_bucket`` rows of the written frame (at least ``min_buckets``).
+    # Bucket by the keys (later joins on them skip shuffling this table): a count, or "auto" for about one bucket
+    # per ``rows_per_bucket`` rows of the written frame (a power of two, at least ``min_buckets``).
     buckets: int | str | None = None
     rows_per_bucket: int = 5_000_000
     min_buckets: int = 8

@@ -62,19 +62,30 @@ def table_root(spark: SparkSession, location: str | None, name: str) -> str:
 
 # "auto" bucketing is dropped when one bucket would hold more than this many times the mean bucket.
 MAX_BUCKET_SKEW = 4.0
+# Hash slots of the one-pass histogram behind "auto" (a power of two, so any power-of-two bucket count folds it).
+HASH_SLOTS = 1 << 18
 
 
 def bucket_count(df: DataFrame, cfg: FeatureTableConfig) -> int | None:
-    """The configured bucket count. For "auto": one bucket per ``cfg.rows_per_bucket`` rows, unless a key is so
-    hot that one bucket would be oversized. A bucketed table cannot be split by AQE's skew join, so such a
-    table is written unbucketed and the joins shuffle it. Costs a count and a histogram of bucket ids (bucket
-    id = pmod(murmur3(keys), n), as Spark buckets; partial counts keep the shuffle at <= n rows per task)."""
+    """The configured bucket count. For "auto": the power of two nearest above one bucket per
+    ``cfg.rows_per_bucket`` rows, unless a key is so hot that one bucket would be oversized. A bucketed table
+    cannot be split by AQE's skew join, so such a table is written unbucketed and the joins shuffle it.
+
+    One pass over the frame: rows per hash slot, slot = pmod(murmur3(keys), HASH_SLOTS); partial counts keep
+    the shuffle small. Spark's bucket id is pmod(murmur3(keys), n), and for n a power of two dividing
+    HASH_SLOTS it is the slot mod n, so the row count and every bucket's size come from the small histogram."""
     if cfg.buckets != "auto":
         return int(cfg.buckets) if cfg.buckets else None
-    n_rows = df.count()
-    n = max(cfg.min_buckets, math.ceil(n_rows / cfg.rows_per_bucket))
-    bucket_id = F.pmod(F.hash(*[F.col(f"`{k}`") for k in cfg.keys]), F.lit(n))
-    largest = df.groupBy(bucket_id.alias("b")).count().agg(F.max("count")).first()[0] or 0
+    slot = F.pmod(F.hash(*[F.col(f"`{k}`") for k in cfg.keys]), F.lit(HASH_SLOTS))
+    hist = df.groupBy(slot.alias("slot")).count().persist()  # at most HASH_SLOTS rows
+    try:
+        n_rows = hist.agg(F.sum("count")).first()[0] or 0
+        wanted = max(cfg.min_buckets, math.ceil(n_rows / cfg.rows_per_bucket))
+        n = min(HASH_SLOTS, 1 << (wanted - 1).bit_length())
+        largest = (hist.groupBy(F.pmod("slot", F.lit(n))).agg(F.sum("count").alias("rows"))
+                   .agg(F.max("rows")).first()[0] or 0)
+    finally:
+        hist.unpersist()
     if largest > max(MAX_BUCKET_SKEW * n_rows / n, cfg.rows_per_bucket):
         return None
     return n

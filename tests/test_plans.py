@@ -58,7 +58,7 @@ def test_bucketed_write_is_one_file_per_bucket(spark):
     docs = Q.B.doc_features(spark, SF01).repartition(5)  # several writing tasks
     cfg = FeatureTableConfig(unique_name("plan"), "features", "doc_id", buckets="auto")
     assert bucket_count(docs, cfg) == 8
-    assert bucket_count(docs, FeatureTableConfig("d", "t", "doc_id", buckets="auto", rows_per_bucket=100)) == 10
+    assert bucket_count(docs, FeatureTableConfig("d", "t", "doc_id", buckets="auto", rows_per_bucket=100)) == 16
     write_feature_table(spark, docs, cfg)
     location = spark.sql(f"DESCRIBE TABLE EXTENDED {cfg.name}").where("col_name = 'Location'").first()[1]
     files = [f for f in os.listdir(location.removeprefix("file:")) if f.endswith(".parquet")]
