@@ -11,6 +11,11 @@ ordered buckets instead:
    inside the bucket; join and window share one shuffle, and each task holds whole buckets only.
 
 The result is exact: offsets are exact counts and the order inside a bucket is the full order.
+
+``range_ranks`` serves plain ranks where the order may hold long runs of one value (many runs of one model
+name with one timestamp): Spark's range partitioning samples bounds of the whole composite key, so such a run
+spans many partitions; positions come from the sorted partitions and a small per-partition offsets table.
+Joins to the small tables are null-safe on the group, so a null group keeps its rows.
 """
 
 from __future__ import annotations
@@ -24,6 +29,7 @@ from pyspark.sql import functions as F
 from scorebook.session import scratch_root
 
 BUCKET = "_bucket"
+GROUP = "_grp"
 # Offsets tables above this many rows are joined with a shuffle instead of broadcast.
 MAX_BROADCAST_ROWS = 2_000_000
 # A group proven to hold at most this many rows may be one window task (a bounded group); larger or
@@ -31,6 +37,19 @@ MAX_BROADCAST_ROWS = 2_000_000
 SINGLE_TASK_ROWS = 1_000_000
 
 
+def join_on_groups(rows: DataFrame, small: DataFrame, group_cols: Sequence[str], other: Sequence[str] = (),
+                   hint_broadcast: bool = False) -> DataFrame:
+    """Inner join of ``rows`` to ``small`` on ``group_cols`` (null-safe: a null group is a group, and keeps its
+    rows) and on the columns ``other`` (plain equality), keeping one copy of the join columns."""
+    keys = [*group_cols, *other]
+    side = small.select(*[F.col(f"`{c}`").alias(f"_j{i}") for i, c in enumerate(keys)],
+                        *[c for c in small.columns if c not in keys])
+    side = F.broadcast(side) if hint_broadcast else side
+    cond = [rows[f"`{c}`"].eqNullSafe(side[f"_j{i}"]) if c in group_cols else rows[f"`{c}`"] == side[f"_j{i}"]
+            for i, c in enumerate(keys)]
+    return rows.join(side, on=cond, how="inner").drop(*[f"_j{i}" for i in range(len(keys))])
+
+
 def choose_buckets(n_rows: int, rows_per_bucket: int = 250_000, lo: int = 16, hi: int = 4096) -> int:
     """Bucket count so that one bucket (one window task) holds about ``rows_per_bucket`` rows."""
     return int(min(hi, max(lo, math.ceil(max(n_rows, 1) / rows_per_bucket))))
@@ -91,6 +110,12 @@ def prefix_sums(
     group_cols = list(group_cols)
     if largest_group is not None and largest_group <= single_task_rows:
         return _plain_prefix_sums(df, order_cols, sums, group_cols)
+    if group_cols and group_cols != [GROUP]:
+        # One non-null struct column stands for the group: struct keys with null fields match in the joins, so
+        # a null group keeps its rows, and the join and the window below still share one shuffle.
+        grouped = df.withColumn(GROUP, F.struct(*[F.col(f"`{c}`") for c in group_cols]))
+        out = prefix_sums(grouped, order_cols, sums, [GROUP], bucket, buckets, known_groups, None, single_task_rows)
+        return out.drop(GROUP)
     if bucket is not None:
         staged = df.withColumn(BUCKET, bucket[0])
         buckets = bucket[1]
@@ -189,15 +214,11 @@ def range_ranks(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[s
                                                        F.count(F.lit(1)).alias("_n"))
     in_group = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
     before = in_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = stats.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group_cols)],
-                           F.col("_part").alias("_p"), "_first",
+    offsets = stats.select(*group_cols, "_part", "_first",
                            (F.sum("_n").over(before) - F.col("_n")).alias("_off"),
                            F.sum("_n").over(in_group).alias("rank_total"))
     bound = partitions + (known_groups if known_groups is not None else MAX_BROADCAST_ROWS)
-    side = F.broadcast(offsets) if bound <= MAX_BROADCAST_ROWS else offsets
-    # Null-safe on the group: a null group is a group of its own, and none of its rows is lost.
-    cond = [with_pos[g].eqNullSafe(side[f"_g{i}"]) for i, g in enumerate(group_cols)]
-    joined = with_pos.join(side, on=[*cond, with_pos["_part"] == side["_p"]], how="inner")
+    joined = join_on_groups(with_pos, offsets, group_cols, ["_part"], hint_broadcast=bound <= MAX_BROADCAST_ROWS)
     rank = (F.col("_off") + F.col("_idx") - F.col("_first")).cast("long").alias("rank")
     return joined.select(*df.columns, rank, F.col("rank_total").cast("long").alias("rank_total"))
 

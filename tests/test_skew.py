@@ -106,3 +106,10 @@ def test_count_below_equals_a_whole_scan(spark):
         # As in quantile_bucket: a projection over the joined rows.
         rows = df.select(fast.alias("fast"), slow.alias("slow")).collect()
         assert len(rows) == 800 and all(r.fast == r.slow for r in rows)
+
+
+def test_bucketed_ranks_keep_a_null_group(spark):
+    df = _hot(spark).withColumn("g", F.when(F.col("id") % 3 == 0, F.lit(None).cast("string")).otherwise(F.lit("a")))
+    bucketed = {(r.id, r.rank) for r in exact_ranks(df, ["id"], ["g"], buckets=16, single_task_rows=0).collect()}
+    plain = {(r.id, r.rank) for r in exact_ranks(df, ["id"], ["g"]).collect()}
+    assert bucketed == plain and len(bucketed) == 3000
