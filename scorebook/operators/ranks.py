@@ -50,11 +50,6 @@ def join_on_groups(rows: DataFrame, small: DataFrame, group_cols: Sequence[str],
     return rows.join(side, on=cond, how="inner").drop(*[f"_j{i}" for i in range(len(keys))])
 
 
-def choose_buckets(n_rows: int, rows_per_bucket: int = 250_000, lo: int = 16, hi: int = 4096) -> int:
-    """Bucket count so that one bucket (one window task) holds about ``rows_per_bucket`` rows."""
-    return int(min(hi, max(lo, math.ceil(max(n_rows, 1) / rows_per_bucket))))
-
-
 def quantile_bucket(df: DataFrame, order_col: str, group_cols: Sequence[str], buckets: int,
                     known_groups: int | None = None) -> DataFrame:
     """Adds ``_bucket``: the number of approximate quantile bounds (per group) strictly below the value."""
