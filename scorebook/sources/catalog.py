@@ -73,6 +73,8 @@ def bucket_count(df: DataFrame, cfg: FeatureTableConfig) -> int | None:
         return int(cfg.buckets) if cfg.buckets else None
     n_rows = df.count()
     n = max(cfg.min_buckets, math.ceil(n_rows / cfg.rows_per_bucket))
+    if n_rows <= cfg.rows_per_bucket:  # no bucket can be oversized: skip the histogram
+        return n
     bucket_id = F.pmod(F.hash(*[F.col(f"`{k}`") for k in cfg.keys]), F.lit(n))
     largest = df.groupBy(bucket_id.alias("b")).count().agg(F.max("count")).first()[0] or 0
     if largest > max(MAX_BUCKET_SKEW * n_rows / n, cfg.rows_per_bucket):
