@@ -25,7 +25,13 @@ from scorebook.operators.joins import score_join, training_join
 from scorebook.operators.metrics import metrics_row
 from scorebook.operators.registry import Registry, conf_json
 from scorebook.operators.split import TRAIN, split_with_sizes
-from scorebook.sources.catalog import write_feature_table, write_labels_table, write_path, write_predictions
+from scorebook.sources.catalog import (
+    feature_side,
+    write_feature_table,
+    write_labels_table,
+    write_path,
+    write_predictions,
+)
 from scorebook.session import scratch_root
 from scorebook.sources.tables import read_path, read_table
 
@@ -58,7 +64,8 @@ def train(spark: SparkSession, cfg: TrainConfig, registry: Registry | None = Non
     registered version and the promotion decision."""
     keys = cfg.feature_table.keys
     label = cfg.labels_table.label_col
-    joined = training_join(read_table(spark, cfg.labels_table.name), read_table(spark, cfg.feature_table.name), keys)
+    labels = read_table(spark, cfg.labels_table.name)
+    joined = training_join(labels, feature_side(spark, cfg.feature_table.name, labels, keys), keys)
     marked, sizes = split_with_sizes(joined, label, keys, cfg.split.test_size, cfg.split.random_state, "_split")
     # Lineage cut in the shared checkpoint folder: train and test are read from it, and a lost executor
     # does not recompute the join and the ranks.
@@ -90,8 +97,9 @@ def train(spark: SparkSession, cfg: TrainConfig, registry: Registry | None = Non
 def score(spark: SparkSession, cfg: InferenceConfig, registry: Registry) -> DataFrame:
     """Resolve the model for (name, stage), join input keys to features, predict (lazy)."""
     model = registry.resolve(cfg.model_name, cfg.stage)
-    joined = score_join(read_table(spark, cfg.input_table), read_table(spark, cfg.feature_table),
-                        normalize_keys(cfg.lookup_keys))
+    keys = normalize_keys(cfg.lookup_keys)
+    inputs = read_table(spark, cfg.input_table)
+    joined = score_join(inputs, feature_side(spark, cfg.feature_table, inputs, keys), keys)
     return M.predict(model, joined)
 
 

@@ -60,8 +60,9 @@ def table_root(spark: SparkSession, location: str | None, name: str) -> str:
     return (location or f"{scratch_root(spark)}/tables").rstrip("/") + "/" + name.replace(".", "/")
 
 
-# "auto" bucketing is dropped when one bucket would hold more than this many times the mean bucket.
-MAX_BUCKET_SKEW = 4.0
+# A bucket above this many times the mean bucket (and above a task's row bound) is oversized: "auto" bucketing
+# is dropped, and a join input with such a bucket reads the feature table unbucketed.
+MAX_BUCKET_SKEW = 2.0
 
 
 def bucket_count(df: DataFrame, cfg: FeatureTableConfig) -> int | None:
@@ -82,6 +83,34 @@ def bucket_count(df: DataFrame, cfg: FeatureTableConfig) -> int | None:
     return n
 
 
+def table_layout(spark: SparkSession, name: str) -> dict[str, str]:
+    """Catalog facts of a table (``Num Buckets``, ``Location``, ``Provider``...): a few rows of metadata."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return {r["col_name"]: r["data_type"] for r in rows if r["col_name"] and not r["col_name"].startswith("#")}
+
+
+def feature_side(spark: SparkSession, name: str, other: DataFrame, keys: Sequence[str],
+                 rows_per_bucket: int = 5_000_000) -> DataFrame:
+    """The feature table to join with ``other`` on ``keys``. Bucketed, the table is not shuffled for the join,
+    but then each bucket of ``other`` is one task, and AQE cannot split a bucketed scan. So one pass counts
+    ``other`` per bucket id (keys cast to the table's types, as the bucket hash depends on them; partial counts
+    keep the shuffle at <= buckets rows per task). If one bucket would be oversized (a hot key), the table is
+    read from its files without the bucket spec; both sides then shuffle and AQE splits the hot partition."""
+    table = spark.table(name)
+    layout = table_layout(spark, name)
+    n = int(layout.get("Num Buckets", "0") or 0)
+    if n <= 0:
+        return table
+    types = {f.name: f.dataType for f in table.schema.fields}
+    bucket_id = F.pmod(F.hash(*[F.col(f"`{k}`").cast(types[k]) for k in keys]), F.lit(n))
+    row = other.groupBy(bucket_id.alias("b")).count().agg(F.sum("count").alias("rows"),
+                                                          F.max("count").alias("largest")).first()
+    rows, largest = (row["rows"] or 0), (row["largest"] or 0)
+    if largest > max(MAX_BUCKET_SKEW * rows / n, rows_per_bucket):
+        return spark.read.format(layout.get("Provider", "parquet")).load(layout["Location"])
+    return table
+
+
 def write_feature_table(spark: SparkSession, df: DataFrame, cfg: FeatureTableConfig) -> str:
     """K1-K3, K8: overwrite the feature table (its schema may change), keyed by ``cfg.primary_keys``."""
     keys = cfg.keys

@@ -69,3 +69,26 @@ def test_bucketed_write_is_one_file_per_bucket(spark):
     hot = docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, F.lit(0)).otherwise(F.col("doc_id")))
     assert bucket_count(hot, FeatureTableConfig("d", "t", "doc_id", buckets="auto", rows_per_bucket=100)) is None
     assert bucket_count(hot, FeatureTableConfig("d", "t", "doc_id", buckets=4)) == 4  # explicit: as asked
+
+
+def test_hot_input_key_reads_the_features_unbucketed(spark):
+    from pyspark.sql import functions as F
+
+    from scorebook.sources.catalog import feature_side
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cfg = FeatureTableConfig(unique_name("plan"), "features", "doc_id", buckets=8)
+        write_feature_table(spark, Q.B.doc_features(spark, SF01), cfg)
+        labels = Q.B.doc_labels(spark, SF01)
+        plain = feature_side(spark, cfg.name, labels, ["doc_id"], rows_per_bucket=10)
+        assert "Bucketed: true" in _plan(score_join(labels, plain, "doc_id"))
+        # A third of the input rows on one key: one bucket would be one oversized task.
+        first = labels.agg(F.min("doc_id")).first()[0]
+        hot = labels.withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, F.lit(first)).otherwise(F.col("doc_id")))
+        side = feature_side(spark, cfg.name, hot, ["doc_id"], rows_per_bucket=10)
+        joined = score_join(hot, side, "doc_id")
+        assert "Bucketed: true" not in _plan(joined)
+        assert joined.count() == score_join(hot, spark.table(cfg.name), "doc_id").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
