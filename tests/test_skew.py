@@ -113,3 +113,17 @@ def test_bucketed_ranks_keep_a_null_group(spark):
     bucketed = {(r.id, r.rank) for r in exact_ranks(df, ["id"], ["g"], buckets=16, single_task_rows=0).collect()}
     plain = {(r.id, r.rank) for r in exact_ranks(df, ["id"], ["g"]).collect()}
     assert bucketed == plain and len(bucketed) == 3000
+
+
+def test_range_ranks_with_two_group_columns(spark):
+    from scorebook.operators.ranks import range_ranks
+
+    df = _hot(spark).select(
+        "id", "x",
+        F.when(F.col("id") % 5 == 0, F.lit(None).cast("int")).otherwise(F.col("y")).alias("g1"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.lit("cold")).alias("g2"),
+    )
+    ranged = {(r.id, r.rank, r.rank_total) for r in range_ranks(df, ["x", "id"], ["g1", "g2"], partitions=12).collect()}
+    plain = {(r.id, r.rank, r.rank_total)
+             for r in exact_ranks(df, ["x", "id"], ["g1", "g2"]).select("id", "rank", "rank_total").collect()}
+    assert ranged == plain and len(ranged) == 3000
