@@ -108,19 +108,20 @@ learnt AS (SELECT cat, CAST(row_number() OVER (ORDER BY cat) - 1 AS BIGINT) AS i
                  WHERE coalesce(source, '') <> 'src0') d)
 SELECT doc_id, source, coalesce(idx, -1) AS hot_index, (SELECT count(*) FROM learnt) AS width
 FROM docs LEFT JOIN learnt ON coalesce(source, '__missing__') = cat""",
-    # The assembled vector of the train rows: n_chars (no missing value to impute), then one indicator per
+    # The assembled vectors of the train rows in long form (doc_id, pos, value): n_chars (no missing value to impute), then one indicator per
     # category of lang and of source learnt on train, ascending; a null is the category '__missing__'.
     "assemble": f"""
 WITH tr AS (SELECT doc_id, CAST(n_chars AS DOUBLE) AS n_chars, coalesce(lang, '__missing__') AS lang,
                    coalesce(source, '__missing__') AS source
             FROM ({DOC_SPLIT}) s WHERE split = 'train'),
 cats AS (SELECT (SELECT list(DISTINCT lang ORDER BY lang) FROM tr) AS langs,
-                (SELECT list(DISTINCT source ORDER BY source) FROM tr) AS sources)
-SELECT doc_id,
-       list_concat(list_concat([n_chars],
-                               list_transform(langs, lambda x: CASE WHEN lang = x THEN 1.0 ELSE 0.0 END::DOUBLE)),
-                   list_transform(sources, lambda x: CASE WHEN source = x THEN 1.0 ELSE 0.0 END::DOUBLE)) AS features
-FROM tr, cats""",
+                (SELECT list(DISTINCT source ORDER BY source) FROM tr) AS sources),
+vec AS (SELECT doc_id,
+                list_concat(list_concat([n_chars],
+                                        list_transform(langs, lambda x: CASE WHEN lang = x THEN 1.0 ELSE 0.0 END::DOUBLE)),
+                            list_transform(sources, lambda x: CASE WHEN source = x THEN 1.0 ELSE 0.0 END::DOUBLE)) AS f
+         FROM tr, cats)
+SELECT doc_id, CAST(generate_subscripts(f, 1) - 1 AS INTEGER) AS pos, unnest(f) AS value FROM vec""",
     "input_example": f"SELECT doc_id, quality, lang, source, n_chars FROM ({DOC_SPLIT}) s "
                      "WHERE split = 'train' ORDER BY doc_id LIMIT 100",
     "binary_metrics": METRICS.format(p=""),

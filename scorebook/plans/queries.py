@@ -272,7 +272,8 @@ def q_assemble(spark, sf_dir):
     from pyspark.ml import Pipeline
 
     fitted = Pipeline(stages=M.preprocess_stages(numeric, categorical)).fit(train_df)
-    return fitted.transform(train_df).select(DOC_KEY, vector_to_array(M.FEATURES).alias("features"))
+    # One row per (document, vector position): the assembled matrix in long form, scalar columns only.
+    return fitted.transform(train_df).select(DOC_KEY, F.posexplode(vector_to_array(M.FEATURES)).alias("pos", "value"))
 
 
 def q_train_score(spark, sf_dir):
