@@ -92,3 +92,13 @@ def test_hot_input_key_reads_the_features_unbucketed(spark):
         assert joined.count() == score_join(hot, spark.table(cfg.name), "doc_id").count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_unbucketed_feature_table_is_returned_as_is(spark):
+    from scorebook.sources.catalog import feature_side, table_layout
+
+    cfg = FeatureTableConfig(unique_name("plan"), "features", "doc_id")
+    write_feature_table(spark, Q.B.doc_features(spark, SF01), cfg)
+    assert "Num Buckets" not in table_layout(spark, cfg.name)
+    side = feature_side(spark, cfg.name, Q.B.doc_labels(spark, SF01), ["doc_id"])
+    assert side.columns == spark.table(cfg.name).columns and side.count() == 1000
