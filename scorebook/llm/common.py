@@ -212,3 +212,18 @@ def window_owner(first: np.ndarray, size: int, total: int) -> tuple[np.ndarray,
     n = max(total - size + 1, 0)
     owner = np.repeat(np.arange(len(first) - 1), np.diff(first))[:n]
     return owner, (np.arange(n) + size) <= first[1:][owner] if n else np.zeros(0, bool)
+
+
+# ---------------------------------------------------------------- per-process cache
+
+
+def process_cache() -> dict:
+    """A dictionary that lives as long as the Python worker: tasks of one worker share what is costly to build.
+
+    Task code travels by value, so its own globals are new in every task; an entry in ``sys.modules`` is not.
+    """
+    import sys
+    import types
+
+    holder = sys.modules.setdefault("scorebook_llm_process_cache", types.ModuleType("scorebook_llm_process_cache"))
+    return holder.__dict__

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality_qda, toxic_crf
+from . import decontaminate, langid, packing, quality_qda, toxic_crf
 from .common import crc_mod, materialise, table
 
 
@@ -42,9 +42,26 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxic_crf.score(docs, model, cfg, spans=False), 0.5)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.digest(decontaminate.contamination(spark, docs, items))
+
+
+def packing_config() -> packing.PackingConfig:
+    import public_tokenizers
+
+    return packing.PackingConfig(tokenizer=public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), packing_config())
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_quality": op3_quality,
     "op6_toxicity": op6_toxicity,
+    "op7_decontaminate": op7_decontaminate,
+    "op10_packing": op10_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
