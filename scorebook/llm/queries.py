@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, quality_qda, toxic_crf
+from . import decontaminate, langid, packing, quality_qda, substr_dedup, toxic_crf
 from .common import crc_mod, materialise, table
 
 
@@ -17,6 +17,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substr_dedup.remove_repeats(spark, table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def _training_labels(spark: SparkSession, sf_dir: str, col: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(crc_mod("doc_id", 5) != 0)
     return labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(col).cast("int").alias("label")).where("label is not null")
@@ -59,6 +64,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_quality": op3_quality,
     "op6_toxicity": op6_toxicity,
     "op7_decontaminate": op7_decontaminate,
