@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, quality_qda, substr_dedup, toxic_crf
+from . import decontaminate, langid, packing, probminhash, quality_qda, substr_dedup, toxic_crf
 from .common import crc_mod, materialise, table
 
 
@@ -52,6 +52,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(spark, docs, items))
 
 
+def op9_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_duplicates(spark, table(spark, sf_dir, "documents")).documents
+
+
 def packing_config() -> packing.PackingConfig:
     import public_tokenizers
 
@@ -68,6 +72,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op6_toxicity": op6_toxicity,
     "op7_decontaminate": op7_decontaminate,
+    "op9_probminhash": op9_probminhash,
     "op10_packing": op10_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
