@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, probminhash, quality_qda, substr_dedup, toxic_crf
+from . import decontaminate, ego_join, langid, packing, probminhash, quality_qda, substr_dedup, toxic_crf
 from .common import crc_mod, materialise, table
 
 
@@ -41,6 +41,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(quality_qda.score(stats, model, cfg), 0.3)
 
 
+def op5_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ego_join.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, cfg = table(spark, sf_dir, "documents"), toxic_crf.CrfConfig()
     model = toxic_crf.fit(docs, _training_labels(spark, sf_dir, "toxic"), cfg)
@@ -70,6 +74,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_quality": op3_quality,
+    "op5_embedding_near_dup": op5_embedding_near_dup,
     "op6_toxicity": op6_toxicity,
     "op7_decontaminate": op7_decontaminate,
     "op9_probminhash": op9_probminhash,
