@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, ego_join, langid, packing, probminhash, quality_qda, substr_dedup, toxic_crf
+from scorebook.session import scratch_path
+
+from . import decontaminate, ego_join, langid, packing, probminhash, quality_qda, substr_dedup, toxic_crf, url_filter, warc_merkle
 from .common import crc_mod, materialise, table
 
 
@@ -41,6 +43,16 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(quality_qda.score(stats, model, cfg), 0.3)
 
 
+# The rules of the contract, as (verdict, host and path).
+URL_RULES = (
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+)
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(spark, table(spark, sf_dir, "pages"), url_filter.UrlConfig(URL_RULES))
+
+
 def op5_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ego_join.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
 
@@ -56,6 +68,19 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(spark, docs, items))
 
 
+def op8_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of a sound replica of all pages against one in which a sign of some payloads has changed.
+
+    Damage is part of the exercise: the second replica ends the html of every 97th page_id with another sign.
+    """
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    hurt = F.when((F.col("page_id") % 97 == 13) & (F.length("html") > 0), F.concat(F.expr("left(html, length(html) - 1)"), F.lit("~")))
+    ours, theirs = scratch_path(spark, "warc"), scratch_path(spark, "warc")
+    warc_merkle.write_warc(pages, ours)
+    warc_merkle.write_warc(pages.withColumn("html", F.coalesce(hurt, "html")), theirs)
+    return warc_merkle.audited(spark, ours, theirs)
+
+
 def op9_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(spark, table(spark, sf_dir, "documents")).documents
 
@@ -74,9 +99,11 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_quality": op3_quality,
+    "op4_url_filter": op4_url_filter,
     "op5_embedding_near_dup": op5_embedding_near_dup,
     "op6_toxicity": op6_toxicity,
     "op7_decontaminate": op7_decontaminate,
+    "op8_warc_audit": op8_warc_audit,
     "op9_probminhash": op9_probminhash,
     "op10_packing": op10_packing,
 }
