@@ -33,7 +33,7 @@ _INSIDE[list(range(48, 58)) + list(range(97, 123)) + list(range(128, 256))] = Tr
 NORMAL = bytes(int(_LOWER[b]) if _INSIDE[_LOWER[b]] else 32 for b in range(256))
 
 HITS = "lo: int, hi: int"
-SCHEMA = f"doc_id long, text string, n_words long, ranges array<struct<{HITS}>>, items array<string>"
+FOUND = ("n_words", "ranges", "items")
 
 
 @dataclass(frozen=True)
@@ -110,6 +110,7 @@ def _scan_batches(patterns: dict[str, list[str]], key: str):
             cache["automaton"], cache["automaton_key"] = build_automaton(patterns), key
         automaton = cache["automaton"]
         for batch in batches:
+            given = [c for c in batch.schema.names if c not in FOUND]
             old_ranges, old_items = batch.column("ranges").to_pylist(), batch.column("items").to_pylist()
             n_words, ranges, items = [], [], []
             for t in text_slices(batch.column("text")):
@@ -122,35 +123,42 @@ def _scan_batches(patterns: dict[str, list[str]], key: str):
                     ranges.append([{"lo": lo, "hi": hi} for lo, hi in r])
                     items.append(sorted({x for f in found for x in owners[f]} | set(old_items[k] or ())))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text"), pa.array(n_words, pa.int64()),
+                [*(batch.column(c) for c in given), pa.array(n_words, pa.int64()),
                  pa.array(ranges, pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))), pa.array(items, pa.list_(pa.string()))],
-                ["doc_id", "text", "n_words", "ranges", "items"],
+                [*given, *FOUND],
             )
 
     return run
 
 
 def contamination(
-    spark: SparkSession, docs: DataFrame, benchmark: DataFrame, cfg: DecontaminateConfig = DecontaminateConfig()
+    spark: SparkSession, docs: DataFrame, benchmark: DataFrame, cfg: DecontaminateConfig = DecontaminateConfig(),
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, text, n_words, ranges of hit words, ids of the found items) of every row of (doc_id, text)."""
+    """(doc_id, text, carried columns, n_words, ranges of hit words, ids of the found items) of every row of (doc_id, text)."""
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // cfg.shard_bytes) * 2 if total > cfg.shard_bytes else 1)
     out = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(0).cast("long").alias("n_words"),
+        F.col("doc_id").cast("long").alias("doc_id"), "text", *carry, F.lit(0).cast("long").alias("n_words"),
         F.array().cast(f"array<struct<{HITS}>>").alias("ranges"), F.array().cast("array<string>").alias("items"),
     )
     for k in range(shards):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k).orderBy("item_id", "text").collect()
         patterns = item_windows([(r.item_id, r.text) for r in part], cfg.window)
         key = hashlib.sha256("\n".join(f"{p}\t{','.join(v)}" for p, v in patterns.items()).encode()).hexdigest()
-        out = out.mapInArrow(_scan_batches(patterns, key), SCHEMA)
+        out = out.mapInArrow(_scan_batches(patterns, key), out.schema)
         if k + 1 < shards:
             out = materialise(spark, out, "contamination")
     return out
 
 
+def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, cfg: DecontaminateConfig = DecontaminateConfig()) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no window of a benchmark item occurs."""
+    carry = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    return contamination(spark, docs, benchmark, cfg, carry).where(F.size("ranges") == 0).select(*docs.columns)
+
+
 def spans(found: DataFrame) -> DataFrame:
     """(doc_id, spans array<struct<start, length>>): the hit ranges of ``contamination`` as bytes of the original text."""
 

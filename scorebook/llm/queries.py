@@ -24,7 +24,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def _training_labels(spark: SparkSession, sf_dir: str, col: str) -> DataFrame:
+def training_labels(spark: SparkSession, sf_dir: str, col: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(crc_mod("doc_id", 5) != 0)
     return labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(col).cast("int").alias("label")).where("label is not null")
 
@@ -39,7 +39,7 @@ def _judged(scores: DataFrame, threshold: float) -> DataFrame:
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = quality_qda.QdaConfig()
     stats = materialise(spark, quality_qda.statistics(table(spark, sf_dir, "documents")), "quality-stats")
-    model = quality_qda.fit(stats.join(_training_labels(spark, sf_dir, "quality"), "doc_id"), cfg)
+    model = quality_qda.fit(stats.join(training_labels(spark, sf_dir, "quality"), "doc_id"), cfg)
     return _judged(quality_qda.score(stats, model, cfg), 0.3)
 
 
@@ -59,7 +59,7 @@ def op5_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, cfg = table(spark, sf_dir, "documents"), toxic_crf.CrfConfig()
-    model = toxic_crf.fit(docs, _training_labels(spark, sf_dir, "toxic"), cfg)
+    model = toxic_crf.fit(docs, training_labels(spark, sf_dir, "toxic"), cfg)
     return _judged(toxic_crf.score(docs, model, cfg, spans=False), 0.5)
 
 

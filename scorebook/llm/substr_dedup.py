@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -171,48 +172,80 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, cfg: SubstringConfig =
 
     ``kept`` is the kept words joined by one space; ``removed`` holds word ranges [lo, hi).
     """
-    size = cfg.size
+    ranges = "removed array<struct<lo:int,hi:int>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rollers = _rollers()
-        ranges_type = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
+        kind = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
         for batch in batches:
-            n = batch.num_rows
-            n_words, n_removed = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            kept: list[bytes] = [b""] * n
-            removed: list[list] = [[]] * n
-            firsts = batch.column("firsts")
-            for row, raw, count, places, k1, _ in _candidates(batch, size, rollers):
-                own = firsts[row].values
-                first = own.to_numpy(zero_copy_only=False) if own is not None else np.zeros(0, np.int64)
-                later = places[~np.isin(to_signed(k1[places]), first)]
-                if not len(later):
-                    continue
-                steps = np.zeros(count + 1, np.int64)
-                np.add.at(steps, later, 1)
-                np.add.at(steps, later + size, -1)
-                gone = np.cumsum(steps[:-1]) > 0
-                words = raw.split()
-                kept[row] = b" ".join([w for w, g in zip(words, gone.tolist()) if not g])
-                n_words[row], n_removed[row] = count, int(gone.sum())
-                edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
-                removed[row] = [{"lo": int(a), "hi": int(b)} for a, b in edges.reshape(-1, 2)]
-            for t in text_slices(batch.column("text")):
-                for i in range(len(t)):
-                    if not n_removed[t.lo + i]:
-                        words = t.raw(i).split()
-                        n_words[t.lo + i], kept[t.lo + i] = len(words), b" ".join(words)
+            n_words, n_removed, kept, removed = _kept_words(batch, cfg.size, rollers)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n_words), pa.array(n_removed), pa.array(kept, pa.binary()).cast(pa.string()),
-                 pa.array(removed, ranges_type)],
+                [batch.column("doc_id"), pa.array(n_words), pa.array(n_removed), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(removed, kind)],
                 ["doc_id", "n_words", "n_removed", "kept", "removed"],
             )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    joined = texts.join(surviving_anchors(spark, texts, size), "doc_id", "left")
-    done = joined.join(first_holders(joined, size), "doc_id", "left")
-    schema = "doc_id long, n_words long, n_removed long, kept string, removed array<struct<lo:int,hi:int>>"
-    return done.mapInArrow(run, schema)
+    done = _with_lists(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), cfg.size)
+    return done.mapInArrow(run, f"doc_id long, n_words long, n_removed long, kept string, {ranges}")
+
+
+def cleaned(spark: SparkSession, docs: DataFrame, cfg: SubstringConfig = SubstringConfig()) -> DataFrame:
+    """``docs``, all columns, with ``text`` (and ``n_chars``, its length) after removal.
+
+    Texts that lose nothing are unchanged; texts that lose every word go.
+    """
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rollers = _rollers()
+        for batch in batches:
+            n_words, n_removed, kept, _ = _kept_words(batch, cfg.size, rollers)
+            changed = pa.array(n_removed > 0)
+            after = pa.array(kept, pa.binary()).cast(pa.string())
+            text = pc.if_else(changed, after, batch.column("text").cast(pa.string()))
+            columns = {c: batch.column(c) for c in names} | {"text": text}
+            if "n_chars" in columns:
+                columns["n_chars"] = pc.if_else(changed, pc.utf8_length(after).cast(columns["n_chars"].type), columns["n_chars"])
+            whole = pa.RecordBatch.from_arrays([columns[c] for c in names], names)
+            yield whole.filter(pa.array((n_removed == 0) | (n_removed < n_words)))
+
+    return _with_lists(spark, docs, cfg.size).mapInArrow(run, docs.schema)
+
+
+def _with_lists(spark: SparkSession, docs: DataFrame, size: int) -> DataFrame:
+    """``docs`` with each document's surviving anchors and the candidate windows of which it is the least holder."""
+    lists = surviving_anchors(spark, docs.select("doc_id", "text"), size)
+    joined = docs.join(lists, "doc_id", "left")
+    return joined.join(first_holders(joined.select("doc_id", "text", "anchors"), size), "doc_id", "left")
+
+
+def _kept_words(batch: pa.RecordBatch, size: int, rollers):
+    """Per row: number of words, number removed, kept words joined by one space, removed word ranges."""
+    n = batch.num_rows
+    n_words, n_removed = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    kept: list[bytes] = [b""] * n
+    removed: list[list] = [[]] * n
+    firsts = batch.column("firsts")
+    for row, raw, count, places, k1, _ in _candidates(batch, size, rollers):
+        own = firsts[row].values
+        first = own.to_numpy(zero_copy_only=False) if own is not None else np.zeros(0, np.int64)
+        later = places[~np.isin(to_signed(k1[places]), first)]
+        if not len(later):
+            continue
+        steps = np.zeros(count + 1, np.int64)
+        np.add.at(steps, later, 1)
+        np.add.at(steps, later + size, -1)
+        gone = np.cumsum(steps[:-1]) > 0
+        words = raw.split()
+        kept[row] = b" ".join([w for w, g in zip(words, gone.tolist()) if not g])
+        n_words[row], n_removed[row] = count, int(gone.sum())
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
+        removed[row] = [{"lo": int(a), "hi": int(b)} for a, b in edges.reshape(-1, 2)]
+    for t in text_slices(batch.column("text")):
+        for i in range(len(t)):
+            if not n_removed[t.lo + i]:
+                words = t.raw(i).split()
+                n_words[t.lo + i], kept[t.lo + i] = len(words), b" ".join(words)
+    return n_words, n_removed, kept, removed
 
 
 def longest_repeats(spark: SparkSession, docs: DataFrame, cfg: SubstringConfig = SubstringConfig()) -> DataFrame:

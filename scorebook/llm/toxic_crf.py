@@ -357,3 +357,18 @@ def score(docs: DataFrame, model: CrfModel | None, cfg: CrfConfig = CrfConfig(),
 
     schema = "doc_id long, score double, spans array<struct<start:long,length:long,marginal:double>>"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+
+
+def filtered(docs: DataFrame, model: CrfModel | None, cfg: CrfConfig, threshold: float) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores below the threshold; a single pass without a join."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        roller = Roller(23)
+        for batch in batches:
+            total = np.zeros(batch.num_rows)
+            for t in text_slices(batch.column("text"), 1 << 20):
+                if model is not None:
+                    total[t.lo : t.lo + len(t)] = score_texts(model, t, roller, cfg.bits)[0]
+            yield batch.filter(pa.array(total < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
