@@ -38,6 +38,17 @@ def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def carrying(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, carry): all other columns in one struct, so that no name of theirs can clash."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*rest, F.lit(0).alias("__")).alias("carry"))
+
+
+def uncarried(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of the table that went through ``carrying``, in their order."""
+    return df.select(*(F.col(c) if c in ("doc_id", "text") else F.col(f"carry.`{c}`").alias(c) for c in columns))
+
+
 def crc_mod(col: str, mod: int):
     """crc32 of the id as text, modulo ``mod`` (the contract's folds); null ids give null."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % mod

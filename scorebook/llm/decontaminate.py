@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, process_cache, text_slices, word_spans
+from .common import carrying, materialise, process_cache, text_slices, uncarried, word_spans
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -155,8 +155,8 @@ def contamination(
 
 def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, cfg: DecontaminateConfig = DecontaminateConfig()) -> DataFrame:
     """The rows of ``docs``, all columns, in which no window of a benchmark item occurs."""
-    carry = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    return contamination(spark, docs, benchmark, cfg, carry).where(F.size("ranges") == 0).select(*docs.columns)
+    found = contamination(spark, carrying(docs), benchmark, cfg, ("carry",))
+    return uncarried(found.where(F.size("ranges") == 0), docs.columns)
 
 
 def spans(found: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from scorebook.session import scratch_path
 
 from . import decontaminate, ego_join, langid, packing, probminhash, quality_qda, substr_dedup, toxic_crf, url_filter, warc_merkle
 from .common import crc_mod, materialise, table
+from .oracle import ORACLE_SQL  # noqa: F401
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,4 +108,3 @@ QUERIES = {
     "op9_probminhash": op9_probminhash,
     "op10_packing": op10_packing,
 }
-ORACLE_SQL: dict[str, str] = {}

@@ -27,8 +27,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from .common import Roller, Texts, materialise, space_words, text_slices, to_signed, window_owner
+from .common import Roller, Texts, carrying, materialise, space_words, text_slices, to_signed, uncarried, window_owner
 
 
 @dataclass(frozen=True)
@@ -193,22 +194,24 @@ def cleaned(spark: SparkSession, docs: DataFrame, cfg: SubstringConfig = Substri
 
     Texts that lose nothing are unchanged; texts that lose every word go.
     """
-    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rollers = _rollers()
         for batch in batches:
             n_words, n_removed, kept, _ = _kept_words(batch, cfg.size, rollers)
             changed = pa.array(n_removed > 0)
-            after = pa.array(kept, pa.binary()).cast(pa.string())
-            text = pc.if_else(changed, after, batch.column("text").cast(pa.string()))
-            columns = {c: batch.column(c) for c in names} | {"text": text}
-            if "n_chars" in columns:
-                columns["n_chars"] = pc.if_else(changed, pc.utf8_length(after).cast(columns["n_chars"].type), columns["n_chars"])
-            whole = pa.RecordBatch.from_arrays([columns[c] for c in names], names)
+            text = pc.if_else(changed, pa.array(kept, pa.binary()).cast(pa.string()), batch.column("text").cast(pa.string()))
+            whole = pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), text, batch.column("carry"), changed], ["doc_id", "text", "carry", "changed"]
+            )
             yield whole.filter(pa.array((n_removed == 0) | (n_removed < n_words)))
 
-    return _with_lists(spark, docs, cfg.size).mapInArrow(run, docs.schema)
+    packed = carrying(docs)
+    out = _with_lists(spark, packed, cfg.size).mapInArrow(run, StructType([*packed.schema.fields, StructField("changed", BooleanType())]))
+    if "n_chars" in docs.columns:
+        length = F.when(F.col("changed"), F.length("text")).otherwise(F.col("carry.n_chars"))
+        out = out.withColumn("carry", F.col("carry").withField("n_chars", length.cast(docs.schema["n_chars"].dataType)))
+    return uncarried(out, docs.columns)
 
 
 def _with_lists(spark: SparkSession, docs: DataFrame, size: int) -> DataFrame:

@@ -2,11 +2,11 @@
 
 Rules (verdict, "host/path") fit their host and its subdomains where the url's path starts with theirs; the longest
 wins. Other urls are judged by the method. Host labels are split into words by unigram Viterbi: word counts come from
-all pages (visible words and url words), every substring of a distinct label up to ``longest_word`` signs is joined
+the visible words of all pages, every substring of a distinct label up to ``longest_word`` signs is joined
 with the counts, and a dynamic program picks the most likely split; unknown strings cost a factor of ten a sign. A
 multinomial naive Bayes then scores the segmented host words and the path words. It learns from the urls that the rules
 decide (words that occur in a rule itself are left out, as they only repeat the rule) and from a short list of seed
-words. Counts, labels and scores are joins and aggregations over distinct hosts and urls; nothing is collected.
+words; words that no taught url has say nothing. Counts, labels and scores are joins and aggregations over distinct hosts and urls; nothing is collected.
 
 Defined results: null urls or urls without ``://`` have an empty host and path, fit no rule and are judged by the
 prior. Repeated rows give repeated results, null page_ids are kept, extra columns are ignored. An empty table gives an
@@ -70,9 +70,9 @@ def letters(text: Column) -> Column:
 
 
 def word_counts(pages: DataFrame) -> DataFrame:
-    """(word, n) over the visible words of every page and the words of its url."""
+    """(word, n) over the visible words of every page; not of urls, whose labels are what is to be split."""
     visible = F.regexp_replace(F.coalesce("html", F.lit("")), r"(?s)<(script|style)\b.*?</\1>|<[^>]*>", " ")
-    words = F.explode(letters(F.concat_ws(" ", visible, "url"))).alias("word")
+    words = F.explode(letters(visible)).alias("word")
     return pages.select(words).groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -134,7 +134,9 @@ def judged(spark: SparkSession, pages: DataFrame, cfg: UrlConfig) -> DataFrame:
     urls = materialise(
         spark, rows.groupBy("host", "path").agg(F.count("*").alias("n"), F.first("hit").alias("hit")), "urls"
     )
-    tokens = materialise(spark, url_tokens(spark, urls.select("host", "path"), word_counts(pages), cfg), "url-tokens")
+    known = spark.createDataFrame([(w, int(cfg.seed_weight)) for w in cfg.seeds], "word string, n long")
+    counts = materialise(spark, word_counts(pages).unionByName(known).groupBy("word").agg(F.sum("n").alias("n")), "url-words")
+    tokens = materialise(spark, url_tokens(spark, urls.select("host", "path"), counts, cfg), "url-tokens")
     blocked = F.when(F.col("hit.verdict") == "block", F.col("n")).otherwise(0)
     taught = tokens.join(urls.where("hit is not null"), ["host", "path"]).groupBy("token").agg(
         F.sum(blocked).cast("double").alias("block"), F.sum(F.col("n") - blocked).cast("double").alias("allow")
@@ -146,9 +148,9 @@ def judged(spark: SparkSession, pages: DataFrame, cfg: UrlConfig) -> DataFrame:
     sums = model.agg(F.sum("block").alias("b"), F.sum("allow").alias("a"), F.count("*").alias("v")).first()
     prior = urls.where("hit is not null").agg(F.sum(blocked).alias("b"), F.sum(F.col("n") - blocked).alias("a")).first()
     s, v = cfg.smoothing, max(sums.v, 1)
-    weight = F.log((F.coalesce("block", F.lit(0.0)) + s) / (sums.b + s * v)) - F.log((F.coalesce("allow", F.lit(0.0)) + s) / (sums.a + s * v))
+    weight = F.log((F.col("block") + s) / (sums.b + s * v)) - F.log((F.col("allow") + s) / (sums.a + s * v))
     start = float(np.log(((prior.b or 0) + s) / ((prior.a or 0) + s)))
-    scores = tokens.join(model, "token", "left").groupBy("host", "path").agg(F.sum(weight).alias("evidence"))
+    scores = tokens.join(model, "token").groupBy("host", "path").agg(F.sum(weight).alias("evidence"))
     verdicts = urls.join(scores, ["host", "path"], "left").select(
         "host", "path", F.col("hit.rule").alias("rule"), F.col("hit.verdict").alias("given"),
         F.when(F.col("hit").isNull(), F.coalesce("evidence", F.lit(0.0)) + start).alias("score"),

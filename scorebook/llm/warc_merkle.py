@@ -91,12 +91,11 @@ def fixity(spark: SparkSession, path: str) -> DataFrame:
                 names = ["shard", "file", "seq", "offset", "length", "page_id", "sha256", "leaf"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
-    files = spark.read.format("binaryFile").schema(
-        "path string, modificationTime timestamp, length long, content binary, shard long"
-    ).option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
+    shard = F.regexp_extract("path", r"/shard=(-?\d+)/", 1).cast("long")
     part = F.regexp_extract("path", r"[-.]c(\d+)\.txt$", 1).cast("int")
     schema = "shard long, file int, seq long, offset long, length long, page_id long, sha256 string, leaf string"
-    return files.select("shard", part.alias("file"), "content").mapInArrow(run, schema)
+    return files.select(shard.alias("shard"), part.alias("file"), "content").mapInArrow(run, schema)
 
 
 def tree(leaves: DataFrame, levels: int, cfg: MerkleConfig) -> list[DataFrame]:
