@@ -35,6 +35,7 @@ class FeaturizerConfig:
     rename_to: str | None = None  # defaults to label_col
     label_map: tuple[tuple[str, int], ...] = DEFAULT_LABEL_MAP
     max_categories: int = 1000  # one-hot width guard per column
+    input_table: str | None = None  # the raw table the features job starts from, when it is given no frame
 
     @property
     def label_out(self) -> str:
@@ -91,10 +92,11 @@ class TrainConfig:
     split: SplitConfig = SplitConfig()
     model_params: Mapping[str, Any] = field(default_factory=dict)
     model_name: str | None = None
-    registry_root: str | None = None  # folder holding versions, runs and model artifacts
     include_keys: bool = False  # reference parity: keys become features when True
     fit_partitions: int | None = None  # fixed layout for a reproducible fit
-    run_name: str = "random_forest_baseline"
+    run_name: str | None = None
+    max_categories: int | None = None  # a wider text column is an error; None: any width
+    max_classes: int | None = None  # more classes are an error; None: any number
     conf: Mapping[str, Any] | None = None
     logged_conf_keys: tuple[str, ...] = ("pipeline_params", "model_params", "run_name")
 
@@ -102,7 +104,6 @@ class TrainConfig:
 @dataclass(frozen=True)
 class InferenceConfig:
     model_name: str
-    registry_root: str
     input_table: str
     feature_table: str
     lookup_keys: str | tuple[str, ...]

@@ -86,7 +86,7 @@ def featurize(df: DataFrame, cfg: FeaturizerConfig) -> DataFrame:
     out = process_label(df, cfg.label_col, cfg.label_map, cfg.label_out)
     if cfg.ohe:
         if not cfg.cat_cols:
-            raise RuntimeError("cat_cols must be provided if ohe=True")
+            raise RuntimeError("one-hot encoding needs the names of its columns: set cat_cols")
         out = clean_column_names(one_hot(out, cfg.cat_cols, max_categories=cfg.max_categories))
     if cfg.drop_missing:
         out = drop_missing(out)

@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorebook.functions.expressions import ratio_or_zero
 from scorebook.operators.ranks import SINGLE_TASK_ROWS, prefix_sums
 
+SCORES_PER_BUCKET = 250_000
 METRIC_NAMES = ("accuracy", "precision", "recall", "f1")
 
 
+def _null_message(label_col: str):
+    return F.lit(f"the label column {label_col!r} holds nulls; drop or fix them before computing metrics")
+
+
+def _positive(label_col: str, positive):
+    """Whether the label is the positive class; a null label is an error when the row is read."""
+    label = F.col(label_col)
+    return F.when(label.isNull(), F.raise_error(_null_message(label_col)).cast("boolean")).otherwise(label == F.lit(positive))
+
+
 def confusion(df: DataFrame, label_col: str, pred_col: str, positive=1) -> DataFrame:
     """One row: tp, fp, fn, tn, n (longs), in one aggregation pass with map-side partial sums."""
-    y = F.col(label_col) == F.lit(positive)
+    y = _positive(label_col, positive)
     p = F.col(pred_col) == F.lit(positive)
     count_if = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).cast("long")
     return df.agg(
@@ -37,8 +50,14 @@ def binary_metrics(df: DataFrame, label_col: str, pred_col: str, prefix: str = "
     )
 
 
+def auc_of_totals():
+    """area / (P * N) as doubles: the product of two counts can pass the range of a long."""
+    p, n = F.col("P").cast("double"), F.col("N").cast("double")
+    return F.when((p > 0) & (n > 0), F.col("area").cast("double") / (p * n))
+
+
 def roc_auc(df: DataFrame, label_col: str, score_col: str, metric_prefix: str = "", positive=1,
-            buckets: int = 1024, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+            buckets: int | None = None, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """E5: ROC AUC with ties at half credit: sum over distinct scores of p * (negatives below + n / 2),
     divided by P * N; null when a class is absent. Scores are first reduced to one row per distinct score;
     the running count of negatives is one window task only while the distinct scores are proven few (a
@@ -47,19 +66,20 @@ def roc_auc(df: DataFrame, label_col: str, score_col: str, metric_prefix: str =
     per_score = df.where(F.col(score_col).isNotNull()).groupBy(F.col(score_col).cast("double").alias("score")).agg(
         F.sum(F.when(y, 1).otherwise(0)).cast("long").alias("pos"),
         F.sum(F.when(y, 0).otherwise(1)).cast("long").alias("neg"),
+        F.count_if(F.col(label_col).isNull()).alias("unlabelled"),
     )
     distinct = df.agg(F.approx_count_distinct(score_col, 0.02).alias("d")).first()["d"]
+    buckets = buckets or max(8, math.ceil(distinct * 1.1 / SCORES_PER_BUCKET))
     ranked = prefix_sums(per_score, ["score"], {"neg": F.col("neg")}, buckets=buckets,
                          largest_group=int(distinct * 1.1) + 1, single_task_rows=single_task_rows)
     total = ranked.agg(
-        F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)).alias("area"),
+        F.sum(F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / 2.0)).alias("area"),
         F.sum("pos").alias("P"),
         F.sum("neg").alias("N"),
+        F.sum("unlabelled").alias("unlabelled"),
     )
-    return total.select(
-        F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("area") / (F.col("P") * F.col("N")))
-        .cast("double").alias(f"{metric_prefix}roc_auc_score")
-    )
+    refused = F.when(F.col("unlabelled") > 0, F.raise_error(_null_message(label_col)).cast("double"))
+    return total.select(refused.otherwise(auc_of_totals()).alias(f"{metric_prefix}roc_auc_score"))
 
 
 def metrics_row(df: DataFrame, label_col: str, pred_col: str, run_id: str) -> DataFrame:

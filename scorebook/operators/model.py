@@ -3,11 +3,16 @@
 Numeric columns: exact-median imputation. String (and date) columns: nulls become their own category, then
 ``StringIndexer(handleInvalid='keep')`` + ``OneHotEncoder(dropLast=True)``, so a category unseen at fit
 time is the zero vector. Everything is assembled into one sparse vector for a distributed random forest.
+
+The pipeline's first stage copies each feature column to an internal name, so feature columns may hold dots or
+spaces in their names, and an input may have a ``prediction``, ``features`` or ``probability`` column of its own
+(``predict`` replaces ``prediction``). Column names starting with ``__sb_`` are reserved.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from typing import Any, Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -20,10 +25,9 @@ from pyspark.sql import types as T
 
 from scorebook.operators.impute import ExactMedianImputer
 
-FEATURES = "features"
 PREDICTION = "prediction"
-# Fixed value: the category a missing string takes before indexing.
-MISSING_CATEGORY = "__missing__"
+FEATURES, LABEL, OUTPUT = "__sb_features", "__sb_label", "__sb_prediction"
+RAW, PROBABILITY = "__sb_raw", "__sb_probability"
 MAX_DEPTH = 30  # Spark's limit for tree depth
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -55,6 +59,8 @@ def forest_params(model_params: Mapping[str, Any]) -> dict:
         if key == "n_estimators":
             out["numTrees"] = int(value)
         elif key == "max_depth":
+            if value is None:
+                warnings.warn(f"unlimited depth is not available here: trees stop at depth {MAX_DEPTH}", stacklevel=2)
             depth = MAX_DEPTH if value is None else int(value)
             if depth > MAX_DEPTH:
                 raise ValueError(f"max_depth={depth} is above Spark's limit of {MAX_DEPTH}")
@@ -91,42 +97,60 @@ def forest_params(model_params: Mapping[str, Any]) -> dict:
     return out
 
 
-def fill_categories(categorical: Sequence[str]) -> SQLTransformer:
-    """String view of each categorical column with null as its own category."""
-    filled = ", ".join(f"coalesce(CAST(`{c}` AS STRING), '{MISSING_CATEGORY}') AS `{c}__cat`" for c in categorical)
-    return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
+def numeric_name(i: int) -> str:
+    return f"__sb_n{i}"
+
+
+def encoded_name(i: int) -> str:
+    """The one-hot vector of categorical column ``i``."""
+    return f"__sb_c{i}_ohe"
+
 
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
 
-def learnt_indexers(train: DataFrame, categorical: Sequence[str], max_categories: int = 1000) -> list:
-    """Fitted indexers from one bounded distinct pass (no separate sketch or indexer pass): labels in
-    ascending order; unseen values go to the extra index that one-hot encoding drops. One model per column
-    (a multi-column model built from ragged label lists would be padded with nulls)."""
+
+def internal_columns(numeric: Sequence[str], categorical: Sequence[str]) -> SQLTransformer:
+    """Adds each feature column under its internal name. A category is written with a leading 'v', a null is 'n':
+    no text of the data can be taken for a missing value."""
+    added = [f"CAST({_quoted(c)} AS DOUBLE) AS {numeric_name(i)}" for i, c in enumerate(numeric)]
+    added += [f"coalesce(concat('v', CAST({_quoted(c)} AS STRING)), 'n') AS __sb_c{i}" for i, c in enumerate(categorical)]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(added)} FROM __THIS__")
+
+
+def learnt_indexers(train: DataFrame, categorical: Sequence[str], max_categories: int) -> list:
+    """Fitted indexers from one bounded distinct pass, which fails on a column with more than ``max_categories``
+    values (null included): labels in ascending order; unseen values go to the extra index that one-hot encoding
+    drops. One model per column (a multi-column model built from ragged label lists would be padded with nulls)."""
     from scorebook.operators.featurize import category_values
 
-    filled = fill_categories(categorical).transform(train)
-    values = category_values(filled, [f"{c}__cat" for c in categorical], max_categories)
-    return [StringIndexerModel.from_labels(values[f"{c}__cat"], inputCol=f"{c}__cat", outputCol=f"{c}__idx",
-                                           handleInvalid="keep") for c in categorical]
+    raw = train.select(*[F.col(f"{_quoted(c)}").alias(c) for c in categorical])
+    category_values(raw, categorical, max_categories)  # names the column that is too wide
+    filled = internal_columns([], categorical).transform(train)
+    values = category_values(filled, [f"__sb_c{i}" for i in range(len(categorical))], max_categories + 1)
+    return [StringIndexerModel.from_labels(values[f"__sb_c{i}"], inputCol=f"__sb_c{i}", outputCol=f"__sb_c{i}_idx",
+                                           handleInvalid="keep") for i in range(len(categorical))]
 
 
 def preprocess_stages(numeric: Sequence[str], categorical: Sequence[str], indexers: list | None = None) -> list:
-    """M2-M4 stages: impute numerics, one-hot categoricals, assemble ``features``. With ``indexers`` (see
-    ``learnt_indexers``) the categories are already learnt; otherwise a ``StringIndexer`` learns them."""
-    stages: list = []
+    """M2-M4 stages: impute numerics, one-hot categoricals, assemble ``FEATURES``. With ``indexers`` (see
+    ``learnt_indexers``) the categories are already learnt; otherwise a ``StringIndexer`` learns them all."""
+    if not numeric and not categorical:
+        raise ValueError("no feature columns")
+    stages: list = [internal_columns(numeric, categorical)]
     assembled: list[str] = []
     if categorical:
-        stages.append(fill_categories(categorical))
+        index = range(len(categorical))
         stages.extend(indexers if indexers is not None else [StringIndexer(
-            inputCols=[f"{c}__cat" for c in categorical], outputCols=[f"{c}__idx" for c in categorical],
+            inputCols=[f"__sb_c{i}" for i in index], outputCols=[f"__sb_c{i}_idx" for i in index],
             handleInvalid="keep", stringOrderType="alphabetAsc")])
-        stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in categorical],
-                                    outputCols=[f"{c}__ohe" for c in categorical], dropLast=True))
-        assembled += [f"{c}__ohe" for c in categorical]
+        stages.append(OneHotEncoder(inputCols=[f"__sb_c{i}_idx" for i in index],
+                                    outputCols=[encoded_name(i) for i in index], dropLast=True))
+        assembled += [encoded_name(i) for i in index]
     if numeric:
-        stages.append(ExactMedianImputer(inputCols=list(numeric)))
-        assembled = list(numeric) + assembled
-    if not assembled:
-        raise ValueError("no feature columns")
+        names = [numeric_name(i) for i in range(len(numeric))]
+        stages.append(ExactMedianImputer(inputCols=names))
+        assembled = names + assembled
     stages.append(VectorAssembler(inputCols=assembled, outputCol=FEATURES, handleInvalid="error"))
     return stages
 
@@ -136,21 +160,27 @@ def preprocess_stages(numeric: Sequence[str], categorical: Sequence[str], indexe
 FOREST_EXECUTION = {"maxMemoryInMB": 1024, "cacheNodeIds": True, "checkpointInterval": 10}
 
 
-def build_pipeline(numeric: Sequence[str], categorical: Sequence[str], label_col: str,
-                   model_params: Mapping[str, Any], indexers: list | None = None) -> Pipeline:
-    """M6: preprocessing stages + the forest."""
-    forest = RandomForestClassifier(featuresCol=FEATURES, labelCol=label_col, predictionCol=PREDICTION,
-                                    **FOREST_EXECUTION, **forest_params(model_params))
+def build_pipeline(numeric: Sequence[str], categorical: Sequence[str], model_params: Mapping[str, Any],
+                   indexers: list | None = None) -> Pipeline:
+    """M6: preprocessing stages + the forest (its label column is ``LABEL``)."""
+    forest = RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL, predictionCol=OUTPUT, rawPredictionCol=RAW,
+                                    probabilityCol=PROBABILITY, **FOREST_EXECUTION, **forest_params(model_params))
     return Pipeline(stages=[*preprocess_stages(numeric, categorical, indexers), forest])
 
 
-def fit_layout(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
+def fit_layout(df: DataFrame, keys: Sequence[str], partitions: int, copies_per_task: int = 100_000) -> DataFrame:
     """A fixed partition layout: the forest's result for a seed depends on it, so fix it for reproducibility.
-    Rows go by a hash of the key and the whole row, so duplicates of one hot key still spread over all
-    partitions, yet the same rows always land in the same place and order."""
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
-    laid = df.select("*", row).repartition(partitions, *keys, "_row").sortWithinPartitions(*keys, "_row")
-    return laid.drop("_row")
+    Equal rows are counted first (map-side), so the copies of one row travel as one; a row with more than
+    ``copies_per_task`` copies is cut into runs that land in different partitions, where they are written out."""
+    columns = [F.col(_quoted(c)) for c in df.columns]
+    counted = df.groupBy(*columns, F.xxhash64(*columns).alias("__sb_row")).agg(F.count(F.lit(1)).alias("__sb_n"))
+    runs = F.sequence(F.lit(0).cast("long"), F.floor((F.col("__sb_n") - 1) / copies_per_task))
+    cut = counted.withColumn("__sb_run", F.explode(runs))
+    here = F.least(F.lit(copies_per_task).cast("long"), F.col("__sb_n") - F.col("__sb_run") * copies_per_task)
+    order = [*[F.col(_quoted(k)) for k in keys], "__sb_row", "__sb_run"]
+    laid = cut.withColumn("__sb_n", here).repartition(partitions, "__sb_row", "__sb_run").sortWithinPartitions(*order)
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__sb_n"))).alias("__sb_copy")
+    return laid.select(*columns, each).drop("__sb_copy")
 
 
 def default_fit_partitions(n_rows: int, rows_per_partition: int = 1_000_000) -> int:
@@ -160,26 +190,30 @@ def default_fit_partitions(n_rows: int, rows_per_partition: int = 1_000_000) ->
 
 def fit(train: DataFrame, label_col: str, keys: Sequence[str], model_params: Mapping[str, Any],
         include_keys: bool = False, partitions: int | None = None, n_rows: int | None = None,
-        max_categories: int = 1000) -> PipelineModel:
-    """M7: fit the whole pipeline on ``train`` (keys excluded from the features unless ``include_keys``)."""
+        max_categories: int | None = None) -> PipelineModel:
+    """M7: fit the whole pipeline on ``train`` (keys excluded from the features unless ``include_keys``). Text
+    columns may have any number of categories (they become part of the model) unless ``max_categories`` bounds it."""
     exclude = [label_col] + ([] if include_keys else list(keys))
     numeric, categorical = column_roles(train.schema, exclude)
-    labelled = train.withColumn(label_col, F.col(label_col).cast("double"))
+    labelled = train.withColumn(LABEL, F.col(_quoted(label_col)).cast("double"))
     if partitions is None:
         partitions = default_fit_partitions(n_rows if n_rows is not None else train.count())
     # Every stage fit reads the same rows: keep the fixed layout materialised for the duration of the fit.
     laid_out = fit_layout(labelled, keys, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        indexers = learnt_indexers(laid_out, categorical, max_categories) if categorical else None
-        return build_pipeline(numeric, categorical, label_col, model_params, indexers).fit(laid_out)
+        bounded = categorical and max_categories is not None
+        indexers = learnt_indexers(laid_out, categorical, max_categories) if bounded else None
+        return build_pipeline(numeric, categorical, model_params, indexers).fit(laid_out)
     finally:
         laid_out.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Every input column plus ``prediction`` as the label's int class."""
+    """Every input column plus ``prediction`` as the label's int class; an input column of that name is
+    replaced."""
     scored = model.transform(df)
-    return scored.select(*[F.col(f"`{c}`") for c in df.columns], F.col(PREDICTION).cast("int").alias(PREDICTION))
+    kept = [F.col(_quoted(c)) for c in df.columns if c != PREDICTION]
+    return scored.select(*kept, F.col(OUTPUT).cast("int").alias(PREDICTION))
 
 
 def save_model(model: PipelineModel, path: str) -> str:

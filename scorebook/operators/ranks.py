@@ -30,21 +30,17 @@ from scorebook.session import scratch_root
 
 BUCKET = "_bucket"
 GROUP = "_grp"
-# Offsets tables above this many rows are joined with a shuffle instead of broadcast.
-MAX_BROADCAST_ROWS = 2_000_000
 # A group proven to hold at most this many rows may be one window task (a bounded group); larger or
 # unknown groups are cut into buckets.
 SINGLE_TASK_ROWS = 1_000_000
 
 
-def join_on_groups(rows: DataFrame, small: DataFrame, group_cols: Sequence[str], other: Sequence[str] = (),
-                   hint_broadcast: bool = False) -> DataFrame:
+def join_on_groups(rows: DataFrame, small: DataFrame, group_cols: Sequence[str], other: Sequence[str] = ()) -> DataFrame:
     """Inner join of ``rows`` to ``small`` on ``group_cols`` (null-safe: a null group is a group, and keeps its
     rows) and on the columns ``other`` (plain equality), keeping one copy of the join columns."""
     keys = [*group_cols, *other]
     side = small.select(*[F.col(f"`{c}`").alias(f"_j{i}") for i, c in enumerate(keys)],
                         *[c for c in small.columns if c not in keys])
-    side = F.broadcast(side) if hint_broadcast else side
     cond = [rows[f"`{c}`"].eqNullSafe(side[f"_j{i}"]) if c in group_cols else rows[f"`{c}`"] == side[f"_j{i}"]
             for i, c in enumerate(keys)]
     return rows.join(side, on=cond, how="inner").drop(*[f"_j{i}" for i in range(len(keys))])
@@ -60,10 +56,8 @@ def quantile_bucket(df: DataFrame, order_col: str, group_cols: Sequence[str], bu
     bounds = src.groupBy(*key).agg(
         F.array_distinct(F.percentile_approx(F.col(order_col), probs, accuracy)).alias("_bounds")
     ).withColumn("_coarse", F.filter(F.col("_bounds"), lambda b, i: i % CHUNK == 0))
-    # One row per group, each an array of at most `buckets` numbers.
-    n_groups = 1 if not group_cols else (known_groups or bounds.cache().count())
-    side = F.broadcast(bounds) if n_groups * buckets <= MAX_BROADCAST_ROWS else bounds
-    out = src.join(side, on=key, how="inner").withColumn(
+    # One row per group, each an array of at most `buckets` numbers; AQE broadcasts it while it is small.
+    out = src.join(bounds, on=key, how="inner").withColumn(
         BUCKET, count_below(F.col("_bounds"), F.col("_coarse"), F.col(order_col))
     )
     return out.drop("_bounds", "_coarse", *([] if group_cols else ["_all"]))
@@ -194,8 +188,8 @@ def range_ranks(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[s
     partitions. Inside a partition the rows are sorted, and ``monotonically_increasing_id`` gives each row's
     index (partition number in the upper bits). The sorted rows are checkpointed to the shared folder, so
     every later read sees the same indices. Then a small table, (group, partition) -> first index and row
-    count with at most ``partitions + groups`` rows, gives each group's offset per partition. It is joined
-    back without shuffling the rows (broadcast below a row bound).
+    count with at most ``partitions + groups`` rows, gives each group's offset per partition. AQE joins it
+    back without shuffling the rows while its measured size allows a broadcast.
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     keys = [*group_cols, *order_cols]
@@ -212,31 +206,11 @@ def range_ranks(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[s
     offsets = stats.select(*group_cols, "_part", "_first",
                            (F.sum("_n").over(before) - F.col("_n")).alias("_off"),
                            F.sum("_n").over(in_group).alias("rank_total"))
-    bound = partitions + (known_groups if known_groups is not None else MAX_BROADCAST_ROWS)
-    joined = join_on_groups(with_pos, offsets, group_cols, ["_part"], hint_broadcast=bound <= MAX_BROADCAST_ROWS)
+    joined = join_on_groups(with_pos, offsets, group_cols, ["_part"])
     rank = (F.col("_off") + F.col("_idx") - F.col("_first")).cast("long").alias("rank")
     return joined.select(*df.columns, rank, F.col("rank_total").cast("long").alias("rank_total"))
 
 
-def range_partitions(n_rows: int, rows_per_partition: int = 250_000, lo: int = 8, hi: int = 100_000) -> int:
+def range_partitions(n_rows: int, rows_per_partition: int = 250_000, lo: int = 8) -> int:
     """Partitions for ``range_ranks`` so that one task sorts about ``rows_per_partition`` rows."""
-    return int(min(hi, max(lo, math.ceil(max(n_rows, 1) / rows_per_partition))))
-
-
-def hex_digits(n_rows: int, rows_per_bucket: int = 250_000, max_digits: int = 5) -> int:
-    """Leading hex digits of a uniform hash that cut ``n_rows`` into buckets of about ``rows_per_bucket``."""
-    digits = 1
-    while digits < max_digits and n_rows / (16**digits) > rows_per_bucket:
-        digits += 1
-    return digits
-
-
-def hex_prefix(hex_col: Column, digits: int) -> Column:
-    """The leading ``digits`` hex digits as a number (monotone in the lowercase hex string)."""
-    return F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("long")
-
-
-def hex_prefix_bucket(hex_col: Column, n_rows: int, rows_per_bucket: int = 250_000) -> tuple[Column, int]:
-    """Bucket from the leading hex digits of a uniform hash (monotone in the hash string), and their count."""
-    digits = hex_digits(n_rows, rows_per_bucket)
-    return hex_prefix(hex_col, digits), 16**digits
+    return int(max(lo, math.ceil(max(n_rows, 1) / rows_per_partition)))

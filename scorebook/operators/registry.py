@@ -7,9 +7,7 @@ busy model name never lands whole in one task (``max_by`` merges partial results
 
 from __future__ import annotations
 
-import datetime
 import json
-import uuid
 from dataclasses import dataclass
 from typing import Any, Mapping, Sequence
 
@@ -33,6 +31,7 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
     T.StructField("conf", T.StringType()),
 ])
+TABLES = {"model_versions": VERSIONS_SCHEMA, "model_runs": RUNS_SCHEMA}
 METRIC = "test_accuracy"
 
 
@@ -150,68 +149,66 @@ def conf_json(conf: Mapping[str, Any] | None, allowed: Sequence[str]) -> str:
 
 @dataclass
 class Registry:
-    """Versions, runs and model artifacts under one shared folder; each table is repointed to a fresh
-    snapshot on every change (Spark refuses to overwrite a table it reads)."""
+    """Versions, runs and model artifacts under one shared folder. Both tables are created once; a change of the
+    versions is a fresh snapshot, a run is an append. A table that vanished is an error, never an empty history."""
 
     spark: SparkSession
     database: str
     root: str
 
     def __post_init__(self):
-        from scorebook.sources.catalog import ensure_database
+        from scorebook.sources.catalog import ensure_database, path_exists
 
         ensure_database(self.spark, self.database)
+        for name, schema in TABLES.items():
+            if not self.spark.catalog.tableExists(self._table(name)):
+                if path_exists(self.spark, f"{self.root}/{name}"):
+                    raise RuntimeError(f"table {self._table(name)} is gone, but its snapshots are under {self.root}/{name}")
+                self._replace(name, self.spark.createDataFrame([], schema))
 
     def _table(self, name: str) -> str:
         return f"{self.database}.{name}"
 
-    def _read(self, name: str, schema: T.StructType) -> DataFrame:
-        if self.spark.catalog.tableExists(self._table(name)):
-            return self.spark.table(self._table(name))
-        return self.spark.createDataFrame([], schema)
+    def _read(self, name: str) -> DataFrame:
+        if not self.spark.catalog.tableExists(self._table(name)):
+            raise RuntimeError(f"table {self._table(name)} is gone; restore it before registering or resolving models")
+        return self.spark.table(self._table(name))
 
     def versions(self) -> DataFrame:
-        return self._read("model_versions", VERSIONS_SCHEMA)
+        return self._read("model_versions")
 
     def runs(self) -> DataFrame:
-        return self._read("model_runs", RUNS_SCHEMA)
+        return self._read("model_runs")
 
     def _replace(self, name: str, df: DataFrame) -> None:
-        from scorebook.sources.catalog import point_table, write_path
+        from scorebook.sources.catalog import replace_table
 
-        snapshot = f"{self.root}/{name}/snapshot-{uuid.uuid4().hex[:12]}"
-        write_path(df, snapshot, "parquet")
-        point_table(self.spark, self._table(name), snapshot, "parquet")
+        replace_table(self.spark, df, self._table(name), f"{self.root}/{name}")
 
     def model_path(self, run_id: str) -> str:
         return f"{self.root}/runs/{run_id}/model"
 
     def log_run(self, run_id: str, metrics: DataFrame, conf: str) -> None:
         """Append the run (runs are history: appended, never rewritten); ``metrics`` is a one-row frame."""
-        from scorebook.sources.catalog import point_table, write_path
-
         m = metrics.select(F.lit(run_id).alias("run_id"),
                            F.create_map(*[x for c in metrics.columns for x in (F.lit(c), F.col(c).cast("double"))]).alias("metrics"),
                            F.lit(conf).alias("conf"))
-        folder = f"{self.root}/model_runs"
-        write_path(m.coalesce(1), folder, "parquet", mode="append")
-        if not self.spark.catalog.tableExists(self._table("model_runs")):
-            point_table(self.spark, self._table("model_runs"), folder, "parquet")
-        else:
-            self.spark.catalog.refreshTable(self._table("model_runs"))
+        self._read("model_runs")
+        m.coalesce(1).write.format("parquet").mode("append").saveAsTable(self._table("model_runs"))
 
     def register_and_promote(self, name: str, run_id: str) -> DataFrame:
         """R1 + R5 + R6 in one snapshot: register ``run_id`` as the next version of ``name``, decide against
-        the current champion and write the versions table once. Returns the decision row (cached)."""
-        now = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
-        new = self.spark.createDataFrame([(name, run_id, now)], "name string, run_id string, last_updated timestamp")
+        the current champion and write the versions table once. Returns the decision row."""
+        new = self.spark.range(1).select(F.lit(name).alias("name"), F.lit(run_id).alias("run_id"),
+                                         F.current_timestamp().alias("last_updated"))
         versions = self.versions()
-        registered = register(versions, new).cache()
+        row = register(versions, new).collect()  # one row
+        registered = self.spark.createDataFrame(row, VERSIONS_SCHEMA)
         cand = registered.select("name", F.col("version").alias("candidate_version"),
                                  F.col("run_id").alias("candidate_run_id"))
         after = versions.unionByName(registered)
-        decisions = promotion_decisions(after, self.runs(), cand).cache()
-        decisions.count()
+        found = promotion_decisions(after, self.runs(), cand)
+        decisions = self.spark.createDataFrame(found.collect(), found.schema)  # one row
         self._replace("model_versions", apply_promotion(after, decisions))
         return decisions
 

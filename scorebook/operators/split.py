@@ -2,13 +2,14 @@
 
 Sizes follow the documented rule of the reference's splitter: ``n_test = ceil(test_size * N)``; each class
 gets ``floor(n_train * n_c / N)`` train rows and the leftover seats go to the largest fractions (ties: the
-smaller label). The rows a class sends to train are the first ones in ``md5(keys | seed)`` order, then keys,
-then a hash of the whole row (which orders the copies of a duplicated key).
-Ranks inside a class come from the rank helper: one window task per class only while the class is proven
-small (``SINGLE_TASK_ROWS``), hash-prefix buckets beyond that, so a big class is never one task. All copies
-of one key share its hash, so a key holding a large share of the rows would fill one bucket: the class-count
-pass also counts rows per short hash prefix, and only when a prefix is oversized does a second pass name the
-hot hashes, whose rows are then cut into sub-buckets by the row hash (still monotone in the order).
+smaller label). The rows a class sends to train are the first ones in ``md5(keys | seed)`` order, then in the
+order of a hash of the whole row (which orders the copies of a duplicated key).
+
+No row is ranked or shuffled to find its side. One pass counts rows per (class, leading digits of the order);
+the running sum names, per class, the one prefix in which the train seats end. Rows below it are train and
+rows above it test by a plain expression. Only that prefix's rows are ranked; while it holds too many for one
+task it is cut by further digits of the hash, then of the row hash. What then remains too large are copies of
+one row, which are numbered across partitions (any of them may sit on either side).
 """
 
 from __future__ import annotations
@@ -16,23 +17,19 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scorebook.config import normalize_keys
 from scorebook.functions.expressions import split_order_hash
-from scorebook.operators.ranks import SINGLE_TASK_ROWS, exact_ranks, hex_digits, hex_prefix
+from scorebook.operators.ranks import SINGLE_TASK_ROWS
+from scorebook.session import scratch_root
 
-MAX_CLASSES = 10_000
 TRAIN, TEST = "train", "test"
-# Rows one window task holds, about; a key with more rows than this is split into sub-buckets.
-ROWS_PER_BUCKET = 250_000
-# Hash-prefix digits counted in the class-count pass (16**3 groups per class: a small map-side aggregate).
-DETECT_DIGITS = 3
-# At most this many hot keys are split (the hottest); others keep one bucket each (slower, still exact).
-MAX_HOT_KEYS = 1024
-MAX_SUB_BUCKETS = 4096
+DIGITS = 3  # hex digits of the order counted in the first pass, and added by each further cut
+BROADCAST_BYTES = 8 << 20
+ORDER_DIGITS = 48  # 32 of md5, 16 of the row hash
 
 
 def _approximate_mode(counts: list[int], n_draws: int) -> list[int]:
@@ -73,91 +70,82 @@ def split_sizes(class_counts: dict, test_size: float | int) -> dict:
     return {k: (t, c - t) for k, c, t in zip(labels, counts, train)}
 
 
-def class_counts(df: DataFrame, label_col: str, count_col: str | None = None) -> dict:
-    """label -> rows; with ``count_col`` the frame is already counted (rows are summed)."""
+def class_counts(df: DataFrame, label_col: str, count_col: str | None = None, max_classes: int | None = None) -> dict:
+    """label -> rows; with ``count_col`` the frame is already counted (rows are summed). ``max_classes`` makes
+    more classes an error; by default there is no bound but the driver's memory for one number per class."""
     agg = df.groupBy(label_col).agg(F.sum(count_col).alias("count")) if count_col else df.groupBy(label_col).count()
-    rows = agg.limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {label_col!r}")
+    rows = (agg if max_classes is None else agg.limit(max_classes + 1)).collect()
+    if max_classes is not None and len(rows) > max_classes:
+        raise ValueError(f"more than {max_classes} classes in {label_col!r}")
     return {r[label_col]: r["count"] for r in rows}
 
 
-def _hot_hashes(hashed: DataFrame, per_prefix: DataFrame, counts: dict, rows_per_bucket: int) -> list[tuple[str, int]]:
-    """(hash, rows) of the keys whose copies exceed ``rows_per_bucket``, hottest first (at most MAX_HOT_KEYS).
-    A prefix is searched only when it holds far more rows than its class's share: only then can it hide one."""
-    share = F.create_map(*[x for k, c in counts.items() for x in (F.lit(k), F.lit(c / 16**DETECT_DIGITS))])
-    label = per_prefix.columns[0]
-    oversized = per_prefix.where(
-        (F.col("count") > rows_per_bucket) & (F.col("count") > 4 * share[F.col(label)])
-    ).select("_p").distinct().limit(MAX_HOT_KEYS + 1).collect()
-    if not oversized:
-        return []
-    prefixes = [r["_p"] for r in oversized][:MAX_HOT_KEYS]
-    hot = (hashed.where(hex_prefix(F.col("_h"), DETECT_DIGITS).isin(prefixes))
-           .groupBy("_h").count().where(F.col("count") > rows_per_bucket)
-           .orderBy(F.desc("count"), "_h").limit(MAX_HOT_KEYS).collect())
-    return [(r["_h"], r["count"]) for r in hot]
-
-
-def split_bucket(digits: int, hot: list[tuple[str, int]], rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[Column, int]:
-    """Bucket of a row, monotone in the order (_h, keys, _row): the hash prefix, then the row's slot among the
-    sorted hot hashes (below one, equal to one, ...), then for a hot key's row one of k equal ranges of its
-    row hash. Keys are assumed free of md5 collisions (two keys with one hash would share a hot slot)."""
-    base = hex_prefix(F.col("_h"), digits)
-    if not hot:
-        return base, 16**digits
-    hashes = sorted(h for h, _ in hot)
-    k = int(min(MAX_SUB_BUCKETS, max(2, math.ceil(max(c for _, c in hot) / rows_per_bucket))))
-    arr = F.array(*[F.lit(h) for h in hashes])
-    below = F.size(F.filter(arr, lambda b: b < F.col("_h"))).cast("long")
-    is_hot = F.array_contains(arr, F.col("_h"))
-    # The signed row hash mapped onto [0, 1), cut into k ranges: non-decreasing in the row hash.
-    sub = F.least(F.floor((F.col("_row").cast("double") / 2.0**64 + 0.5) * k), F.lit(k - 1)).cast("long")
-    slots = 2 * len(hashes) + 1
-    bucket = ((base * slots + 2 * below + is_hot.cast("long")) * k
-              + F.when(is_hot, sub).otherwise(F.lit(0).cast("long")))
-    return bucket, 16**digits * slots * k
+def _boundaries(counted: DataFrame, label_col: str) -> DataFrame:
+    """(label, _p, before, count, seats): per class, the prefix in which its seats end; ``counted`` has the rows
+    (label, _p, count, base, seats) of one parent prefix per class, at most 16^DIGITS of them."""
+    w = Window.partitionBy(label_col).orderBy("_p")
+    run = counted.withColumn("before", F.col("base") + F.sum("count").over(w) - F.col("count"))
+    return run.where((F.col("before") <= F.col("seats")) & (F.col("seats") < F.col("before") + F.col("count"))).select(
+        label_col, "_p", "before", "count", "seats")
 
 
 def assign_split(df: DataFrame, label_col: str, keys: str | Sequence[str], test_size: float | int = 0.2,
                  seed: int = 42, split_col: str = "split", single_task_rows: int = SINGLE_TASK_ROWS,
-                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """All rows of ``df`` plus ``split_col`` = 'train' / 'test'. A class above ``single_task_rows`` rows is
-    ranked in hash buckets rather than in one task; a key with more than ``rows_per_bucket`` copies is
-    cut into sub-buckets."""
-    return split_with_sizes(df, label_col, keys, test_size, seed, split_col, single_task_rows, rows_per_bucket)[0]
+                 max_classes: int | None = None) -> DataFrame:
+    """All rows of ``df`` plus ``split_col`` = 'train' / 'test'. At most ``single_task_rows`` rows of a class are
+    ranked in one task."""
+    return split_with_sizes(df, label_col, keys, test_size, seed, split_col, single_task_rows, max_classes)[0]
 
 
 def split_with_sizes(df: DataFrame, label_col: str, keys: str | Sequence[str], test_size: float | int = 0.2,
                      seed: int = 42, split_col: str = "split", single_task_rows: int = SINGLE_TASK_ROWS,
-                     rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[DataFrame, dict]:
+                     max_classes: int | None = None) -> tuple[DataFrame, dict]:
     """``assign_split`` and the per-class (train, test) sizes it enforces."""
+    spark = df.sparkSession
     keys = normalize_keys(keys)
     row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    hashed = df.select("*", split_order_hash(keys, seed).alias("_h"), row.alias("_row"))
-    # One pass: rows per (class, short hash prefix). Class counts are its sums.
-    per_prefix = hashed.groupBy(label_col, hex_prefix(F.col("_h"), DETECT_DIGITS).alias("_p")).count() \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    # The row hash as 16 hex digits in its numeric order (the sign bit flipped).
+    row_hex = F.lower(F.lpad(F.hex(row.bitwiseXOR(F.lit(-(2**63)).cast("long"))), 16, "0"))
+    hashed = df.select("*", F.concat(split_order_hash(keys, seed), row_hex).alias("_o"))
+    prefix = lambda n: F.substring("_o", 1, n)
+
+    counted = hashed.groupBy(label_col, prefix(DIGITS).alias("_p")).count().persist()
     try:
-        counts = class_counts(per_prefix, label_col, "count")
-        sizes = split_sizes(counts, test_size)
-        largest = max(counts.values())
-        bucket = None
-        if largest > single_task_rows:
-            hot = _hot_hashes(hashed, per_prefix, counts, rows_per_bucket)
-            bucket = split_bucket(hex_digits(sum(counts.values()), rows_per_bucket), hot, rows_per_bucket)
+        sizes = split_sizes(class_counts(counted, label_col, "count", max_classes), test_size)
+        schema = T.StructType([df.schema[label_col], T.StructField("seats", T.LongType())])
+        seats = spark.createDataFrame([(k, t) for k, (t, _) in sizes.items()], schema)
+        edge = _boundaries(counted.join(seats, label_col).withColumn("base", F.lit(0).cast("long")), label_col)
+        found = edge.collect()  # a row per class
     finally:
-        per_prefix.unpersist()
-    ranked = exact_ranks(hashed, ["_h", *keys, "_row"], [label_col], bucket=bucket, known_groups=len(sizes),
-                         largest_group=largest, single_task_rows=single_task_rows)
-    seats = F.create_map(*[x for k, (t, _) in sizes.items() for x in (F.lit(k), F.lit(t))])
-    out = ranked.withColumn(split_col, F.when(F.col("rank") < seats[F.col(label_col)], F.lit(TRAIN)).otherwise(F.lit(TEST)))
-    return out.select(*df.columns, split_col), sizes
-
-
-def train_test_split(df: DataFrame, label_col: str, keys: str | Sequence[str], test_size: float | int = 0.2,
-                     seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """(train, test) frames with the columns of ``df``."""
-    marked = assign_split(df, label_col, keys, test_size, seed, "_split").persist(StorageLevel.MEMORY_AND_DISK)
-    return (marked.where(F.col("_split") == TRAIN).drop("_split"),
-            marked.where(F.col("_split") == TEST).drop("_split"))
+        counted.unpersist()
+    digits = DIGITS
+    frame = lambda rows: spark.createDataFrame([tuple(r) for r in rows], edge.schema)
+    while found and max(r["count"] for r in found) > single_task_rows and digits < ORDER_DIGITS:
+        up = frame(found).select(F.col(label_col).alias("_l"), F.col("_p").alias("_up"), F.col("before").alias("base"), "seats")
+        below = hashed.select(label_col, prefix(digits).alias("_up"), prefix(digits + DIGITS).alias("_p"))
+        inner = below.join(up, (F.col(label_col) == F.col("_l")) & (below["_up"] == up["_up"]))
+        digits += DIGITS
+        found = _boundaries(inner.groupBy(label_col, "_p", "base", "seats").count(), label_col).collect()
+
+    edge = frame(found).select(F.col(label_col).alias("_l"), F.col("_p").alias("_edge"), (F.col("seats") - F.col("before")).alias("_need"))
+    # One row per class, measured here: broadcast below a byte bound, so that the rows are not shuffled for it.
+    if sum(len(str(r[label_col])) + 100 for r in found) <= BROADCAST_BYTES:
+        edge = F.broadcast(edge)
+    placed = hashed.join(edge, F.col(label_col) == F.col("_l"), "left")
+    here = prefix(digits)
+    clear = placed.where(F.col("_edge").isNull() | (here != F.col("_edge"))).withColumn(
+        split_col, F.when(F.col("_edge").isNull() | (here < F.col("_edge")), F.lit(TRAIN)).otherwise(F.lit(TEST)))
+    close = placed.where(here == F.col("_edge"))
+    if found and max(r["count"] for r in found) > single_task_rows:
+        scratch_root(spark)
+        close = close.checkpoint(eager=True).withColumn("_part", F.spark_partition_id())
+        per_part = close.groupBy("_l", "_part").count()
+        w = Window.partitionBy("_l").orderBy("_part")  # a row per partition and class
+        offsets = per_part.select("_l", "_part", (F.sum("count").over(w) - F.col("count")).alias("_off"))
+        copy = F.row_number().over(Window.partitionBy("_l", "_part").orderBy("_o"))
+        ranked = close.join(offsets, ["_l", "_part"]).withColumn("_rank", F.col("_off") + copy)
+    else:
+        ranked = close.withColumn("_rank", F.row_number().over(Window.partitionBy("_l").orderBy("_o")))
+    decided = ranked.withColumn(split_col, F.when(F.col("_rank") <= F.col("_need"), F.lit(TRAIN)).otherwise(F.lit(TEST)))
+    cols = [*[F.col(f"`{c}`") for c in df.columns], F.col(split_col)]
+    return clear.select(*cols).unionByName(decided.select(*cols)), sizes

@@ -1,7 +1,9 @@
 """DuckDB SQL equivalent to each query in ``plans.queries`` (tables are pre-registered views).
 
-Queries whose output depends on a fitted forest (assembled features, train/score, model round trip, batch
-inference and the training and scoring jobs) have no SQL twin and are checked by row count only.
+A fitted forest's classes cannot be computed in SQL. The queries that fit one return everything else (every key
+and input column, row counts, versions, decisions) next to flags that must be 1: the prediction is a class, the
+reloaded model predicts the same, the logged metrics follow from the stored predictions. The model's values
+themselves are covered by property tests.
 """
 
 from __future__ import annotations
@@ -76,6 +78,17 @@ def _profile_sql(source: str, cols: list[tuple[str, str, str]]) -> str:
         for c, t, r in cols)
 
 
+FILLED_SPLIT = B.split_sql(f"SELECT * FROM ({LABELLED}) l WHERE label IS NOT NULL AND o_totalprice IS NOT NULL "
+                           "AND c_acctbal IS NOT NULL", "o_orderkey", "label", 0.2, 42)
+
+
+def _job_sql(name: str, split: str) -> str:
+    """A first training job: version 1, promoted, nothing archived, metrics that follow from the predictions."""
+    return (f"SELECT '{name}' AS name, CAST(1 AS BIGINT) AS version, count_if(split = 'train') AS n_train, "
+            "count_if(split = 'test') AS n_test, 1 AS promote, 0 AS archive, 1 AS accuracy_ok, 1 AS precision_ok, "
+            f"1 AS recall_ok, 1 AS f1_ok FROM ({split}) s")
+
+
 ORACLE_SQL: dict[str, str] = {
     "scan_input": RAW,
     "csv_ingest": RAW,
@@ -97,22 +110,22 @@ ORACLE_SQL: dict[str, str] = {
     "median_impute": f"""
 WITH sp AS ({ORDER_SPLIT}),
 med AS (SELECT median(o_totalprice) AS m1, median(c_acctbal) AS m2 FROM sp WHERE split = 'train')
-SELECT o_orderkey, split,
-       round(coalesce(o_totalprice, (SELECT m1 FROM med)), 6) AS o_totalprice,
-       round(coalesce(c_acctbal, (SELECT m2 FROM med)), 6) AS c_acctbal
-FROM sp""",
+SELECT l.o_orderkey, sp.split,
+       round(coalesce(l.o_totalprice, (SELECT m1 FROM med)), 6) AS o_totalprice,
+       round(coalesce(l.c_acctbal, (SELECT m2 FROM med)), 6) AS c_acctbal
+FROM ({LABELLED}) l LEFT JOIN sp USING (o_orderkey)""",
     "one_hot_unknown": """
 WITH docs AS (SELECT doc_id, CASE WHEN doc_id % 50 <> 0 THEN source END AS source FROM documents),
 learnt AS (SELECT cat, CAST(row_number() OVER (ORDER BY cat) - 1 AS BIGINT) AS idx
-           FROM (SELECT DISTINCT coalesce(source, '__missing__') AS cat FROM docs
+           FROM (SELECT DISTINCT coalesce('v' || source, 'n') AS cat FROM docs
                  WHERE coalesce(source, '') <> 'src0') d)
 SELECT doc_id, source, coalesce(idx, -1) AS hot_index, (SELECT count(*) FROM learnt) AS width
-FROM docs LEFT JOIN learnt ON coalesce(source, '__missing__') = cat""",
+FROM docs LEFT JOIN learnt ON coalesce('v' || source, 'n') = cat""",
     # The assembled vectors of the train rows in long form (doc_id, pos, value): n_chars (no missing value to impute), then one indicator per
-    # category of lang and of source learnt on train, ascending; a null is the category '__missing__'.
+    # category of lang and of source learnt on train, ascending; a null is a category of its own, before all others.
     "assemble": f"""
-WITH tr AS (SELECT doc_id, CAST(n_chars AS DOUBLE) AS n_chars, coalesce(lang, '__missing__') AS lang,
-                   coalesce(source, '__missing__') AS source
+WITH tr AS (SELECT doc_id, CAST(n_chars AS DOUBLE) AS n_chars, coalesce('v' || lang, 'n') AS lang,
+                   coalesce('v' || source, 'n') AS source
             FROM ({DOC_SPLIT}) s WHERE split = 'train'),
 cats AS (SELECT (SELECT list(DISTINCT lang ORDER BY lang) FROM tr) AS langs,
                 (SELECT list(DISTINCT source ORDER BY source) FROM tr) AS sources),
@@ -135,7 +148,8 @@ r AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PR
 SELECT round(CASE WHEN sum(pos) > 0 AND sum(neg) > 0
                   THEN sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) END, 9) AS roc_auc_score
 FROM r""",
-    "metrics_row": "SELECT 'rule_n_chars' AS run_id, * FROM (" + METRICS.format(p="test_") + ") m",
+    "metrics_row": "SELECT 'rule_n_chars' AS run_id, *, '{\"model_params\": {\"rule\": \"n_chars\"}}' AS conf FROM ("
+                   + METRICS.format(p="test_") + ") m",
     "register_version": f"""
 WITH nr AS (SELECT event_type AS name, 'new-' || event_type AS run_id, max(ts) AS last_updated
             FROM events GROUP BY event_type),
@@ -151,6 +165,12 @@ FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY version DESC) AS r
       FROM ({APPLIED}) a WHERE stage = 'Production') x
 WHERE rn = 1""",
     "features_job": ORDER_FEATURIZED,
+    "train_score": f"SELECT doc_id, quality, lang, source, n_chars, 1 AS predicted FROM ({DOC_SPLIT}) s WHERE split = 'test'",
+    "model_round_trip": f"SELECT doc_id, 1 AS same FROM ({DOC_SPLIT}) s WHERE split = 'test'",
+    "train_job": _job_sql("doc_quality", DOC_SPLIT),
+    "score_job": f"SELECT *, 1 AS predicted FROM ({B.DOC_JOIN_SQL}) j",
+    "batch_inference": f"SELECT *, 1 AS predicted FROM ({B.DOC_JOIN_SQL}) j",
+    "initial_train_job": _job_sql("order_filled", FILLED_SPLIT),
     "column_roles": _profile_sql(B.DOC_JOIN_SQL, [("n_chars", "bigint", "numeric"), ("lang", "string", "categorical"),
                                                   ("source", "string", "categorical")]),
     "signature": _profile_sql(f"SELECT * FROM ({DOC_SPLIT}) x WHERE split = 'train'",

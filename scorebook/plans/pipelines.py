@@ -36,10 +36,14 @@ from scorebook.session import scratch_root
 from scorebook.sources.tables import read_path, read_table
 
 
-def create_feature_tables(spark: SparkSession, raw: DataFrame, featurizer: FeaturizerConfig,
+def create_feature_tables(spark: SparkSession, raw: DataFrame | None, featurizer: FeaturizerConfig,
                           features: FeatureTableConfig, labels: LabelsTableConfig) -> tuple[str, str]:
-    """B1: raw table -> feature table (no label) + labels table (keys + label). The featurized frame is
-    persisted across the two writes so the chain runs once."""
+    """B1: raw table -> feature table (no label) + labels table (keys + label). Without a frame, the raw table is
+    ``featurizer.input_table``. The featurized frame is persisted across the two writes so the chain runs once."""
+    if raw is None:
+        if not featurizer.input_table:
+            raise ValueError("give a raw frame or set input_table")
+        raw = read_table(spark, featurizer.input_table)
     keys = features.keys
     if featurizer.ohe:  # names are cleaned, keys included
         keys = [clean_name(k) for k in keys]
@@ -61,12 +65,14 @@ def create_feature_tables(spark: SparkSession, raw: DataFrame, featurizer: Featu
 
 def train(spark: SparkSession, cfg: TrainConfig, registry: Registry | None = None) -> DataFrame:
     """B2: join, split, fit, evaluate, log, register and promote. Returns the one-row metrics record with the
-    registered version and the promotion decision."""
+    row counts of both sides, the registered version and the promotion decision. The run's folder keeps the
+    model, its signature, the input example and the test predictions that the metrics come from."""
     keys = cfg.feature_table.keys
     label = cfg.labels_table.label_col
     labels = read_table(spark, cfg.labels_table.name)
     joined = training_join(labels, feature_side(spark, cfg.feature_table.name, labels, keys), keys)
-    marked, sizes = split_with_sizes(joined, label, keys, cfg.split.test_size, cfg.split.random_state, "_split")
+    marked, sizes = split_with_sizes(joined, label, keys, cfg.split.test_size, cfg.split.random_state, "_split",
+                                     max_classes=cfg.max_classes)
     # Lineage cut in the shared checkpoint folder: train and test are read from it, and a lost executor
     # does not recompute the join and the ranks.
     scratch_root(spark)
@@ -74,7 +80,8 @@ def train(spark: SparkSession, cfg: TrainConfig, registry: Registry | None = Non
     train_df = marked.where(F.col("_split") == TRAIN).drop("_split")
     test_df = marked.where(F.col("_split") != TRAIN).drop("_split")
     n_train = sum(t for t, _ in sizes.values())
-    model = M.fit(train_df, label, keys, cfg.model_params, cfg.include_keys, cfg.fit_partitions, n_train)
+    model = M.fit(train_df, label, keys, cfg.model_params, cfg.include_keys, cfg.fit_partitions, n_train,
+                  cfg.max_categories)
     run_id = uuid.uuid4().hex
     model_path = registry.model_path(run_id) if registry else f"{scratch_root(spark)}/runs/{run_id}/model"
     M.save_model(model, model_path)
@@ -82,20 +89,23 @@ def train(spark: SparkSession, cfg: TrainConfig, registry: Registry | None = Non
     write_path(M.input_example(train_df, keys), f"{artifacts}/input_example", "parquet")
     spark.createDataFrame(M.signature(joined, label), "column string, type string, role string").coalesce(1) \
         .write.mode("overwrite").json(f"{artifacts}/signature")
-    metrics = metrics_row(M.predict(model, test_df), label, M.PREDICTION, run_id).cache()
-    metrics.count()
+    write_path(M.predict(model, test_df).select(*keys, label, M.PREDICTION), f"{artifacts}/test_predictions", "parquet")
+    found = metrics_row(read_path(spark, f"{artifacts}/test_predictions", "parquet"), label, M.PREDICTION, run_id)
+    metrics = spark.createDataFrame(found.collect(), found.schema)  # one row
+    n_test = sum(t for _, t in sizes.values())
+    counts = [F.lit(n_train).cast("long").alias("n_train"), F.lit(n_test).cast("long").alias("n_test")]
     if registry is None or cfg.model_name is None:
-        return metrics
+        return metrics.select("*", *counts)
     registry.log_run(run_id, metrics.drop("run_id"), conf_json(cfg.conf, cfg.logged_conf_keys))
     decision = registry.register_and_promote(cfg.model_name, run_id)
-    return metrics.join(
-        decision.select(F.col("candidate_run_id").alias("run_id"), F.col("candidate_version").alias("version"),
+    return metrics.select("*", *counts).join(
+        decision.select("name", F.col("candidate_run_id").alias("run_id"), F.col("candidate_version").alias("version"),
                         "promote", "archive"),
         on="run_id", how="left")
 
 
 def score(spark: SparkSession, cfg: InferenceConfig, registry: Registry) -> DataFrame:
-    """Resolve the model for (name, stage), join input keys to features, predict (lazy)."""
+    """Resolve the model for (name, stage), join input keys to features, predict. The result is lazy; resolving the model and sizing the join's buckets run small jobs."""
     model = registry.resolve(cfg.model_name, cfg.stage)
     keys = normalize_keys(cfg.lookup_keys)
     inputs = read_table(spark, cfg.input_table)
@@ -111,7 +121,7 @@ def batch_inference(spark: SparkSession, cfg: InferenceConfig, registry: Registr
                              cfg.output_location)
 
 
-def run_initial_train(spark: SparkSession, raw: DataFrame, featurizer: FeaturizerConfig,
+def run_initial_train(spark: SparkSession, raw: DataFrame | None, featurizer: FeaturizerConfig,
                       cfg: TrainConfig, registry: Registry) -> DataFrame:
     """Features, then training, in that order."""
     create_feature_tables(spark, raw, featurizer, cfg.feature_table, cfg.labels_table)

@@ -4,9 +4,9 @@ checkpoint folder and to uniquely named databases."""
 
 from __future__ import annotations
 
+import dataclasses
 from typing import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.ml.functions import vector_to_array
@@ -31,11 +31,12 @@ from scorebook.operators.featurize import (
 )
 from scorebook.operators.impute import ExactMedianImputer
 from scorebook.operators.joins import score_join, training_join
-from scorebook.operators.metrics import binary_metrics, metrics_row, roc_auc
+from scorebook.operators.metrics import METRIC_NAMES, binary_metrics, metrics_row, roc_auc
 from scorebook.operators.registry import (
     Registry,
     apply_promotion,
     champions,
+    conf_json,
     promotion_decisions,
     register,
     resolve_stage,
@@ -43,21 +44,23 @@ from scorebook.operators.registry import (
 from scorebook.operators.split import TRAIN, assign_split
 from scorebook.plans import bindings as B
 from scorebook.plans.pipelines import batch_inference, create_feature_tables, run_initial_train, smoke, train
-from scorebook.session import scratch_path, unique_name
+from scorebook.session import scratch_path, scratch_root, unique_name
 from scorebook.sources.catalog import (
     ensure_database,
+    feature_side,
     point_table,
     write_feature_table,
     write_labels_table,
     write_path,
     write_predictions,
 )
-from scorebook.sources.tables import id_range, read_csv, read_parquet_table, read_table
+from scorebook.sources.tables import id_range, read_csv, read_parquet_table, read_path, read_table
 
 # The shipped training configuration.
 SHIPPED_SPLIT = SplitConfig(test_size=0.2, random_state=42)
 SHIPPED_FOREST = {"n_estimators": 100, "max_depth": 12, "min_samples_leaf": 1, "max_features": 10, "random_state": 42}
-SMALL_FOREST = {"n_estimators": 10, "max_depth": 5, "min_samples_leaf": 1, "max_features": "sqrt", "random_state": 42}
+# A small forest for the save / load round trip (not a shipped value).
+SMALL_FOREST = {"n_estimators": 6, "max_depth": 4, "min_samples_leaf": 2, "max_features": "log2", "random_state": 7}
 
 # Buckets of the feature tables the jobs write: sized from the row count (at least 8).
 FEATURE_BUCKETS = "auto"
@@ -190,9 +193,12 @@ def _rule_predictions(spark, sf_dir):
 
 
 def q_predictions_overwrite(spark, sf_dir):
+    """K6: the daily job's normal path, an overwrite of an existing table (here of other rows)."""
     table = f"{_database(spark, 'pred')}.predictions"
-    write_predictions(spark, _rule_predictions(spark, sf_dir), table, "overwrite",
-                      location=scratch_path(spark, "predictions"))
+    location = scratch_path(spark, "predictions")
+    rows = _rule_predictions(spark, sf_dir)
+    write_predictions(spark, rows.withColumn("prediction", 1 - F.col("prediction")), table, "overwrite", location=location)
+    write_predictions(spark, rows, table, "overwrite", location=location)
     return read_table(spark, table)
 
 
@@ -211,8 +217,14 @@ def q_training_join(spark, sf_dir):
 
 
 def q_score_join(spark, sf_dir):
-    inputs = read_parquet_table(spark, sf_dir, "labels").select(DOC_KEY, "toxic")
-    return score_join(inputs, B.doc_features(spark, sf_dir), DOC_KEY)
+    """J2 over written tables (S4, S5): the input table and the bucketed feature table, as the scoring job reads them."""
+    db = _database(spark, "score")
+    path = write_path(read_parquet_table(spark, sf_dir, "labels").select(DOC_KEY, "toxic"), scratch_path(spark, "score_input"))
+    point_table(spark, f"{db}.score_input", path, "parquet")
+    features = FeatureTableConfig(db, "doc_features", DOC_KEY, buckets=FEATURE_BUCKETS)
+    write_feature_table(spark, B.doc_features(spark, sf_dir), features)
+    inputs = read_table(spark, f"{db}.score_input")
+    return score_join(inputs, feature_side(spark, features.name, inputs, [DOC_KEY]), DOC_KEY)
 
 
 # ---------------------------------------------------------------- learning
@@ -232,13 +244,14 @@ def q_split_counts(spark, sf_dir):
 
 def q_median_impute(spark, sf_dir):
     """M2: medians learnt on the train rows of the orders split, applied to every row."""
-    labelled = _labelled_orders(spark, sf_dir).where(F.col("label").isNotNull())
-    marked = assign_split(labelled, "label", ORDER_KEY, SHIPPED_SPLIT.test_size, SHIPPED_SPLIT.random_state)
-    # Read by the fit passes and by the transform: keep only the columns they use.
-    marked = marked.select(ORDER_KEY, "split", "o_totalprice", "c_acctbal").persist(StorageLevel.MEMORY_AND_DISK)
+    every = _labelled_orders(spark, sf_dir)
+    marked = assign_split(every.where(F.col("label").isNotNull()), "label", ORDER_KEY, SHIPPED_SPLIT.test_size,
+                          SHIPPED_SPLIT.random_state)
     imputer = ExactMedianImputer(inputCols=["o_totalprice", "c_acctbal"])
     model = imputer.fit(marked.where(F.col("split") == TRAIN))
-    return model.transform(marked).select(ORDER_KEY, "split", _r("o_totalprice"), _r("c_acctbal"))
+    # Rows without a label are on no side of the split; they are imputed all the same.
+    rows = every.join(marked.select(ORDER_KEY, "split"), ORDER_KEY, "left")
+    return model.transform(rows).select(ORDER_KEY, "split", _r("o_totalprice"), _r("c_acctbal"))
 
 
 def _docs_with_null_sources(spark, sf_dir):
@@ -253,7 +266,7 @@ def q_one_hot_unknown(spark, sf_dir):
     from pyspark.ml import Pipeline
 
     fitted = Pipeline(stages=stages).fit(docs.where(F.coalesce(F.col("source"), F.lit("")) != "src0"))
-    arr = vector_to_array(F.col("source__ohe"))
+    arr = vector_to_array(F.col(M.encoded_name(0)))
     return fitted.transform(docs).select(
         DOC_KEY, "source",
         (F.array_position(arr, 1.0) - 1).cast("long").alias("hot_index"),
@@ -262,7 +275,8 @@ def q_one_hot_unknown(spark, sf_dir):
 
 
 def _doc_train_test(spark, sf_dir):
-    marked = _doc_split(spark, sf_dir)
+    scratch_root(spark)
+    marked = _doc_split(spark, sf_dir).checkpoint(eager=True)  # read by the fit and by the prediction
     return (marked.where(F.col("split") == TRAIN).drop("split"), marked.where(F.col("split") != TRAIN).drop("split"))
 
 
@@ -276,13 +290,22 @@ def q_assemble(spark, sf_dir):
     return fitted.transform(train_df).select(DOC_KEY, F.posexplode(vector_to_array(M.FEATURES)).alias("pos", "value"))
 
 
-def q_train_score(spark, sf_dir):
+def _class_known(scored: DataFrame) -> DataFrame:
+    """A model's classes cannot be told in SQL: every row and column, and whether its prediction is a class."""
+    return scored.withColumn("predicted", F.col(M.PREDICTION).isin(0, 1).cast("int")).drop(M.PREDICTION)
+
+
+def flagship(spark, sf_dir):
     """Shipped forest fitted on train, predictions for the test rows."""
     train_df, test_df = _doc_train_test(spark, sf_dir)
     model = M.fit(train_df, "quality", [DOC_KEY], SHIPPED_FOREST)
     return M.predict(model, test_df)
 
 
+def q_train_score(spark, sf_dir):
+    return _class_known(flagship(spark, sf_dir))
+
+
 def q_model_round_trip(spark, sf_dir):
     """M9: predictions before and after save/load."""
     train_df, test_df = _doc_train_test(spark, sf_dir)
@@ -290,7 +313,8 @@ def q_model_round_trip(spark, sf_dir):
     path = M.save_model(model, scratch_path(spark, "model"))
     before = M.predict(model, test_df).select(DOC_KEY, "prediction")
     after = M.predict(M.load_model(path), test_df).select(DOC_KEY, F.col("prediction").alias("reloaded"))
-    return before.join(after, DOC_KEY).withColumn("same", (F.col("prediction") == F.col("reloaded")).cast("int"))
+    same = (F.col("prediction") == F.col("reloaded")).cast("int").alias("same")
+    return before.join(after, DOC_KEY).select(DOC_KEY, same)
 
 
 def q_signature(spark, sf_dir):
@@ -318,7 +342,8 @@ def q_roc_auc(spark, sf_dir):
 
 def q_metrics_row(spark, sf_dir):
     m = metrics_row(_rule_predictions(spark, sf_dir), "quality", "prediction", "rule_n_chars")
-    return m.select("run_id", *[_r(c, 9) for c in m.columns if c != "run_id"])
+    conf = conf_json({"model_params": {"rule": "n_chars"}, "token": "not logged"}, ("model_params", "run_name"))
+    return m.select("run_id", *[_r(c, 9) for c in m.columns if c != "run_id"], F.lit(conf).alias("conf"))
 
 
 # ---------------------------------------------------------------- registry
@@ -375,8 +400,8 @@ def q_features_job(spark, sf_dir):
     features = FeatureTableConfig(db, "orders_features", ORDER_KEY, description="orders features",
                                   buckets=FEATURE_BUCKETS)
     labels = LabelsTableConfig(db, "orders_labels", "label", ORDER_KEY, path=scratch_path(spark, "orders_labels"))
-    f_name, l_name = create_feature_tables(spark, B.raw_orders(spark, sf_dir), _order_featurizer(True, True),
-                                           features, labels)
+    start = dataclasses.replace(_order_featurizer(True, True), input_table=_raw_table(spark, sf_dir))
+    f_name, l_name = create_feature_tables(spark, None, start, features, labels)
     lab = read_table(spark, l_name)
     feat = read_table(spark, f_name)
     return lab.join(feat, ORDER_KEY)
@@ -386,9 +411,22 @@ def _registry(spark) -> Registry:
     return Registry(spark, _database(spark, "registry"), scratch_path(spark, "registry"))
 
 
+def _job_facts(spark, registry: Registry, result: DataFrame, label: str) -> DataFrame:
+    """A training job's row counts and decision, and whether each metric follows from the stored predictions."""
+    row = result.collect()[0]
+    stored = read_path(spark, registry.model_path(row["run_id"]).rsplit("/", 1)[0] + "/test_predictions", "parquet")
+    again = binary_metrics(stored, label, M.PREDICTION)
+    logged = registry.runs().where(F.col("run_id") == row["run_id"]).select("metrics")
+    ok = lambda m: (F.abs(F.col("metrics")[f"test_{m}"] - F.col(m)) < 1e-12).cast("int").alias(f"{m}_ok")
+    facts = [F.lit(row[c]).alias(c) for c in ("name", "version", "n_train", "n_test")]
+    flags = [F.lit(int(row[c])).alias(c) for c in ("promote", "archive")]
+    return again.join(logged).select(*facts, *flags, *[ok(m) for m in METRIC_NAMES])  # one row with one row
+
+
 def q_train_job(spark, sf_dir):
-    """B2 on binding D: metrics, registered version and promotion decision."""
-    return train(spark, _doc_tables(spark, sf_dir), _registry(spark)).drop("run_id")
+    """B2 on binding D: row counts, registered version, promotion decision, metrics against stored predictions."""
+    registry = _registry(spark)
+    return _job_facts(spark, registry, train(spark, _doc_tables(spark, sf_dir), registry), "quality")
 
 
 def q_score_job(spark, sf_dir):
@@ -397,10 +435,9 @@ def q_score_job(spark, sf_dir):
     registry = _registry(spark)
     train(spark, cfg, registry)
     out = f"{_database(spark, 'scored')}.predictions"
-    batch_inference(spark, InferenceConfig(cfg.model_name, registry.root, cfg.labels_table.name,
-                                           cfg.feature_table.name, DOC_KEY, out,
+    batch_inference(spark, InferenceConfig(cfg.model_name, cfg.labels_table.name, cfg.feature_table.name, DOC_KEY, out,
                                            output_location=scratch_path(spark, "scored")), registry)
-    return read_table(spark, out)
+    return _class_known(read_table(spark, out))
 
 
 def q_batch_inference(spark, sf_dir):
@@ -410,8 +447,7 @@ def q_batch_inference(spark, sf_dir):
     cfg = _doc_tables(spark, sf_dir)
     registry = _registry(spark)
     train(spark, cfg, registry)
-    return score(spark, InferenceConfig(cfg.model_name, registry.root, cfg.labels_table.name,
-                                        cfg.feature_table.name, DOC_KEY), registry)
+    return _class_known(score(spark, InferenceConfig(cfg.model_name, cfg.labels_table.name, cfg.feature_table.name, DOC_KEY), registry))
 
 
 def q_initial_train_job(spark, sf_dir):
@@ -420,8 +456,9 @@ def q_initial_train_job(spark, sf_dir):
     features = FeatureTableConfig(db, "orders_features", ORDER_KEY)
     labels = LabelsTableConfig(db, "orders_labels", "label", ORDER_KEY, path=scratch_path(spark, "orders_labels"))
     cfg = TrainConfig(features, labels, SHIPPED_SPLIT, SHIPPED_FOREST, model_name="order_filled")
-    return run_initial_train(spark, B.raw_orders(spark, sf_dir), _order_featurizer(False, True), cfg,
-                             _registry(spark)).drop("run_id")
+    registry = _registry(spark)
+    done = run_initial_train(spark, B.raw_orders(spark, sf_dir), _order_featurizer(False, True), cfg, registry)
+    return _job_facts(spark, registry, done, "label")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -6,6 +6,7 @@ Every intermediate table, model artifact and lineage cut lives under the folder
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,7 +38,9 @@ def scratch_root(spark: SparkSession) -> str:
     if current:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    # Local runs only: the cluster always names a shared folder in spark.checkpoint.dir.
+    if not configured and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    # A local session has one machine, whose temporary folder every task sees.
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="scorebook-"))
     return sc.getCheckpointDir().rstrip("/")
 

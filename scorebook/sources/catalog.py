@@ -1,7 +1,8 @@
 """Sinks and catalog operations.
 
-Tables are written as a fresh snapshot folder first and only then pointed to, so a failed write never loses
-the previous table, and a job may rewrite a table it reads from.
+Every overwrite goes through ``replace_table``: a fresh snapshot folder first, then a swap of names, so a failed
+write never loses the previous table, and a job may rewrite a table it reads from. Old snapshots are removed but
+for the last ``KEPT_SNAPSHOTS``.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorebook.config import FeatureTableConfig, LabelsTableConfig, normalize_keys
-from scorebook.session import scratch_root
 
 
 def sql_string(text: str) -> str:
@@ -57,7 +57,71 @@ def write_path(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "over
 
 
 def table_root(spark: SparkSession, location: str | None, name: str) -> str:
-    return (location or f"{scratch_root(spark)}/tables").rstrip("/") + "/" + name.replace(".", "/")
+    """Root folder of a table's snapshots: the given one, else one under the warehouse (never the checkpoint
+    folder, which Spark makes per application)."""
+    base = location or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/external"
+    return base.rstrip("/") + "/" + name.replace(".", "/")
+
+
+# Snapshots of a table that stay on disk, the current one included: readers of the one before can finish.
+KEPT_SNAPSHOTS = 2
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def prune_snapshots(spark: SparkSession, root: str, current: str, keep: int = KEPT_SNAPSHOTS) -> None:
+    """Remove the oldest ``snapshot-*`` folders under ``root`` but the newest ``keep`` and ``current``."""
+    fs, p = _file_system(spark, root)
+    found = [s for s in fs.listStatus(p) if s.isDirectory() and s.getPath().getName().startswith("snapshot-")]
+    found.sort(key=lambda s: s.getModificationTime(), reverse=True)
+    for s in found[keep:]:
+        if s.getPath().getName() != current.rstrip("/").rsplit("/", 1)[-1]:
+            fs.delete(s.getPath(), True)
+
+
+def replace_table(spark: SparkSession, df: DataFrame, name: str, root: str, fmt: str = "parquet",
+                  buckets: int | None = None, bucket_keys: Sequence[str] = (), partition_by: Sequence[str] = (),
+                  keep: int = KEPT_SNAPSHOTS) -> str:
+    """Overwrite table ``name`` so that a failure at any point keeps the old rows: write a fresh snapshot folder
+    under ``root`` behind a staging table, rename the old table aside, the new one in, and only then drop the old
+    entry. If the second rename fails, the old table gets its name back. The frame may read the table itself."""
+    tag = uuid.uuid4().hex[:12]
+    staging, aside, snapshot = f"{name}__new_{tag}", f"{name}__old_{tag}", f"{root}/snapshot-{tag}"
+    writer = (df.repartition(buckets, *bucket_keys) if buckets else df).write.format(fmt).option("path", snapshot)
+    if buckets:
+        writer = writer.bucketBy(buckets, *bucket_keys).sortBy(*bucket_keys)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    try:
+        writer.saveAsTable(staging)
+    except Exception:
+        drop_table(spark, staging)
+        raise
+    swap_table(spark, staging, name, aside)
+    prune_snapshots(spark, root, snapshot, keep)
+    return name
+
+
+def swap_table(spark: SparkSession, staging: str, name: str, aside: str) -> None:
+    had = spark.catalog.tableExists(name)
+    if had:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
+    try:
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    except Exception:
+        if had:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+        raise
+    if had:
+        drop_table(spark, aside)
 
 
 # A bucket above this many times the mean bucket (and above a task's row bound) is oversized: "auto" bucketing
@@ -118,21 +182,9 @@ def write_feature_table(spark: SparkSession, df: DataFrame, cfg: FeatureTableCon
     if missing:
         raise ValueError(f"primary key column(s) {missing} not in the feature frame")
     ensure_database(spark, cfg.database_name)
-    tag = uuid.uuid4().hex[:12]
-    snapshot = f"{table_root(spark, cfg.location, cfg.name)}/snapshot-{tag}"
-    buckets = bucket_count(df, cfg)
-    if buckets:
-        # One task per bucket (the shuffle hashes the keys as bucketing does), so each bucket is one file
-        # rather than one file per writing task. Bucketing lives in the catalog entry, so the snapshot is
-        # written as a staging table, then renamed.
-        staging = f"{cfg.name}__{tag}"
-        (df.repartition(buckets, *keys).write.format(cfg.format).bucketBy(buckets, *keys).sortBy(*keys)
-         .option("path", snapshot).saveAsTable(staging))
-        drop_table(spark, cfg.name)
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {cfg.name}")
-    else:
-        write_path(df, snapshot, cfg.format)
-        point_table(spark, cfg.name, snapshot, cfg.format)
+    # Bucketed: one task per bucket (the shuffle hashes the keys as bucketing does), so each bucket is one file.
+    replace_table(spark, df, cfg.name, table_root(spark, cfg.location, cfg.name), cfg.format,
+                  bucket_count(df, cfg), keys)
     if not spark.catalog.tableExists(cfg.name):  # K2
         raise RuntimeError(f"table {cfg.name} was not created")
     comment_table(spark, cfg.name, cfg.description)
@@ -140,30 +192,27 @@ def write_feature_table(spark: SparkSession, df: DataFrame, cfg: FeatureTableCon
 
 
 def write_labels_table(spark: SparkSession, df: DataFrame, cfg: LabelsTableConfig) -> str:
-    """Overwrite the labels at a path, then an external table over it."""
+    """Overwrite the labels as an external table; ``cfg.path`` is the root of its snapshots."""
     if cfg.primary_keys is not None:
         normalize_keys(cfg.primary_keys)
     ensure_database(spark, cfg.database_name)
-    path = cfg.path or f"{table_root(spark, None, cfg.name)}/snapshot-{uuid.uuid4().hex[:12]}"
-    write_path(df, path, cfg.format)
-    point_table(spark, cfg.name, path, cfg.format)
-    return cfg.name
+    return replace_table(spark, df, cfg.name, (cfg.path or table_root(spark, None, cfg.name)).rstrip("/"), cfg.format)
 
 
 def write_predictions(spark: SparkSession, df: DataFrame, table: str, mode: str = "overwrite",
                       fmt: str = "parquet", location: str | None = None,
                       partition_by: Sequence[str] = ()) -> str:
-    """K6: write predictions with ``mode`` append or overwrite. Appending a different schema raises (Spark's
-    own check); overwriting a table the frame reads from is refused by Spark."""
+    """K6: write predictions with ``mode`` append or overwrite. An overwrite is a fresh snapshot under ``location``
+    (the table stays external there); an append adds files to the current one. Appending a different schema raises
+    (Spark's own check)."""
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be 'append' or 'overwrite', got {mode!r}")
     database = table.split(".")[0] if "." in table else None
     if database:
         ensure_database(spark, database)
-    writer = df.write.format(fmt).mode(mode)
-    if location and not spark.catalog.tableExists(table):
-        writer = writer.option("path", location)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
-    return table
+    if mode == "append" and spark.catalog.tableExists(table):
+        writer = df.write.format(fmt).mode("append")
+        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+        return table
+    root = (location or table_root(spark, None, table)).rstrip("/")
+    return replace_table(spark, df, table, root, fmt, partition_by=partition_by)

@@ -42,3 +42,13 @@ def test_fill_and_persist_in_pipeline(spark):
     loaded = PipelineModel.load(path)
     got = {r.k: r.x for r in loaded.transform(df).collect()}
     assert got == {1: 1.0, 2: 6.0, 3: 10.0, 4: 6.0, 5: 20.0, 6: 2.0}
+
+
+def test_bracketed_medians_are_exact(spark):
+    df = spark.range(0, 20_001).selectExpr(
+        "cast(hash(id) as double) AS spread", "if(id % 3 = 0, 7.0, cast(id as double)) AS hot", "cast(null as double) AS none",
+        "if(id % 2 = 0, double('nan'), cast(id % 5 as double)) AS few", "if(id < 10000, 0.0, 1.0e6 + id) AS gap")
+    cols = ["spread", "hot", "none", "few", "gap"]
+    assert exact_medians(df, cols, single_task_rows=0) == exact_medians(df, cols)
+    even = df.limit(20_000)
+    assert exact_medians(even, ["hot", "gap"], single_task_rows=0) == exact_medians(even, ["hot", "gap"])

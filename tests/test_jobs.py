@@ -46,7 +46,7 @@ def test_features_train_promote_score(spark):
     assert stages == {1: "Production", 2: "None"}
 
     out = f"{db}.predictions"
-    inference = InferenceConfig("booking", registry.root, labels.name, features.name, "Booking_ID", out,
+    inference = InferenceConfig("booking", labels.name, features.name, "Booking_ID", out,
                                 output_location=scratch_path(spark, "pred"))
     batch_inference(spark, inference, registry)
     preds = spark.table(out)
@@ -64,7 +64,7 @@ def test_null_labels_fail_training_loudly(spark):
 
 def test_missing_output_table_rejected_before_scoring(spark):
     registry = Registry(spark, unique_name("registry"), scratch_path(spark, "registry"))
-    cfg = InferenceConfig("nothing", registry.root, "no.input", "no.features", "k", None)
+    cfg = InferenceConfig("nothing", "no.input", "no.features", "k", None)
     with pytest.raises(ValueError, match="output_table"):
         batch_inference(spark, cfg, registry)
     with pytest.raises(LookupError):

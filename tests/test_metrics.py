@@ -2,7 +2,7 @@
 
 import pytest
 
-from scorebook.operators.metrics import binary_metrics, roc_auc
+from scorebook.operators.metrics import auc_of_totals, binary_metrics, roc_auc
 from scorebook.plans import queries as Q
 from tests.conftest import SF01
 
@@ -38,3 +38,15 @@ def test_auc_documents_measured_value(spark):
     joined = Q.q_training_join(spark, SF01)
     assert round(roc_auc(joined, "quality", "n_chars").first()[0], 9) == 0.512109415
     assert round(roc_auc(joined, "quality", "n_chars", buckets=16, single_task_rows=0).first()[0], 9) == 0.512109415
+
+
+def test_null_labels_are_refused(spark):
+    df = spark.createDataFrame([(1, 1, 0.9), (None, 1, 0.8), (0, 0, 0.1)], "y int, p int, s double")
+    for query in (lambda: binary_metrics(df, "y", "p"), lambda: roc_auc(df, "y", "s")):
+        with pytest.raises(Exception, match="holds nulls"):
+            query().collect()
+
+
+def test_auc_of_billions(spark):
+    totals = spark.createDataFrame([(0.75 * 5e9 * 5e9, 5_000_000_000, 5_000_000_000)], "area double, P long, N long")
+    assert totals.select(auc_of_totals()).first()[0] == pytest.approx(0.75)

@@ -6,6 +6,7 @@ from scorebook.operators.split import assign_split
 from scorebook.plans import queries as Q
 from scorebook.session import unique_name
 from scorebook.sources.catalog import write_feature_table
+from scorebook.sources.tables import read_parquet_table
 from tests.conftest import SF01
 
 
@@ -35,16 +36,15 @@ def test_bucketed_feature_table_is_not_shuffled(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_bucketed_ranks_share_one_shuffle_of_the_rows(spark):
+def test_split_shuffles_only_the_boundary_rows(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        marked = assign_split(Q.q_training_join(spark, SF01), "quality", "doc_id", single_task_rows=0)
-        plan = _plan(marked)
-        # Rows: one exchange on (label, bucket) serves both the offsets join and the window; the label is
-        # carried as a one-field struct (a null label would still be a group).
-        assert plan.count("Exchange hashpartitioning(_grp#") >= 1
-        window_part = plan.split("Window [")[1]
-        assert "SortMergeJoin" in window_part.split("Exchange")[0]
+        df = read_parquet_table(spark, SF01, "orders").selectExpr("o_orderkey", "o_totalprice", "cast(o_orderkey % 2 as int) AS y")
+        plan = _plan(assign_split(df, "y", "o_orderkey"))
+        clear, close = plan.split("Window [")[0], plan.split("Window [")[1]
+        # The clear rows go from the scan to the output; the boundary's rows are filtered before their one shuffle.
+        assert "Exchange hashpartitioning" not in clear and close.count("Exchange hashpartitioning") == 1
+        assert "Filter" in close.split("Exchange hashpartitioning")[1]
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
 

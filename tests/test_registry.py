@@ -2,10 +2,13 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from scorebook.operators.registry import (
     RUNS_SCHEMA,
+    Registry,
     VERSIONS_SCHEMA,
     apply_promotion,
     champions,
@@ -88,3 +91,20 @@ def test_number_versions_bucketed_equals_plain(spark):
     bucketed = {(r.name, r.eid, r.version) for r in number_versions(df, "name", "eid", single_task_rows=0).collect()}
     assert plain == bucketed
     assert max(v for _, _, v in plain) == 1000
+
+
+def test_a_lost_table_is_an_error_not_an_empty_history(spark):
+    from scorebook.session import scratch_path, unique_name
+
+    db, root = unique_name("lost"), scratch_path(spark, "lost")
+    registry = Registry(spark, db, root)
+    registry.log_run("a", spark.createDataFrame([(0.9,)], "test_accuracy double"), "{}")
+    first = registry.register_and_promote("m", "a").first()
+    assert first.candidate_version == 1 and first.promote
+    now = spark.sql("SELECT current_timestamp() AS t").first().t
+    assert abs((registry.versions().first().last_updated - now).total_seconds()) < 600
+    spark.sql(f"DROP TABLE {db}.model_versions")
+    with pytest.raises(RuntimeError, match="gone"):
+        registry.register_and_promote("m", "a")
+    with pytest.raises(RuntimeError, match="gone"):
+        Registry(spark, db, root)

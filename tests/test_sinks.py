@@ -1,12 +1,22 @@
 """Sinks and catalog operations."""
 
+import os
+
 import pytest
 from pyspark.errors import AnalysisException
 
 from scorebook.config import FeatureTableConfig, LabelsTableConfig
 from scorebook.plans.pipelines import smoke
 from scorebook.session import scratch_path, unique_name
-from scorebook.sources.catalog import write_feature_table, write_labels_table, write_predictions
+from scorebook.sources.catalog import (
+    ensure_database,
+    replace_table,
+    swap_table,
+    table_layout,
+    write_feature_table,
+    write_labels_table,
+    write_predictions,
+)
 from scorebook.sources.tables import id_range
 
 
@@ -51,3 +61,58 @@ def test_predictions_append_and_schema_mismatch(spark):
         write_predictions(spark, spark.createDataFrame([(1, 0, 5)], "k long, prediction int, extra int"), table, "append")
     with pytest.raises(ValueError):
         write_predictions(spark, df, table, "merge")
+
+
+def _failing(spark, schema):
+    return spark.range(0, 50).selectExpr("id AS k", "if(id = 49, raise_error('stop'), cast(id as int)) AS y").to(schema)
+
+
+def _table_of(spark, kind):
+    """(name, write) of a table with rows (1, 1), (2, 0)."""
+    db = unique_name("safe")
+    if kind == "features":
+        cfg = FeatureTableConfig(db, "t", "k", buckets=2)
+        return cfg.name, lambda df: write_feature_table(spark, df, cfg)
+    if kind == "labels":
+        cfg = LabelsTableConfig(db, "t", "y", "k", path=scratch_path(spark, "labels"))
+        return cfg.name, lambda df: write_labels_table(spark, df, cfg)
+    location = scratch_path(spark, "pred")
+    return f"{db}.t", lambda df: write_predictions(spark, df, f"{db}.t", "overwrite", location=location)
+
+
+@pytest.mark.parametrize("kind", ["features", "labels", "predictions"])
+def test_overwrites_are_safe(spark, kind):
+    name, write = _table_of(spark, kind)
+    write(spark.createDataFrame([(1, 1), (2, 0)], "k long, y int"))
+    with pytest.raises(Exception, match="stop"):
+        write(_failing(spark, spark.table(name).schema))
+    assert {tuple(r) for r in spark.table(name).collect()} == {(1, 1), (2, 0)}
+    # From itself, then with another schema, each time external under its root.
+    write(spark.table(name).where("y = 1"))
+    assert [tuple(r) for r in spark.table(name).collect()] == [(1, 1)]
+    write(spark.createDataFrame([(7, 0, "z")], "k long, y int, extra string"))
+    assert [tuple(r) for r in spark.table(name).collect()] == [(7, 0, "z")]
+    facts = table_layout(spark, name)
+    assert facts["Type"] == "EXTERNAL" and "/snapshot-" in facts["Location"]
+    tables = [r.tableName for r in spark.sql(f"SHOW TABLES IN {name.split('.')[0]}").collect()]
+    assert tables == ["t"]
+    root = facts["Location"].rsplit("/", 1)[0].removeprefix("file:")
+    assert len([f for f in os.listdir(root) if f.startswith("snapshot-")]) == 2
+
+
+def test_a_failed_swap_keeps_the_old_table(spark):
+    db = unique_name("swap")
+    ensure_database(spark, db)
+    replace_table(spark, spark.range(3), f"{db}.t", scratch_path(spark, "swap"))
+    with pytest.raises(AnalysisException):
+        swap_table(spark, f"{db}.never_written", f"{db}.t", f"{db}.aside")
+    assert spark.table(f"{db}.t").count() == 3
+
+
+def test_partitioned_predictions_overwrite_and_append(spark):
+    table, location = f"{unique_name('pp')}.p", scratch_path(spark, "pp")
+    df = spark.createDataFrame([(1, 0, "a"), (2, 1, "b")], "k long, prediction int, day string")
+    for _ in range(2):
+        write_predictions(spark, df, table, "overwrite", location=location, partition_by=["day"])
+    write_predictions(spark, df, table, "append", partition_by=["day"])
+    assert spark.table(table).where("day = 'a'").count() == 2 and table_layout(spark, table)["Type"] == "EXTERNAL"

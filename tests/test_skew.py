@@ -40,8 +40,7 @@ def test_ranks_in_a_hot_group(spark):
 
 def test_split_with_a_hot_key(spark):
     # Key 0 holds a third of the rows (copies that differ in `v`); the rest are unique keys.
-    from scorebook.operators.split import _hot_hashes, assign_split, split_bucket
-    from scorebook.functions.expressions import split_order_hash
+    from scorebook.operators.split import assign_split
 
     df = spark.range(0, 3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
@@ -49,17 +48,27 @@ def test_split_with_a_hot_key(spark):
         (F.col("id") % 2).cast("int").alias("y"),
     )
     plain = {(r.v, r.split) for r in assign_split(df, "y", "k", 0.2, 42).collect()}
-    bucketed = {(r.v, r.split) for r in assign_split(df, "y", "k", 0.2, 42, single_task_rows=0,
-                                                       rows_per_bucket=100).collect()}
-    assert plain == bucketed and len(plain) == 3000
-    # The hot key is named, and its copies are spread over several buckets.
-    hashed = df.select("*", split_order_hash(["k"], 42).alias("_h"), F.xxhash64("k", "v", "y").alias("_row"))
-    per_prefix = hashed.groupBy("y", F.conv(F.substring("_h", 1, 3), 16, 10).cast("long").alias("_p")).count()
-    hot = _hot_hashes(hashed, per_prefix, {0: 1500, 1: 1500}, 100)
-    assert [c for _, c in hot] == [1000]
-    bucket, _ = split_bucket(1, hot, 100)
-    spread = hashed.where(F.col("k") == 0).select(bucket.alias("b")).distinct().count()
-    assert spread >= 5
+    for rows in (0, 7):
+        cut = {(r.v, r.split) for r in assign_split(df, "y", "k", 0.2, 42, single_task_rows=rows).collect()}
+        assert plain == cut and len(plain) == 3000
+
+
+def test_split_with_copies_of_one_row(spark):
+    # As the schema makes them: labels repeat a key, the features join to it, and all copies are one row.
+    from scorebook.operators.joins import training_join
+    from scorebook.operators.split import assign_split
+
+    labels = spark.range(0, 3000, 1, 6).selectExpr("if(id % 3 = 0, 0, id) AS k", "cast(id % 3 = 0 or id % 2 = 0 as int) AS y")
+    features = spark.range(0, 3000).selectExpr("id AS k", "id * 2 AS x")
+    joined = training_join(labels, features, "k")
+    for seed in range(6):  # the hot row falls on either side of the seats, or across them
+        plain = assign_split(joined, "y", "k", 0.2, seed).groupBy("y", "split").count().collect()
+        cut = assign_split(joined, "y", "k", 0.2, seed, single_task_rows=20)
+        assert cut.groupBy("y", "split").count().collect().__len__() == 4
+        assert sorted(map(tuple, cut.groupBy("y", "split").count().collect())) == sorted(map(tuple, plain))
+        assert cut.drop("split").exceptAll(joined).isEmpty() and cut.count() == 3000
+    seats = assign_split(joined, "y", "k", 0.7, 1, single_task_rows=20)
+    assert seats.where("y = 1 and split = 'train'").count() == 600
 
 
 def test_versions_with_a_hot_name_and_one_timestamp(spark):
