@@ -225,6 +225,29 @@ def window_owner(first: np.ndarray, size: int, total: int) -> tuple[np.ndarray,
     return owner, (np.arange(n) + size) <= first[1:][owner] if n else np.zeros(0, bool)
 
 
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """One table per run of equal keys, over batches that are sorted by them; a run may span batches."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.zeros(batch.num_rows, dtype=bool)
+        for c in cols:
+            new[1:] |= c[1:] != c[:-1]
+        edges = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+        for a, b in zip(edges[:-1], edges[1:]):
+            here = tuple(c[a] for c in cols)
+            if held and here != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = here
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 # ---------------------------------------------------------------- per-process cache
 
 

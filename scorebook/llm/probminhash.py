@@ -9,9 +9,10 @@ and 1. Equal documents are joined by a 128-bit digest first; only one of each cl
 whole band of registers are candidates, and candidates are verified on the exact probability Jaccard.
 
 Large buckets are not expanded into pairs. First each bucket's members are verified against one leader, the member
-with the most company over all bands. Links give components; then only pairs of a bucket that lie in different
-components and agree in enough registers are verified, bucket by bucket in blocks of bounded size. Documents in one
-component need no further link, so the groups equal those of all candidate pairs.
+with the most company over all bands. Links give components; then pairs of a bucket that lie in different components
+and agree in enough registers are verified inside tasks, in pairs of chunks of bounded size: the documents concerned
+travel with their shingles, and only links that join components come back. Documents in one component need no further
+link, so the groups equal those of all candidate pairs.
 
 Defined results: null and empty texts (no words) are groups of their own; rows with a null doc_id get no group and are
 kept; rows that share a doc_id are one document; ties go to the smallest doc_id. Extra columns are ignored.
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Roller, Texts, materialise, mix, space_words, text_slices, to_signed
+from .common import Roller, Texts, materialise, mix, sorted_groups, space_words, text_slices, to_signed
 from .components import connected_components
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -207,62 +208,131 @@ def verified(pairs: DataFrame, shingles: DataFrame, cfg: MinHashConfig) -> DataF
     return pairs.select("u", "v").join(right, "v").join(left, "u").mapInArrow(run, "u long, v long, similarity double")
 
 
-def bucket_blocks(rows: DataFrame, cfg: MinHashConfig) -> DataFrame:
-    """(u, v), u < v: pairs of one bucket in different components whose registers agree often enough.
+def chunk_pairs(rows: DataFrame, cfg: MinHashConfig) -> DataFrame:
+    """Deals each bucket's documents into chunks of about ``block`` and each pair of chunks (lo, hi) to one group.
 
-    ``rows``: (key, doc_id, comp, prints, n) with n the bucket's size. A bucket is dealt into chunks by document hash;
-    each pair of chunks is compared in one place, in numpy, and only agreeing pairs leave it.
+    ``rows``: (key, band, doc_id, comp, prints, bands, n) with n the bucket's size.
     """
     chunks = F.ceil(F.col("n") / cfg.block).cast("int")
     dealt = rows.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "doc_id", "comp", "prints"
+    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
+        "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "band", "own", "doc_id", "comp", "prints", "bands"
     )
+
+
+def _agreeing(prints: np.ndarray, i: int, j: np.ndarray, least: int) -> np.ndarray:
+    return (prints[j] == prints[i]).sum(axis=1) >= least
+
+
+def hopeful(dealt: DataFrame, cfg: MinHashConfig) -> DataFrame:
+    """(key, lo, hi, own, doc_id, comp, prints): documents of a group with a partner that may be near and is not yet linked.
+
+    A pair is looked at in its first common band only. Documents leave, not pairs, so the result grows with the
+    group's size and not with its square.
+    """
     least, width = cfg.least_agreement, cfg.registers
+    names = ["key", "lo", "hi", "own", "doc_id", "comp", "prints"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def compare(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        for t in sorted_groups(batches, ("key", "lo", "hi")):
             t = t.combine_chunks()
-            cols = [t.column(c).to_numpy() for c in ("key", "lo", "hi", "own", "doc_id", "comp")]
-            key, lo, hi, own, doc, comp = cols
-            p = np.frombuffer(b"".join(t.column("prints").to_pylist()), np.uint8).reshape(-1, width)
-            new = np.ones(len(key), dtype=bool)
-            new[1:] = (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
-            edges = np.append(np.flatnonzero(new), len(key))
-            us, vs = [], []
-            for a, b in zip(edges[:-1], edges[1:]):
-                if b - a < 2 or (comp[a:b] == comp[a]).all():
-                    continue
-                d, c, o, q = doc[a:b], comp[a:b], own[a:b], p[a:b]
-                for i in range(b - a - 1):
-                    near = (q[i + 1 :] == q[i]).sum(axis=1) >= least
-                    near &= c[i + 1 :] != c[i]
-                    if lo[a] != hi[a]:
-                        near &= o[i + 1 :] != o[i]
-                    j = np.flatnonzero(near) + i + 1
-                    us.append(np.minimum(d[i], d[j]))
-                    vs.append(np.maximum(d[i], d[j]))
-            u = np.concatenate(us) if us else np.zeros(0, np.int64)
-            v = np.concatenate(vs) if vs else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
-
-        for batch in batches:  # sorted by key, lo, hi: a group may go on in the next batch
-            if not batch.num_rows:
+            comp, own = t.column("comp").to_numpy(), t.column("own").to_numpy()
+            if len(comp) < 2 or (comp == comp[0]).all():
                 continue
-            t = pa.Table.from_batches([*held, batch])
-            tail = [t.column(c).to_numpy() for c in ("key", "lo", "hi")]
-            same = (tail[0] == tail[0][-1]) & (tail[1] == tail[1][-1]) & (tail[2] == tail[2][-1])
-            cut = int(np.argmax(same))
-            if cut:
-                yield from compare(t.slice(0, cut))
-            held = t.slice(cut).combine_chunks().to_batches()
-        if held:
-            yield from compare(pa.Table.from_batches(held))
+            cross = t.column("lo")[0] != t.column("hi")[0]
+            p = np.frombuffer(b"".join(t.column("prints").to_pylist()), np.uint8).reshape(-1, width)
+            earlier = np.array(t.column("bands").to_pylist(), np.int64)[:, : t.column("band")[0].as_py()]
+            flag = np.zeros(len(comp), dtype=bool)
+            for i in range(len(comp) - 1):
+                j = np.flatnonzero(comp[i + 1 :] != comp[i]) + i + 1
+                if cross:
+                    j = j[own[j] != own[i]]
+                j = j[_agreeing(p, i, j, least)]
+                j = j[~(earlier[j] == earlier[i]).any(axis=1)]
+                if len(j):
+                    flag[i] = True
+                    flag[j] = True
+            if flag.any():
+                yield from t.filter(pa.array(flag)).select(names).combine_chunks().to_batches()
 
     spread = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "doc_id")
-    return spread.mapInArrow(run, "u long, v long").distinct()
+    kinds = "key long, lo int, hi int, own int, doc_id long, comp long, prints binary"
+    return spread.mapInArrow(run, kinds)
+
+
+def common_counts(items: list[np.ndarray], tile: int = 4096) -> np.ndarray:
+    """Number of common items of all pairs of sets, by products of membership tiles."""
+    n = len(items)
+    owner = np.repeat(np.arange(n), [len(x) for x in items])
+    _, code, times = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(times > 1)
+    rank = np.full(len(times), -1)
+    rank[shared] = np.arange(len(shared))
+    column = rank[code]
+    owner, column = owner[column >= 0], column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((n, n), np.float32)
+    for a in range(0, len(shared), tile):
+        i, j = np.searchsorted(column, [a, a + tile])
+        member = np.zeros((n, min(tile, len(shared) - a)), np.float32)
+        member[owner[i:j], column[i:j] - a] = 1
+        total += member @ member.T
+    return total
+
+
+def spanning_links(near: np.ndarray, similarity: np.ndarray) -> list[tuple[int, int, float]]:
+    """Links (i, j, similarity) that keep the components of a symmetric relation: one per member but the first."""
+    out, left = [], np.ones(len(near), dtype=bool)
+    for root in range(len(near)):
+        if not left[root]:
+            continue
+        left[root] = False
+        front = [root]
+        while front:
+            i = front.pop()
+            new = np.flatnonzero(near[i] & left)
+            left[new] = False
+            out.extend((i, int(j), float(similarity[i, j])) for j in new)
+            front.extend(new.tolist())
+    return out
+
+
+def group_links(rows: DataFrame, shingles: DataFrame, cfg: MinHashConfig) -> DataFrame:
+    """(u, v, similarity): verified links that join the components of each group's documents.
+
+    All pairs of a group's documents are verified on their exact shingles, in the task; of the links found, one per
+    document joined leaves it.
+    """
+    least, width, limit = cfg.least_agreement, cfg.registers, cfg.similarity - 1e-12
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in sorted_groups(batches, ("key", "lo", "hi")):
+            t = t.combine_chunks()
+            doc, comp = t.column("doc_id").to_numpy(), t.column("comp").to_numpy()
+            items = [np.frombuffer(x, np.uint64) for x in t.column("items").to_pylist()]
+            weights = [np.frombuffer(x, np.uint32) if x else None for x in t.column("weights").to_pylist()]
+            size = np.array([len(x) for x in items], np.float64)
+            both = common_counts(items)
+            sim = both / (size[:, None] + size[None, :] - both)
+            heavy = np.array([w is not None for w in weights])
+            p = np.frombuffer(b"".join(t.column("prints").to_pylist()), np.uint8).reshape(-1, width)
+            weights = [np.ones(len(x), np.uint32) if w is None else w for x, w in zip(items, weights)]
+            for i in range(len(doc) - 1):  # multiplicities need the exact sum, pair by pair
+                j = np.arange(i + 1, len(doc))
+                j = j[(heavy[j] | heavy[i]) & (comp[j] != comp[i])]
+                sim[i, j] = sim[j, i] = 0.0
+                for k in j[_agreeing(p, i, j, least)]:
+                    sim[i, k] = sim[k, i] = probability_jaccard(items[i], weights[i], items[k], weights[k])
+            near = (sim >= limit) & (comp[:, None] != comp[None, :])
+            links = spanning_links(near, sim)
+            u, v = [min(doc[i], doc[j]) for i, j, _ in links], [max(doc[i], doc[j]) for i, j, _ in links]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array([s for _, _, s in links], pa.float64())], ["u", "v", "similarity"])
+
+    sets = rows.join(shingles, "doc_id").select("key", "lo", "hi", "doc_id", "comp", "prints", "items", "weights")
+    spread = sets.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "doc_id")
+    return spread.mapInArrow(run, "u long, v long, similarity double").dropDuplicates(["u", "v"])
 
 
 @dataclass
@@ -279,7 +349,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, cfg: MinHashConfig = M
     classes = materialise(spark, named.groupBy("h1", "h2").agg(F.min("doc_id").alias("class_id")), "classes")
     reps = named.join(classes.select(F.col("class_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
     reps = reps.select("doc_id", "bands", "prints")
-    rows = reps.select("doc_id", F.explode("bands").alias("key")).distinct()
+    rows = reps.select("doc_id", F.posexplode("bands").alias("band", "key")).distinct()
     sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = materialise(spark, rows.join(sizes, "key"), "buckets")
 
@@ -296,11 +366,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, cfg: MinHashConfig = M
     tagged = buckets.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     tagged = tagged.withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
     mixed = tagged.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key")
-    rest = tagged.join(mixed, "key", "left_semi").join(reps.select("doc_id", "prints").dropDuplicates(["doc_id"]), "doc_id")
-    across = bucket_blocks(rest.select("key", "doc_id", "comp", "prints", "n"), cfg)
-    tested = star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    across = materialise(spark, across.join(tested, ["u", "v"], "left_anti"), "across")
-    more = materialise(spark, verified(across, shingles, cfg), "more-links")
+    rest = tagged.join(mixed, "key", "left_semi").join(reps.dropDuplicates(["doc_id"]), "doc_id")
+    hopes = materialise(spark, hopeful(chunk_pairs(rest, cfg), cfg), "hopeful")
+    more = materialise(spark, group_links(hopes, shingles, cfg), "more-links")
 
     joined = comps.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more.select("u", "v"))
     groups = connected_components(spark, joined)
