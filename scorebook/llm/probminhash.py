@@ -358,7 +358,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, cfg: MinHashConfig = M
     star = buckets.join(lead.select("key", (-F.col("m.d")).alias("leader")), "key").where("doc_id <> leader")
     star = materialise(spark, star.select(F.col("leader").alias("u"), F.col("doc_id").alias("v")).distinct(), "star")
 
-    needed = buckets.select("doc_id").distinct()
+    # The ids in buckets grow with the corpus: never broadcast them, whatever their size is estimated at.
+    needed = buckets.select("doc_id").distinct().hint("merge")
     shingles = materialise(spark, shingle_table(texts.where("doc_id is not null").join(needed, "doc_id"), cfg), "shingles")
     links = materialise(spark, verified(star, shingles, cfg), "star-links")
     comps = materialise(spark, connected_components(spark, links), "components")
