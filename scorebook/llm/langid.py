@@ -234,7 +234,7 @@ def has_letters(raw: bytes) -> bool:
 def fit(docs: DataFrame, cfg: LangIdConfig = LangIdConfig()) -> LangModel | None:
     """Train on at most ``cfg.sample_rows`` of the given labelled rows (columns doc_id, text, lang).
 
-    The sample is the rows with the least hash of (doc_id, text): the same at every partitioning. Of each, up to
+    The sample is the rows with the least hash of (doc_id, text), repeated rows once: the same at every partitioning. Of each, up to
     ``sample_windows`` windows of bytes reach the driver, never whole texts.
     """
     spread, size, take = F.xxhash64("doc_id", "text"), cfg.train_window, cfg.sample_windows
@@ -259,7 +259,7 @@ def fit(docs: DataFrame, cfg: LangIdConfig = LangIdConfig()) -> LangModel | None
     bound = keys.agg(F.max("spread")).first()[0]
     if bound is None:
         return None
-    rows = labelled.where(F.col("spread") <= bound).mapInArrow(cut, "lang string, bytes binary").orderBy("lang", "bytes").collect()
+    rows = labelled.where(F.col("spread") <= bound).dropDuplicates(["spread"]).mapInArrow(cut, "lang string, bytes binary").orderBy("lang", "bytes").collect()
     if not rows:
         return None
     langs = sorted({r.lang for r in rows})
