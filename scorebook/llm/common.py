@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from scorebook.session import scratch_path
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 CHUNK_BYTES = 1 << 19
 
 # The white space that separates words (space and 0x09-0x0D).
@@ -251,13 +251,40 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> I
 # ---------------------------------------------------------------- per-process cache
 
 
-def process_cache() -> dict:
-    """A dictionary that lives as long as the Python worker: tasks of one worker share what is costly to build.
+def process_cache(use: str) -> dict:
+    """What the Python worker keeps between tasks of one use; a task of another use drops it all.
 
     Task code travels by value, so its own globals are new in every task; an entry in ``sys.modules`` is not.
+    Workers outlive the stages of a job, so each task first gives back the memory that others left free.
     """
     import sys
     import types
 
     holder = sys.modules.setdefault("scorebook_llm_process_cache", types.ModuleType("scorebook_llm_process_cache"))
-    return holder.__dict__
+    if getattr(holder, "use", None) != use:
+        holder.use, holder.kept = use, {}
+        release_memory()
+    return holder.kept
+
+
+def release_memory() -> None:
+    """Return freed memory to the system: Python's, Arrow's and, where the C library can, malloc's."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def leased(use: str, run):
+    """A task function that drops what other uses kept before it starts, and gives free memory back at its end."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        process_cache(use)
+        yield from run(batches)
+        release_memory()
+
+    return task

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import carrying, materialise, process_cache, text_slices, uncarried, word_spans
+from .common import carrying, leased, materialise, process_cache, text_slices, uncarried, word_spans
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -105,7 +105,7 @@ def _scan_batches(patterns: dict[str, list[str]], key: str):
     owners = list(patterns.values())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = process_cache()
+        cache = process_cache("automaton")
         if cache.get("automaton_key") != key:
             cache["automaton"], cache["automaton_key"] = build_automaton(patterns), key
         automaton = cache["automaton"]
@@ -171,7 +171,7 @@ def spans(found: DataFrame) -> DataFrame:
             kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, kind)], ["doc_id", "spans"])
 
-    return found.select("doc_id", "text", "ranges").mapInArrow(run, "doc_id long, spans array<struct<start:long,length:long>>")
+    return found.select("doc_id", "text", "ranges").mapInArrow(leased("text", run), "doc_id long, spans array<struct<start:long,length:long>>")
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Texts, text_slices
+from .common import Texts, leased, text_slices
 
 UNKNOWN = "und"
 
@@ -259,7 +259,7 @@ def fit(docs: DataFrame, cfg: LangIdConfig = LangIdConfig()) -> LangModel | None
     bound = keys.agg(F.max("spread")).first()[0]
     if bound is None:
         return None
-    rows = labelled.where(F.col("spread") <= bound).dropDuplicates(["spread"]).mapInArrow(cut, "lang string, bytes binary").orderBy("lang", "bytes").collect()
+    rows = labelled.where(F.col("spread") <= bound).dropDuplicates(["spread"]).mapInArrow(leased("text", cut), "lang string, bytes binary").orderBy("lang", "bytes").collect()
     if not rows:
         return None
     langs = sorted({r.lang for r in rows})
@@ -290,4 +290,4 @@ def predict(docs: DataFrame, model: LangModel | None, cfg: LangIdConfig = LangId
             )
 
     schema = "doc_id long, lang_pred string, score double, probabilities array<double>"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(label, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(leased("text", label), schema)

@@ -37,7 +37,7 @@ SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
     "tier int, step_group long"
 )
-CACHE_PIECES = 500_000
+CACHE_PIECES = 250_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -174,7 +174,7 @@ class TextTokenizer:
 
 
 def tokenizer_of(path: str) -> TextTokenizer:
-    cache = process_cache()
+    cache = process_cache("tokenizer")
     if cache.get("tokenizer_path") != path:
         cache["tokenizer"], cache["tokenizer_path"] = TextTokenizer(path), path
     return cache["tokenizer"]

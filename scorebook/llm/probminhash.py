@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Roller, Texts, materialise, mix, sorted_groups, space_words, text_slices, to_signed
+from .common import Roller, Texts, leased, materialise, mix, sorted_groups, space_words, text_slices, to_signed
 from .components import connected_components
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -137,7 +137,7 @@ def sketch(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
                      pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())], names)
 
     schema = "doc_id long, h1 long, h2 long, bands array<long>, prints binary"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(leased("text", run), schema)
 
 
 def shingle_table(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
@@ -155,7 +155,7 @@ def shingle_table(docs: DataFrame, cfg: MinHashConfig) -> DataFrame:
                     [batch.column("doc_id").slice(t.lo, len(t)), pa.array(items, pa.binary()), pa.array(weights, pa.binary())],
                     ["doc_id", "items", "weights"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, items binary, weights binary")
+    return docs.select("doc_id", "text").mapInArrow(leased("text", run), "doc_id long, items binary, weights binary")
 
 
 def probability_jaccard(x: np.ndarray, a: np.ndarray, y: np.ndarray, b: np.ndarray) -> float:
@@ -205,7 +205,7 @@ def verified(pairs: DataFrame, shingles: DataFrame, cfg: MinHashConfig) -> DataF
 
     left = shingles.select(F.col("doc_id").alias("u"), F.col("items").alias("xi"), F.col("weights").alias("xw"))
     right = shingles.select(F.col("doc_id").alias("v"), F.col("items").alias("yi"), F.col("weights").alias("yw"))
-    return pairs.select("u", "v").join(right, "v").join(left, "u").mapInArrow(run, "u long, v long, similarity double")
+    return pairs.select("u", "v").join(right, "v").join(left, "u").mapInArrow(leased("text", run), "u long, v long, similarity double")
 
 
 def chunk_pairs(rows: DataFrame, cfg: MinHashConfig) -> DataFrame:
@@ -257,7 +257,7 @@ def hopeful(dealt: DataFrame, cfg: MinHashConfig) -> DataFrame:
 
     spread = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "doc_id")
     kinds = "key long, lo int, hi int, own int, doc_id long, comp long, prints binary"
-    return spread.mapInArrow(run, kinds)
+    return spread.mapInArrow(leased("text", run), kinds)
 
 
 def common_counts(items: list[np.ndarray], tile: int = 4096) -> np.ndarray:
@@ -332,7 +332,7 @@ def group_links(rows: DataFrame, shingles: DataFrame, cfg: MinHashConfig) -> Dat
 
     sets = rows.join(shingles, "doc_id").select("key", "lo", "hi", "doc_id", "comp", "prints", "items", "weights")
     spread = sets.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "doc_id")
-    return spread.mapInArrow(run, "u long, v long, similarity double").dropDuplicates(["u", "v"])
+    return spread.mapInArrow(leased("text", run), "u long, v long, similarity double").dropDuplicates(["u", "v"])
 
 
 @dataclass

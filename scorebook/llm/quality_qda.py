@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Roller, Texts, space_words, text_slices, word_spans
+from .common import Roller, Texts, leased, space_words, text_slices, word_spans
 
 # The statistics, in order.
 STATISTICS = (
@@ -117,7 +117,7 @@ def statistics(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "stats"])
 
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return picked.mapInArrow(measure, "doc_id long, stats array<double>")
+    return picked.mapInArrow(leased("text", measure), "doc_id long, stats array<double>")
 
 
 def fit(labelled: DataFrame, cfg: QdaConfig = QdaConfig()) -> QdaModel:
@@ -167,4 +167,4 @@ def score(stats: DataFrame, model: QdaModel, cfg: QdaConfig = QdaConfig()) -> Da
             x = flat.reshape(batch.num_rows, len(STATISTICS)) if batch.num_rows else np.zeros((0, len(STATISTICS)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(posterior(model, x, cfg))], ["doc_id", "score"])
 
-    return stats.select("doc_id", "stats").mapInArrow(run, "doc_id long, score double")
+    return stats.select("doc_id", "stats").mapInArrow(leased("text", run), "doc_id long, score double")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from .common import Roller, Texts, carrying, materialise, space_words, text_slices, to_signed, uncarried, window_owner
+from .common import Roller, Texts, carrying, leased, materialise, space_words, text_slices, to_signed, uncarried, window_owner
 
 
 @dataclass(frozen=True)
@@ -99,7 +99,7 @@ def document_anchors(docs: DataFrame, size: int) -> DataFrame:
                     [pa.array(ids[t.lo + owner[fresh]].astype(np.int64)), pa.array(to_signed(least[fresh]))], ["doc_id", "anchor"]
                 )
 
-    return docs.where("doc_id is not null and text is not null").mapInArrow(run, "doc_id long, anchor long")
+    return docs.where("doc_id is not null and text is not null").mapInArrow(leased("text", run), "doc_id long, anchor long")
 
 
 def surviving_anchors(spark: SparkSession, docs: DataFrame, size: int) -> DataFrame:
@@ -146,7 +146,7 @@ def first_holders(joined: DataFrame, size: int) -> DataFrame:
                     ["doc_id", "k1", "k2"],
                 )
 
-    rows = joined.mapInArrow(_coalesced(run, ("doc_id", "k1", "k2")), "doc_id long, k1 long, k2 long")
+    rows = joined.mapInArrow(leased("text", _coalesced(run, ("doc_id", "k1", "k2"))), "doc_id long, k1 long, k2 long")
     least = rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"))
     return least.groupBy("doc_id").agg(F.collect_list("k1").alias("firsts"))
 
@@ -186,7 +186,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, cfg: SubstringConfig =
             )
 
     done = _with_lists(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), cfg.size)
-    return done.mapInArrow(run, f"doc_id long, n_words long, n_removed long, kept string, {ranges}")
+    return done.mapInArrow(leased("text", run), f"doc_id long, n_words long, n_removed long, kept string, {ranges}")
 
 
 def cleaned(spark: SparkSession, docs: DataFrame, cfg: SubstringConfig = SubstringConfig()) -> DataFrame:
@@ -207,7 +207,7 @@ def cleaned(spark: SparkSession, docs: DataFrame, cfg: SubstringConfig = Substri
             yield whole.filter(pa.array((n_removed == 0) | (n_removed < n_words)))
 
     packed = carrying(docs)
-    out = _with_lists(spark, packed, cfg.size).mapInArrow(run, StructType([*packed.schema.fields, StructField("changed", BooleanType())]))
+    out = _with_lists(spark, packed, cfg.size).mapInArrow(leased("text", run), StructType([*packed.schema.fields, StructField("changed", BooleanType())]))
     if "n_chars" in docs.columns:
         length = F.when(F.col("changed"), F.length("text")).otherwise(F.col("carry.n_chars"))
         out = out.withColumn("carry", F.col("carry").withField("n_chars", length.cast(docs.schema["n_chars"].dataType)))
@@ -260,7 +260,7 @@ def longest_repeats(spark: SparkSession, docs: DataFrame, cfg: SubstringConfig =
     lists = surviving_anchors(spark, texts, cfg.size)
     out, level = None, cfg.size
     while True:
-        rows = materialise(spark, texts.join(lists, "doc_id").mapInArrow(_level_windows(level, level == cfg.size), "doc_id long, k1 long, k2 long"), "level")
+        rows = materialise(spark, texts.join(lists, "doc_id").mapInArrow(leased("text", _level_windows(level, level == cfg.size)), "doc_id long, k1 long, k2 long"), "level")
         shared = rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("k1", "k2")
         found = rows.join(shared, ["k1", "k2"], "left_semi").groupBy("doc_id").agg(F.collect_set("k1").alias("anchors"))
         lists = materialise(spark, found, "level-lists")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Roller, Texts, mix, text_slices, word_spans
+from .common import Roller, Texts, leased, mix, text_slices, word_spans
 
 BLOCK = 32
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -275,7 +275,7 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: CrfConfig = CrfConfig()) -> Crf
 
     sample = labelled_sample(docs, labels, cfg)
     grams = (
-        sample.mapInArrow(count, "gram long, pos long, neg long").groupBy("gram")
+        sample.mapInArrow(leased("text", count), "gram long, pos long, neg long").groupBy("gram")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).collect()  # at most 2^bits rows
     )
     share = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
@@ -289,7 +289,7 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: CrfConfig = CrfConfig()) -> Crf
     if not marked.any():
         return None
     # Passages around tagged words, and as many words of clean text, are the chain's training sequences.
-    seq = sample.mapInArrow(_sequences(marked, bits), "spread long, passage binary").orderBy("spread", "passage")
+    seq = sample.mapInArrow(leased("text", _sequences(marked, bits)), "spread long, passage binary").orderBy("spread", "passage")
     texts, total = [], 0
     for r in seq.limit(cfg.train_tokens // 24).toLocalIterator():
         texts.append(bytes(r.passage))
@@ -341,7 +341,7 @@ def score(docs: DataFrame, model: CrfModel | None, cfg: CrfConfig = CrfConfig(),
         for batch in batches:
             n = batch.num_rows
             total, rows, parts = np.zeros(n), np.zeros(n, np.int64), []
-            for t in text_slices(batch.column("text"), 1 << 20):
+            for t in text_slices(batch.column("text"), 1 << 19):
                 if model is None:
                     continue
                 s, doc, start, length, p = score_texts(model, t, roller, cfg.bits)
@@ -356,7 +356,7 @@ def score(docs: DataFrame, model: CrfModel | None, cfg: CrfConfig = CrfConfig(),
             yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(ends), items)], ["doc_id", "score", "spans"])
 
     schema = "doc_id long, score double, spans array<struct<start:long,length:long,marginal:double>>"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(leased("text", run), schema)
 
 
 def filtered(docs: DataFrame, model: CrfModel | None, cfg: CrfConfig, threshold: float) -> DataFrame:
@@ -365,10 +365,10 @@ def filtered(docs: DataFrame, model: CrfModel | None, cfg: CrfConfig, threshold:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller = Roller(23)
         for batch in batches:
-            total = np.zeros(batch.num_rows)
-            for t in text_slices(batch.column("text"), 1 << 20):
-                if model is not None:
-                    total[t.lo : t.lo + len(t)] = score_texts(model, t, roller, cfg.bits)[0]
-            yield batch.filter(pa.array(total < threshold))
+            if not batch.num_rows:
+                yield batch
+            for t in text_slices(batch.column("text"), 1 << 19):  # rows leave slice by slice, so no second batch builds up
+                total = score_texts(model, t, roller, cfg.bits)[0] if model is not None else np.zeros(len(t))
+                yield batch.slice(t.lo, len(t)).filter(pa.array(total < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(leased("text", run), docs.schema)
