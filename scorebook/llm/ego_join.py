@@ -206,15 +206,20 @@ def box_gap(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.sqrt((gap * gap).sum()))
 
 
-def recursive_join(x: np.ndarray, y: np.ndarray, same: bool, cosine: float, leaf: int, eps: float) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs (i, j) of two sequence intervals with cosine >= the threshold; i < j if they are the same interval."""
+def recursive_join(
+    x: np.ndarray, y: np.ndarray, px: np.ndarray, py: np.ndarray, same: bool, cosine: float, leaf: int, eps: float
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (i, j) of two sequence intervals with cosine >= the threshold; i < j if they are the same interval.
+
+    x, y: unit vectors; px, py: the same on the principal axes, for the boxes.
+    """
     out = []
     stack = [(0, len(x), 0, len(y))]
     while stack:
         a0, a1, b0, b1 = stack.pop()
         if a0 >= a1 or b0 >= b1 or (same and b1 <= a0 + 1):
             continue
-        if not (same and a0 == b0) and box_gap(x[a0:a1], y[b0:b1]) > eps + 1e-9:
+        if not (same and a0 == b0) and box_gap(px[a0:a1], py[b0:b1]) > eps + 1e-9:
             continue
         if a1 - a0 <= leaf and b1 - b0 <= leaf:
             i, j = np.nonzero(x[a0:a1] @ y[b0:b1].T >= cosine)
@@ -253,18 +258,19 @@ def join_blocks(blocks: DataFrame, pairs: DataFrame, axes: np.ndarray, cfg: EgoC
             copies = np.frombuffer(batch.column(f"{side}copies")[i].as_py(), np.int64)
             raw = batch.column(f"{side}data")[i].as_py()
             kind = np.float32 if len(raw) == 4 * dim * len(ids) else np.float64
-            return ids, copies, unit(np.frombuffer(raw, kind).reshape(len(ids), dim).astype(np.float64)) @ axes
+            x = unit(np.frombuffer(raw, kind).reshape(len(ids), dim).astype(np.float64))
+            return ids, copies, x, x @ axes[:, : cfg.box_axes]
 
         for batch in batches:
             for i in range(batch.num_rows):
                 same = batch.column("a")[i] == batch.column("b")[i]
-                ids, copies, x = unpack(batch, "a", i)
+                ids, copies, x, px = unpack(batch, "a", i)
                 if same:
-                    other, y = np.zeros(0, np.int64), x
+                    other, y, py = np.zeros(0, np.int64), x, px
                 else:
-                    other, more, y = unpack(batch, "b", i)
+                    other, more, y, py = unpack(batch, "b", i)
                     copies = np.concatenate([copies, more])
-                hits = recursive_join(x, y, same, cfg.cosine, cfg.leaf, cfg.eps)
+                hits = recursive_join(x, y, px, py, same, cfg.cosine, cfg.leaf, cfg.eps)
                 if not hits:
                     continue
                 p = np.concatenate([h[0] for h in hits])
