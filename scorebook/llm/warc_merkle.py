@@ -1,13 +1,13 @@
 """WARC replicas and their Merkle fixity audit.
 
 ``write_warc`` writes records (page_id, url, html) as WARC 1.0 resource records into one file per shard, in order of
-page_id, with Spark's own writer. ``fixity`` reads a replica's files back, cuts them into records by their headers and
+page_id, with Spark's own writer (gzip files by default). ``fixity`` reads a replica's files back, cuts them into records by their headers and
 hashes each record and its offset range. ``audit`` compares two replicas: each replica's leaves are hashed into trees
 of ``fan`` children a node, level by level over ordered ranges; the descent starts at the shard roots and opens only
 branches whose hashes differ (or that one replica lacks), down to the damaged offset ranges.
 
 Defined results: null urls and texts are written as empty; a null page_id is written as an empty id and read as null;
-repeated rows are records of their own; a file whose header is broken is picked up again at the next record; an empty
+repeated rows are records of their own; a file whose header is broken is picked up again at the next record, a gzip file that is broken ends there; an empty
 table gives an empty replica and an audit without rows. Extra columns are ignored.
 """
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,6 +35,7 @@ class MerkleConfig:
     shard_ids: int = 1000  #: consecutive page_ids of a shard
     shard_bytes: int = 64 << 20  #: files are rolled at so many records that they stay near this size
     fan: int = 16
+    compression: str = "gzip"  #: of the files; offsets and hashes are of the records' own bytes
 
 
 def record(page_id: Column, url: Column, payload: Column) -> Column:
@@ -53,7 +55,20 @@ def write_warc(pages: DataFrame, path: str, cfg: MerkleConfig = MerkleConfig())
     rows = pages.select("page_id", shard.alias("shard"), record(F.col("page_id"), F.col("url"), payload).alias("value"))
     ordered = rows.repartition("shard").sortWithinPartitions("shard", "page_id", "value").select("shard", "value")
     most = max(1, cfg.shard_bytes // 4096)
-    ordered.write.partitionBy("shard").option("maxRecordsPerFile", most).text(path)
+    ordered.write.partitionBy("shard").option("maxRecordsPerFile", most).option("compression", cfg.compression).text(path)
+
+
+def unpacked(content: bytes) -> bytes:
+    """A file's records; of a damaged gzip file, those before the damage."""
+    if content[:2] != b"\x1f\x8b":
+        return content
+    reader, out = zlib.decompressobj(31), []
+    try:
+        for at in range(0, len(content), 1 << 16):
+            out.append(reader.decompress(content[at : at + (1 << 16)]))
+    except zlib.error:
+        pass
+    return b"".join(out)
 
 
 def parse(content: bytes) -> Iterator[tuple[int, int, str | None]]:
@@ -80,7 +95,7 @@ def fixity(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, part, raw in zip(batch.column("shard").to_pylist(), batch.column("file").to_pylist(), batch.column("content")):
-                content = raw.as_py()
+                content = unpacked(raw.as_py())
                 rows = []
                 for seq, (offset, length, page) in enumerate(parse(content)):
                     sha = hashlib.sha256(content[offset : offset + length]).hexdigest()
@@ -93,7 +108,7 @@ def fixity(spark: SparkSession, path: str) -> DataFrame:
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
     shard = F.regexp_extract("path", r"/shard=(-?\d+)/", 1).cast("long")
-    part = F.regexp_extract("path", r"[-.]c(\d+)\.txt$", 1).cast("int")
+    part = F.regexp_extract("path", r"[-.]c(\d+)\.txt(\.gz)?$", 1).cast("int")
     schema = "shard long, file int, seq long, offset long, length long, page_id long, sha256 string, leaf string"
     return files.select(shard.alias("shard"), part.alias("file"), "content").mapInArrow(run, schema)
 

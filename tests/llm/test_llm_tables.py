@@ -1,5 +1,7 @@
 """Operators on embeddings, urls and WARC records, components, and the pipeline, against brute force."""
 
+import dataclasses
+import gzip
 import os
 import random
 import sys
@@ -148,13 +150,23 @@ def test_audit_finds_exactly_the_damage(spark):
     assert {r.page_id for r in rows if r.damaged} >= {0, 49, 50, 63}
     assert not any(r.damaged for r in warc_merkle.audited(spark, a, a, cfg).collect())
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(a).collect()
-    whole = b"".join(bytes(f.content) for f in files)
+    whole = b"".join(warc_merkle.unpacked(bytes(f.content)) for f in files)
     assert whole.count(b"WARC/1.0\r\nWARC-Type") == len(pages)
+    plain = scratch_path(spark, "warc")
+    warc_merkle.write_warc(left, plain, dataclasses.replace(cfg, compression="none"))
+    assert not any(r.damaged for r in warc_merkle.audited(spark, a, plain, cfg).collect())
     empty = scratch_path(spark, "warc")
     warc_merkle.write_warc(left.where("false"), empty, cfg)
     assert warc_merkle.audited(spark, empty, empty, cfg).collect() == []
 
 
+def test_a_broken_gzip_file_ends_at_the_damage():
+    raw = gzip.compress(os.urandom(200_000))
+    assert warc_merkle.unpacked(raw) == gzip.decompress(raw)
+    hurt = raw[:100_000] + b"\xff" * 50 + raw[100_050:]
+    assert 0 < len(warc_merkle.unpacked(hurt)) <= 200_000
+
+
 def test_parse_picks_up_after_a_broken_header():
     one = b"WARC/1.0\r\nWARC-Record-ID: <urn:page:1>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     two = one.replace(b":1>", b":2>")
