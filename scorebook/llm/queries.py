@@ -76,10 +76,9 @@ def op8_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     hurt = F.when((F.col("page_id") % 97 == 13) & (F.length("html") > 0), F.concat(F.expr("left(html, length(html) - 1)"), F.lit("~")))
-    ours, theirs = scratch_path(spark, "warc"), scratch_path(spark, "warc")
-    warc_merkle.write_warc(pages, ours)
-    warc_merkle.write_warc(pages.withColumn("html", F.coalesce(hurt, "html")), theirs)
-    return warc_merkle.audited(spark, ours, theirs)
+    path = scratch_path(spark, "warc")
+    warc_merkle.write_warc(pages, path, replicas={"ours": F.col("html"), "theirs": F.coalesce(hurt, "html")})
+    return warc_merkle.audited(spark, f"{path}/replica=ours", f"{path}/replica=theirs")
 
 
 def op9_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:

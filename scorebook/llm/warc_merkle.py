@@ -48,14 +48,23 @@ def record(page_id: Column, url: Column, payload: Column) -> Column:
     )
 
 
-def write_warc(pages: DataFrame, path: str, cfg: MerkleConfig = MerkleConfig()) -> None:
-    """One folder per shard; inside a shard, records stand in order of page_id."""
-    payload = F.coalesce("html", F.lit(""))
+def write_warc(pages: DataFrame, path: str, cfg: MerkleConfig = MerkleConfig(), replicas: dict[str, Column] | None = None) -> None:
+    """One folder per shard; inside a shard, records stand in order of page_id.
+
+    ``replicas`` names several replicas and the payload of each (an expression over the columns of ``pages``); they are
+    written together, under ``path/replica=<name>``, so that the pages are shuffled once.
+    """
+    payloads = replicas or {"": F.col("html")}
     shard = F.coalesce(F.floor(F.col("page_id") / cfg.shard_ids), F.lit(-1)).cast("long")
-    rows = pages.select("page_id", shard.alias("shard"), record(F.col("page_id"), F.col("url"), payload).alias("value"))
-    ordered = rows.repartition("shard").sortWithinPartitions("shard", "page_id", "value").select("shard", "value")
+    rows = pages.withColumn("__shard", shard).repartition("__shard")
+    copies = F.array(*(F.struct(F.lit(n).alias("replica"), F.coalesce(p, F.lit("")).alias("payload")) for n, p in payloads.items()))
+    each = rows.select("page_id", "url", F.col("__shard").alias("shard"), F.explode(copies).alias("copy"))
+    value = record(F.col("page_id"), F.col("url"), F.col("copy.payload")).alias("value")
+    folders = ["replica", "shard"] if replicas else ["shard"]
+    ordered = each.select("page_id", F.col("copy.replica").alias("replica"), "shard", value).sortWithinPartitions(*folders, "page_id", "value")
     most = max(1, cfg.shard_bytes // 4096)
-    ordered.write.partitionBy("shard").option("maxRecordsPerFile", most).option("compression", cfg.compression).text(path)
+    writer = ordered.select(*folders, "value").write.partitionBy(*folders)
+    writer.option("maxRecordsPerFile", most).option("compression", cfg.compression).text(path)
 
 
 def unpacked(content: bytes) -> bytes:
