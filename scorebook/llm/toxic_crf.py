@@ -1,9 +1,12 @@
 """Toxic spans by a linear-chain conditional random field over words.
 
-Training labels are per document, so token labels are derived first: over all labelled texts of the training sample,
-the 4-byte grams (word edges marked) that occur in toxic documents and hardly in others mark a word as toxic. A
-two-state chain (clean, toxic) is then fitted to these tokens by gradient ascent on the conditional likelihood
-(forward-backward expectations): hashed word and gram weights, a bias and a 2 x 2 transition matrix. Scoring runs
+Training labels are per document, so token labels are derived first, from two kinds of evidence over all labelled
+texts of the training sample: 4-byte grams (word edges marked) that occur in toxic documents and hardly in others, and
+stems (word starts of 5 to 7 bytes) that a text repeats at a rate of one in ``sparse`` words or denser. A single
+occurrence of a stem may be chance in a language that builds words freely; its repetition is the evidence there. What is
+marked has a bound on chance (``_marks``). A two-state chain (clean, toxic) is then fitted to these tokens by gradient
+ascent on the conditional likelihood (forward-backward expectations): hashed word, gram and repeated-stem weights, a
+bias and a 2 x 2 transition matrix. Scoring runs
 forward-backward over all words of a text, in log-free scaled form: words are laid out in blocks, the blocks' transfer
 matrices are chained, and every block then gets its incoming messages, so that all blocks of a slice advance together.
 The document score is the largest marginal of its words, so that long texts do not add up small doubts; words with
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 from .common import Roller, Texts, leased, mix, text_slices, word_spans
 
 BLOCK = 32
+STEMS = (5, 6, 7)  # bytes of a word's start; at most 7, as a stem and its length share one 64-bit number
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _INSIDE = np.zeros(256, dtype=bool)
@@ -37,7 +41,9 @@ class CrfConfig:
     sample_rows: int = 10_000  #: bound of the labelled sample, in documents of each class (least hash first)
     bits: int = 18  #: hashed features: 2^bits grams and 2^bits words
     min_share: float = 0.98  #: least share of toxic documents among those with a gram that marks toxic words
-    false_grams: float = 0.05  #: grams that may be marked by chance, over all grams of the sample
+    stem_share: float = 0.8  #: the same for repeated stems, whose chance repetitions in clean texts are never quite none
+    sparse: int = 128  #: a repeated stem starts at least one word in so many of its text
+    false_grams: float = 0.05  #: grams (and as many stems) that may be marked by chance, over all of the sample
     train_tokens: int = 120_000  #: bound of the tokens the chain is fitted to
     steps: int = 60
     rate: float = 0.5
@@ -47,6 +53,7 @@ class CrfConfig:
 class CrfModel:
     gram: np.ndarray  #: 2^bits, weight of the toxic state
     word: np.ndarray
+    stem: np.ndarray
     bias: float
     transition: np.ndarray  #: log potentials, from row to column; 0 clean, 1 toxic
 
@@ -55,9 +62,14 @@ class CrfModel:
 
 
 class Features:
-    """Words of a slice of texts and, for each, the hashed bucket of the word and of its 4-byte grams."""
+    """Words of a slice of texts and, for each, the hashed bucket of the word, of its 4-byte grams and of its stems.
 
-    def __init__(self, texts: Texts, roller: Roller, bits: int):
+    ``repeats`` has a bit per word and stem length: whether the text repeats the stem. It is counted over the whole
+    texts unless given, as for passages that were cut from longer ones.
+    """
+
+    def __init__(self, texts: Texts, roller: Roller, cfg: CrfConfig, repeats: np.ndarray | None = None):
+        bits = cfg.bits
         low = _LOWER[texts.data]
         inside = _INSIDE[low]
         self.starts, self.ends, self.first = word_spans(low, texts.offsets, inside)
@@ -78,15 +90,67 @@ class Features:
             sign = np.where((place >= s) & (place < e), low[np.clip(place, 0, max(len(low) - 1, 0))] if len(low) else 0, 32)
             code = (code << np.uint64(8)) | sign.astype(np.uint64)
         self.gram = (mix(code + np.uint64(1)) >> shift).astype(np.int64)
+        self._stems(low, shift, cfg.sparse, repeats)
 
-
-def _gram_counts(features: Features, labels: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Documents with each gram, among toxic and among clean ones."""
-    doc = features.owner[features.gram_word]
-    pair = np.unique(doc * (1 << bits) + features.gram)
-    d, g = pair >> bits, pair & ((1 << bits) - 1)
+    def _stems(self, low: np.ndarray, shift: np.uint64, sparse: int, repeats: np.ndarray | None) -> None:
+        length = self.ends - self.starts
+        code, words, keys, kinds = np.zeros(len(length), np.uint64), [], [], []
+        for j in range(max(STEMS)):
+            sign = low[np.minimum(self.starts + j, len(low) - 1)] if len(low) else low
+            code = (code << np.uint64(8)) | sign.astype(np.uint64)
+            if j + 1 in STEMS:
+                has = np.flatnonzero(length > j)
+                words.append(has)
+                keys.append(mix((code[has] << np.uint64(3)) | np.uint64(j + 1)))
+                kinds.append(np.full(len(has), STEMS.index(j + 1), np.uint8))
+        word, key, kind = np.concatenate(words), np.concatenate(keys), np.concatenate(kinds)
+        if repeats is None:
+            doc = self.owner[word]
+            _, same, count = np.unique(mix(key ^ mix(doc.astype(np.uint64) + np.uint64(1))), return_inverse=True, return_counts=True)
+            count = count[same]
+            often = (count > 1) & (count * sparse >= np.diff(self.first)[doc])
+            bits_of = np.bincount(word[often], weights=(1 << kind[often].astype(np.int64)), minlength=len(length))
+            self.repeats = bits_of.astype(np.uint8)
+        else:
+            self.repeats = repeats
+            often = (repeats[word] >> kind) & 1 == 1
+        bucket = (key >> shift).astype(np.int64)
+        self.stem_word, self.stem = word[often], bucket[often]
+        self.lone_word, self.lone = word[~often], bucket[~often]
+
+
+def _counts(f: Features, labels: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Documents with each gram and, after all grams, with each repeated stem: among toxic and among clean ones."""
+    size = 2 << bits
+    doc = np.concatenate([f.owner[f.gram_word], f.owner[f.stem_word]])
+    pair = np.unique(doc * size + np.concatenate([f.gram, f.stem + (1 << bits)]))
+    d, g = pair // size, pair % size
     toxic = labels[d] == 1
-    return np.bincount(g[toxic], minlength=1 << bits), np.bincount(g[~toxic], minlength=1 << bits)
+    return np.bincount(g[toxic], minlength=size), np.bincount(g[~toxic], minlength=size)
+
+
+def _marks(pos: np.ndarray, neg: np.ndarray, toxic: int, clean: int, min_share: float, false: float) -> tuple[np.ndarray, np.ndarray]:
+    """(marked, soft weight) of features with ``pos`` toxic and ``neg`` clean documents of the sample.
+
+    A feature that has nothing to do with the label has chance at most exp(-n KL) of so large a toxic share in its n
+    documents (Chernoff). Features in too few documents to pass at all are not counted as tries (Tarone), so that at
+    most ``false`` are marked by chance. The soft weight is the share over one plus the number of chance features as good.
+    """
+    if not len(pos):
+        return np.zeros(0, bool), np.zeros(0)
+    n, base = pos + neg, toxic / (toxic + clean)
+    s = pos / n
+    with np.errstate(divide="ignore", invalid="ignore"):
+        kl = np.where(s > 0, s * np.log(s / base), 0.0) + np.where(s < 1, (1 - s) * np.log((1 - s) / (1 - base)), 0.0)
+    chance = np.where(s > base, -n * kl, 0.0)
+    share = pos / (pos + neg)
+    sizes = np.unique(n)
+    tries = len(n) - np.searchsorted(np.sort(n), sizes)
+    able = np.flatnonzero(np.log(tries) + sizes * np.log(base) <= np.log(false))
+    level = np.log(false) - np.log(tries[able[0]]) if len(able) else -np.inf
+    good = share >= min_share
+    soft = np.where(good, share / (1 + len(n) * np.exp(chance)), 0.0)
+    return good & (chance <= level), soft
 
 
 # ---------------------------------------------------------------- the chain
@@ -184,26 +248,28 @@ def forward_backward(emission: np.ndarray, transition: np.ndarray, first: np.nda
 
 def emissions(model: CrfModel, f: Features) -> np.ndarray:
     total = np.bincount(f.gram_word, weights=model.gram[f.gram], minlength=len(f.word))
+    total += np.bincount(f.stem_word, weights=model.stem[f.stem], minlength=len(f.word))
     return total + model.word[f.word] + model.bias
 
 
 def train_chain(f: Features, tags: np.ndarray, cfg: CrfConfig) -> CrfModel:
-    """Gradient ascent (AdaGrad) on the conditional log-likelihood of the token tags."""
+    """Gradient ascent (AdaGrad) on the conditional log-likelihood of the token tags (0 to 1)."""
     size = 1 << cfg.bits
-    model = CrfModel(np.zeros(size), np.zeros(size), -2.0, np.zeros((2, 2)))
+    model = CrfModel(np.zeros(size), np.zeros(size), np.zeros(size), -2.0, np.zeros((2, 2)))
     inner = np.ones(len(tags), dtype=bool)
     inner[f.first[:-1][np.diff(f.first) > 0]] = False
     at = np.flatnonzero(inner)
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (tags[at - 1], tags[at]), 1.0)
+    before, after = (np.stack([1.0 - tags[i], tags[i]]) for i in (at - 1, at))
+    seen = before @ after.T
     n = max(len(tags), 1)
-    squares = [np.full(size, 1e-6), np.full(size, 1e-6), 1e-6, np.full((2, 2), 1e-6)]
+    squares = [np.full(size, 1e-6), np.full(size, 1e-6), np.full(size, 1e-6), 1e-6, np.full((2, 2), 1e-6)]
     for _ in range(cfg.steps):
         p, expected, _ = forward_backward(emissions(model, f), model.transition, f.first)
         miss = (tags - p) / n
         grads = [
             np.bincount(f.gram, weights=miss[f.gram_word], minlength=size) - 1e-7 * model.gram,
             np.bincount(f.word, weights=miss, minlength=size) - 1e-7 * model.word,
+            np.bincount(f.stem, weights=miss[f.stem_word], minlength=size) - 1e-7 * model.stem,
             float(miss.sum()),
             (seen - expected) / n,
         ]
@@ -215,15 +281,17 @@ def train_chain(f: Features, tags: np.ndarray, cfg: CrfConfig) -> CrfModel:
             elif i == 1:
                 model.word += np.where(np.abs(g) > 1e-9, move, 0)
             elif i == 2:
+                model.stem += np.where(np.abs(g) > 1e-9, move, 0)
+            elif i == 3:
                 model.bias += float(move)
             else:
                 model.transition = model.transition + np.clip(move, -0.5, 0.5)
     return model
 
 
-def score_texts(model: CrfModel, texts: Texts, roller: Roller, bits: int):
+def score_texts(model: CrfModel, texts: Texts, roller: Roller, cfg: CrfConfig):
     """Per text: score and (starts, lengths, marginals) of its offending words."""
-    f = Features(texts, roller, bits)
+    f = Features(texts, roller, cfg)
     p, _, _ = forward_backward(emissions(model, f), model.transition, f.first)
     top = np.zeros(len(texts))
     has = np.flatnonzero(np.diff(f.first))
@@ -259,76 +327,93 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, cfg: CrfConfig) -> DataF
 
 def fit(docs: DataFrame, labels: DataFrame, cfg: CrfConfig = CrfConfig()) -> CrfModel | None:
     """Learn from (doc_id, text) and (doc_id, label); see the module text for how words get their tags."""
-    bits = cfg.bits
+    size = 1 << cfg.bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller = Roller(23)
-        pos, neg = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
+        pos, neg = np.zeros(2 * size, np.int64), np.zeros(2 * size, np.int64)
         for batch in batches:
             lab = batch.column("label").to_numpy(zero_copy_only=False)
             for t in text_slices(batch.column("text")):
-                a, b = _gram_counts(Features(t, roller, bits), lab[t.lo : t.lo + len(t)], bits)
+                a, b = _counts(Features(t, roller, cfg), lab[t.lo : t.lo + len(t)], cfg.bits)
                 pos += a
                 neg += b
         hit = np.flatnonzero(pos + neg)
-        yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(pos[hit]), pa.array(neg[hit])], ["gram", "pos", "neg"])
+        yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(pos[hit]), pa.array(neg[hit])], ["feature", "pos", "neg"])
 
     sample = labelled_sample(docs, labels, cfg)
-    grams = (
-        sample.mapInArrow(leased("text", count), "gram long, pos long, neg long").groupBy("gram")
-        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).collect()  # at most 2^bits rows
+    found = (
+        sample.mapInArrow(leased("text", count), "feature long, pos long, neg long").groupBy("feature")
+        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).toArrow()  # at most 2 x 2^bits rows
     )
     share = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    if not grams or not share.get(1) or not share.get(0):
+    if not found.num_rows or not share.get(1) or not share.get(0):
         return None
-    # A gram in k toxic documents and no clean one has chance (toxic share)^k; so many are needed that hardly any is chance.
-    rarity = -np.log(share[1] / (share[0] + share[1]))
-    least = (np.log(len(grams)) - np.log(cfg.false_grams)) / rarity
-    marked = np.zeros(1 << bits, dtype=bool)
-    marked[[r.gram for r in grams if r.pos >= least and r.pos >= cfg.min_share * (r.pos + r.neg)]] = True
-    if not marked.any():
+    feature, pos, neg = (found.column(c).to_numpy() for c in ("feature", "pos", "neg"))
+    marked, soft = np.zeros(len(feature), bool), np.zeros(len(feature))
+    for kind, least in ((feature < size, cfg.min_share), (feature >= size, cfg.stem_share)):
+        marked[kind], soft[kind] = _marks(pos[kind], neg[kind], share[1], share[0], least, cfg.false_grams)
+    marks = np.zeros(2 * size)
+    # With too few labels for any feature to pass, all weigh as much as they are more than chance.
+    marks[feature] = np.where(marked, 1.0, 0.0) if marked.any() else soft
+    if not marks.any():
         return None
     # Passages around tagged words, and as many words of clean text, are the chain's training sequences.
-    seq = sample.mapInArrow(leased("text", _sequences(marked, bits)), "spread long, passage binary").orderBy("spread", "passage")
-    texts, total = [], 0
+    schema = "spread long, passage binary, repeats binary"
+    seq = sample.mapInArrow(leased("text", _sequences(marks, cfg)), schema).orderBy("spread", "passage")
+    texts, repeats, total = [], [], 0
     for r in seq.limit(cfg.train_tokens // 24).toLocalIterator():
         texts.append(bytes(r.passage))
-        total += texts[-1].count(b" ") + 1
+        repeats.append(bytes(r.repeats))
+        total += len(repeats[-1])
         if total >= cfg.train_tokens:
             break
     data = np.frombuffer(b"".join(texts), np.uint8)
     off = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    f = Features(Texts(data, off, 0, np.ones(len(texts), bool)), Roller(23), bits)
-    return train_chain(f, tag_words(f, marked), cfg)
+    given = np.frombuffer(b"".join(repeats), np.uint8)
+    f = Features(Texts(data, off, 0, np.ones(len(texts), bool)), Roller(23), cfg, given)
+    return train_chain(f, tag_words(f, marks), cfg)
 
 
-def tag_words(f: Features, marked: np.ndarray) -> np.ndarray:
-    """1 for words with a gram that marks toxic words."""
-    return (np.bincount(f.gram_word, weights=marked[f.gram], minlength=len(f.word)) > 0).astype(np.int64)
+def tag_words(f: Features, marks: np.ndarray) -> np.ndarray:
+    """For each word the largest mark (0 to 1) of its grams and repeated stems."""
+    tags, size = np.zeros(len(f.word)), len(marks) // 2
+    for word, mark in ((f.gram_word, marks[f.gram]), (f.stem_word, marks[size + f.stem])):
+        at = np.flatnonzero(mark)
+        np.maximum.at(tags, word[at], mark[at])
+    return tags
 
 
-def _sequences(marked: np.ndarray, bits: int, reach: int = 12):
-    """Cuts a passage of 2 x reach words around one tagged word of each text, or at a hashed place of a clean one."""
+def _sequences(marks: np.ndarray, cfg: CrfConfig, reach: int = 12):
+    """Cuts a passage of 2 x reach words of each text: around a tagged word, else around one with a marked stem that the
+    text does not repeat (the chain must tell the two apart), else at a hashed place."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roller = Roller(23)
+        roller, stems = Roller(23), marks[len(marks) // 2 :]
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            keys, out = [], []
+            keys, out, flags = [], [], []
             for t in text_slices(batch.column("text")):
-                f = Features(t, roller, bits)
-                tags = tag_words(f, marked)
+                f = Features(t, roller, cfg)
+                tagged = np.flatnonzero(tag_words(f, marks))
+                lone = np.unique(f.lone_word[stems[f.lone] > 0])
                 spread = mix(ids[t.lo : t.lo + len(t)].astype(np.uint64))
                 for i in range(len(t)):
                     a, b = int(f.first[i]), int(f.first[i + 1])
                     if a == b:
                         continue
-                    hits = np.flatnonzero(tags[a:b])
-                    mid = a + int(hits[int(spread[i]) % len(hits)] if len(hits) else int(spread[i]) % (b - a))
+                    mid = a + int(spread[i]) % (b - a)
+                    for places in (tagged, lone):
+                        hits = places[np.searchsorted(places, a) : np.searchsorted(places, b)]
+                        if len(hits):
+                            mid = int(hits[int(spread[i]) % len(hits)])
+                            break
                     lo, hi = max(a, mid - reach), min(b, mid + reach)
                     out.append(t.data[f.starts[lo] : f.ends[hi - 1]].tobytes())
+                    flags.append(f.repeats[lo:hi].tobytes())
                     keys.append(int(spread[i] >> np.uint64(1)))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, pa.binary())], ["spread", "passage"])
+            arrays = [pa.array(keys, pa.int64()), pa.array(out, pa.binary()), pa.array(flags, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["spread", "passage", "repeats"])
 
     return cut
 
@@ -344,7 +429,7 @@ def score(docs: DataFrame, model: CrfModel | None, cfg: CrfConfig = CrfConfig(),
             for t in text_slices(batch.column("text"), 1 << 19):
                 if model is None:
                     continue
-                s, doc, start, length, p = score_texts(model, t, roller, cfg.bits)
+                s, doc, start, length, p = score_texts(model, t, roller, cfg)
                 total[t.lo : t.lo + len(t)] = s
                 if spans:
                     rows[t.lo : t.lo + len(t)] = np.bincount(doc, minlength=len(t))
@@ -368,7 +453,7 @@ def filtered(docs: DataFrame, model: CrfModel | None, cfg: CrfConfig, threshold:
             if not batch.num_rows:
                 yield batch
             for t in text_slices(batch.column("text"), 1 << 19):  # rows leave slice by slice, so no second batch builds up
-                total = score_texts(model, t, roller, cfg.bits)[0] if model is not None else np.zeros(len(t))
+                total = score_texts(model, t, roller, cfg)[0] if model is not None else np.zeros(len(t))
                 yield batch.slice(t.lo, len(t)).filter(pa.array(total < threshold))
 
     return docs.mapInArrow(leased("text", run), docs.schema)

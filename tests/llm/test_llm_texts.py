@@ -213,6 +213,47 @@ def test_toxic_words_are_found_with_offsets(spark):
     assert {r.score for r in toxic_crf.score(docs, None, cfg).collect()} == {0.0}
 
 
+def built_words(n, rng, syllables):
+    """Words of one to four syllables, as of a language that builds words freely."""
+    return ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(n)]
+
+
+LANGUAGES = {
+    "listed": ("th er in on an re at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve".split(), ["stupid", "worthless", "trash", "clown"]),
+    "built": ("ung keit lich heit ver ge be zu ein sch au ach ß ü ö ä tz pf st te und die der en er el ch ie an ab".split(), ["achlich"]),
+    "signed": ("é eux ment ré ai ou tion le ê pa an vi que on tre aux eau ier elle ç è ch en oi la des re qui il ne".split(), ["réeux"]),
+}
+
+
+def toxic_rows(language, at, n=160, seed=0):
+    """(doc_id, text, label): toxic texts repeat words of the list, or words built on its stem; clean ones may hold a single one."""
+    rng, (syllables, bad) = random.Random(seed + at), LANGUAGES[language]
+    rows = []
+    for i in range(n):
+        toxic = i % 8 == 0
+        w = built_words(rng.randint(120, 400), rng, syllables)
+        listed = language == "listed"
+        for k in rng.sample(range(len(w)), 2 + len(w) // 60 if toxic else int(not listed and i % 5 == 0)):
+            w[k] = rng.choice(bad) if listed else bad[0] + rng.choice(syllables)
+        rows.append((at + i, " ".join(w), int(toxic)))
+    return rows
+
+
+def test_toxic_texts_are_found_in_every_language(spark):
+    rows = {name: toxic_rows(name, 1000 * k, 280) for k, name in enumerate(LANGUAGES)}
+    every = [r for v in rows.values() for r in v]
+    docs = frame(spark, [(i, t) for i, t, _ in every])
+    labels = spark.createDataFrame([(i, y) for i, _, y in every], "doc_id long, label int")
+    held = {i for i, _, _ in every if i % 3 == 1}
+    cfg = toxic_crf.CrfConfig()
+    model = toxic_crf.fit(docs, labels.where("pmod(doc_id, 3) <> 1"), cfg)
+    by = {r.doc_id: r.score for r in toxic_crf.score(docs, model, cfg, spans=False).collect()}
+    for name, v in rows.items():
+        bad, clean = ([by[i] >= 0.5 for i, _, y in v if i in held and y == c] for c in (1, 0))
+        assert len(bad) >= 10 and sum(bad) >= 0.8 * len(bad), name
+        assert sum(clean) <= 0.05 * len(clean), name
+
+
 # ---------------------------------------------------------------- substring dedup
 
 
