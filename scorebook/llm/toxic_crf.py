@@ -129,9 +129,13 @@ def _counts(f: Features, labels: np.ndarray, bits: int) -> tuple[np.ndarray, np.
     return np.bincount(g[toxic], minlength=size), np.bincount(g[~toxic], minlength=size)
 
 
-def _marks(pos: np.ndarray, neg: np.ndarray, toxic: int, clean: int, min_share: float, false: float) -> tuple[np.ndarray, np.ndarray]:
+def _marks(
+    pos: np.ndarray, neg: np.ndarray, toxic: int, clean: int, stands: tuple[float, float], min_share: float, false: float
+) -> tuple[np.ndarray, np.ndarray]:
     """(marked, soft weight) of features with ``pos`` toxic and ``neg`` clean documents of the sample.
 
+    The classes are sampled apart: a toxic document of the sample stands for ``stands[0]`` labelled ones, a clean one for
+    ``stands[1]``. Shares are those of all labelled documents; chance is that of the sample, in which features are drawn.
     A feature that has nothing to do with the label has chance at most exp(-n KL) of so large a toxic share in its n
     documents (Chernoff). Features in too few documents to pass at all are not counted as tries (Tarone), so that at
     most ``false`` are marked by chance. The soft weight is the share over one plus the number of chance features as good.
@@ -143,7 +147,7 @@ def _marks(pos: np.ndarray, neg: np.ndarray, toxic: int, clean: int, min_share:
     with np.errstate(divide="ignore", invalid="ignore"):
         kl = np.where(s > 0, s * np.log(s / base), 0.0) + np.where(s < 1, (1 - s) * np.log((1 - s) / (1 - base)), 0.0)
     chance = np.where(s > base, -n * kl, 0.0)
-    share = pos / (pos + neg)
+    share = pos * stands[0] / (pos * stands[0] + neg * stands[1])
     sizes = np.unique(n)
     tries = len(n) - np.searchsorted(np.sort(n), sizes)
     able = np.flatnonzero(np.log(tries) + sizes * np.log(base) <= np.log(false))
@@ -325,6 +329,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, cfg: CrfConfig) -> DataF
     ).select("doc_id", "text", "label")
 
 
+def label_weights(labels: DataFrame, cfg: CrfConfig) -> dict[int, float]:
+    """How many labelled documents each sampled one of a class stands for."""
+    ids = labels.where("doc_id is not null and label in (0, 1)").select("label", "doc_id").distinct()
+    counts = {r["label"]: r["count"] for r in ids.groupBy("label").count().collect()}
+    return {c: max(counts.get(c, 0) / cfg.sample_rows, 1.0) for c in (0, 1)}
+
+
 def fit(docs: DataFrame, labels: DataFrame, cfg: CrfConfig = CrfConfig()) -> CrfModel | None:
     """Learn from (doc_id, text) and (doc_id, label); see the module text for how words get their tags."""
     size = 1 << cfg.bits
@@ -347,12 +358,13 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: CrfConfig = CrfConfig()) -> Crf
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).toArrow()  # at most 2 x 2^bits rows
     )
     share = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    stands = label_weights(labels, cfg)
     if not found.num_rows or not share.get(1) or not share.get(0):
         return None
     feature, pos, neg = (found.column(c).to_numpy() for c in ("feature", "pos", "neg"))
     marked, soft = np.zeros(len(feature), bool), np.zeros(len(feature))
     for kind, least in ((feature < size, cfg.min_share), (feature >= size, cfg.stem_share)):
-        marked[kind], soft[kind] = _marks(pos[kind], neg[kind], share[1], share[0], least, cfg.false_grams)
+        marked[kind], soft[kind] = _marks(pos[kind], neg[kind], share[1], share[0], (stands[1], stands[0]), least, cfg.false_grams)
     marks = np.zeros(2 * size)
     # With too few labels for any feature to pass, all weigh as much as they are more than chance.
     marks[feature] = np.where(marked, 1.0, 0.0) if marked.any() else soft

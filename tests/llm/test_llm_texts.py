@@ -254,6 +254,28 @@ def test_toxic_texts_are_found_in_every_language(spark):
         assert sum(clean) <= 0.05 * len(clean), name
 
 
+def test_class_caps_do_not_change_the_share_that_marks(spark, monkeypatch):
+    rows = [(i, " ".join([*words(30, i), "schuft" if i % 8 == 0 else "ruhe", "plapper" if i % 8 == 0 or i % 8 == 1 else "still"])) for i in range(480)]
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i, _ in rows], "doc_id long, label int")
+    marks = []
+    monkeypatch.setattr(toxic_crf, "train_chain", lambda f, tags, cfg: marks.append({f.word[k] for k in np.flatnonzero(tags)}))
+    # "plapper" is in all toxic and a seventh of the clean documents: a share of 0.5, but 0.88 with as many clean as toxic ones
+    for rows_a_class in (10_000, 60):
+        toxic_crf.fit(docs, labels, toxic_crf.CrfConfig(sample_rows=rows_a_class, min_share=0.8))
+    assert marks[0] == marks[1] and len(marks[0]) == 1
+    assert toxic_crf.label_weights(labels, toxic_crf.CrfConfig(sample_rows=60)) == {0: 7.0, 1: 1.0}
+
+
+def test_few_labels_give_soft_weights(spark):
+    rows = [(i, " ".join([*words(12, i, 30), "schuft" if i < 2 else "ruhe"])) for i in range(8)]
+    labels = spark.createDataFrame([(i, int(i < 2)) for i, _ in rows], "doc_id long, label int")
+    cfg = toxic_crf.CrfConfig()
+    model = toxic_crf.fit(frame(spark, rows), labels, cfg)
+    by = {r.doc_id: r.score for r in toxic_crf.score(frame(spark, rows), model, cfg).collect()}
+    assert model is not None and max(by[i] for i in range(2, 8)) < min(by[0], by[1]) and max(by.values()) < 0.5
+
+
 # ---------------------------------------------------------------- substring dedup
 
 
