@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Roller, Texts, leased, mix, text_slices, word_spans
+from .common import Roller, Texts, leased, materialise, mix, text_slices, word_spans
 
 BLOCK = 32
 STEMS = (5, 6, 7)  # bytes of a word's start; at most 7, as a stem and its length share one 64-bit number
@@ -44,7 +44,7 @@ class CrfConfig:
     stem_share: float = 0.8  #: the same for repeated stems, whose chance repetitions in clean texts are never quite none
     sparse: int = 128  #: a repeated stem starts at least one word in so many of its text
     false_grams: float = 0.05  #: grams (and as many stems) that may be marked by chance, over all of the sample
-    train_tokens: int = 120_000  #: bound of the tokens the chain is fitted to
+    train_tokens: int = 120_000  #: bound of the tokens the chain is fitted to, half of them at most in passages around tagged words
     steps: int = 60
     rate: float = 0.5
 
@@ -370,16 +370,7 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: CrfConfig = CrfConfig()) -> Crf
     marks[feature] = np.where(marked, 1.0, 0.0) if marked.any() else soft
     if not marks.any():
         return None
-    # Passages around tagged words, and as many words of clean text, are the chain's training sequences.
-    schema = "spread long, passage binary, repeats binary"
-    seq = sample.mapInArrow(leased("text", _sequences(marks, cfg)), schema).orderBy("spread", "passage")
-    texts, repeats, total = [], [], 0
-    for r in seq.limit(cfg.train_tokens // 24).toLocalIterator():
-        texts.append(bytes(r.passage))
-        repeats.append(bytes(r.repeats))
-        total += len(repeats[-1])
-        if total >= cfg.train_tokens:
-            break
+    texts, repeats = training_passages(sample, marks, cfg)
     data = np.frombuffer(b"".join(texts), np.uint8)
     off = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
     given = np.frombuffer(b"".join(repeats), np.uint8)
@@ -387,6 +378,26 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: CrfConfig = CrfConfig()) -> Crf
     return train_chain(f, tag_words(f, marks), cfg)
 
 
+def training_passages(sample: DataFrame, marks: np.ndarray, cfg: CrfConfig) -> tuple[list[bytes], list[bytes]]:
+    """The chain's training sequences and their words' repeat flags: half the tokens at most around tagged words, as many clean.
+
+    Half of the clean ones may be around lone stems, or more where there are too few others.
+    """
+    schema = "kind int, spread long, passage binary, repeats binary"
+    seq = materialise(sample.sparkSession, sample.mapInArrow(leased("text", _sequences(marks, cfg)), schema), "toxic-passages")
+    bound = cfg.train_tokens // 24
+    kinds = [seq.where(F.col("kind") == k).orderBy("spread", "passage").limit(bound).collect() for k in range(3)]
+    plain, lone, tagged = kinds
+    tagged = tagged[: max(bound // 2, 1)]
+    rest = max(bound // 2, 1)
+    lone = lone[: max(rest // 2, rest - len(plain))]
+    texts, repeats = [], []
+    for r in (*tagged, *lone, *plain[: rest - len(lone)]):
+        texts.append(bytes(r.passage))
+        repeats.append(bytes(r.repeats))
+    return texts, repeats
+
+
 def tag_words(f: Features, marks: np.ndarray) -> np.ndarray:
     """For each word the largest mark (0 to 1) of its grams and repeated stems."""
     tags, size = np.zeros(len(f.word)), len(marks) // 2
@@ -404,7 +415,7 @@ def _sequences(marks: np.ndarray, cfg: CrfConfig, reach: int = 12):
         roller, stems = Roller(23), marks[len(marks) // 2 :]
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            keys, out, flags = [], [], []
+            kinds, keys, out, flags = [], [], [], []
             for t in text_slices(batch.column("text")):
                 f = Features(t, roller, cfg)
                 tagged = np.flatnonzero(tag_words(f, marks))
@@ -414,18 +425,19 @@ def _sequences(marks: np.ndarray, cfg: CrfConfig, reach: int = 12):
                     a, b = int(f.first[i]), int(f.first[i + 1])
                     if a == b:
                         continue
-                    mid = a + int(spread[i]) % (b - a)
-                    for places in (tagged, lone):
+                    mid, kind = a + int(spread[i]) % (b - a), 0
+                    for code, places in ((2, tagged), (1, lone)):
                         hits = places[np.searchsorted(places, a) : np.searchsorted(places, b)]
                         if len(hits):
-                            mid = int(hits[int(spread[i]) % len(hits)])
+                            mid, kind = int(hits[int(spread[i]) % len(hits)]), code
                             break
                     lo, hi = max(a, mid - reach), min(b, mid + reach)
                     out.append(t.data[f.starts[lo] : f.ends[hi - 1]].tobytes())
+                    kinds.append(kind)
                     flags.append(f.repeats[lo:hi].tobytes())
                     keys.append(int(spread[i] >> np.uint64(1)))
-            arrays = [pa.array(keys, pa.int64()), pa.array(out, pa.binary()), pa.array(flags, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["spread", "passage", "repeats"])
+            arrays = [pa.array(kinds, pa.int32()), pa.array(keys, pa.int64()), pa.array(out, pa.binary()), pa.array(flags, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["kind", "spread", "passage", "repeats"])
 
     return cut
 

@@ -276,6 +276,17 @@ def test_few_labels_give_soft_weights(spark):
     assert model is not None and max(by[i] for i in range(2, 8)) < min(by[0], by[1]) and max(by.values()) < 0.5
 
 
+def test_training_passages_are_balanced_by_tag(spark):
+    rows = [(i, " ".join([*words(30, i), "schuft" if i < 100 else "ruhe"]), int(i < 100)) for i in range(400)]
+    sample = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    cfg = toxic_crf.CrfConfig(train_tokens=24 * 40)
+    f = toxic_crf.Features(next(common.text_slices(pa.array(["schuft"]))), common.Roller(23), cfg)
+    marks = np.zeros(2 << cfg.bits)
+    marks[f.gram[1]] = 1.0
+    texts, repeats = toxic_crf.training_passages(sample, marks, cfg)
+    assert sum(b"schuft" in t for t in texts) == 20 and len(texts) == len(repeats) == 40
+
+
 # ---------------------------------------------------------------- substring dedup
 
 
