@@ -156,8 +156,14 @@ def audit(ours: DataFrame, theirs: DataFrame, cfg: MerkleConfig = MerkleConfig()
 
 
 def audited(spark: SparkSession, ours_path: str, theirs_path: str, cfg: MerkleConfig = MerkleConfig()) -> DataFrame:
-    """(page_id, shard, file, seq, offset, length, sha256, damaged) of every record of our replica."""
+    """(page_id, shard, file, seq, offset, length, sha256, damaged) of every record of either replica.
+
+    A record is described as in our replica, one that only the other replica has as there; both kinds of loss are damage.
+    """
     ours = materialise(spark, fixity(spark, ours_path), "fixity")
     theirs = materialise(spark, fixity(spark, theirs_path), "fixity")
-    bad = audit(ours, theirs, cfg).withColumn("damaged", F.lit(True))
-    return ours.drop("leaf").join(bad, ["shard", "file", "seq"], "left").withColumn("damaged", F.coalesce("damaged", F.lit(False)))
+    keys = ["shard", "file", "seq"]
+    bad = materialise(spark, audit(ours, theirs, cfg), "damage").withColumn("damaged", F.lit(True))
+    here = ours.drop("leaf").join(bad, keys, "left").withColumn("damaged", F.coalesce("damaged", F.lit(False)))
+    lost = bad.join(ours.select(*keys), keys, "left_anti")
+    return here.unionByName(theirs.drop("leaf").join(lost, keys))

@@ -160,6 +160,19 @@ def test_audit_finds_exactly_the_damage(spark):
     assert warc_merkle.audited(spark, empty, empty, cfg).collect() == []
 
 
+def test_audit_reports_records_that_only_one_replica_has(spark):
+    cfg = warc_merkle.MerkleConfig(shard_ids=50, fan=3)
+    pages = spark.createDataFrame([(i, f"http://h/{i}", "x" * (i % 9)) for i in range(170)], "page_id long, url string, html string")
+    whole, part = scratch_path(spark, "warc"), scratch_path(spark, "warc")
+    warc_merkle.write_warc(pages, whole, cfg)
+    warc_merkle.write_warc(pages.where("page_id < 90 or page_id >= 150"), part, cfg)  # a shard cut off, the next one missing
+    for a, b in ((part, whole), (whole, part)):
+        rows = warc_merkle.audited(spark, a, b, cfg).collect()
+        assert sorted(r.page_id for r in rows) == list(range(170))
+        assert sorted(r.page_id for r in rows if r.damaged) == list(range(90, 150))
+        assert all(r.sha256 and r.length > 0 for r in rows)
+
+
 def test_a_broken_gzip_file_ends_at_the_damage():
     raw = gzip.compress(os.urandom(200_000))
     assert warc_merkle.unpacked(raw) == gzip.decompress(raw)
