@@ -137,7 +137,7 @@ def first_holders(joined: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rollers = _rollers()
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)  # a null would make the ids floats
             for row, _, _, places, k1, k2 in _candidates(batch, size, rollers):
                 _, keep = np.unique(k1[places], return_index=True)
                 at = places[keep]

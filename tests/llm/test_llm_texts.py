@@ -322,6 +322,13 @@ def test_repeated_passages_go(spark, size):
     assert all(sum(x.hi - x.lo for x in r.removed) == r.n_removed for r in got)
 
 
+def test_large_ids_beside_null_ids_keep_the_first_copy(spark):
+    passage = " ".join(words(60, 1))
+    rows = [((1 << 60) + 1, passage), ((1 << 60) + 3, "a " + passage), (None, passage)]
+    got = substr_dedup.remove_repeats(spark, frame(spark, rows).coalesce(1)).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got), key=str) == brute_removed(rows, 50)
+
+
 def test_cleaned_keeps_columns_and_untouched_texts(spark):
     rows = repeat_rows()
     docs = frame(spark, rows)
