@@ -4,8 +4,10 @@ Each document's ids (a public tokenizer, then ``end_id``) are cut into full wind
 is routed to the shortest context tier that holds it. Tiers are packed from the longest down: a remainder longer than
 half its window opens a window of its own, and the gap behind it is filled from shorter tiers, largest fitting piece
 first, the last piece cut to end the window exactly. Remainders of the shortest tier fill windows of that tier. What
-is left open at the end of a partition is cut at powers of two, so that no sequence needs padding. Full sequences
-are dealt to step groups of equal token budget within each tier.
+is left open at the end of a partition is cut at powers of two, so that no sequence needs padding. Sequences are
+dealt to step groups of equal token budget within each partition and sequence size. So each partition ends with at most
+one unfilled group for each size it has, those of the power-of-two tails included; the number of unfilled groups grows
+with the partitions, and a consumer that needs equal groups has to merge them.
 
 The work is a single pass without a shuffle: every partition tokenises and packs its own documents as they stream by,
 holding ``buffer_docs`` remainders at a time. The order inside a partition is the scan's, so a task that runs again
