@@ -2,8 +2,41 @@
 
 from __future__ import annotations
 
+import itertools
+
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_ORDERS = ", ".join(f"('{''.join(p)}')" for p in itertools.permutations("ABCDE"))
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Every round as its own tables: the parts' nearest entries, then the floored means."""
+    distance = "CAST(list_sum(list_transform(range(1, len(xs) + 1), lambda k: (xs[k] - c[k]) * (xs[k] - c[k]))) AS BIGINT)"
+    steps = []
+    for r in range(rounds + 1):
+        found = (f"f{r} AS MATERIALIZED (SELECT id, p, vec_id, label, xs, arg_min(e, d * 100 + e) AS e, min(d) AS d "
+                 f"FROM (SELECT x.*, e, {distance} AS d FROM x JOIN b{r} USING (p)) GROUP BY id, p, vec_id, label, xs)")
+        means = (f"m{r} AS (SELECT p, e, list(v ORDER BY k) AS c FROM (SELECT p, e, k, CAST(floor(CAST(sum(xs[k]) AS DOUBLE) / count(*)) AS BIGINT) AS v "
+                 f"FROM (SELECT p, e, xs, unnest(range(1, len(xs) + 1)) AS k FROM f{r}) GROUP BY p, e, k) GROUP BY p, e), "
+                 f"b{r + 1} AS MATERIALIZED (SELECT p, e, coalesce(m{r}.c, b{r}.c) AS c FROM b{r} LEFT JOIN m{r} USING (p, e))")
+        steps += [found, means] if r < rounds else [found]
+    return f"""
+        WITH v AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS id, vec_id, label,
+                          list_transform(embedding, lambda y: CAST(floor({scale} * CAST(y AS DOUBLE)) AS BIGINT)) AS z
+                   FROM embeddings WHERE embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+        x AS MATERIALIZED (SELECT id, vec_id, label, p, z[p * (len(z) // {parts}) + 1 : (p + 1) * (len(z) // {parts})] AS xs
+              FROM v, (SELECT unnest(range(0, {parts})) AS p)),
+        b0 AS MATERIALIZED (SELECT p, id AS e, xs AS c FROM x WHERE id < {entries}),
+        {", ".join(steps)},
+        r AS (SELECT id, vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+              FROM f{rounds} GROUP BY id, vec_id, label),
+        g AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM r GROUP BY label),
+        s AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds})
+        SELECT vec_id, code, error, label_error, codebooks_sha256
+        FROM r JOIN g ON r.label IS NOT DISTINCT FROM g.label, s"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_substring_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -59,4 +92,31 @@ ORACLE_SQL: dict[str, str] = {
                CAST(coalesce(sum(strlen(rec)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset",
                CAST(strlen(rec) AS BIGINT) AS "length", sha256(rec) AS sha256, coalesce(damaged, false) AS damaged
         FROM r WINDOW w AS (PARTITION BY shard ORDER BY page_id, rec)""",
+    "op12_filter_audit": rf"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part FROM documents),
+        w AS (SELECT doc_id, t, part, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS m FROM d),
+        l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+        f AS (SELECT part, [len(ws) < 50, 100 * len(list_distinct(ws)) < 65 * len(ws),
+                            100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t),
+                            regexp_matches(t, '[#$%&*|]'), coalesce(m < w.doc_id, false)] AS fails,
+                     coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+              FROM w LEFT JOIN l USING (doc_id)),
+        c AS (SELECT part, fails, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic FROM f GROUP BY part, fails),
+        o AS (SELECT col0 AS filter_order, unnest(range(1, 6)) AS step FROM (VALUES {_ORDERS})),
+        j AS (SELECT part, filter_order, step, n, good, toxic, fails[ord(filter_order[step]) - 64] AS here,
+                     len(list_filter(range(1, step), lambda k: fails[ord(filter_order[k]) - 64])) > 0 AS before,
+                     len(list_filter(fails, lambda x: x)) = 1 AS lone
+              FROM c, o),
+        s AS (SELECT part, filter_order, step,
+                     coalesce(sum(n) FILTER (NOT here AND NOT before), 0) AS kept, coalesce(sum(n) FILTER (here AND NOT before), 0) AS removed,
+                     coalesce(sum(n) FILTER (here AND before), 0) AS redundant, coalesce(sum(n) FILTER (here AND lone), 0) AS unique_fails,
+                     coalesce(sum(good) FILTER (here AND NOT before), 0) AS good_lost,
+                     coalesce(sum(toxic) FILTER (here AND NOT before), 0) AS toxic_lost
+              FROM j GROUP BY part, filter_order, step)
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+               CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+               CAST(toxic_lost AS BIGINT) AS toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley
+        FROM s""",
+    "op13_vector_codes": _codes_sql(),
 }

@@ -1,4 +1,4 @@
-"""The thin queries op1_... to op10_...: each applies one operator to its whole table and derives the digest columns."""
+"""The thin queries op1_... to op13_...: each applies one operator to its whole table and derives the digest columns."""
 
 from __future__ import annotations
 
@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from scorebook.session import scratch_path
 
-from . import decontaminate, ego_join, langid, packing, probminhash, quality_qda, substr_dedup, toxic_crf, url_filter, warc_merkle
+from . import (
+    code_cells, decontaminate, ego_join, filter_audit, langid, mixing, packing, probminhash, quality_qda, substr_dedup,
+    toxic_crf, url_filter, warc_merkle,
+)
 from .common import crc_mod, materialise, table
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -95,6 +98,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), packing_config())
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.takings(mixing.mixed(spark, table(spark, sf_dir, "documents")))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_cells.compressed(spark, table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_substring_dedup": op2_substring_dedup,
@@ -106,4 +121,7 @@ QUERIES = {
     "op8_warc_audit": op8_warc_audit,
     "op9_probminhash": op9_probminhash,
     "op10_packing": op10_packing,
+    "op11_mixing": op11_mixing,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_vector_codes": op13_vector_codes,
 }
