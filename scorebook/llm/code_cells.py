@@ -41,7 +41,7 @@ class CodeConfig:
     entries: int = 16
     rounds: int = 6
     scale: int = 4096
-    cell: int = 1024  # side of a coarse cell, in scaled integers
+    cell: int = 384  # side of a coarse cell, in scaled integers
     cells: int = 1 << 16  # cells kept per task and part
 
 
