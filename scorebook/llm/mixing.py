@@ -108,14 +108,15 @@ def reversed_bits(v: Column, bits: int) -> Column:
     return F.shiftrightunsigned(v, 64 - bits) if bits else F.lit(0).cast("long")
 
 
-def schedule(sources: DataFrame, single_task_slots: int = SLOTS_PER_BUCKET) -> DataFrame:
+def schedule(spark: SparkSession, sources: DataFrame, single_task_slots: int = SLOTS_PER_BUCKET) -> DataFrame:
     """(slot, sid, block): the j-th slot of each source, in slot order, takes its block j."""
     total = sources.agg(F.sum("blocks")).first()[0] or 0
     bits = max(total - 1, 0).bit_length()
     runs = sources.where("blocks > 0").select("sid", "first", "blocks", F.explode(F.expr(f"sequence(0, blocks - 1, {SLOTS_PER_ROW})")).alias("lo"))
     points = runs.repartition("sid", "lo").select(
         "sid", F.explode(F.sequence(F.col("lo"), F.least(F.col("lo") + SLOTS_PER_ROW, F.col("blocks")) - 1)).alias("k"), "first")
-    slots = points.select(reversed_bits(F.col("first") + F.col("k"), bits).alias("slot"), "sid")
+    # Written first: Spark cannot tell from the few sources how many slots there are, and would broadcast them.
+    slots = materialise(spark, points.select(reversed_bits(F.col("first") + F.col("k"), bits).alias("slot"), "sid"), "mix-slots")
     cut = min(bits, max(3, (total // single_task_slots).bit_length()))
     ranked = exact_ranks(slots, ["slot"], ["sid"], bucket=(F.shiftright("slot", bits - cut), 1 << cut))
     return ranked.select("slot", "sid", F.col("rank").alias("block"))
@@ -141,7 +142,7 @@ def mixed(spark: SparkSession, docs: DataFrame, cfg: MixConfig = MixConfig(), pa
     read = materialise(spark, read, "mix-documents")  # the row numbers stay as they are
     sources = source_table(spark, read, cfg, single_task_rows)
     documents = with_source(spark, read, sources)
-    slots = schedule(sources)
+    slots = schedule(spark, sources)
     side = F.broadcast if sources.count() * 50 <= BROADCAST_BYTES else (lambda df: df)
     laid = laid_out(spark, documents, cfg, partitions).join(side(sources.select("sid", "source_size", "words")), "sid")
     width = cfg.block_words
@@ -149,7 +150,7 @@ def mixed(spark: SparkSession, docs: DataFrame, cfg: MixConfig = MixConfig(), pa
         "lo", F.col("turn") * F.col("source_size") + F.col("at")).withColumn("hi", F.least(F.col("lo") + F.col("size"), F.col("words")))
     cut = turns.where("lo < hi").withColumn("block", F.explode(F.expr(f"sequence(lo div {width}, (hi - 1) div {width})"))).withColumn(
         "from", F.greatest(F.col("lo"), F.col("block") * width)).withColumn("to", F.least(F.col("hi"), (F.col("block") + 1) * width))
-    pieces = cut.join(slots, ["sid", "block"]).select(
+    pieces = cut.join(slots.hint("merge"), ["sid", "block"]).select(
         "slot", (F.col("from") - F.col("block") * width).alias("offset"), "sid", "row", "doc_id",
         (F.col("from") - F.col("lo")).alias("start"), (F.col("to") - F.col("from")).alias("length"))
     return Mix(documents, sources, pieces)
