@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
@@ -41,17 +41,19 @@ def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int | None = None
 
     While all columns together hold at most ``single_task_rows`` distinct values, the built-in exact
     ``median`` runs (its final merge holds one value->count map per column, bounded by that count); otherwise
-    the bracketed path below runs. The bound comes from the row count when that suffices, else from a sketch."""
+    the bracketed path below runs. The bound comes from the row count when that suffices, else from a sketch.
+    Every pass reads ``df`` again: keep it, or let ``ExactMedianImputer`` do so."""
     cols = list(cols)
     if not cols:
         return {}
-    # One pass: the row count, and per column a distinct-count sketch and a quantile sketch (merged map-side).
-    quantiles = F.array(*[F.lit(q) for q in BRACKET])
-    sizes = df.agg(F.count(F.lit(1)).alias("n"), *[x for i, c in enumerate(cols) for x in (
-        F.approx_count_distinct(_value(c), 0.02).alias(f"d{i}"),
-        F.percentile_approx(_value(c), quantiles, ACCURACY).alias(f"q{i}"))]).first()
-    bounded = (sizes["n"] * len(cols) <= single_task_rows
-               or sum(sizes[f"d{i}"] for i in range(len(cols))) * 1.1 <= single_task_rows)
+    bounded = df.count() * len(cols) <= single_task_rows
+    if not bounded:
+        # One pass: per column a distinct-count sketch and a quantile sketch (merged map-side).
+        quantiles = F.array(*[F.lit(q) for q in BRACKET])
+        sizes = df.agg(*[x for i, c in enumerate(cols) for x in (
+            F.approx_count_distinct(_value(c), 0.02).alias(f"d{i}"),
+            F.percentile_approx(_value(c), quantiles, ACCURACY).alias(f"q{i}"))]).first()
+        bounded = sum(sizes[f"d{i}"] for i in range(len(cols))) * 1.1 <= single_task_rows
     if bounded:
         row = df.agg(*[F.median(_value(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
         return {c: row[f"m{i}"] for i, c in enumerate(cols)}
@@ -110,17 +112,30 @@ class ExactMedianImputerModel(Model, HasInputCols, DefaultParamsReadable, Defaul
 
 
 class ExactMedianImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
-    """Learns exact medians of ``inputCols``; the model fills null and NaN with them (columns become double)."""
+    """Learns exact medians of ``inputCols``; the model fills null and NaN with them (columns become double). The
+    input is computed once: its ``inputCols`` are persisted for the passes, unless ``keepInput`` is off because the
+    caller keeps them."""
+
+    keepInput = Param(Params._dummy(), "keepInput", "persist the input columns during the fit", TypeConverters.toBoolean)
 
     @keyword_only
-    def __init__(self, *, inputCols: list[str] | None = None):
+    def __init__(self, *, inputCols: list[str] | None = None, keepInput: bool = True):
         super().__init__()
+        self._setDefault(keepInput=True)
         kwargs = self._input_kwargs
         self._set(**kwargs)
 
     def _fit(self, dataset: DataFrame) -> ExactMedianImputerModel:
         cols = self.getInputCols()
-        medians = exact_medians(dataset, cols)
+        read = dataset.select(*[F.col(f"`{c}`") for c in cols])
+        if not self.getOrDefault(self.keepInput):
+            medians = exact_medians(read, cols)
+        else:
+            read = read.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                medians = exact_medians(read, cols)
+            finally:
+                read.unpersist()
         empty = [c for c, m in medians.items() if m is None]
         if empty:
             raise ValueError(f"column(s) {empty} have no value in the training data; cannot learn a median")

@@ -244,14 +244,14 @@ def q_split_counts(spark, sf_dir):
 
 def q_median_impute(spark, sf_dir):
     """M2: medians learnt on the train rows of the orders split, applied to every row."""
-    every = _labelled_orders(spark, sf_dir)
-    marked = assign_split(every.where(F.col("label").isNotNull()), "label", ORDER_KEY, SHIPPED_SPLIT.test_size,
-                          SHIPPED_SPLIT.random_state)
-    imputer = ExactMedianImputer(inputCols=["o_totalprice", "c_acctbal"])
+    every = _labelled_orders(spark, sf_dir).select(ORDER_KEY, "label", "o_totalprice", "c_acctbal")
+    scratch_root(spark)
+    # Written once: the fit and the fill read it. Rows without a label are on no side, and are imputed all the same.
+    marked = assign_split(every, "label", ORDER_KEY, SHIPPED_SPLIT.test_size, SHIPPED_SPLIT.random_state,
+                          unlabelled="keep").checkpoint(eager=True)
+    imputer = ExactMedianImputer(inputCols=["o_totalprice", "c_acctbal"], keepInput=False)
     model = imputer.fit(marked.where(F.col("split") == TRAIN))
-    # Rows without a label are on no side of the split; they are imputed all the same.
-    rows = every.join(marked.select(ORDER_KEY, "split"), ORDER_KEY, "left")
-    return model.transform(rows).select(ORDER_KEY, "split", _r("o_totalprice"), _r("c_acctbal"))
+    return model.transform(marked).select(ORDER_KEY, "split", _r("o_totalprice"), _r("c_acctbal"))
 
 
 def _docs_with_null_sources(spark, sf_dir):

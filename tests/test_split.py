@@ -1,6 +1,7 @@
 """Stratified split: the documented size rule, errors, and the scalable path."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from scorebook.operators.split import assign_split, split_sizes
@@ -63,6 +64,28 @@ def test_null_labels_rejected(spark):
         assign_split(df, "label", "id", 0.4)
 
 
+def test_unlabelled_rows_can_stay_on_no_side(spark):
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else i % 2) for i in range(50)], "id long, label int")
+    kept = {(r.id, r.split) for r in assign_split(df, "label", "id", 0.25, unlabelled="keep").collect()}
+    only = {(r.id, r.split) for r in assign_split(df.where("label is not null"), "label", "id", 0.25).collect()}
+    assert kept == only | {(i, None) for i in range(0, 50, 5)}
+    with pytest.raises(ValueError, match="unlabelled"):
+        assign_split(df, "label", "id", unlabelled="drop")
+
+
+def test_boundary_of_shared_keys_equals_a_plain_ranking(spark):
+    # Every key has several rows, and some rows several copies: the plain rank by (md5, row hash) decides.
+    df = spark.range(0, 600).selectExpr("id div 7 AS k", "id div 3 AS v", "cast(id % 2 as int) AS y")
+    order = [F.md5(F.concat_ws("|", F.col("k").cast("string"), F.lit("5"))), F.xxhash64("k", "v", "y")]
+    ranked = df.withColumn("rk", F.row_number().over(Window.partitionBy("y").orderBy(*order)))
+    for test_size in (0.1, 0.33, 0.5):
+        for rows in (1_000_000, 0):
+            got = assign_split(df, "y", "k", test_size, 5, single_task_rows=rows)
+            seats = split_sizes({0: 300, 1: 300}, test_size)
+            want = ranked.withColumn("split", F.when(F.col("rk") <= F.when(F.col("y") == 0, seats[0][0]).otherwise(seats[1][0]), "train").otherwise("test"))
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.drop("rk").collect()))
+
+
 def test_composite_keys(spark):
     df = spark.createDataFrame([(i % 3, i, i % 2) for i in range(20)], "a long, b long, label int")
     marked = assign_split(df, "label", ["a", "b"], 0.25, 7)
