@@ -30,6 +30,8 @@ HEADLINE = (
 )
 # Scoring with a model that is already promoted: the daily job. Training happens before its timing starts.
 DAILY_SCORING = "daily_scoring"
+# The forest is timed on the quality label (as in earlier rounds), which it cannot learn exactly: deep trees.
+FLAGSHIP = "train_score"
 
 
 def daily_scoring(spark, sf_dir):
@@ -50,7 +52,7 @@ def daily_scoring(spark, sf_dir):
 
 def main() -> None:
     from scorebook.session import local_session
-    from scorebook.plans.queries import QUERIES
+    from scorebook.plans.queries import QUERIES, flagship
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -61,11 +63,11 @@ def main() -> None:
     warm_dir = os.path.join(os.path.dirname(sf_dir), "sf0.001")
     if not os.path.isdir(warm_dir):
         warm_dir = sf_dir
-    QUERIES["train_score"](spark, warm_dir).write.format("noop").mode("overwrite").save()
+    flagship(spark, warm_dir).write.format("noop").mode("overwrite").save()
 
     timings = {}
     for name in names:
-        query = daily_scoring(spark, sf_dir) if name == DAILY_SCORING else QUERIES[name]
+        query = daily_scoring(spark, sf_dir) if name == DAILY_SCORING else flagship if name == FLAGSHIP else QUERIES[name]
         t0 = time.perf_counter()
         query(spark, sf_dir).write.format("noop").mode("overwrite").save()
         timings[name] = round(time.perf_counter() - t0, 3)

@@ -1,8 +1,8 @@
 """Preprocessing + random forest as one ``pyspark.ml`` Pipeline.
 
-Numeric columns: exact-median imputation. String (and date) columns: nulls become their own category, then
-``StringIndexer(handleInvalid='keep')`` + ``OneHotEncoder(dropLast=True)``, so a category unseen at fit
-time is the zero vector. Everything is assembled into one sparse vector for a distributed random forest.
+Numeric columns: exact-median imputation. String (and date) columns: nulls become their own category, and a
+dictionary table gives each category its place (``operators.categories``), so a category unseen at fit time is
+nowhere in the vector. Everything is one sparse vector for a distributed random forest.
 
 The pipeline's first stage copies each feature column to an internal name, so feature columns may hold dots or
 spaces in their names, and an input may have a ``prediction``, ``features`` or ``probability`` column of its own
@@ -18,14 +18,17 @@ from typing import Any, Mapping, Sequence
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scorebook.operators.categories import FeatureEncoder
 from scorebook.operators.impute import ExactMedianImputer
+from scorebook.session import scratch_root
 
 PREDICTION = "prediction"
+BROADCAST_BYTES = 8 << 20
 FEATURES, LABEL, OUTPUT = "__sb_features", "__sb_label", "__sb_prediction"
 RAW, PROBABILITY = "__sb_raw", "__sb_probability"
 MAX_DEPTH = 30  # Spark's limit for tree depth
@@ -101,9 +104,8 @@ def numeric_name(i: int) -> str:
     return f"__sb_n{i}"
 
 
-def encoded_name(i: int) -> str:
-    """The one-hot vector of categorical column ``i``."""
-    return f"__sb_c{i}_ohe"
+def category_name(i: int) -> str:
+    return f"__sb_c{i}"
 
 
 def _quoted(column: str) -> str:
@@ -114,45 +116,22 @@ def internal_columns(numeric: Sequence[str], categorical: Sequence[str]) -> SQLT
     """Adds each feature column under its internal name. A category is written with a leading 'v', a null is 'n':
     no text of the data can be taken for a missing value."""
     added = [f"CAST({_quoted(c)} AS DOUBLE) AS {numeric_name(i)}" for i, c in enumerate(numeric)]
-    added += [f"coalesce(concat('v', CAST({_quoted(c)} AS STRING)), 'n') AS __sb_c{i}" for i, c in enumerate(categorical)]
+    added += [f"coalesce(concat('v', CAST({_quoted(c)} AS STRING)), 'n') AS {category_name(i)}" for i, c in enumerate(categorical)]
     return SQLTransformer(statement=f"SELECT *, {', '.join(added)} FROM __THIS__")
 
 
-def learnt_indexers(train: DataFrame, categorical: Sequence[str], max_categories: int) -> list:
-    """Fitted indexers from one bounded distinct pass, which fails on a column with more than ``max_categories``
-    values (null included): labels in ascending order; unseen values go to the extra index that one-hot encoding
-    drops. One model per column (a multi-column model built from ragged label lists would be padded with nulls)."""
-    from scorebook.operators.featurize import category_values
-
-    raw = train.select(*[F.col(f"{_quoted(c)}").alias(c) for c in categorical])
-    category_values(raw, categorical, max_categories)  # names the column that is too wide
-    filled = internal_columns([], categorical).transform(train)
-    values = category_values(filled, [f"__sb_c{i}" for i in range(len(categorical))], max_categories + 1)
-    return [StringIndexerModel.from_labels(values[f"__sb_c{i}"], inputCol=f"__sb_c{i}", outputCol=f"__sb_c{i}_idx",
-                                           handleInvalid="keep") for i in range(len(categorical))]
-
-
-def preprocess_stages(numeric: Sequence[str], categorical: Sequence[str], indexers: list | None = None) -> list:
-    """M2-M4 stages: impute numerics, one-hot categoricals, assemble ``FEATURES``. With ``indexers`` (see
-    ``learnt_indexers``) the categories are already learnt; otherwise a ``StringIndexer`` learns them all."""
+def preprocess_stages(numeric: Sequence[str], categorical: Sequence[str], max_categories: int | None = None,
+                      keep_input: bool = True) -> list:
+    """M2-M4 stages: impute numerics, learn the categories (of any number, unless ``max_categories`` bounds them) and
+    write the vector ``FEATURES``: numerics first, then one position per category and text column, ascending.
+    ``keep_input`` persists the numeric columns while their medians are learnt."""
     if not numeric and not categorical:
         raise ValueError("no feature columns")
-    stages: list = [internal_columns(numeric, categorical)]
-    assembled: list[str] = []
-    if categorical:
-        index = range(len(categorical))
-        stages.extend(indexers if indexers is not None else [StringIndexer(
-            inputCols=[f"__sb_c{i}" for i in index], outputCols=[f"__sb_c{i}_idx" for i in index],
-            handleInvalid="keep", stringOrderType="alphabetAsc")])
-        stages.append(OneHotEncoder(inputCols=[f"__sb_c{i}_idx" for i in index],
-                                    outputCols=[encoded_name(i) for i in index], dropLast=True))
-        assembled += [encoded_name(i) for i in index]
-    if numeric:
-        names = [numeric_name(i) for i in range(len(numeric))]
-        stages.append(ExactMedianImputer(inputCols=names))
-        assembled = names + assembled
-    stages.append(VectorAssembler(inputCols=assembled, outputCol=FEATURES, handleInvalid="error"))
-    return stages
+    numbers, texts = [numeric_name(i) for i in range(len(numeric))], [category_name(i) for i in range(len(categorical))]
+    imputer = [ExactMedianImputer(inputCols=numbers, keepInput=keep_input)] if numeric else []
+    encoder = FeatureEncoder(inputCols=texts, numericCols=numbers, outputCol=FEATURES, maxCategories=max_categories or 0,
+                             names=list(categorical))
+    return [internal_columns(numeric, categorical), *imputer, encoder]
 
 
 # Execution settings of the forest (they do not change the model): node-statistics memory per iteration,
@@ -160,27 +139,45 @@ def preprocess_stages(numeric: Sequence[str], categorical: Sequence[str], indexe
 FOREST_EXECUTION = {"maxMemoryInMB": 1024, "cacheNodeIds": True, "checkpointInterval": 10}
 
 
-def build_pipeline(numeric: Sequence[str], categorical: Sequence[str], model_params: Mapping[str, Any],
-                   indexers: list | None = None) -> Pipeline:
-    """M6: preprocessing stages + the forest (its label column is ``LABEL``)."""
-    forest = RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL, predictionCol=OUTPUT, rawPredictionCol=RAW,
-                                    probabilityCol=PROBABILITY, **FOREST_EXECUTION, **forest_params(model_params))
-    return Pipeline(stages=[*preprocess_stages(numeric, categorical, indexers), forest])
+# The forest holds every row as a dense array of all positions (4 bytes each): a wider vector is refused by name.
+MAX_POSITIONS = 1_000_000
+
 
+def forest_stage(model_params: Mapping[str, Any]) -> RandomForestClassifier:
+    """M5; its label column is ``LABEL``."""
+    return RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL, predictionCol=OUTPUT, rawPredictionCol=RAW,
+                                  probabilityCol=PROBABILITY, **FOREST_EXECUTION, **forest_params(model_params))
 
-def fit_layout(df: DataFrame, keys: Sequence[str], partitions: int, copies_per_task: int = 100_000) -> DataFrame:
-    """A fixed partition layout: the forest's result for a seed depends on it, so fix it for reproducibility.
-    Equal rows are counted first (map-side), so the copies of one row travel as one; a row with more than
-    ``copies_per_task`` copies is cut into runs that land in different partitions, where they are written out."""
+
+def fit_layout(df: DataFrame, keys: Sequence[str], partitions: int, copies_per_task: int = 100_000,
+               n_rows: int | None = None) -> DataFrame:
+    """A fixed partition layout: the forest's result for a seed depends on it, so fix it for reproducibility. Rows go
+    to the partition of their hash, in one shuffle. Only a row with more than ``copies_per_task`` copies would make
+    one task large: a pass over the row hashes finds such rows, which then travel as one row with a number and are
+    written out in runs that are partitions of their own. The same rows always land in the same place."""
     columns = [F.col(_quoted(c)) for c in df.columns]
-    counted = df.groupBy(*columns, F.xxhash64(*columns).alias("__sb_row")).agg(F.count(F.lit(1)).alias("__sb_n"))
+    hashed = df.withColumn("__sb_row", F.xxhash64(*columns))
+    order = [*[F.col(_quoted(k)) for k in keys], "__sb_row"]
+    place = lambda rows: rows.repartition(partitions, "__sb_row").sortWithinPartitions(*order).select(*columns)
+    if n_rows is not None and n_rows <= copies_per_task:
+        return place(hashed)
+    hot = hashed.groupBy("__sb_row").count().where(F.col("count") > copies_per_task).select("__sb_row").persist()
+    try:
+        n_hot = hot.count()  # at most rows / copies_per_task
+        if not n_hot:
+            return place(hashed)
+        scratch_root(df.sparkSession)
+        hot = hot.checkpoint(eager=True)
+    finally:
+        hot.unpersist()
+    side = F.broadcast(hot) if n_hot * 16 <= BROADCAST_BYTES else hot
+    counted = hashed.join(side, "__sb_row", "left_semi").groupBy(*columns, "__sb_row").agg(F.count(F.lit(1)).alias("__sb_n"))
     runs = F.sequence(F.lit(0).cast("long"), F.floor((F.col("__sb_n") - 1) / copies_per_task))
     cut = counted.withColumn("__sb_run", F.explode(runs))
     here = F.least(F.lit(copies_per_task).cast("long"), F.col("__sb_n") - F.col("__sb_run") * copies_per_task)
-    order = [*[F.col(_quoted(k)) for k in keys], "__sb_row", "__sb_run"]
-    laid = cut.withColumn("__sb_n", here).repartition(partitions, "__sb_row", "__sb_run").sortWithinPartitions(*order)
+    laid = cut.withColumn("__sb_n", here).repartition(partitions, "__sb_row", "__sb_run").sortWithinPartitions(*order, "__sb_run")
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__sb_n"))).alias("__sb_copy")
-    return laid.select(*columns, each).drop("__sb_copy")
+    return place(hashed.join(side, "__sb_row", "left_anti")).unionByName(laid.select(*columns, each).drop("__sb_copy"))
 
 
 def default_fit_partitions(n_rows: int, rows_per_partition: int = 1_000_000) -> int:
@@ -190,20 +187,29 @@ def default_fit_partitions(n_rows: int, rows_per_partition: int = 1_000_000) ->
 
 def fit(train: DataFrame, label_col: str, keys: Sequence[str], model_params: Mapping[str, Any],
         include_keys: bool = False, partitions: int | None = None, n_rows: int | None = None,
-        max_categories: int | None = None) -> PipelineModel:
-    """M7: fit the whole pipeline on ``train`` (keys excluded from the features unless ``include_keys``). Text
-    columns may have any number of categories (they become part of the model) unless ``max_categories`` bounds it."""
+        max_categories: int | None = None, max_positions: int | None = MAX_POSITIONS) -> PipelineModel:
+    """M6, M7: fit the whole pipeline on ``train`` (keys excluded from the features unless ``include_keys``). Text
+    columns may have any number of categories (a table beside the model) unless ``max_categories`` bounds it; the
+    forest takes vectors of up to ``max_positions``."""
     exclude = [label_col] + ([] if include_keys else list(keys))
     numeric, categorical = column_roles(train.schema, exclude)
     labelled = train.withColumn(LABEL, F.col(_quoted(label_col)).cast("double"))
-    if partitions is None:
-        partitions = default_fit_partitions(n_rows if n_rows is not None else train.count())
+    n_rows = n_rows if n_rows is not None else train.count()
     # Every stage fit reads the same rows: keep the fixed layout materialised for the duration of the fit.
-    laid_out = fit_layout(labelled, keys, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    laid_out = fit_layout(labelled, keys, partitions or default_fit_partitions(n_rows), n_rows=n_rows).persist(
+        StorageLevel.MEMORY_AND_DISK)
     try:
-        bounded = categorical and max_categories is not None
-        indexers = learnt_indexers(laid_out, categorical, max_categories) if bounded else None
-        return build_pipeline(numeric, categorical, model_params, indexers).fit(laid_out)
+        prepared = Pipeline(stages=preprocess_stages(numeric, categorical, max_categories, keep_input=False)).fit(laid_out)
+        width = prepared.stages[-1].width()
+        if max_positions is not None and width > max_positions:
+            raise ValueError(f"{width} feature positions: the forest holds dense rows, so {max_positions} is the most; "
+                             "leave wide text columns out or set max_categories")
+        # The forest reads its input several times (size, splits, bins): labels and vectors, computed once.
+        vectors = prepared.transform(laid_out).select(LABEL, FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return PipelineModel(stages=[*prepared.stages, forest_stage(model_params).fit(vectors)])
+        finally:
+            vectors.unpersist()
     finally:
         laid_out.unpersist()
 

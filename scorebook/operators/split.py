@@ -16,6 +16,7 @@ seats are those copies numbered, and any of them may sit on either side.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -134,8 +135,14 @@ def _boundaries(rows: DataFrame, label_col: str, edges: dict, seats: dict, digit
         finer = total if max(n for _, _, n in edges.values()) <= single_task_rows else min(digits + DIGITS, total)
         inside = _by_class(rows, label_col, {k: (p,) for k, (p, _, _) in edges.items()}, "_up string").where(
             F.substring("_o", 1, digits) == F.col("_up"))
+        goals = {k: (before, seats[k]) for k, (_, before, _) in edges.items()}
+        if sum(n for _, _, n in edges.values()) <= min(COLLECTED_CELLS, single_task_rows):
+            # So few rows, counted before, that their orders alone are taken.
+            held = Counter(tuple(r) for r in inside.select(label_col, "_o").collect())
+            edges, digits = _edges_of_rows([(*k, n) for k, n in held.items()], goals), total
+            break
         cells = inside.groupBy(label_col, F.substring("_o", 1, finer).alias("_p")).agg(F.count(F.lit(1)).alias("n"))
-        edges = _edges(cells, label_col, {k: (before, seats[k]) for k, (_, before, _) in edges.items()})
+        edges = _edges(cells, label_col, goals)
         digits = finer
     return done | {k: (p, seats[k] - before, n) for k, (p, before, n) in edges.items()}
 

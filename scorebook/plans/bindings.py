@@ -1,6 +1,8 @@
 """Bindings of the jobs to the driver's test tables (and the same bindings as DuckDB SQL for the oracles).
 
 * D: labels = ``labels(doc_id, quality)``, features = ``documents(doc_id, lang, source, n_chars)``.
+* R: labels = ``labels`` joined to ``documents``, the label a fixed rule of the language, and the features of D: a
+  forest learns the rule exactly, so its predictions can be told in SQL.
 * O: raw = ``orders`` joined to ``customer``; label text ``o_orderstatus`` (F -> 1, O -> 0, P unmapped);
   numerics nulled on every tenth order key so imputation and missing-row drops have work.
 * V: a versions table from ``events``: name = event_type, version = position by event_id, metric = value,
@@ -61,6 +63,19 @@ def doc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 DOC_JOIN_SQL = "SELECT doc_id, quality, lang, source, n_chars FROM labels JOIN documents USING (doc_id)"
 
 
+# Languages whose documents have label 1 in binding R.
+RULE_LANGS = ("de", "fr")
+
+
+def rule_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_parquet_table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.col("lang").isin(*RULE_LANGS), F.lit(False)).cast("int").alias("continental"))
+    return read_parquet_table(spark, sf_dir, "labels").select("doc_id").join(docs, "doc_id")
+
+
+_RULE_SQL = f"CAST(coalesce(lang IN ({', '.join(repr(x) for x in RULE_LANGS)}), false) AS INTEGER) AS continental"
+RULE_JOIN_SQL = f"SELECT doc_id, {_RULE_SQL}, lang, source, n_chars FROM labels JOIN documents USING (doc_id)"
+
+
 def versions_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_parquet_table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
     stage = F.when((F.col("event_id") % PRODUCTION_EVERY == 0) & (F.col("name") != NEVER_PROMOTED),

@@ -1,9 +1,9 @@
 """DuckDB SQL equivalent to each query in ``plans.queries`` (tables are pre-registered views).
 
-A fitted forest's classes cannot be computed in SQL. The queries that fit one return everything else (every key
-and input column, row counts, versions, decisions) next to flags that must be 1: the prediction is a class, the
-reloaded model predicts the same, the logged metrics follow from the stored predictions. The model's values
-themselves are covered by property tests.
+A fitted forest's classes cannot be computed in SQL where the label is not a function of the features. So the queries
+that return predictions learn a label that is a fixed rule of a category (binding R), which a forest learns exactly:
+their twins say every prediction. The training jobs compare row counts, versions and decisions, and flags that must
+be 1: the logged metrics follow from the stored predictions, the reloaded model predicts the same.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ LABELLED = (f"SELECT o_orderkey, o_custkey, {B.ORDER_LABEL_SQL} AS label, o_tota
 RULE = (f"SELECT doc_id, quality, lang, source, n_chars, CAST(n_chars > {B.RULE_MIN_CHARS} AS INTEGER) AS prediction "
         f"FROM ({B.DOC_JOIN_SQL}) j")
 DOC_SPLIT = B.split_sql(B.DOC_JOIN_SQL, "doc_id", "quality", 0.2, 42)
+RULE_SPLIT = B.split_sql(B.RULE_JOIN_SQL, "doc_id", "continental", 0.2, 42)
 ORDER_SPLIT = B.split_sql(f"SELECT * FROM ({LABELLED}) l WHERE label IS NOT NULL", "o_orderkey", "label", 0.2, 42)
 
 CONFUSION = f"""
@@ -165,11 +166,11 @@ FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY version DESC) AS r
       FROM ({APPLIED}) a WHERE stage = 'Production') x
 WHERE rn = 1""",
     "features_job": ORDER_FEATURIZED,
-    "train_score": f"SELECT doc_id, quality, lang, source, n_chars, 1 AS predicted FROM ({DOC_SPLIT}) s WHERE split = 'test'",
+    "train_score": f"SELECT doc_id, continental, lang, source, n_chars, continental AS prediction FROM ({RULE_SPLIT}) s WHERE split = 'test'",
     "model_round_trip": f"SELECT doc_id, 1 AS same FROM ({DOC_SPLIT}) s WHERE split = 'test'",
     "train_job": _job_sql("doc_quality", DOC_SPLIT),
-    "score_job": f"SELECT *, 1 AS predicted FROM ({B.DOC_JOIN_SQL}) j",
-    "batch_inference": f"SELECT *, 1 AS predicted FROM ({B.DOC_JOIN_SQL}) j",
+    "score_job": f"SELECT *, continental AS prediction FROM ({B.RULE_JOIN_SQL}) j",
+    "batch_inference": f"SELECT *, continental AS prediction FROM ({B.RULE_JOIN_SQL}) j",
     "initial_train_job": _job_sql("order_filled", FILLED_SPLIT),
     "column_roles": _profile_sql(B.DOC_JOIN_SQL, [("n_chars", "bigint", "numeric"), ("lang", "string", "categorical"),
                                                   ("source", "string", "categorical")]),

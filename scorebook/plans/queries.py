@@ -262,11 +262,10 @@ def _docs_with_null_sources(spark, sf_dir):
 def q_one_hot_unknown(spark, sf_dir):
     """M3: categories learnt without src0 (nulls are a category); src0 rows get the zero vector."""
     docs = _docs_with_null_sources(spark, sf_dir)
-    stages = M.preprocess_stages([], ["source"])[:-1]
     from pyspark.ml import Pipeline
 
-    fitted = Pipeline(stages=stages).fit(docs.where(F.coalesce(F.col("source"), F.lit("")) != "src0"))
-    arr = vector_to_array(F.col(M.encoded_name(0)))
+    fitted = Pipeline(stages=M.preprocess_stages([], ["source"])).fit(docs.where(F.coalesce(F.col("source"), F.lit("")) != "src0"))
+    arr = vector_to_array(F.col(M.FEATURES))
     return fitted.transform(docs).select(
         DOC_KEY, "source",
         (F.array_position(arr, 1.0) - 1).cast("long").alias("hot_index"),
@@ -290,11 +289,6 @@ def q_assemble(spark, sf_dir):
     return fitted.transform(train_df).select(DOC_KEY, F.posexplode(vector_to_array(M.FEATURES)).alias("pos", "value"))
 
 
-def _class_known(scored: DataFrame) -> DataFrame:
-    """A model's classes cannot be told in SQL: every row and column, and whether its prediction is a class."""
-    return scored.withColumn("predicted", F.col(M.PREDICTION).isin(0, 1).cast("int")).drop(M.PREDICTION)
-
-
 def flagship(spark, sf_dir):
     """Shipped forest fitted on train, predictions for the test rows."""
     train_df, test_df = _doc_train_test(spark, sf_dir)
@@ -303,7 +297,12 @@ def flagship(spark, sf_dir):
 
 
 def q_train_score(spark, sf_dir):
-    return _class_known(flagship(spark, sf_dir))
+    """M5-M8, P10, P12 on binding R: the shipped forest, and its prediction for every test row."""
+    scratch_root(spark)
+    joined = training_join(B.rule_labels(spark, sf_dir), B.doc_features(spark, sf_dir), DOC_KEY)
+    marked = assign_split(joined, "continental", DOC_KEY, SHIPPED_SPLIT.test_size, SHIPPED_SPLIT.random_state).checkpoint(eager=True)
+    model = M.fit(marked.where(F.col("split") == TRAIN).drop("split"), "continental", [DOC_KEY], SHIPPED_FOREST)
+    return M.predict(model, marked.where(F.col("split") != TRAIN).drop("split"))
 
 
 def q_model_round_trip(spark, sf_dir):
@@ -381,15 +380,16 @@ def q_resolve_stage(spark, sf_dir):
 
 # ---------------------------------------------------------------- jobs
 
-def _doc_tables(spark, sf_dir) -> TrainConfig:
-    """Feature and labels tables for binding D, written as the features job would."""
+def _doc_tables(spark, sf_dir, by_rule: bool = False) -> TrainConfig:
+    """Feature and labels tables for binding D (or R: ``by_rule``), written as the features job would."""
+    label = "continental" if by_rule else "quality"
     db = _database(spark, "docs")
     features = FeatureTableConfig(db, "doc_features", DOC_KEY, description="document features",
                                   buckets=FEATURE_BUCKETS)
-    labels = LabelsTableConfig(db, "doc_labels", "quality", DOC_KEY, path=scratch_path(spark, "doc_labels"))
+    labels = LabelsTableConfig(db, "doc_labels", label, DOC_KEY, path=scratch_path(spark, "doc_labels"))
     write_feature_table(spark, B.doc_features(spark, sf_dir), features)
-    write_labels_table(spark, B.doc_labels(spark, sf_dir), labels)
-    return TrainConfig(features, labels, SHIPPED_SPLIT, SHIPPED_FOREST, model_name="doc_quality",
+    write_labels_table(spark, B.rule_labels(spark, sf_dir) if by_rule else B.doc_labels(spark, sf_dir), labels)
+    return TrainConfig(features, labels, SHIPPED_SPLIT, SHIPPED_FOREST, model_name=f"doc_{label}",
                        conf={"pipeline_params": {"test_size": 0.2, "random_state": 42},
                              "model_params": SHIPPED_FOREST})
 
@@ -430,24 +430,24 @@ def q_train_job(spark, sf_dir):
 
 
 def q_score_job(spark, sf_dir):
-    """Train + promote, then score the labels table (keys + label) and write predictions."""
-    cfg = _doc_tables(spark, sf_dir)
+    """B3 on binding R: train + promote, then score the labels table (keys + label) and write predictions."""
+    cfg = _doc_tables(spark, sf_dir, by_rule=True)
     registry = _registry(spark)
     train(spark, cfg, registry)
     out = f"{_database(spark, 'scored')}.predictions"
     batch_inference(spark, InferenceConfig(cfg.model_name, cfg.labels_table.name, cfg.feature_table.name, DOC_KEY, out,
                                            output_location=scratch_path(spark, "scored")), registry)
-    return _class_known(read_table(spark, out))
+    return read_table(spark, out)
 
 
 def q_batch_inference(spark, sf_dir):
-    """M12 (lazy scoring of the labels input through the promoted model)."""
+    """M12 on binding R (lazy scoring of the labels input through the promoted model)."""
     from scorebook.plans.pipelines import score
 
-    cfg = _doc_tables(spark, sf_dir)
+    cfg = _doc_tables(spark, sf_dir, by_rule=True)
     registry = _registry(spark)
     train(spark, cfg, registry)
-    return _class_known(score(spark, InferenceConfig(cfg.model_name, cfg.labels_table.name, cfg.feature_table.name, DOC_KEY), registry))
+    return score(spark, InferenceConfig(cfg.model_name, cfg.labels_table.name, cfg.feature_table.name, DOC_KEY), registry)
 
 
 def q_initial_train_job(spark, sf_dir):

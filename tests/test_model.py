@@ -121,3 +121,53 @@ def test_wide_categorical_feature_rejected(spark):
     df = spark.range(0, 300).selectExpr("id", "cast(id as string) AS code", "cast(id % 2 as int) AS label")
     with pytest.raises(ValueError, match="code"):
         M.fit(df, "label", ["id"], SMALL, max_categories=50)
+
+
+def test_layout_has_one_wide_shuffle_and_ignores_the_input_layout(spark):
+    df = spark.range(0, 900).selectExpr("id % 300 AS k", "cast(id % 2 as int) AS y", "concat('t', id % 7) AS t")
+    plan = M.fit_layout(df, ["k"], 8, n_rows=900)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    places = lambda d, **kw: sorted(map(tuple, M.fit_layout(d, ["k"], 8, **kw).withColumn("p", F.spark_partition_id()).collect()))
+    assert places(df) == places(df.orderBy(F.rand(3)).repartition(5)) == places(df, n_rows=900)
+    one = df.selectExpr("k % 2 AS k", "cast(k % 2 as int) AS y", "'t' AS t")  # two rows, 450 copies each
+    assert places(one, copies_per_task=100) == places(one.orderBy(F.rand(4)).repartition(3), copies_per_task=100)
+
+
+def test_dictionary_ranked_in_one_task_or_many(spark):
+    from scorebook.operators import categories as C
+
+    df = spark.range(0, 3000).selectExpr("concat('v', id % 700) AS a", "if(id % 3 = 0, 'hot', concat('x', id)) AS b", "cast(null as string) AS c")
+    read = lambda p: sorted(map(tuple, C.read_dictionary(spark, p).collect()))
+    one = read(C.write_dictionary(df, ["a", "b", "c"]))
+    assert one == read(C.write_dictionary(df, ["a", "b", "c"], single_task_rows=0))
+    values = sorted({f"v{i}" for i in range(700)})
+    assert [(v, i, 0) for i, v in enumerate(values)] == sorted(r for r in one if r[2] == 0)
+
+
+def test_encoder_joins_beyond_the_broadcast_bound(spark, monkeypatch):
+    from scorebook.operators import categories as C
+
+    df = spark.range(0, 400).selectExpr("id", "if(id % 3 = 0, 'hot', concat('x', id)) AS a", "if(id % 5 = 0, null, 'n') AS b", "id / 8.0 AS x")
+    model = C.FeatureEncoder(inputCols=["a", "b"], numericCols=["x"], outputCol="f").fit(df)
+    assert model.width() == 1 + 267 + 1
+    broadcast = sorted(model.transform(df).select("id", vector_to_array("f")).collect())
+    monkeypatch.setattr(C, "BROADCAST_BYTES", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = model.transform(df)
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert sorted(joined.select("id", vector_to_array("f")).collect()) == broadcast
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    names = sorted({"hot"} | {f"x{i}" for i in range(400) if i % 3})
+    for i, v in broadcast:
+        want = [0.0] * 269
+        want[0], want[1 + names.index("hot" if i % 3 == 0 else f"x{i}")] = i / 8.0, 1.0
+        want[268] = float(i % 5 != 0)
+        assert v == want
+
+
+def test_too_wide_vectors_are_refused_before_the_forest(spark):
+    df = spark.range(0, 200).selectExpr("id", "concat('c', id) AS code", "cast(id % 2 as int) AS label")
+    with pytest.raises(ValueError, match="200 feature positions"):
+        M.fit(df, "label", ["id"], SMALL, max_positions=100)
