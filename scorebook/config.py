@@ -112,3 +112,4 @@ class InferenceConfig:
     stage: str = PRODUCTION
     mode: str = "overwrite"
     format: str = "parquet"
+    batch_id: str | None = None  # with mode append: a repeated run of one batch replaces its own rows

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from typing import Any, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,26 +15,30 @@ SCORES_PER_BUCKET = 250_000
 METRIC_NAMES = ("accuracy", "precision", "recall", "f1")
 
 
-def _null_message(label_col: str):
-    return F.lit(f"the label column {label_col!r} holds nulls; drop or fix them before computing metrics")
+def _null_message(kind: str, col: str):
+    return F.lit(f"the {kind} column {col!r} holds nulls; drop or fix them before computing metrics")
 
 
-def _positive(label_col: str, positive):
-    """Whether the label is the positive class; a null label is an error when the row is read."""
-    label = F.col(label_col)
-    return F.when(label.isNull(), F.raise_error(_null_message(label_col)).cast("boolean")).otherwise(label == F.lit(positive))
+def _present(kind: str, col: str, result, type_: str):
+    """``result``, or an error where the column is null when the row is read."""
+    return F.when(F.col(col).isNull(), F.raise_error(_null_message(kind, col)).cast(type_)).otherwise(result)
+
+
+def _equals(kind: str, col: str, positive):
+    """Whether the column is the positive class; a null is an error."""
+    return _present(kind, col, F.col(col) == F.lit(positive), "boolean")
 
 
 def confusion(df: DataFrame, label_col: str, pred_col: str, positive=1) -> DataFrame:
-    """One row: tp, fp, fn, tn, n (longs), in one aggregation pass with map-side partial sums."""
-    y = _positive(label_col, positive)
-    p = F.col(pred_col) == F.lit(positive)
-    count_if = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).cast("long")
-    return df.agg(
-        count_if(y & p).alias("tp"),
-        count_if(~y & p).alias("fp"),
-        count_if(y & ~p).alias("fn"),
-        count_if(~y & ~p).alias("tn"),
+    """One row: tp, fp, fn, tn, n (longs), in one aggregation pass with map-side partial sums. A null label or
+    prediction is an error."""
+    marked = df.select(_equals("label", label_col, positive).alias("y"), _equals("prediction", pred_col, positive).alias("p"))
+    y, p = F.col("y"), F.col("p")
+    return marked.agg(
+        F.count_if(y & p).alias("tp"),
+        F.count_if(~y & p).alias("fp"),
+        F.count_if(y & ~p).alias("fn"),
+        F.count_if(~y & ~p).alias("tn"),
         F.count(F.lit(1)).cast("long").alias("n"),
     )
 
@@ -59,14 +64,14 @@ def auc_of_totals():
 def roc_auc(df: DataFrame, label_col: str, score_col: str, metric_prefix: str = "", positive=1,
             buckets: int | None = None, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """E5: ROC AUC with ties at half credit: sum over distinct scores of p * (negatives below + n / 2),
-    divided by P * N; null when a class is absent. Scores are first reduced to one row per distinct score;
+    divided by P * N; null when a class is absent. A null label or score is an error. Scores are first reduced to one row per distinct score;
     the running count of negatives is one window task only while the distinct scores are proven few (a
     sketch pass), and bucketed prefix sums otherwise."""
     y = F.col(label_col) == F.lit(positive)
-    per_score = df.where(F.col(score_col).isNotNull()).groupBy(F.col(score_col).cast("double").alias("score")).agg(
-        F.sum(F.when(y, 1).otherwise(0)).cast("long").alias("pos"),
-        F.sum(F.when(y, 0).otherwise(1)).cast("long").alias("neg"),
-        F.count_if(F.col(label_col).isNull()).alias("unlabelled"),
+    # One group of null scores, and its size, come out of the same pass; whether any is there is asked at the end.
+    per_score = df.groupBy(F.col(score_col).cast("double").alias("score")).agg(
+        F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"), F.count_if(F.col(label_col).isNull()).alias("unlabelled"),
+        F.count_if(F.col(score_col).isNull()).alias("unscored"),
     )
     distinct = df.agg(F.approx_count_distinct(score_col, 0.02).alias("d")).first()["d"]
     buckets = buckets or max(8, math.ceil(distinct * 1.1 / SCORES_PER_BUCKET))
@@ -77,11 +82,63 @@ def roc_auc(df: DataFrame, label_col: str, score_col: str, metric_prefix: str =
         F.sum("pos").alias("P"),
         F.sum("neg").alias("N"),
         F.sum("unlabelled").alias("unlabelled"),
+        F.sum("unscored").alias("unscored"),
     )
-    refused = F.when(F.col("unlabelled") > 0, F.raise_error(_null_message(label_col)).cast("double"))
+    refused = F.when(F.col("unlabelled") > 0, F.raise_error(_null_message("label", label_col)).cast("double")).when(
+        F.col("unscored") > 0, F.raise_error(_null_message("score", score_col)).cast("double"))
     return total.select(refused.otherwise(auc_of_totals()).alias(f"{metric_prefix}roc_auc_score"))
 
 
+def pairwise_auc(df: DataFrame, label_col: str, score_cols: Mapping[Any, str], single_task_rows: int = SINGLE_TASK_ROWS,
+                 buckets: int | None = None) -> DataFrame:
+    """One row per pair of classes: first, second, auc (the mean of the AUC of the first class by its own score and
+    that of the second by its own, among the rows of both) and rows. ``score_cols`` gives each class its score column.
+
+    A row of class c meets each other class d twice: as a positive by the score of c, as a negative by the score of
+    d. Rows are counted per (scored class, other class, score) before any shuffle, and the running count of negatives
+    is taken per ordered pair; no pair of rows is ever formed. A null label or score, and a label without a score
+    column, are errors when the row is read; a pair with an absent class has a null auc."""
+    classes = list(score_cols)
+    if len(classes) < 2:
+        raise ValueError("pairwise AUC needs at least two classes")
+    place = F.lit(None).cast("int")
+    for i, k in enumerate(classes):
+        place = F.when(F.col(label_col) == F.lit(k), F.lit(i)).otherwise(place)
+    unknown = F.raise_error(F.concat(F.lit(f"label without a score column in {label_col!r}: "), F.col(label_col).cast("string"))).cast("int")
+    own = _present("label", label_col, F.coalesce(place, unknown), "int")
+    scores = F.array(*[_present("score", c, F.col(c).cast("double"), "double") for c in score_cols.values()])
+    rows = df.select(own.alias("own"), scores.alias("scores")).select("own", "scores", F.explode(F.sequence(F.lit(0), F.lit(len(classes) - 1))).alias("other")).where("own <> other")
+    sides = rows.select(F.explode(F.array(
+        F.struct(F.col("own").alias("scored"), F.col("other").alias("against"), F.col("scores")[F.col("own")].alias("score"), F.lit(1).alias("pos")),
+        F.struct(F.col("other").alias("scored"), F.col("own").alias("against"), F.col("scores")[F.col("other")].alias("score"), F.lit(0).alias("pos")),
+    )).alias("s")).select("s.*")
+    counted = sides.groupBy("scored", "against", "score").agg(F.sum("pos").alias("pos"), (F.count("*") - F.sum("pos")).alias("neg")).persist()
+    try:
+        sizes = counted.groupBy("scored", "against").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    finally:
+        counted.unpersist()
+    ranked = prefix_sums(counted, ["score"], {"neg": F.col("neg")}, ["scored", "against"], known_groups=len(classes) ** 2,
+                         largest_group=sizes, buckets=buckets or max(8, math.ceil(sizes / SCORES_PER_BUCKET)), single_task_rows=single_task_rows)
+    ordered = ranked.groupBy("scored", "against").agg(
+        F.sum(F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / 2.0)).alias("area"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    names = F.array(*[F.lit(k) for k in classes])
+    pairs = ordered.groupBy(F.least("scored", "against").alias("i"), F.greatest("scored", "against").alias("j")).agg(
+        F.when(F.count(auc_of_totals()) == 2, F.avg(auc_of_totals())).alias("auc"), F.max(F.col("P") + F.col("N")).alias("rows"))
+    return pairs.select(names[F.col("i")].alias("first"), names[F.col("j")].alias("second"), "auc", "rows")
+
+
+def multiclass_auc(df: DataFrame, label_col: str, score_cols: Mapping[Any, str], average: str = "weighted",
+                   metric_prefix: str = "", **kwargs) -> DataFrame:
+    """E5 for several classes, one against one: the mean of ``pairwise_auc`` over the pairs of the classes that occur,
+    'weighted' by how many rows each pair has, or 'macro' (all pairs alike). Null where fewer than two classes occur."""
+    if average not in ("weighted", "macro"):
+        raise ValueError(f"average must be 'weighted' or 'macro', got {average!r}")
+    pairs = pairwise_auc(df, label_col, score_cols, **kwargs).where("auc is not null")
+    weight = F.col("rows").cast("double") if average == "weighted" else F.lit(1.0)
+    total = pairs.agg(F.sum(F.col("auc") * weight).alias("area"), F.sum(weight).alias("weight"))
+    return total.select((F.col("area") / F.nullif("weight", F.lit(0.0))).alias(f"{metric_prefix}roc_auc_score"))
+
+
 def metrics_row(df: DataFrame, label_col: str, pred_col: str, run_id: str) -> DataFrame:
     """One row ``run_id, test_accuracy, test_precision, test_recall, test_f1``."""
     return binary_metrics(df, label_col, pred_col, prefix="test_").select(

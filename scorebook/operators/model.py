@@ -237,6 +237,18 @@ def signature(df: DataFrame, label_col: str) -> list[tuple[str, str, str]]:
     return [(f.name, f.dataType.simpleString(), "label" if f.name == label_col else "input") for f in df.schema.fields]
 
 
+def check_signature(expected: Sequence[tuple[str, str, str]], schema: T.StructType) -> None:
+    """Refuse input that the model was not trained on: missing input columns and changed types, all named in one
+    error. Further columns are ignored."""
+    types = {f.name: f.dataType.simpleString() for f in schema.fields}
+    inputs = [(c, t) for c, t, role in expected if role == "input"]
+    missing = [c for c, _ in inputs if c not in types]
+    changed = [f"{c}: {t} at training, {types[c]} now" for c, t in inputs if c in types and types[c] != t]
+    problems = [f"missing column(s) {missing}"] * bool(missing) + [f"changed type(s) {changed}"] * bool(changed)
+    if problems:
+        raise ValueError("the input does not fit the model's signature: " + "; ".join(problems))
+
+
 def column_profile(df: DataFrame, roles: Mapping[str, str]) -> DataFrame:
     """``(column, type, role, non_missing)`` for the given columns, the counts from one aggregation pass over
     the whole frame (null and NaN count as missing), unpivoted on the executors."""

@@ -8,8 +8,10 @@ busy model name never lands whole in one task (``max_by`` merges partial results
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 from typing import Any, Mapping, Sequence
+from urllib.parse import quote
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +33,6 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
     T.StructField("conf", T.StringType()),
 ])
-TABLES = {"model_versions": VERSIONS_SCHEMA, "model_runs": RUNS_SCHEMA}
 METRIC = "test_accuracy"
 
 
@@ -147,10 +148,23 @@ def conf_json(conf: Mapping[str, Any] | None, allowed: Sequence[str]) -> str:
     return json.dumps({k: conf[k] for k in allowed if conf and k in conf}, sort_keys=True, default=str)
 
 
+class Conflict(RuntimeError):
+    """Another job committed first."""
+
+
+KEPT_VERSIONS = 10  # snapshots of the versions that stay on disk, so that a slow reader can finish
+ATTEMPTS = 20
+
+
 @dataclass
 class Registry:
-    """Versions, runs and model artifacts under one shared folder. Both tables are created once; a change of the
-    versions is a fresh snapshot, a run is an append. A table that vanished is an error, never an empty history."""
+    """Versions, runs and model artifacts under one shared folder.
+
+    The versions are a log of snapshots: commit n is a file ``_log/n`` that names the snapshot's folder, created in
+    one atomic step (``create_once``). A change reads commit n, writes its snapshot and tries to create n + 1; where
+    another job was first, it starts again from that job's commit, so no version is lost or numbered twice. The table
+    ``model_versions`` points at the latest commit for SQL readers. A run is a folder of its own: jobs that log runs at
+    once never share one, and a repeated run replaces itself. A log that vanished is an error, never an empty history."""
 
     spark: SparkSession
     database: str
@@ -160,61 +174,122 @@ class Registry:
         from scorebook.sources.catalog import ensure_database, path_exists
 
         ensure_database(self.spark, self.database)
-        for name, schema in TABLES.items():
-            if not self.spark.catalog.tableExists(self._table(name)):
-                if path_exists(self.spark, f"{self.root}/{name}"):
-                    raise RuntimeError(f"table {self._table(name)} is gone, but its snapshots are under {self.root}/{name}")
-                self._replace(name, self.spark.createDataFrame([], schema))
-
-    def _table(self, name: str) -> str:
-        return f"{self.database}.{name}"
-
-    def _read(self, name: str) -> DataFrame:
-        if not self.spark.catalog.tableExists(self._table(name)):
-            raise RuntimeError(f"table {self._table(name)} is gone; restore it before registering or resolving models")
-        return self.spark.table(self._table(name))
+        if not path_exists(self.spark, self._log()):
+            if self.spark.catalog.tableExists(self._table()) or path_exists(self.spark, f"{self.root}/model_runs"):
+                raise RuntimeError(f"the log of versions under {self._log()} is gone")
+            self._make(self._log())
+            self._make(f"{self.root}/model_runs")
+            try:
+                self._commit(self.spark.createDataFrame([], VERSIONS_SCHEMA), 0)
+            except Conflict:  # another job has just created the registry
+                pass
+        self._point()
+
+    def _table(self) -> str:
+        return f"{self.database}.model_versions"
+
+    def _log(self) -> str:
+        return f"{self.root}/model_versions/_log"
+
+    def _make(self, folder: str) -> None:
+        from scorebook.sources.catalog import _file_system
+
+        fs, p = _file_system(self.spark, folder)
+        fs.mkdirs(p)
+
+    def _latest(self) -> tuple[int, str]:
+        """(number, snapshot folder) of the latest commit."""
+        from scorebook.sources.catalog import _file_system, path_exists, read_small
+
+        if not path_exists(self.spark, self._log()):
+            raise RuntimeError(f"the log of versions under {self._log()} is gone; restore it before registering or resolving models")
+        fs, p = _file_system(self.spark, self._log())
+        numbers = [int(f.getPath().getName()) for f in fs.listStatus(p) if f.getPath().getName().isdigit()]
+        if not numbers:
+            raise RuntimeError(f"the log of versions under {self._log()} is gone: it holds no commit")
+        return max(numbers), read_small(self.spark, f"{self._log()}/{max(numbers):020d}")
+
+    def _commit(self, df: DataFrame, base: int) -> None:
+        """Write ``df`` as commit ``base + 1``; ``Conflict`` if there is one already."""
+        from scorebook.sources.catalog import create_once, delete_path, prune_snapshots
+
+        folder = f"{self.root}/model_versions/snapshot-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(folder)
+        if not create_once(self.spark, f"{self._log()}/{base + 1:020d}", folder):
+            delete_path(self.spark, folder)
+            raise Conflict(f"commit {base + 1} of {self._log()} was made by another job")
+        prune_snapshots(self.spark, f"{self.root}/model_versions", folder, KEPT_VERSIONS)
+
+    def _point(self) -> None:
+        """Let the table show the latest commit, also where two jobs set it at once."""
+        from scorebook.sources.catalog import sql_string
+
+        for _ in range(ATTEMPTS):
+            number, folder = self._latest()
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in VERSIONS_SCHEMA.fields)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self._table()} ({columns}) USING parquet LOCATION {sql_string(folder)}")
+            self.spark.sql(f"ALTER TABLE {self._table()} SET LOCATION {sql_string(folder)}")
+            self.spark.catalog.refreshTable(self._table())
+            if self._latest()[0] == number:
+                return
 
     def versions(self) -> DataFrame:
-        return self._read("model_versions")
+        return self.spark.read.schema(VERSIONS_SCHEMA).parquet(self._latest()[1])
 
     def runs(self) -> DataFrame:
-        return self._read("model_runs")
+        from scorebook.sources.catalog import path_exists
 
-    def _replace(self, name: str, df: DataFrame) -> None:
-        from scorebook.sources.catalog import replace_table
-
-        replace_table(self.spark, df, self._table(name), f"{self.root}/{name}")
+        if not path_exists(self.spark, f"{self.root}/model_runs"):
+            raise RuntimeError(f"the runs under {self.root}/model_runs are gone; restore them before registering or resolving models")
+        return self.spark.read.schema(RUNS_SCHEMA).parquet(f"{self.root}/model_runs").select(*RUNS_SCHEMA.names)
 
     def model_path(self, run_id: str) -> str:
         return f"{self.root}/runs/{run_id}/model"
 
+    def signature(self, run_id: str) -> list[tuple[str, str, str]]:
+        """(column, type, role) of the run's training rows."""
+        stored = self.spark.read.schema("column string, type string, role string").json(f"{self.root}/runs/{run_id}/signature")
+        return [tuple(r) for r in stored.collect()]  # a row per column
+
     def log_run(self, run_id: str, metrics: DataFrame, conf: str) -> None:
-        """Append the run (runs are history: appended, never rewritten); ``metrics`` is a one-row frame."""
-        m = metrics.select(F.lit(run_id).alias("run_id"),
-                           F.create_map(*[x for c in metrics.columns for x in (F.lit(c), F.col(c).cast("double"))]).alias("metrics"),
+        """Write the run's row to its own folder; ``metrics`` is a one-row frame."""
+        m = metrics.select(F.create_map(*[x for c in metrics.columns for x in (F.lit(c), F.col(c).cast("double"))]).alias("metrics"),
                            F.lit(conf).alias("conf"))
-        self._read("model_runs")
-        m.coalesce(1).write.format("parquet").mode("append").saveAsTable(self._table("model_runs"))
+        m.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/model_runs/run_id={quote(run_id, safe='')}")
 
     def register_and_promote(self, name: str, run_id: str) -> DataFrame:
-        """R1 + R5 + R6 in one snapshot: register ``run_id`` as the next version of ``name``, decide against
-        the current champion and write the versions table once. Returns the decision row."""
+        """R1 + R5 + R6 in one commit: register ``run_id`` as the next version of ``name``, decide against the current
+        champion and write the versions once; from the start again if another job commits meanwhile. Returns the
+        decision row."""
+        for _ in range(ATTEMPTS):
+            base, folder = self._latest()
+            try:
+                after, decisions = self._decided(self.spark.read.schema(VERSIONS_SCHEMA).parquet(folder), name, run_id)
+                self._commit(apply_promotion(after, decisions), base)
+            except Conflict:
+                continue
+            self._point()
+            return decisions
+        raise Conflict(f"{ATTEMPTS} other commits came first; try again")
+
+    def _decided(self, versions: DataFrame, name: str, run_id: str) -> tuple[DataFrame, DataFrame]:
         new = self.spark.range(1).select(F.lit(name).alias("name"), F.lit(run_id).alias("run_id"),
                                          F.current_timestamp().alias("last_updated"))
-        versions = self.versions()
         row = register(versions, new).collect()  # one row
         registered = self.spark.createDataFrame(row, VERSIONS_SCHEMA)
         cand = registered.select("name", F.col("version").alias("candidate_version"),
                                  F.col("run_id").alias("candidate_run_id"))
         after = versions.unionByName(registered)
         found = promotion_decisions(after, self.runs(), cand)
-        decisions = self.spark.createDataFrame(found.collect(), found.schema)  # one row
-        self._replace("model_versions", apply_promotion(after, decisions))
-        return decisions
+        return after, self.spark.createDataFrame(found.collect(), found.schema)  # one row
 
-    def resolve(self, name: str, stage: str = PRODUCTION) -> PipelineModel:
-        """The newest version of ``name`` in ``stage``, loaded."""
+    def resolved_run(self, name: str, stage: str = PRODUCTION) -> str:
+        """The run of the newest version of ``name`` in ``stage``."""
         row = resolve_stage(self.versions().where(F.col("name") == name), stage).first()
         if row is None:
             raise LookupError(f"no version of {name!r} in stage {stage!r}")
-        return PipelineModel.load(self.model_path(row["run_id"]))
+        return row["run_id"]
+
+    def resolve(self, name: str, stage: str = PRODUCTION) -> PipelineModel:
+        """The newest version of ``name`` in ``stage``, loaded."""
+        return PipelineModel.load(self.model_path(self.resolved_run(name, stage)))

@@ -67,6 +67,10 @@ DOC_JOIN_SQL = "SELECT doc_id, quality, lang, source, n_chars FROM labels JOIN d
 RULE_LANGS = ("de", "fr")
 
 
+# The languages of the scores in ``roc_auc_ovo``, and a factor of each one's noise.
+LANGUAGE_FACTORS = (("de", 7), ("en", 13), ("es", 29), ("fr", 31))
+
+
 def rule_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_parquet_table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.col("lang").isin(*RULE_LANGS), F.lit(False)).cast("int").alias("continental"))
     return read_parquet_table(spark, sf_dir, "labels").select("doc_id").join(docs, "doc_id")

@@ -83,6 +83,24 @@ FILLED_SPLIT = B.split_sql(f"SELECT * FROM ({LABELLED}) l WHERE label IS NOT NUL
                            "AND c_acctbal IS NOT NULL", "o_orderkey", "label", 0.2, 42)
 
 
+_NAMED = ", ".join(f"('{k}', {p})" for k, p in B.LANGUAGE_FACTORS)
+# Every document's score for every language; AUC of (a by its score, against b) as the share of won pairs of rows.
+PAIRS = f"""
+WITH k AS (SELECT col0 AS lang, col1 AS p FROM (VALUES {_NAMED}) v),
+s AS (SELECT d.lang AS own, k.lang AS scored,
+             ((d.n_chars * k.p + d.doc_id) % 101 + CASE WHEN d.lang = k.lang THEN 20 + k.p ELSE 0 END) / 128.0 AS score
+      FROM documents d, k WHERE d.lang IS NOT NULL),
+c AS (SELECT scored, own, score, count(*) AS n FROM s GROUP BY ALL),
+won AS (SELECT x.scored, y.own AS against,
+               sum(CASE WHEN x.score > y.score THEN 1.0 WHEN x.score = y.score THEN 0.5 ELSE 0.0 END * x.n * y.n) AS area,
+               sum(CAST(x.n AS DOUBLE) * y.n) AS total
+        FROM c x JOIN c y ON x.scored = y.scored AND x.own = x.scored AND y.own <> y.scored GROUP BY ALL),
+n AS (SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang)
+SELECT a.scored AS "first", b.scored AS "second", (a.area / a.total + b.area / b.total) / 2 AS auc, na.n + nb.n AS rows
+FROM won a JOIN won b ON a.scored = b.against AND b.scored = a.against AND a.scored < b.scored
+JOIN n na ON na.lang = a.scored JOIN n nb ON nb.lang = b.scored"""
+
+
 def _job_sql(name: str, split: str) -> str:
     """A first training job: version 1, promoted, nothing archived, metrics that follow from the predictions."""
     return (f"SELECT '{name}' AS name, CAST(1 AS BIGINT) AS version, count_if(split = 'train') AS n_train, "
@@ -103,7 +121,7 @@ ORACLE_SQL: dict[str, str] = {
     "feature_table_write": f"SELECT * EXCLUDE (label) FROM ({LABELLED}) l",
     "labels_table_write": f"SELECT o_orderkey, label FROM ({LABELLED}) l",
     "predictions_overwrite": RULE,
-    "predictions_append": f"SELECT * FROM ({RULE}) a UNION ALL SELECT * FROM ({RULE}) b",
+    "predictions_append": f"SELECT *, unnest(['monday', 'tuesday']) AS batch_id FROM ({RULE}) a",
     "training_join": B.DOC_JOIN_SQL,
     "score_join": "SELECT doc_id, toxic, lang, source, n_chars FROM labels JOIN documents USING (doc_id)",
     "stratified_split": f"SELECT doc_id, quality, split FROM ({DOC_SPLIT}) s",
@@ -149,6 +167,8 @@ r AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PR
 SELECT round(CASE WHEN sum(pos) > 0 AND sum(neg) > 0
                   THEN sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) END, 9) AS roc_auc_score
 FROM r""",
+    "roc_auc_ovo": f"SELECT round(sum(auc * rows) / sum(rows), 9) AS roc_auc_score FROM ({PAIRS}) p",
+    "roc_auc_pairs": f'SELECT "first", "second", round(auc, 9) AS auc, CAST(rows AS BIGINT) AS rows FROM ({PAIRS}) p',
     "metrics_row": "SELECT 'rule_n_chars' AS run_id, *, '{\"model_params\": {\"rule\": \"n_chars\"}}' AS conf FROM ("
                    + METRICS.format(p="test_") + ") m",
     "register_version": f"""

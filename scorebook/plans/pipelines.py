@@ -105,12 +105,14 @@ def train(spark: SparkSession, cfg: TrainConfig, registry: Registry | None = Non
 
 
 def score(spark: SparkSession, cfg: InferenceConfig, registry: Registry) -> DataFrame:
-    """Resolve the model for (name, stage), join input keys to features, predict. The result is lazy; resolving the model and sizing the join's buckets run small jobs."""
-    model = registry.resolve(cfg.model_name, cfg.stage)
+    """Resolve the model for (name, stage), join input keys to features, check the columns against the model's
+    signature (M10), predict. The result is lazy; resolving the model and sizing the join's buckets run small jobs."""
+    run_id = registry.resolved_run(cfg.model_name, cfg.stage)
     keys = normalize_keys(cfg.lookup_keys)
     inputs = read_table(spark, cfg.input_table)
     joined = score_join(inputs, feature_side(spark, cfg.feature_table, inputs, keys), keys)
-    return M.predict(model, joined)
+    M.check_signature(registry.signature(run_id), joined.schema)
+    return M.predict(M.load_model(registry.model_path(run_id)), joined)
 
 
 def batch_inference(spark: SparkSession, cfg: InferenceConfig, registry: Registry) -> str:
@@ -118,7 +120,7 @@ def batch_inference(spark: SparkSession, cfg: InferenceConfig, registry: Registr
     if cfg.output_table is None:
         raise ValueError("output_table must be set to write predictions")
     return write_predictions(spark, score(spark, cfg, registry), cfg.output_table, cfg.mode, cfg.format,
-                             cfg.output_location)
+                             cfg.output_location, batch_id=cfg.batch_id)
 
 
 def run_initial_train(spark: SparkSession, raw: DataFrame | None, featurizer: FeaturizerConfig,

@@ -31,7 +31,7 @@ from scorebook.operators.featurize import (
 )
 from scorebook.operators.impute import ExactMedianImputer
 from scorebook.operators.joins import score_join, training_join
-from scorebook.operators.metrics import METRIC_NAMES, binary_metrics, metrics_row, roc_auc
+from scorebook.operators.metrics import METRIC_NAMES, binary_metrics, metrics_row, multiclass_auc, pairwise_auc, roc_auc
 from scorebook.operators.registry import (
     Registry,
     apply_promotion,
@@ -203,10 +203,13 @@ def q_predictions_overwrite(spark, sf_dir):
 
 
 def q_predictions_append(spark, sf_dir):
+    """K6: two batches, the second one run twice as after a failure; its rows are there once."""
     table = f"{_database(spark, 'pred')}.predictions"
     location = scratch_path(spark, "predictions")
-    write_predictions(spark, _rule_predictions(spark, sf_dir), table, "overwrite", location=location)
-    write_predictions(spark, _rule_predictions(spark, sf_dir), table, "append")
+    rows = _rule_predictions(spark, sf_dir)
+    write_predictions(spark, rows, table, "append", location=location, batch_id="monday")
+    write_predictions(spark, rows.withColumn("prediction", 1 - F.col("prediction")), table, "append", batch_id="tuesday")
+    write_predictions(spark, rows, table, "append", batch_id="tuesday")
     return read_table(spark, table)
 
 
@@ -339,6 +342,26 @@ def q_roc_auc(spark, sf_dir):
     return roc_auc(joined, "quality", "n_chars").select(_r("roc_auc_score", 9))
 
 
+def _language_scores(spark, sf_dir):
+    """Scores of a rule for each language: some noise of the document, and a part of the truth."""
+    docs = B.doc_features(spark, sf_dir).where("lang is not null")
+    return docs.select(DOC_KEY, "lang", *[
+        (((F.col("n_chars") * p + F.col(DOC_KEY)) % 101 + F.when(F.col("lang") == k, 20 + p).otherwise(0)) / 128.0).alias(f"score_{k}")
+        for k, p in B.LANGUAGE_FACTORS])
+
+
+def q_roc_auc_ovo(spark, sf_dir):
+    """E5 for several classes: one against one over the languages, weighted by prevalence."""
+    scores = {k: f"score_{k}" for k, _ in B.LANGUAGE_FACTORS}
+    return multiclass_auc(_language_scores(spark, sf_dir), "lang", scores).select(_r("roc_auc_score", 9))
+
+
+def q_roc_auc_pairs(spark, sf_dir):
+    """E5: the AUC of each pair of languages."""
+    scores = {k: f"score_{k}" for k, _ in B.LANGUAGE_FACTORS}
+    return pairwise_auc(_language_scores(spark, sf_dir), "lang", scores).select("first", "second", _r("auc", 9), "rows")
+
+
 def q_metrics_row(spark, sf_dir):
     m = metrics_row(_rule_predictions(spark, sf_dir), "quality", "prediction", "rule_n_chars")
     conf = conf_json({"model_params": {"rule": "n_chars"}, "token": "not logged"}, ("model_params", "run_name"))
@@ -488,6 +511,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "input_example": q_input_example,
     "binary_metrics": q_binary_metrics,
     "roc_auc": q_roc_auc,
+    "roc_auc_ovo": q_roc_auc_ovo,
+    "roc_auc_pairs": q_roc_auc_pairs,
     "metrics_row": q_metrics_row,
     "register_version": q_register_version,
     "champion_select": q_champion_select,

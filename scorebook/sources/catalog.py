@@ -11,6 +11,7 @@ import math
 import uuid
 from typing import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +78,50 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with its whole content in one atomic step; False where ``path`` is there already. The text
+    goes to a file of its own first, which then gets the name: by a hard link on a local disk, by a rename that
+    refuses to replace elsewhere (atomic where the file system's rename is)."""
+    fs, p = _file_system(spark, path)
+    own = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(own, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    jvm = spark._jvm
+    try:
+        if fs.makeQualified(p).toUri().getScheme() == "file":
+            place = lambda q: jvm.java.nio.file.Paths.get(fs.makeQualified(q).toUri())
+            jvm.java.nio.file.Files.createLink(place(p), place(own))
+        else:
+            none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(own, p, none)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        if fs.exists(own):
+            fs.delete(own, False)
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    fs, p = _file_system(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def prune_snapshots(spark: SparkSession, root: str, current: str, keep: int = KEPT_SNAPSHOTS) -> None:
     """Remove the oldest ``snapshot-*`` folders under ``root`` but the newest ``keep`` and ``current``."""
     fs, p = _file_system(spark, root)
@@ -104,6 +149,7 @@ def replace_table(spark: SparkSession, df: DataFrame, name: str, root: str, fmt:
         writer.saveAsTable(staging)
     except Exception:
         drop_table(spark, staging)
+        delete_path(spark, snapshot)
         raise
     swap_table(spark, staging, name, aside)
     prune_snapshots(spark, root, snapshot, keep)
@@ -199,20 +245,55 @@ def write_labels_table(spark: SparkSession, df: DataFrame, cfg: LabelsTableConfi
     return replace_table(spark, df, cfg.name, (cfg.path or table_root(spark, None, cfg.name)).rstrip("/"), cfg.format)
 
 
+BATCH = "batch_id"  # partition column of predictions that are appended batch by batch
+
+
 def write_predictions(spark: SparkSession, df: DataFrame, table: str, mode: str = "overwrite",
                       fmt: str = "parquet", location: str | None = None,
-                      partition_by: Sequence[str] = ()) -> str:
+                      partition_by: Sequence[str] = (), batch_id: str | None = None) -> str:
     """K6: write predictions with ``mode`` append or overwrite. An overwrite is a fresh snapshot under ``location``
     (the table stays external there); an append adds files to the current one. Appending a different schema raises
-    (Spark's own check)."""
+    (Spark's own check).
+
+    With ``batch_id`` the rows get it as a column, and the table is partitioned by it. An append then replaces the
+    rows of its own batch and no others, so a job that failed half-way, or ran twice, can simply run again."""
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be 'append' or 'overwrite', got {mode!r}")
     database = table.split(".")[0] if "." in table else None
     if database:
         ensure_database(spark, database)
+    partition_by = list(partition_by)
+    if batch_id is not None:
+        if BATCH in df.columns:
+            raise ValueError(f"the predictions have a column {BATCH!r} of their own")
+        df, partition_by = df.withColumn(BATCH, F.lit(batch_id)), [BATCH, *partition_by]
     if mode == "append" and spark.catalog.tableExists(table):
+        if batch_id is not None:
+            return _append_batch(spark, df, table, batch_id)
         writer = df.write.format(fmt).mode("append")
         (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
         return table
     root = (location or table_root(spark, None, table)).rstrip("/")
     return replace_table(spark, df, table, root, fmt, partition_by=partition_by)
+
+
+def _append_batch(spark: SparkSession, df: DataFrame, table: str, batch_id: str) -> str:
+    """Replace the rows of one batch. Its partition is exchanged when the job commits, so a run that fails leaves the
+    batch as it was (with partitions inside the batch, its rows go before the new ones are written)."""
+    columns = spark.table(table).columns
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if BATCH not in parts:
+        raise ValueError(f"table {table} is not partitioned by {BATCH!r}; write its first batch with a batch id")
+    if sorted(columns) != sorted(df.columns):
+        raise ValueError(f"columns {sorted(df.columns)} do not match those of table {table}: {sorted(columns)}")
+    layout = table_layout(spark, table)
+    rows = df.select(*[F.col(f"`{c}`").cast(spark.table(table).schema[c].dataType).alias(c) for c in columns])
+    if len(parts) > 1 or df.isEmpty():
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{BATCH}` = {sql_string(batch_id)})")
+        # An external table keeps the files of a dropped partition.
+        delete_path(spark, f"{layout['Location'].rstrip('/')}/{spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(BATCH, batch_id)}")
+    rows.write.format(layout.get("Provider", "parquet")).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *parts).save(layout["Location"])
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(table)
+    return table

@@ -1,12 +1,15 @@
 """Whole jobs: features -> train -> register/promote -> score, and the job-level quirks."""
 
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 
 from scorebook.config import FeaturizerConfig, FeatureTableConfig, InferenceConfig, LabelsTableConfig, SplitConfig, TrainConfig
 from scorebook.operators.registry import Registry
-from scorebook.plans.pipelines import batch_inference, create_feature_tables, train
+from scorebook.plans.pipelines import batch_inference, create_feature_tables, score, train
 from scorebook.session import scratch_path, unique_name
+from scorebook.sources.catalog import write_feature_table
 
 SMALL = {"n_estimators": 5, "max_depth": 4, "min_samples_leaf": 1, "max_features": "sqrt", "random_state": 42}
 
@@ -80,3 +83,36 @@ def test_names_cleaned_keys_included_when_one_hot(spark):
                           features, labels)
     assert spark.table(features.name).columns == ["BookingID", "adults", "price_usd", "room_type_Standard", "room_type_Suite"]
     assert spark.table(labels.name).columns == ["BookingID", "booking_status"]
+
+
+def _scored(spark):
+    """A promoted model and the inference job over its tables."""
+    db, features, labels, cfg = _configs(spark)
+    create_feature_tables(spark, _raw(spark), FeaturizerConfig(drop_missing=False), features, labels)
+    registry = Registry(spark, unique_name("registry"), scratch_path(spark, "registry"))
+    train(spark, cfg, registry)
+    job = InferenceConfig("booking", labels.name, features.name, "Booking_ID", f"{db}.predictions",
+                          output_location=scratch_path(spark, "pred"), mode="append", batch_id="today")
+    return registry, features, job
+
+
+def test_scoring_checks_the_signature(spark):
+    registry, features, job = _scored(spark)
+    stored = spark.createDataFrame(spark.table(features.name).collect(), spark.table(features.name).schema)
+    write_feature_table(spark, stored.withColumn("extra", F.lit(1)), features)
+    assert score(spark, job, registry).count() == 60  # further columns are ignored
+    write_feature_table(spark, stored.drop("price", "adults"), features)
+    with pytest.raises(ValueError, match=r"missing column\(s\) \['adults', 'price'\]"):
+        score(spark, job, registry)
+    write_feature_table(spark, stored.withColumn("adults", F.col("adults").cast("string")), features)
+    with pytest.raises(ValueError, match="adults: int at training, string now"):
+        score(spark, job, registry)
+
+
+def test_a_scoring_job_can_run_again(spark):
+    registry, _, job = _scored(spark)
+    for _ in range(2):
+        batch_inference(spark, job, registry)
+    assert spark.table(job.output_table).count() == 60
+    batch_inference(spark, dataclasses.replace(job, batch_id="tomorrow"), registry)
+    assert spark.table(job.output_table).groupBy("batch_id").count().collect().__len__() == 2

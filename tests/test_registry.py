@@ -1,6 +1,7 @@
 """Promotion rules over a versions table."""
 
 import datetime as dt
+import threading
 
 import pytest
 
@@ -17,6 +18,8 @@ from scorebook.operators.registry import (
     register,
     resolve_stage,
 )
+from scorebook.session import scratch_path, unique_name
+from scorebook.sources.catalog import delete_path
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -94,8 +97,6 @@ def test_number_versions_bucketed_equals_plain(spark):
 
 
 def test_a_lost_table_is_an_error_not_an_empty_history(spark):
-    from scorebook.session import scratch_path, unique_name
-
     db, root = unique_name("lost"), scratch_path(spark, "lost")
     registry = Registry(spark, db, root)
     registry.log_run("a", spark.createDataFrame([(0.9,)], "test_accuracy double"), "{}")
@@ -103,8 +104,69 @@ def test_a_lost_table_is_an_error_not_an_empty_history(spark):
     assert first.candidate_version == 1 and first.promote
     now = spark.sql("SELECT current_timestamp() AS t").first().t
     assert abs((registry.versions().first().last_updated - now).total_seconds()) < 600
+    assert spark.table(f"{db}.model_versions").first().version == 1
+    # The catalog entry is a pointer to the log: a dropped one comes back.
     spark.sql(f"DROP TABLE {db}.model_versions")
+    assert Registry(spark, db, root).versions().count() == 1 and spark.table(f"{db}.model_versions").count() == 1
+    delete_path(spark, f"{root}/model_versions/_log")
     with pytest.raises(RuntimeError, match="gone"):
         registry.register_and_promote("m", "a")
     with pytest.raises(RuntimeError, match="gone"):
         Registry(spark, db, root)
+
+
+def test_two_jobs_at_once_get_consecutive_versions(spark):
+    db, root = unique_name("both"), scratch_path(spark, "both")
+    registry = Registry(spark, db, root)
+    score = lambda v: spark.createDataFrame([(v,)], "test_accuracy double")
+    registry.log_run("first", score(0.5), "{}")
+    registry.register_and_promote("m", "first")
+    jobs = {f"job{i}": 0.6 + i / 10 for i in range(4)}
+    start, failed = threading.Barrier(len(jobs)), []
+
+    def job(run_id, accuracy):
+        try:
+            own = Registry(spark, db, root)
+            start.wait()
+            own.log_run(run_id, score(accuracy), "{}")
+            own.register_and_promote("m", run_id)
+        except Exception as e:  # told to the test's own thread
+            failed.append(e)
+
+    threads = [threading.Thread(target=job, args=j) for j in jobs.items()]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not failed
+    rows = registry.versions().collect()
+    assert sorted(r.version for r in rows) == [1, 2, 3, 4, 5] and {r.run_id for r in rows} == {"first", *jobs}
+    assert [r.run_id for r in rows if r.stage == "Production"] == ["job3"]  # the best one, whatever the order
+    assert registry.runs().count() == 5 and spark.table(f"{db}.model_versions").count() == 5
+
+
+def test_a_job_that_lost_starts_from_the_other_commit(spark, monkeypatch):
+    db, root = unique_name("lost"), scratch_path(spark, "race")
+    mine, other = Registry(spark, db, root), Registry(spark, db, root)
+    for run in ("a", "b"):
+        mine.log_run(run, spark.createDataFrame([(0.5,)], "test_accuracy double"), "{}")
+    decided, raced = mine._decided, []
+
+    def slow(*args):
+        out = decided(*args)
+        if not raced:
+            raced.append(other.register_and_promote("m", "b"))  # commits while this job has decided already
+        return out
+
+    monkeypatch.setattr(mine, "_decided", slow)
+    row = mine.register_and_promote("m", "a").first()
+    assert row.candidate_version == 2 and not row.promote  # decided again, against the other job's champion
+    assert {(r.run_id, r.version, r.stage) for r in mine.versions().collect()} == {("b", 1, "Production"), ("a", 2, "None")}
+
+
+def test_a_file_is_created_once(spark):
+    from scorebook.sources.catalog import create_once, read_small
+
+    path = scratch_path(spark, "once")
+    assert create_once(spark, path, "mine") and not create_once(spark, path, "other")
+    assert read_small(spark, path) == "mine"

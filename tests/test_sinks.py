@@ -4,6 +4,7 @@ import os
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from scorebook.config import FeatureTableConfig, LabelsTableConfig
 from scorebook.plans.pipelines import smoke
@@ -116,3 +117,35 @@ def test_partitioned_predictions_overwrite_and_append(spark):
         write_predictions(spark, df, table, "overwrite", location=location, partition_by=["day"])
     write_predictions(spark, df, table, "append", partition_by=["day"])
     assert spark.table(table).where("day = 'a'").count() == 2 and table_layout(spark, table)["Type"] == "EXTERNAL"
+
+
+def test_a_repeated_append_of_one_batch_gives_its_rows_once(spark):
+    table, location = f"{unique_name('batch')}.p", scratch_path(spark, "batch")
+    rows = lambda *ks: spark.createDataFrame([(k, k % 2) for k in ks], "k long, prediction int")
+    held = lambda: sorted(tuple(r) for r in spark.table(table).collect())
+    write_predictions(spark, rows(1, 2), table, "append", location=location, batch_id="d 1")
+    for _ in range(2):
+        write_predictions(spark, rows(3, 4), table, "append", batch_id="d 2")
+    assert held() == [(1, 1, "d 1"), (2, 0, "d 1"), (3, 1, "d 2"), (4, 0, "d 2")]
+    failing = spark.range(0, 50).selectExpr("id AS k", "if(id = 49, raise_error('stop'), cast(id as int)) AS prediction")
+    with pytest.raises(Exception, match="stop"):
+        write_predictions(spark, failing, table, "append", batch_id="d 2")
+    assert len(held()) == 4  # a failed run leaves the batch as it was
+    write_predictions(spark, rows(5).select("prediction", "k"), table, "append", batch_id="d 2")  # by name
+    assert held() == [(1, 1, "d 1"), (2, 0, "d 1"), (5, 1, "d 2")]
+    write_predictions(spark, rows(), table, "append", batch_id="d 2")  # the batch has no rows any more
+    assert held() == [(1, 1, "d 1"), (2, 0, "d 1")]
+    with pytest.raises(ValueError, match="do not match"):
+        write_predictions(spark, rows(1).withColumn("extra", F.lit(1)), table, "append", batch_id="d 2")
+    write_predictions(spark, rows(9), table, "overwrite", location=location)
+    with pytest.raises(ValueError, match="not partitioned"):
+        write_predictions(spark, rows(9), table, "append", batch_id="d 3")
+
+
+def test_a_failed_write_leaves_no_snapshot(spark):
+    db, root = unique_name("left"), scratch_path(spark, "left")
+    ensure_database(spark, db)
+    replace_table(spark, spark.range(3), f"{db}.t", root)
+    with pytest.raises(Exception, match="stop"):
+        replace_table(spark, spark.range(9).selectExpr("if(id = 8, raise_error('stop'), id) AS id"), f"{db}.t", root)
+    assert len([f for f in os.listdir(root.removeprefix("file:")) if f.startswith("snapshot-")]) == 1
