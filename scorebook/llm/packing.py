@@ -4,7 +4,7 @@ Each document's ids (a public tokenizer, then ``end_id``) are cut into full wind
 is routed to the shortest context tier that holds it. Tiers are packed from the longest down: a remainder longer than
 half its window opens a window of its own, and the gap behind it is filled from shorter tiers, largest fitting piece
 first, the last piece cut to end the window exactly. Remainders of the shortest tier fill windows of that tier. What
-is left open at the end of a partition is cut at powers of two, so that no sequence needs padding. Sequences are
+is left open every ``buffer_docs`` documents, and at a partition's end, is cut at powers of two, so that no sequence needs padding. Sequences are
 dealt to step groups of equal token budget within each partition and sequence size. So each partition ends with at most
 one unfilled group for each size it has, those of the power-of-two tails included; the number of unfilled groups grows
 with the partitions, and a consumer that needs equal groups has to merge them.
@@ -13,9 +13,10 @@ The work is a single pass without a shuffle: every partition tokenises and packs
 holding ``buffer_docs`` remainders at a time. The order inside a partition is the scan's, so a task that runs again
 makes the same sequences.
 
-Tokenising: texts whose bytes are ASCII or Latin-1 letters are cut into the tokenizer's own pieces in numpy and each
-distinct piece is sent to the tokenizer's model once per worker (bounded cache); other texts go through the tokenizer
-whole. Both give the tokenizer's ids.
+Tokenising: where a tokenizer's file names the normaliser and the pieces that are known here (``KNOWN_RULES``), texts
+whose bytes are ASCII or Latin-1 letters are cut into those pieces in numpy, and each distinct piece is sent to the
+tokenizer's model once per worker (bounded cache). Other texts, and all texts of any other tokenizer, go through the
+tokenizer whole. Both give the tokenizer's ids.
 
 Defined results: null and empty texts are the end id alone. Repeated rows are packed as often as they occur. Extra
 columns are ignored; an empty table gives an empty one.
@@ -23,6 +24,7 @@ columns are ignored; an empty table gives an empty one.
 
 from __future__ import annotations
 
+import json
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -41,6 +43,15 @@ SCHEMA = (
 )
 CACHE_PIECES = 250_000
 
+# The normaliser and the pieces of the tokenizers whose texts may be cut in numpy.
+KNOWN_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Of a byte: 0 white space, 1 letter, 2 digit, 3 any other sign.
@@ -69,6 +80,14 @@ def _byte_signs() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def follows_known_rules(tokenizer: dict) -> bool:
+    """Whether a tokenizer's definition has the known rules, adds nothing after them and cuts special tokens only at
+    strings with "<|", which are looked for."""
+    same = all(tokenizer.get(k) == v for k, v in KNOWN_RULES.items())
+    plain = not tokenizer.get("post_processor") and not tokenizer.get("truncation") and not tokenizer.get("padding")
+    return same and plain and all("<|" in t["content"] for t in tokenizer.get("added_tokens") or ())
+
+
 class TextTokenizer:
     """Ids of whole texts; distinct pieces are encoded once."""
 
@@ -79,6 +98,7 @@ class TextTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.known_rules = follows_known_rules(json.loads(self.tokenizer.to_str()))
         self.roller = Roller(41)
         self.signs = _byte_signs()
         self.clear()
@@ -114,6 +134,8 @@ class TextTokenizer:
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
         if not n:
             return out
+        if not self.known_rules:
+            return [self._whole(texts, i) for i in range(len(texts))]
         follows = np.zeros(n, dtype=bool)  # second byte of a letter C3 80 .. C3 BF
         follows[1:] = data[:-1] == 0xC3
         follows &= (data >= 0x80) & (data <= 0xBF) & (data != 0x97) & (data != 0xB7)
@@ -170,10 +192,13 @@ class TextTokenizer:
             if simple[i]:
                 out[i] = flat[edges[i] : edges[i + 1]]
             else:
-                raw = texts.raw(i).decode("utf-8", "replace")
-                out[i] = np.array(self.tokenizer.encode(raw, add_special_tokens=False).ids, np.uint32)
+                out[i] = self._whole(texts, i)
         return out
 
+    def _whole(self, texts: Texts, i: int) -> np.ndarray:
+        raw = texts.raw(i).decode("utf-8", "replace")
+        return np.array(self.tokenizer.encode(raw, add_special_tokens=False).ids, np.uint32)
+
 
 def tokenizer_of(path: str) -> TextTokenizer:
     cache = process_cache("tokenizer")

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorebook.operators.ranks import range_partitions, range_ranks
+
 from .common import Roller, Texts, leased, materialise, mix, sorted_groups, space_words, text_slices, to_signed
 from .components import connected_components
 
@@ -383,3 +385,33 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, cfg: MinHashConfig = M
         F.when(F.col("doc_id").isNotNull(), F.col("group_id")).alias("group_id"),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("group_id"), F.lit(True)))
     return NearDuplicates(out, links.unionByName(more))
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, cfg: MinHashConfig = MinHashConfig()) -> DataFrame:
+    """The rows of ``docs``, all columns, of the first document of each near-duplicate group.
+
+    A document is a doc_id and a text; documents stand in order of doc_id, those of one doc_id in order of the md5 of their
+    texts, so a text is never judged by another one that shares its id. Of rows that repeat a document, the one whose
+    other columns are least as JSON stays. Rows with a null doc_id all stay.
+    """
+    digest = F.md5(F.coalesce("text", F.lit("\x00null")).cast("binary"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.withColumn("__digest", digest).where("doc_id is not null")
+    facts = materialise(spark, keyed.groupBy("doc_id", "__digest").agg(F.count("*").alias("n")), "dedup-ids")
+    per_id = facts.groupBy("doc_id").agg(F.count("*").alias("texts"), F.sum("n").alias("n"), F.max("n").alias("copies"))
+    size = per_id.agg(F.max("texts").alias("texts"), F.max("copies").alias("copies"), F.sum("texts").alias("documents")).first()
+    if (size.texts or 0) <= 1:
+        keyed = keyed.withColumn("__node", F.col("doc_id").cast("long"))
+    else:
+        ranks = range_ranks(facts.select("doc_id", "__digest"), ["doc_id", "__digest"], partitions=range_partitions(size.documents))
+        nodes = materialise(spark, ranks.select("doc_id", "__digest", F.col("rank").alias("__node")), "dedup-nodes")
+        keyed = materialise(spark, keyed.join(nodes.hint("merge"), ["doc_id", "__digest"]), "dedup-documents")
+    found = near_duplicates(spark, keyed.select(F.col("__node").alias("doc_id"), "text"), cfg).documents
+    gone = found.where("not kept").select(F.col("doc_id").alias("__node")).distinct()
+    first = keyed.join(gone, "__node", "left_anti")
+    if (size.copies or 0) > 1:
+        rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+        order = F.to_json(F.struct(*rest, F.lit(0).alias("__"))) if rest else F.lit("")
+        once = first.groupBy("doc_id", "__digest").agg(F.min_by(F.struct(*columns), order).alias("__row"))
+        first = once.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
+    return first.select(*columns).unionByName(docs.where("doc_id is null"))

@@ -1,12 +1,14 @@
 """Removal of passages that repeat across documents, by level-wise doubling of word windows.
 
-Level ``size / 2``: of every window of ``size`` words, the least hash among its half-size windows is its anchor, so
-equal windows have equal anchors and a text has few of them (about one in ``size / 4`` words). Anchors that occur in
-one document only are dropped: no window around them can repeat elsewhere. Level ``size``: only windows whose anchor
+Windows grow level by level from ``first_length`` words to ``size`` (12, 25, 50). At each level a window that occurs in
+one document only goes, as nothing longer around it can repeat; what repeats is extended to twice that length. Below
+``size``, the windows of a text are the *anchors* of the next level: of every longer window, the half-size window of
+least hash, so equal windows have equal anchors, and a text has few of them. All lengths of an anchor are computed in
+one scan of the texts and written as one narrow row; the loop over the levels joins these rows with the windows that
+repeat, shortest first, until ``size`` is next or no candidate survives. Then only windows of ``size`` words whose anchor
 survived are hashed (128 bits) and joined; the least doc_id of each window decides. A word covered by a window whose
-words also start in a document of a smaller id is removed. ``longest_repeats`` goes on from there: windows that repeat
-at one length are extended to twice that length, level by level, until no candidate survives. Removal does not need
-those levels, as every longer repeat is covered by its windows of ``size`` words.
+words also start in a document of a smaller id is removed. Removal ends there: every longer repeat is covered by its
+windows of ``size`` words. ``longest_repeats`` goes on doubling until no candidate survives.
 
 No position travels: a document's candidate windows are recomputed from its text next to the short list of its
 surviving anchors. Minima are pre-aggregated before each shuffle, so a passage that a third of the documents share is
@@ -35,6 +37,14 @@ from .common import Roller, Texts, carrying, leased, materialise, space_words, t
 @dataclass(frozen=True)
 class SubstringConfig:
     size: int = 50  #: words of a window
+    first_length: int = 8  #: windows are halved from ``size`` while they keep so many words
+
+    def lengths(self) -> list[int]:
+        """Lengths of the levels below ``size``, shortest first; at least one."""
+        out = [max(self.size // 2, 1)]
+        while out[0] // 2 >= self.first_length:
+            out.insert(0, out[0] // 2)
+        return out
 
 
 def sliding_min(a: np.ndarray, width: int) -> np.ndarray:
@@ -66,6 +76,24 @@ class Windows:
         owner, inside = window_owner(self.first, size, len(self.words))
         return least, owner, inside
 
+    def nested(self, lengths: list[int], size: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """(text, anchors by length) of the distinct neighbouring anchors: of each window of ``size`` words its anchor of
+        the longest length, of that one its own anchor of the length below, and so on."""
+        least, owner, inside = self.anchors(size)
+        least, owner, at = least[inside], owner[inside], np.flatnonzero(inside)
+        fresh = np.ones(len(least), dtype=bool)  # neighbours mostly share their anchor
+        fresh[1:] = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])
+        least, owner, at = least[fresh], owner[fresh], at[fresh]
+        found, outer = [least], size
+        for k in range(len(lengths) - 1, 0, -1):
+            half, below = lengths[k], lengths[k - 1]
+            inner = sliding_min(self.rollers[0].windows(self.words, below), half - below + 1)
+            spots = at[:, None] + np.arange(outer - half + 1)
+            at = at + (self.rollers[0].windows(self.words, half)[spots] == found[0][:, None]).argmax(axis=1) if len(at) else at
+            found.insert(0, inner[at])
+            outer = half
+        return owner, found
+
     def keys(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """128-bit identity of every window of ``size`` words, as two arrays."""
         if self.words2 is None:
@@ -83,31 +111,41 @@ def _list_column(values: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))
 
 
-def document_anchors(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, anchor): the distinct anchors of each text."""
+def document_anchors(docs: DataFrame, cfg: SubstringConfig) -> DataFrame:
+    """(doc_id, w12, w25, ...): the distinct anchors of each text with the shorter ones inside them, one scan."""
+    lengths = cfg.lengths()
+    names = [f"w{n}" for n in lengths]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rollers = _rollers()
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             for t in text_slices(batch.column("text")):
-                least, owner, inside = Windows(t, rollers).anchors(size)
-                least, owner = least[inside], owner[inside]
-                fresh = np.ones(len(least), dtype=bool)  # neighbours mostly share their anchor
-                fresh[1:] = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])
+                owner, found = Windows(t, rollers).nested(lengths, cfg.size)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[t.lo + owner[fresh]].astype(np.int64)), pa.array(to_signed(least[fresh]))], ["doc_id", "anchor"]
-                )
+                    [pa.array(ids[t.lo + owner].astype(np.int64)), *(pa.array(to_signed(f)) for f in found)], ["doc_id", *names])
 
-    return docs.where("doc_id is not null and text is not null").mapInArrow(leased("text", run), "doc_id long, anchor long")
+    schema = ", ".join(f"{n} long" for n in ["doc_id", *names])
+    return docs.where("doc_id is not null and text is not null").mapInArrow(leased("text", run), schema)
+
+
+def level_survivors(spark: SparkSession, docs: DataFrame, cfg: SubstringConfig) -> list[tuple[int, DataFrame]]:
+    """(length, anchors left) of every level below ``size`` that was run, shortest first. The last one's windows repeat
+    at all lengths; the loop ends early when none is left."""
+    rows, done = materialise(spark, document_anchors(docs, cfg), "anchors"), []
+    for length in cfg.lengths():
+        shared = rows.groupBy(f"w{length}").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select(f"w{length}")
+        rows = materialise(spark, rows.join(shared, f"w{length}", "left_semi"), "level")
+        done.append((length, rows))
+        if rows.isEmpty():
+            break
+    return done
 
 
-def surviving_anchors(spark: SparkSession, docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, anchors array<long>): anchors of each document that also occur in another one."""
-    rows = materialise(spark, document_anchors(docs, size), "anchors")
-    shared = rows.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("anchor")
-    lists = rows.join(shared, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
-    return materialise(spark, lists, "anchor-lists")
+def surviving_anchors(spark: SparkSession, docs: DataFrame, cfg: SubstringConfig) -> DataFrame:
+    """(doc_id, anchors array<long>): anchors of ``size // 2`` words of each document that repeat at every level."""
+    rows = level_survivors(spark, docs, cfg)[-1][1]
+    return materialise(spark, rows.groupBy("doc_id").agg(F.collect_set(f"w{cfg.lengths()[-1]}").alias("anchors")), "anchor-lists")
 
 
 def _candidates(batch: pa.RecordBatch, size: int, rollers):
@@ -185,7 +223,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, cfg: SubstringConfig =
                 ["doc_id", "n_words", "n_removed", "kept", "removed"],
             )
 
-    done = _with_lists(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), cfg.size)
+    done = _with_lists(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), cfg)
     return done.mapInArrow(leased("text", run), f"doc_id long, n_words long, n_removed long, kept string, {ranges}")
 
 
@@ -207,18 +245,18 @@ def cleaned(spark: SparkSession, docs: DataFrame, cfg: SubstringConfig = Substri
             yield whole.filter(pa.array((n_removed == 0) | (n_removed < n_words)))
 
     packed = carrying(docs)
-    out = _with_lists(spark, packed, cfg.size).mapInArrow(leased("text", run), StructType([*packed.schema.fields, StructField("changed", BooleanType())]))
+    out = _with_lists(spark, packed, cfg).mapInArrow(leased("text", run), StructType([*packed.schema.fields, StructField("changed", BooleanType())]))
     if "n_chars" in docs.columns:
         length = F.when(F.col("changed"), F.length("text")).otherwise(F.col("carry.n_chars"))
         out = out.withColumn("carry", F.col("carry").withField("n_chars", length.cast(docs.schema["n_chars"].dataType)))
     return uncarried(out, docs.columns)
 
 
-def _with_lists(spark: SparkSession, docs: DataFrame, size: int) -> DataFrame:
+def _with_lists(spark: SparkSession, docs: DataFrame, cfg: SubstringConfig) -> DataFrame:
     """``docs`` with each document's surviving anchors and the candidate windows of which it is the least holder."""
-    lists = surviving_anchors(spark, docs.select("doc_id", "text"), size)
+    lists = surviving_anchors(spark, docs.select("doc_id", "text"), cfg)
     joined = docs.join(lists, "doc_id", "left")
-    return joined.join(first_holders(joined.select("doc_id", "text", "anchors"), size), "doc_id", "left")
+    return joined.join(first_holders(joined.select("doc_id", "text", "anchors"), cfg.size), "doc_id", "left")
 
 
 def _kept_words(batch: pa.RecordBatch, size: int, rollers):
@@ -257,7 +295,7 @@ def longest_repeats(spark: SparkSession, docs: DataFrame, cfg: SubstringConfig =
     Each level hashes only windows of which both halves repeat; the loop ends when no candidate survives.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    lists = surviving_anchors(spark, texts, cfg.size)
+    lists = surviving_anchors(spark, texts, cfg)
     out, level = None, cfg.size
     while True:
         rows = materialise(spark, texts.join(lists, "doc_id").mapInArrow(leased("text", _level_windows(level, level == cfg.size)), "doc_id long, k1 long, k2 long"), "level")

@@ -68,15 +68,23 @@ def write_warc(pages: DataFrame, path: str, cfg: MerkleConfig = MerkleConfig(),
 
 
 def unpacked(content: bytes) -> bytes:
-    """A file's records; of a damaged gzip file, those before the damage."""
+    """A file's records: all gzip members, one after the other (a file may have one for each record); of a damaged or
+    cut off file, what stands before the damage."""
     if content[:2] != b"\x1f\x8b":
         return content
-    reader, out = zlib.decompressobj(31), []
-    try:
-        for at in range(0, len(content), 1 << 16):
-            out.append(reader.decompress(content[at : at + (1 << 16)]))
-    except zlib.error:
-        pass
+    out, rest = [], content
+    while rest[:2] == b"\x1f\x8b":
+        reader = zlib.decompressobj(31)
+        try:
+            for at in range(0, len(rest), 1 << 16):
+                out.append(reader.decompress(rest[at : at + (1 << 16)]))
+                if reader.eof:
+                    break
+        except zlib.error:
+            break
+        if not reader.eof:  # cut off
+            break
+        rest = reader.unused_data + rest[at + (1 << 16) :]
     return b"".join(out)
 
 

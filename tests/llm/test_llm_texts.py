@@ -343,6 +343,30 @@ def test_cleaned_keeps_columns_and_untouched_texts(spark):
     assert substr_dedup.cleaned(spark, docs.where("false")).collect() == []
 
 
+def test_levels_drop_what_repeats_at_no_shorter_length(spark):
+    """Windows alone at 12 words never reach the level of 25, and those alone there never that of 50."""
+    line, part = words(16, 1, 10_000), words(30, 2, 10_000)
+    rows = [(i, " ".join(words(200, 50 + i, 10_000) + line + words(200, 90 + i, 10_000))) for i in range(8)]
+    rows += [(20 + i, " ".join(words(100, 70 + i, 10_000) + part + words(60, 80 + i, 10_000))) for i in range(4)]
+    rows += [(40 + i, " ".join(words(60, 3, 10_000))) for i in range(2)]
+    cfg, docs = substr_dedup.SubstringConfig(), frame(spark, rows)
+    assert cfg.lengths() == [12, 25] and substr_dedup.SubstringConfig(7).lengths() == [3]
+    levels = substr_dedup.level_survivors(spark, docs, cfg)
+    every = substr_dedup.document_anchors(docs.select("doc_id", "text"), cfg).count()
+    holders = [{r.doc_id // 20 for r in rows.select("doc_id").distinct().collect()} for _, rows in levels]
+    assert [n for n, _ in levels] == [12, 25] and every > 3 * levels[0][1].count() > 3 * levels[1][1].count()
+    assert holders[1] <= holders[0] and 2 in holders[1]  # the passage of 60 words; lines of 16 words end at 12
+    # Without the level of 12 more anchors reach the one of 25; the result is the same.
+    one = substr_dedup.level_survivors(spark, docs, substr_dedup.SubstringConfig(first_length=20))
+    assert [n for n, _ in one] == [25] and one[0][1].select("w25").distinct().count() == levels[1][1].select("w25").distinct().count()
+    got = [sorted(map(str, substr_dedup.remove_repeats(spark, docs, substr_dedup.SubstringConfig(first_length=k)).collect())) for k in (4, 8, 20)]
+    assert got[0] == got[1] == got[2]
+    # Nothing in common: the loop ends at its first level.
+    alone = frame(spark, [(i, " ".join(words(100, 300 + i, 1_000_000))) for i in range(3)])
+    assert [n for n, _ in substr_dedup.level_survivors(spark, alone, cfg)] == [12]
+    assert [r.n_removed for r in substr_dedup.remove_repeats(spark, alone).collect()] == [0] * 3
+
+
 def test_doubling_goes_on_until_nothing_repeats(spark):
     shared = words(230, 9, 10_000)
     rows = [(1, " ".join(shared)), (2, "y " + " ".join(shared)), (3, " ".join(words(100, 4, 10_000) + shared[:60])), (4, " ".join(words(90, 5, 10_000)))]
@@ -493,6 +517,33 @@ def test_packed_round_trip(spark):
     assert packing.packed(frame(spark, rows).where("false"), packing.PackingConfig(path)).collect() == []
 
 
+def test_deduplicated_keeps_texts_that_share_an_id(spark):
+    a, b, c = (" ".join(words(60, k)) for k in (1, 2, 3))
+    schema = "doc_id long, text string, lang string, __x int"
+    rows = [(1, a, "en", 1), (5, a, "en", 2), (5, b, "en", 3), (9, c, "de", 4), (9, c, "aa", 5), (None, a, "en", 6), (7, None, "en", 7), (8, "", "en", 8), (5, None, "en", 9)]
+    got = sorted((r[3] for r in probminhash.deduplicated(spark, spark.createDataFrame(rows, schema)).collect()))
+    assert got == [1, 3, 5, 6, 7, 8, 9]
+    # Near copies of both texts of one id go to their own groups.
+    near = rows[:3] + [(10, b + " more", "en", 20), (11, a + " more", "en", 21), (4, c + " x", "en", 22), (9, c, "en", 23)]
+    for _ in range(2):
+        got = sorted(r[3] for r in probminhash.deduplicated(spark, spark.createDataFrame(near, schema).repartition(3)).collect())
+        assert got == [1, 3, 22]
+    assert probminhash.deduplicated(spark, spark.createDataFrame([], schema)).collect() == []
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_are_the_tokenizers_own(name):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(name)
+    own, encoder = Tokenizer.from_file(path), packing.TextTokenizer(path)
+    texts = ["Hello World, it's 2024!", "", "Ünïcode Ça — test", "a  b\n\nc\t1 23", "x<|endoftext|>y", "ALL CAPS", " lead"]
+    got = encoder.encode(next(common.text_slices(pa.array(texts))))
+    assert [x.tolist() for x in got] == [own.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoder.known_rules == (name == "word_bpe_49k.json")
+
+
 def test_bounded_piece_cache_gives_the_same_ids(monkeypatch):
     import public_tokenizers
 
