@@ -7,7 +7,8 @@ A stage is a function of (spark, docs, sf_dir). ``run`` writes each stage's resu
 folder and reads it again as the next one's docs, so a lost executor costs at most a part of one stage. All but the
 last stage return the columns of ``documents``.
 
-Defined results: rows with a null doc_id are judged by their texts like any other and never dropped as copies; null
+Defined results: rows that share a doc_id are judged by their own texts, and of rows that repeat both, one stays;
+rows with a null doc_id are judged by their texts like any other and never dropped as copies; null
 texts pass every filter; a document of which substring dedup leaves no word goes, one that had no words stays.
 """
 
@@ -16,7 +17,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from scorebook.llm import decontaminate, packing, probminhash, queries, substr_dedup, toxic_crf
 from scorebook.llm.common import materialise, table
@@ -35,13 +35,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least doc_id of each near-duplicate group."""
-    found = probminhash.near_duplicates(spark, docs).documents
-    dropped = found.where("not kept").select("doc_id").distinct()
-    once = docs.select(*COLUMNS).where("doc_id is not null").dropDuplicates(["doc_id"])
-    return once.join(dropped, "doc_id", "left_anti").select(*COLUMNS).unionByName(
-        docs.select(*COLUMNS).where("doc_id is null")
-    )
+    """The first document of each near-duplicate group: of least doc_id, and of least text digest where texts share one."""
+    return probminhash.deduplicated(spark, docs.select(*COLUMNS))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
