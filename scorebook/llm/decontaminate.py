@@ -5,8 +5,10 @@ signs; one space between words). Every window of ``window`` consecutive item wor
 words is one window); patterns and text carry a space at both ends, so matches fall on whole words. The automaton
 walks a text once and reports the end of each match; word numbers are mapped back to byte offsets of the original.
 
-The benchmark's size is measured first. Up to ``shard_bytes`` of item text make one automaton; a larger benchmark is
-cut into several, scanned one after the other, so what is sent to a task stays bounded.
+The benchmark's size is measured first. Up to ``shard_bytes`` of item text make one automaton. A larger benchmark is
+cut into several, and a task takes a slab of texts through one automaton after the other, so that it holds one of them
+at a time and the texts are read once. The item texts are broadcast, ``broadcast_bytes`` at most; only a benchmark
+beyond that takes the texts through again for each further part.
 
 Defined results: null or empty texts have no words and no hit; null or empty items, or items of null id, are never
 found; items of equal text are all reported; repeated document rows give repeated results; extra columns are ignored.
@@ -39,7 +41,9 @@ FOUND = ("n_words", "ranges", "items")
 @dataclass(frozen=True)
 class DecontaminateConfig:
     window: int = 10
-    shard_bytes: int = 4 << 20  #: item text that one automaton holds at most (one larger item is a shard of its own)
+    shard_bytes: int = 1 << 20  #: item text that one automaton holds, about; a sign of it takes some 400 bytes there
+    broadcast_bytes: int = 256 << 20  #: item text that is broadcast at once
+    slab_bytes: int = 64 << 20  #: texts that a task holds while it goes through several automata
 
 
 def normal_words(raw: bytes) -> list[bytes]:
@@ -101,14 +105,16 @@ def byte_ranges(raw: bytes, ranges: list[tuple[int, int]]) -> list[tuple[int, in
     return [(int(starts[lo]), int(ends[hi - 1] - starts[lo])) for lo, hi in ranges]
 
 
-def _scan_batches(patterns: dict[str, list[str]], key: str):
-    owners = list(patterns.values())
+def _scan_batches(shards: list, window: int, slab_bytes: int):
+    """Task over texts with what was found so far; ``shards`` are broadcast lists of (item_id, text)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scanned(batches: list[pa.RecordBatch], shard, key: str) -> list[pa.RecordBatch]:
         cache = process_cache("automaton")
-        if cache.get("automaton_key") != key:
-            cache["automaton"], cache["automaton_key"] = build_automaton(patterns), key
-        automaton = cache["automaton"]
+        if cache.get("key") != key:
+            cache.clear()
+            patterns = item_windows(shard.value, window)
+            cache.update(key=key, automaton=build_automaton(patterns), owners=list(patterns.values()))
+        automaton, owners, out = cache["automaton"], cache["owners"], []
         for batch in batches:
             given = [c for c in batch.schema.names if c not in FOUND]
             old_ranges, old_items = batch.column("ranges").to_pylist(), batch.column("items").to_pylist()
@@ -122,15 +128,45 @@ def _scan_batches(patterns: dict[str, list[str]], key: str):
                         r = merge_ranges([*r, *((x["lo"], x["hi"]) for x in old_ranges[k])])
                     ranges.append([{"lo": lo, "hi": hi} for lo, hi in r])
                     items.append(sorted({x for f in found for x in owners[f]} | set(old_items[k] or ())))
-            yield pa.RecordBatch.from_arrays(
+            out.append(pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in given), pa.array(n_words, pa.int64()),
                  pa.array(ranges, pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))), pa.array(items, pa.list_(pa.string()))],
                 [*given, *FOUND],
-            )
+            ))
+        return out
+
+    names = [f"{s.id}:{k}" for k, s in enumerate(shards)]  # a broadcast's id names its automaton in the worker's cache
+
+    def through(batches: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        for shard, key in zip(shards, names):
+            batches = scanned(batches, shard, key)
+        return batches
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if len(shards) == 1 or size >= slab_bytes:
+                yield from through(held)
+                held, size = [], 0
+        if held:
+            yield from through(held)
 
     return run
 
 
+class _Shard:
+    """A broadcast list with its id, which tasks can see."""
+
+    def __init__(self, spark: SparkSession, items: list[tuple[str, str]]):
+        self.held, self.id = spark.sparkContext.broadcast(items), hashlib.sha256(repr(items).encode()).hexdigest()
+
+    @property
+    def value(self):
+        return self.held.value
+
+
 def contamination(
     spark: SparkSession, docs: DataFrame, benchmark: DataFrame, cfg: DecontaminateConfig = DecontaminateConfig(),
     carry: tuple[str, ...] = (),
@@ -138,17 +174,21 @@ def contamination(
     """(doc_id, text, carried columns, n_words, ranges of hit words, ids of the found items) of every row of (doc_id, text)."""
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-total // cfg.shard_bytes) * 2 if total > cfg.shard_bytes else 1)
+    parts = max(1, -(-total // cfg.broadcast_bytes))
+    shards = max(1, -(-total // (parts * cfg.shard_bytes)))
     out = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", *carry, F.lit(0).cast("long").alias("n_words"),
         F.array().cast(f"array<struct<{HITS}>>").alias("ranges"), F.array().cast("array<string>").alias("items"),
     )
-    for k in range(shards):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k).orderBy("item_id", "text").collect()
-        patterns = item_windows([(r.item_id, r.text) for r in part], cfg.window)
-        key = hashlib.sha256("\n".join(f"{p}\t{','.join(v)}" for p, v in patterns.items()).encode()).hexdigest()
-        out = out.mapInArrow(_scan_batches(patterns, key), out.schema)
-        if k + 1 < shards:
+    place = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts * shards))
+    for k in range(parts):
+        part = items.where(F.pmod(place, F.lit(parts)) == k).select(F.floor(place / parts).alias("shard"), "item_id", "text")
+        held: dict[int, list[tuple[str, str]]] = {}
+        for r in part.orderBy("item_id", "text").collect():
+            held.setdefault(r.shard, []).append((r.item_id, r.text))
+        sent = [_Shard(spark, held[s]) for s in sorted(held)] or [_Shard(spark, [])]
+        out = out.mapInArrow(_scan_batches(sent, cfg.window, cfg.slab_bytes), out.schema)
+        if k + 1 < parts:
             out = materialise(spark, out, "contamination")
     return out
 

@@ -211,13 +211,23 @@ def verified(pairs: DataFrame, shingles: DataFrame, cfg: MinHashConfig) -> DataF
 
 
 def chunk_pairs(rows: DataFrame, cfg: MinHashConfig) -> DataFrame:
-    """Deals each bucket's documents into chunks of about ``block`` and each pair of chunks (lo, hi) to one group.
+    """Deals each bucket's documents into chunks of about ``block`` and each pair of chunks (lo, hi) that may hold
+    unlinked documents to one group. The documents of the bucket's largest component have chunks of their own, which
+    meet the chunks of all others but not each other: a million linked copies and one stranger are a row each, twice.
 
     ``rows``: (key, band, doc_id, comp, prints, bands, n) with n the bucket's size.
     """
-    chunks = F.ceil(F.col("n") / cfg.block).cast("int")
-    dealt = rows.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
-    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
+    parts = rows.groupBy("key", "comp").agg(F.count("*").alias("m"))
+    large = parts.groupBy("key").agg(F.max(F.struct("m", "comp")).alias("large")).select(
+        "key", F.col("large.comp").alias("main"), F.col("large.m").alias("main_size"))
+    mains = F.ceil(F.col("main_size") / cfg.block).cast("int")
+    others = F.ceil((F.col("n") - F.col("main_size")) / cfg.block).cast("int")
+    spot = lambda n: F.pmod(F.xxhash64("doc_id"), n).cast("int")
+    dealt = rows.join(large, "key").withColumn("mains", mains).withColumn("others", others).where("others > 0")
+    dealt = dealt.withColumn("linked", F.col("comp") == F.col("main")).withColumn(
+        "own", F.when(F.col("linked"), spot(F.col("mains"))).otherwise(F.col("mains") + spot(F.col("others"))))
+    start = F.when(F.col("linked"), F.col("mains")).otherwise(0)
+    return dealt.withColumn("other", F.explode(F.sequence(start, F.col("mains") + F.col("others") - 1))).select(
         "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "band", "own", "doc_id", "comp", "prints", "bands"
     )
 

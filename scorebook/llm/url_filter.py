@@ -6,19 +6,23 @@ the visible words of all pages, every substring of a distinct label up to ``long
 with the counts, and a dynamic program picks the most likely split; unknown strings cost a factor of ten a sign. A
 multinomial naive Bayes then scores the segmented host words and the path words. It learns from the urls that the rules
 decide (words that occur in a rule itself are left out, as they only repeat the rule) and from a short list of seed
-words; words that no taught url has say nothing. Counts, labels and scores are joins and aggregations over distinct hosts and urls; nothing is collected.
-
-Defined results: null urls or urls without ``://`` have an empty host and path, fit no rule and are judged by the
-prior. Repeated rows give repeated results, null page_ids are kept, extra columns are ignored. An empty table gives an
+words. A word is taught by *hosts*: each host that has it counts once, shared between the verdicts of its urls, so a
+host of many pages weighs no more than another one. Host words and path words are a multinomial each, and a word whose
+hosts are blocked about as often as all hosts says nothing. Both classes start alike (no prior): what no telling word
+speaks against is allowed. Counts, labels and scores are joins and aggregations over distinct hosts and urls; nothing is
+collected.
+
+Defined results: null urls or urls without ``://`` have an empty host and path, fit no rule, have no word and are
+allowed. Repeated rows give repeated results, null page_ids are kept, extra columns are ignored. An empty table gives an
 empty result. Scores above 0 are blocked.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +40,9 @@ class UrlConfig:
     longest_word: int = 20
     smoothing: float = 1.0
     seeds: tuple[str, ...] = BLOCK_SEEDS
-    seed_weight: float = 20.0  #: urls that a seed word counts for
+    seed_weight: float = 20.0  #: hosts that a seed word counts for
+    least_deviation: float = 1.0  #: of a telling word's blocked hosts from the share of all, in standard deviations
+    host_words: bool = True  #: off: path words alone are judged (to see what the host words change)
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -98,14 +104,17 @@ def segment_labels(spark: SparkSession, labels: DataFrame, counts: DataFrame, cf
 
 def viterbi(label: str, seen: dict[tuple[int, int], int], total: float, longest: int) -> list[str]:
     """The most likely split; equally likely splits end in the longer last word."""
-    best, back = np.zeros(len(label) + 1), [0] * (len(label) + 1)
+    unknown = [math.log(10.0 / total) - size * math.log(10.0) for size in range(longest + 1)]
+    known = {k: math.log(n / total) for k, n in seen.items()}
+    best, back = [0.0], [0]
     for end in range(1, len(label) + 1):
-        best[end] = -np.inf
+        top, last = -math.inf, 0
         for size in range(1, min(longest, end) + 1):
-            n = seen.get((end - size, size))
-            p = np.log(n / total) if n else np.log(10.0 / total) - size * np.log(10.0)
-            if best[end - size] + p >= best[end]:
-                best[end], back[end] = best[end - size] + p, size
+            p = best[end - size] + known.get((end - size, size), unknown[size])
+            if p >= top:
+                top, last = p, size
+        best.append(top)
+        back.append(last)
     out, end = [], len(label)
     while end:
         out.append(label[end - back[end] : end])
@@ -124,12 +133,14 @@ def url_tokens(spark: SparkSession, urls: DataFrame, counts: DataFrame, cfg: Url
         F.split(F.regexp_replace(F.translate("path", UPPER, LOWER), "[0-9]+", " 0 "), "[^a-z0]+"), lambda w: (w != "") & ~w.isin(own)
     )
     marked = F.transform(path_words, lambda w: F.concat(F.lit("/"), F.when(w == "0", "<num>").otherwise(w)))
-    tokens = F.concat(F.coalesce("host_words", F.array().cast("array<string>")), marked)
+    empty = F.array().cast("array<string>")
+    tokens = F.concat(F.coalesce("host_words", empty) if cfg.host_words else empty, marked)
     return urls.join(host_words, "host", "left").select("host", "path", F.explode(tokens).alias("token"))
 
 
 def judged(spark: SparkSession, pages: DataFrame, cfg: UrlConfig) -> DataFrame:
-    """(page_id, host, path, rule, verdict, score) of every row of (page_id, url, html); score is null under a rule."""
+    """(page_id, host, path, rule, verdict, score, n_words) of every row of (page_id, url, html): score is null under a rule,
+    n_words counts the telling words it comes from."""
     rows = split_urls(pages).withColumn("hit", rule_of(cfg))
     urls = materialise(
         spark, rows.groupBy("host", "path").agg(F.count("*").alias("n"), F.first("hit").alias("hit")), "urls"
@@ -138,25 +149,31 @@ def judged(spark: SparkSession, pages: DataFrame, cfg: UrlConfig) -> DataFrame:
     counts = materialise(spark, word_counts(pages).unionByName(known).groupBy("word").agg(F.sum("n").alias("n")), "url-words")
     tokens = materialise(spark, url_tokens(spark, urls.select("host", "path"), counts, cfg), "url-tokens")
     blocked = F.when(F.col("hit.verdict") == "block", F.col("n")).otherwise(0)
-    taught = tokens.join(urls.where("hit is not null"), ["host", "path"]).groupBy("token").agg(
-        F.sum(blocked).cast("double").alias("block"), F.sum(F.col("n") - blocked).cast("double").alias("allow")
-    )
-    seeds = spark.createDataFrame([(w, cfg.seed_weight, 0.0) for w in cfg.seeds], "token string, block double, allow double")
-    model = materialise(
-        spark, taught.unionByName(seeds).groupBy("token").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")), "url-model"
-    )
-    sums = model.agg(F.sum("block").alias("b"), F.sum("allow").alias("a"), F.count("*").alias("v")).first()
-    prior = urls.where("hit is not null").agg(F.sum(blocked).alias("b"), F.sum(F.col("n") - blocked).alias("a")).first()
-    s, v = cfg.smoothing, max(sums.v, 1)
-    weight = F.log((F.col("block") + s) / (sums.b + s * v)) - F.log((F.col("allow") + s) / (sums.a + s * v))
-    start = float(np.log(((prior.b or 0) + s) / ((prior.a or 0) + s)))
-    scores = tokens.join(model, "token").groupBy("host", "path").agg(F.sum(weight).alias("evidence"))
+    by_host = tokens.distinct().join(urls.where("hit is not null"), ["host", "path"]).groupBy("token", "host").agg(
+        (F.sum(blocked) / F.sum("n")).alias("share"))
+    taught = by_host.groupBy("token").agg(F.sum("share").alias("block"), F.sum(1 - F.col("share")).alias("allow"))
+    seeds = spark.createDataFrame([(w, cfg.seed_weight, 0.0) for w in cfg.seeds], "token string, seed_block double, seed double")
+    # Host words and path words are a multinomial each. The classes' sizes are those of the taught words: seeds speak for
+    # themselves, not against every other word.
+    model = materialise(spark, taught.join(seeds, "token", "full_outer").select(
+        "token", F.col("token").startswith("/").alias("of_path"), F.col("seed").isNotNull().alias("seeded"),
+        *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("block", "allow", "seed_block")]), "url-model")
+    sizes = model.groupBy("of_path").agg(F.sum("block").alias("b"), F.sum("allow").alias("a"), F.count("*").alias("v"))
+    s = cfg.smoothing
+    sized = model.join(F.broadcast(sizes), "of_path")  # two rows
+    share = urls.where("hit is not null").groupBy("host").agg((F.sum(blocked) / F.sum("n")).alias("share")).agg(F.avg("share")).first()[0]
+    hosts, base = F.col("block") + F.col("allow"), F.lit(share or 0.0)  # of all taught hosts, blocked
+    deviation = F.abs(F.col("block") - hosts * base) / F.nullif(F.sqrt(hosts * base * (1 - base)), F.lit(0.0))
+    b, a = F.col("block") + F.col("seed_block"), F.col("allow")
+    weight = F.log((b + s) / (F.col("b") + s * F.col("v"))) - F.log((a + s) / (F.col("a") + s * F.col("v")))
+    telling = sized.where(F.col("seeded") | (deviation >= cfg.least_deviation)).select("token", weight.alias("weight"))
+    scores = tokens.join(telling, "token").groupBy("host", "path").agg(F.sum("weight").alias("evidence"), F.count("*").alias("found"))
     verdicts = urls.join(scores, ["host", "path"], "left").select(
         "host", "path", F.col("hit.rule").alias("rule"), F.col("hit.verdict").alias("given"),
-        F.when(F.col("hit").isNull(), F.coalesce("evidence", F.lit(0.0)) + start).alias("score"),
+        F.when(F.col("hit").isNull(), F.coalesce("evidence", F.lit(0.0))).alias("score"), F.coalesce("found", F.lit(0)).alias("n_words"),
     )
     out = rows.drop("hit").join(verdicts, ["host", "path"])
     return out.select(
         "page_id", "host", "path", "rule",
-        F.coalesce("given", F.when(F.col("score") > 0, "block").otherwise("allow")).alias("verdict"), "score",
+        F.coalesce("given", F.when(F.col("score") > 0, "block").otherwise("allow")).alias("verdict"), "score", "n_words",
     )

@@ -3,10 +3,12 @@
 ``write_warc`` writes records (page_id, url, html) as WARC 1.0 resource records into one file per shard, in order of
 page_id, with Spark's own writer (gzip files by default). ``fixity`` reads a replica's files back, cuts them into records by their headers and
 hashes each record and its offset range. ``audit`` compares two replicas: each replica's leaves are hashed into trees
-of ``fan`` children a node, level by level over ordered ranges; the descent starts at the shard roots and opens only
+of ``fan`` children a node, level by level over ordered ranges, each level written once; the descent starts at the shard roots and opens only
 branches whose hashes differ (or that one replica lacks), down to the damaged offset ranges.
 
-Defined results: null urls and texts are written as empty; a null page_id is written as an empty id and read as null;
+Only files in the layout of ``write_warc`` are read (``shard=<n>/file=<k>/part-*``). Defined results: null urls and texts are
+written as empty; a null page_id is written as an empty id and read as null, its records are spread over
+``null_shards`` shards of their own, numbered from -1 down;
 repeated rows are records of their own; a file whose header is broken is picked up again at the next record, a gzip file that is broken ends there; an empty
 table gives an empty replica and an audit without rows. Extra columns are ignored.
 """
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialise
@@ -33,7 +35,8 @@ HEAD = b"WARC/1.0\r\n"
 @dataclass(frozen=True)
 class MerkleConfig:
     shard_ids: int = 1000  #: consecutive page_ids of a shard
-    shard_bytes: int = 64 << 20  #: files are rolled at so many records that they stay near this size
+    shard_bytes: int = 64 << 20  #: a file is rolled when its records hold so many bytes
+    null_shards: int = 64
     fan: int = 16
     compression: str = "gzip"  #: of the files; offsets and hashes are of the records' own bytes
 
@@ -55,16 +58,20 @@ def write_warc(pages: DataFrame, path: str, cfg: MerkleConfig = MerkleConfig(),
     written together, under ``path/replica=<name>``, so that the pages are shuffled once.
     """
     payloads = replicas or {"": F.col("html")}
-    shard = F.coalesce(F.floor(F.col("page_id") / cfg.shard_ids), F.lit(-1)).cast("long")
-    rows = pages.withColumn("__shard", shard).repartition("__shard")
-    copies = F.array(*(F.struct(F.lit(n).alias("replica"), F.coalesce(p, F.lit("")).alias("payload")) for n, p in payloads.items()))
-    each = rows.select("page_id", "url", F.col("__shard").alias("shard"), F.explode(copies).alias("copy"))
-    value = record(F.col("page_id"), F.col("url"), F.col("copy.payload")).alias("value")
-    folders = ["replica", "shard"] if replicas else ["shard"]
-    ordered = each.select("page_id", F.col("copy.replica").alias("replica"), "shard", value).sortWithinPartitions(*folders, "page_id", "value")
-    most = max(1, cfg.shard_bytes // 4096)
-    writer = ordered.select(*folders, "value").write.partitionBy(*folders)
-    writer.option("maxRecordsPerFile", most).option("compression", cfg.compression).text(path)
+    nameless = -1 - F.pmod(F.xxhash64("url", "html"), F.lit(cfg.null_shards))
+    shard = F.coalesce(F.floor(F.col("page_id") / cfg.shard_ids), nameless).cast("long")
+    made = pages.select("page_id", shard.alias("shard"), F.array(*(
+        F.struct(F.lit(n).alias("replica"), record(F.col("page_id"), F.col("url"), F.coalesce(p, F.lit(""))).alias("value"))
+        for n, p in payloads.items())).alias("copies"))
+    # One file number for all replicas of a record, by the bytes of the longest ones before it in its shard.
+    size = F.array_max(F.transform("copies", lambda c: F.octet_length(c["value"]).cast("long"))) + 1
+    order = Window.partitionBy("shard").orderBy("page_id", F.col("copies")[0]["value"]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rolled = made.withColumn("size", size).withColumn("file", F.floor((F.sum("size").over(order) - F.col("size")) / cfg.shard_bytes).cast("int"))
+    each = rolled.select("page_id", "shard", "file", F.col("copies")[0]["value"].alias("first"), F.explode("copies").alias("copy"))
+    folders = ["replica", "shard", "file"] if replicas else ["shard", "file"]
+    ordered = each.select("page_id", F.col("copy.replica").alias("replica"), "shard", "file", "first", F.col("copy.value").alias("value"))
+    writer = ordered.sortWithinPartitions(*folders, "page_id", "first").select(*folders, "value").write.partitionBy(*folders)
+    writer.option("compression", cfg.compression).text(path)
 
 
 def unpacked(content: bytes) -> bytes:
@@ -125,31 +132,34 @@ def fixity(spark: SparkSession, path: str) -> DataFrame:
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
     shard = F.regexp_extract("path", r"/shard=(-?\d+)/", 1).cast("long")
-    part = F.regexp_extract("path", r"[-.]c(\d+)\.txt(\.gz)?$", 1).cast("int")
+    part = F.regexp_extract("path", r"/file=(\d+)/", 1).cast("int")
     schema = "shard long, file int, seq long, offset long, length long, page_id long, sha256 string, leaf string"
     return files.select(shard.alias("shard"), part.alias("file"), "content").mapInArrow(run, schema)
 
 
-def tree(leaves: DataFrame, levels: int, cfg: MerkleConfig) -> list[DataFrame]:
-    """Nodes (shard, file, node, hash) of each level, leaves first; a parent hashes its children in order."""
+def tree(spark: SparkSession, leaves: DataFrame, levels: int, cfg: MerkleConfig) -> list[DataFrame]:
+    """Nodes (shard, file, node, hash) of each level, leaves first; a parent hashes its children in order. A level is
+    written before the next one reads it: it has one row for ``fan`` of the level below."""
     out = [leaves.select("shard", "file", F.col("seq").alias("node"), F.col("leaf").alias("hash"))]
     for _ in range(levels):
         up = out[-1].groupBy("shard", "file", F.expr(f"node div {cfg.fan}").alias("up")).agg(
             F.sort_array(F.collect_list(F.struct("node", "hash"))).alias("children")
         )
-        out.append(up.select("shard", "file", F.col("up").alias("node"), F.sha2(F.concat_ws("|", "children.hash"), 256).alias("hash")))
+        nodes = up.select("shard", "file", F.col("up").alias("node"), F.sha2(F.concat_ws("|", "children.hash"), 256).alias("hash"))
+        out.append(materialise(spark, nodes, "merkle-level"))
     return out
 
 
-def audit(ours: DataFrame, theirs: DataFrame, cfg: MerkleConfig = MerkleConfig()) -> DataFrame:
-    """(shard, file, seq): the leaves at which the replicas differ, found by descending mismatching branches only."""
+def audit(spark: SparkSession, ours: DataFrame, theirs: DataFrame, cfg: MerkleConfig = MerkleConfig()) -> DataFrame:
+    """(shard, file, seq): the leaves at which the replicas differ, found by descending mismatching branches only. Each
+    step reads one written level of both trees and the branches that are open, so its plan does not grow."""
     most = ours.select("seq").unionByName(theirs.select("seq")).agg(F.max("seq")).first()[0]
     if most is None:
         return ours.select("shard", "file", "seq").where("false")
     levels = 0
     while cfg.fan**levels <= most:
         levels += 1
-    a, b = tree(ours, levels, cfg), tree(theirs, levels, cfg)
+    a, b = tree(spark, ours, levels, cfg), tree(spark, theirs, levels, cfg)
     keys = ["shard", "file", "node"]
     open_nodes = None
     for level in range(levels, -1, -1):
@@ -159,7 +169,7 @@ def audit(ours: DataFrame, theirs: DataFrame, cfg: MerkleConfig = MerkleConfig()
             up = open_nodes.withColumnRenamed("node", "up")
             x = x.select("*", child).join(up, ["shard", "file", "up"], "left_semi").drop("up")
             y = y.select("*", child).join(up, ["shard", "file", "up"], "left_semi").drop("up")
-        open_nodes = x.join(y, keys, "full_outer").where("not (hash <=> other)").select(*keys)
+        open_nodes = materialise(spark, x.join(y, keys, "full_outer").where("not (hash <=> other)").select(*keys), "merkle-open")
     return open_nodes.withColumnRenamed("node", "seq")
 
 
@@ -171,7 +181,7 @@ def audited(spark: SparkSession, ours_path: str, theirs_path: str, cfg: MerkleCo
     ours = materialise(spark, fixity(spark, ours_path), "fixity")
     theirs = materialise(spark, fixity(spark, theirs_path), "fixity")
     keys = ["shard", "file", "seq"]
-    bad = materialise(spark, audit(ours, theirs, cfg), "damage").withColumn("damaged", F.lit(True))
+    bad = audit(spark, ours, theirs, cfg).withColumn("damaged", F.lit(True))
     here = ours.drop("leaf").join(bad, keys, "left").withColumn("damaged", F.coalesce("damaged", F.lit(False)))
     lost = bad.join(ours.select(*keys), keys, "left_anti")
     return here.unionByName(theirs.drop("leaf").join(lost, keys))

@@ -102,6 +102,7 @@ def test_url_parts_and_rules(spark):
         assert (by[i].host, by[i].path, by[i].rule) == (host, path, rule)
         assert by[i].verdict == verdict[rule] if rule else by[i].verdict in ("allow", "block")
     assert by[None].verdict == "block"
+    assert all(r.n_words > 0 for r in got if r.rule is None and r.verdict == "block")  # nothing is blocked by a prior
     assert url_filter.judged(spark, pages.where("false"), url_filter.UrlConfig(queries.URL_RULES)).collect() == []
 
 
@@ -131,6 +132,41 @@ def test_segmented_words_decide(spark):
     assert by[900].rule is None and (by[900].verdict, by[901].verdict) == ("block", "allow")
 
 
+def test_host_words_decide_on_the_given_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    cfg = url_filter.UrlConfig(queries.URL_RULES)
+    whole = {r.page_id: r for r in url_filter.judged(spark, pages, cfg).collect()}
+    paths = {r.page_id: r for r in url_filter.judged(spark, pages, dataclasses.replace(cfg, host_words=False)).collect()}
+    free = [i for i, r in whole.items() if r.rule is None]
+    assert {paths[i].verdict for i in free} == {"allow"}
+    assert sum(whole[i].verdict == "block" for i in free) >= 5  # by their hosts' words alone
+    assert all(whole[i].n_words > 0 for i in free if whole[i].verdict == "block")
+    by_host = {}
+    for i in free:
+        by_host.setdefault(whole[i].host, set()).add(whole[i].verdict)
+    assert {"allow"} in by_host.values() and {"block"} in by_host.values()  # hosts are judged apart
+    plain = dataclasses.replace(cfg, seeds=())
+    assert all(r.verdict == "allow" or r.n_words for r in url_filter.judged(spark, pages, plain).where("rule is null").collect())
+
+
+def test_url_parts_and_rules_match_sql(spark):
+    from harness import duck
+
+    sf = "/root/testdata/sf0.01"
+    parts = "regexp_extract(url, '://([^/?#]*)', 1) AS h, regexp_extract(url, '://[^/?#]*([^?#]*)', 1) AS path"
+    fits = lambda rule: "(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '/{1}')".format(*rule.split("/", 1))
+    longest = sorted(queries.URL_RULES, key=lambda r: -len(r[1]))
+    case = lambda what: "CASE " + " ".join(f"WHEN {fits(r[1])} THEN '{what(r)}'" for r in longest) + " END"
+    sql = f"""WITH u AS (SELECT page_id, {parts} FROM pages), v AS (SELECT page_id, translate(coalesce(h, ''), '{url_filter.UPPER}', '{url_filter.LOWER}') AS host, coalesce(path, '') AS path FROM u)
+              SELECT page_id, host, path, {case(lambda r: r[1])} AS rule, {case(lambda r: r[0])} AS verdict FROM v"""
+    want = {r[0]: r[1:] for r in duck(sf).execute(sql).fetchall()}
+    got = queries.op4_url_filter(spark, sf).collect()
+    assert len(got) == len(want)
+    for r in got:
+        host, path, rule, verdict = want[r.page_id]
+        assert (r.host, r.path, r.rule) == (host, path, rule) and r.verdict == (verdict or r.verdict)
+
+
 # ---------------------------------------------------------------- WARC
 
 
@@ -173,6 +209,35 @@ def test_audit_reports_records_that_only_one_replica_has(spark):
         assert all(r.sha256 and r.length > 0 for r in rows)
 
 
+def test_files_are_rolled_by_bytes_and_nulls_spread(spark):
+    pages = [(i, "u", "x" * (400 if i % 10 else 3000)) for i in range(100)] + [(None, f"n{i}", "y") for i in range(50)]
+    cfg = warc_merkle.MerkleConfig(shard_bytes=5000, fan=2)
+    a, b = scratch_path(spark, "warc"), scratch_path(spark, "warc")
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    warc_merkle.write_warc(df, a, cfg)
+    warc_merkle.write_warc(df.where("page_id is null or page_id <> 50"), b, cfg)
+    leaves = warc_merkle.fixity(spark, a).collect()
+    sizes, last = {}, {}
+    for r in leaves:
+        sizes[(r.shard, r.file)] = sizes.get((r.shard, r.file), 0) + r.length
+        last[(r.shard, r.file)] = max(last.get((r.shard, r.file), 0), r.length)
+    assert len({f for s, f in sizes if s == 0}) > 5 and all(n - last[k] <= 5000 for k, n in sizes.items())
+    assert len({r.shard for r in leaves if r.page_id is None}) > 10 and len(leaves) == 150
+    assert [r.page_id for r in sorted((r for r in leaves if r.shard == 0), key=lambda r: (r.file, r.seq))] == list(range(100))
+    rows = warc_merkle.audited(spark, a, b, cfg).collect()
+    assert 50 in {r.page_id for r in rows if r.damaged} and not any(r.damaged for r in rows if r.page_id is not None and r.page_id < 40)
+
+
+def test_audit_plan_does_not_grow(spark):
+    leaf = lambda n: spark.range(n).selectExpr("id % 3 AS shard", "0 AS file", "id div 3 AS seq", "sha2(cast(id as string), 256) AS leaf")
+    for n in (900, 20_000):
+        a = leaf(n)
+        b = a.withColumn("leaf", warc_merkle.F.when((warc_merkle.F.col("seq") == 77), "x").otherwise(a.leaf))
+        found = warc_merkle.audit(spark, a, b)
+        assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 0  # each step was written
+        assert sorted((r.shard, r.seq) for r in found.collect()) == [(0, 77), (1, 77), (2, 77)]
+
+
 def test_a_broken_gzip_file_ends_at_the_damage():
     raw = gzip.compress(os.urandom(200_000))
     assert warc_merkle.unpacked(raw) == gzip.decompress(raw)

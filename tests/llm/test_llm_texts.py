@@ -517,6 +517,22 @@ def test_packed_round_trip(spark):
     assert packing.packed(frame(spark, rows).where("false"), packing.PackingConfig(path)).collect() == []
 
 
+def test_linked_copies_are_not_dealt_to_each_other(spark):
+    cfg = probminhash.MinHashConfig()
+    comps = [1] * 5000 + [7001] + [7002] * 300
+    rows = [(3, 0, i, c, b"p", [0], len(comps)) for i, c in enumerate(comps)]
+    schema = "key long, band int, doc_id long, comp long, prints binary, bands array<long>, n long"
+    dealt = probminhash.chunk_pairs(spark.createDataFrame(rows, schema), cfg).select("lo", "hi", "doc_id", "comp").collect()
+    assert len(dealt) == 5000 * 2 + 301 * 22  # all chunk pairs would be over 110,000 rows
+    held = {}
+    for r in dealt:
+        held.setdefault((r.lo, r.hi), []).append(r)
+    met = {(min(a.doc_id, b.doc_id), max(a.doc_id, b.doc_id)) for g in held.values() for a in g if a.comp != 1 for b in g if a.comp != b.comp}
+    assert len(met) == 5000 * 301 + 300  # every pair of documents of two components meets
+    alone = spark.createDataFrame([(3, 0, i, 1, b"p", [0], 9) for i in range(9)], schema)
+    assert probminhash.chunk_pairs(alone, cfg).collect() == []
+
+
 def test_deduplicated_keeps_texts_that_share_an_id(spark):
     a, b, c = (" ".join(words(60, k)) for k in (1, 2, 3))
     schema = "doc_id long, text string, lang string, __x int"
