@@ -37,6 +37,7 @@ class MerkleConfig:
     shard_ids: int = 1000  #: consecutive page_ids of a shard
     shard_bytes: int = 64 << 20  #: a file is rolled when its records hold so many bytes
     null_shards: int = 64
+    task_bytes: int = 8 << 20  #: pages that one writing task holds, about
     fan: int = 16
     compression: str = "gzip"  #: of the files; offsets and hashes are of the records' own bytes
 
@@ -60,7 +61,10 @@ def write_warc(pages: DataFrame, path: str, cfg: MerkleConfig = MerkleConfig(),
     payloads = replicas or {"": F.col("html")}
     nameless = -1 - F.pmod(F.xxhash64("url", "html"), F.lit(cfg.null_shards))
     shard = F.coalesce(F.floor(F.col("page_id") / cfg.shard_ids), nameless).cast("long")
-    made = pages.select("page_id", shard.alias("shard"), F.array(*(
+    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
+    # The pages are shuffled once, before their records are made, to as many tasks as their bytes need.
+    rows = pages.withColumn("__shard", shard).repartition(max(8, -(-total // cfg.task_bytes)), "__shard")
+    made = rows.select("page_id", F.col("__shard").alias("shard"), F.array(*(
         F.struct(F.lit(n).alias("replica"), record(F.col("page_id"), F.col("url"), F.coalesce(p, F.lit(""))).alias("value"))
         for n, p in payloads.items())).alias("copies"))
     # One file number for all replicas of a record, by the bytes of the longest ones before it in its shard.
