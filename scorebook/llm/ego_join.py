@@ -4,10 +4,13 @@ Vectors of cosine >= c lie within eps = sqrt(2 - 2c) of each other once scaled t
 principal axes, given grid cells of side eps on the leading axes, and sorted by cell, lexicographically: the grid
 order. The sequence is cut into intervals of ``block`` vectors, with a bounding box each; a tree of intervals is
 descended level by level, from pairs of large intervals to pairs of their parts, and a pair goes on only if its boxes
-are within eps. Pairs of blocks that remain meet in one task each, where the recursion goes on in memory down to
-``leaf`` vectors and the surviving leaves are compared exactly, in double precision on the given components.
+are within eps. The pairs of blocks that remain are dealt to a square grid of tiles, ``width`` consecutive blocks on each
+side, so that a block travels once to each tile of its row and column, not once to each of its pairs: of n blocks,
+about sqrt(n) times each while a tile's vectors stay below ``tile_bytes``. In a tile the recursion goes on in memory,
+pair by pair, down to ``leaf`` vectors, and the surviving leaves are compared exactly, in double precision on the given
+components.
 
-No pair of vectors leaves a task: each block pair returns, per vector with a link there, its number of links and one
+No pair of vectors leaves a tile: each block pair returns, per vector with a link there, its number of links and one
 representative of its component there; sums and connected components finish the job. Equal vectors are collapsed
 first (a vector repeated any number of times is one row with a count) and counted back.
 
@@ -20,13 +23,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, sorted_groups
 from .components import connected_components
 
 
@@ -38,6 +42,8 @@ class EgoConfig:
     block: int = 2048  #: vectors of an interval that travels as one row
     leaf: int = 256  #: vectors compared at once
     fan: int = 8  #: parts of an interval one level below
+    tile_bytes: int = 128 << 20  #: vectors (in double precision) that meet in one tile
+    tasks: int = 4096  #: bound of the tasks that tiles are dealt to
 
     @property
     def eps(self) -> float:
@@ -248,43 +254,61 @@ def smallest_labels(n: int, i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> np
         label = new
 
 
-def join_blocks(blocks: DataFrame, pairs: DataFrame, axes: np.ndarray, cfg: EgoConfig) -> DataFrame:
+def tile_width(n_blocks: int, dim: int, cfg: EgoConfig) -> int:
+    """Blocks on each side of a tile: the square root of all, or what ``tile_bytes`` can hold."""
+    held = cfg.tile_bytes // (2 * 8 * cfg.block * dim)
+    return max(1, min(isqrt(n_blocks), held))
+
+
+def tile_members(pairs: DataFrame, width: int) -> DataFrame:
+    """(tile, block, partners): the blocks of each tile, and those (of a number >= its own) that it is compared with there."""
+    ta, tb = F.expr(f"a div {width}"), F.expr(f"b div {width}")
+    tile = F.expr("tb * (tb + 1) div 2 + ta").alias("tile")  # the triangle ta <= tb, numbered without gaps
+    sides = F.array(F.struct(F.col("a").alias("block"), F.col("b").alias("partner")), F.struct(F.col("b").alias("block"), F.lit(None).cast("long").alias("partner")))
+    ends = pairs.withColumn("ta", ta).withColumn("tb", tb).select(tile, F.explode(sides).alias("end"))
+    return ends.groupBy("tile", F.col("end.block").alias("block")).agg(F.sort_array(F.collect_set("end.partner")).alias("partners"))
+
+
+def join_blocks(spark: SparkSession, blocks: DataFrame, pairs: DataFrame, axes: np.ndarray, cfg: EgoConfig) -> DataFrame:
     """(vec_id, links, root): per block pair and vector with links there, their number and its component's least id."""
     dim = axes.shape[0]
+    members = materialise(spark, tile_members(pairs, tile_width(blocks.count(), dim, cfg)), "tiles")
+    tiles = members.agg(F.count_distinct("tile")).first()[0]
+    tasks = max(1, min(tiles, cfg.tasks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def unpack(batch, side, i):
-            ids = np.frombuffer(batch.column(f"{side}ids")[i].as_py(), np.int64)
-            copies = np.frombuffer(batch.column(f"{side}copies")[i].as_py(), np.int64)
-            raw = batch.column(f"{side}data")[i].as_py()
+        def unpack(t: pa.Table, i: int):
+            ids = np.frombuffer(t.column("ids")[i].as_py(), np.int64)
+            copies = np.frombuffer(t.column("copies")[i].as_py(), np.int64)
+            raw = t.column("data")[i].as_py()
             kind = np.float32 if len(raw) == 4 * dim * len(ids) else np.float64
             x = unit(np.frombuffer(raw, kind).reshape(len(ids), dim).astype(np.float64))
             return ids, copies, x, x @ axes[:, : cfg.box_axes]
 
-        for batch in batches:
-            for i in range(batch.num_rows):
-                same = batch.column("a")[i] == batch.column("b")[i]
-                ids, copies, x, px = unpack(batch, "a", i)
-                if same:
-                    other, y, py = np.zeros(0, np.int64), x, px
-                else:
-                    other, more, y, py = unpack(batch, "b", i)
-                    copies = np.concatenate([copies, more])
-                hits = recursive_join(x, y, px, py, same, cfg.cosine, cfg.leaf, cfg.eps)
-                if not hits:
-                    continue
-                p = np.concatenate([h[0] for h in hits])
-                q = np.concatenate([h[1] for h in hits]) + (0 if same else len(ids))
-                both = np.concatenate([ids, other])
-                links = np.bincount(p, weights=copies[q], minlength=len(both)) + np.bincount(q, weights=copies[p], minlength=len(both))
-                have = np.flatnonzero(links)
-                root = smallest_labels(len(both), p, q, both)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(both[have]), pa.array(links[have].astype(np.int64)), pa.array(root[have])], ["vec_id", "links", "root"])
-
-    left = blocks.select(F.col("block").alias("a"), F.col("ids").alias("aids"), F.col("copies").alias("acopies"), F.col("data").alias("adata"))
-    right = blocks.select(F.col("block").alias("b"), F.col("ids").alias("bids"), F.col("copies").alias("bcopies"), F.col("data").alias("bdata"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "vec_id long, links long, root long")
+        for t in sorted_groups(batches, ("tile",)):
+            held = {block: unpack(t, i) for i, block in enumerate(t.column("block").to_pylist())}
+            for a, partners in zip(t.column("block").to_pylist(), t.column("partners").to_pylist()):
+                for b in partners:
+                    same = a == b
+                    ids, copies, x, px = held[a]
+                    other, more, y, py = held[b]
+                    hits = recursive_join(x, y, px, py, same, cfg.cosine, cfg.leaf, cfg.eps)
+                    if not hits:
+                        continue
+                    p = np.concatenate([h[0] for h in hits])
+                    q = np.concatenate([h[1] for h in hits]) + (0 if same else len(ids))
+                    both = ids if same else np.concatenate([ids, other])
+                    every = copies if same else np.concatenate([copies, more])
+                    links = np.bincount(p, weights=every[q], minlength=len(both)) + np.bincount(q, weights=every[p], minlength=len(both))
+                    have = np.flatnonzero(links)
+                    root = smallest_labels(len(both), p, q, both)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(both[have]), pa.array(links[have].astype(np.int64)), pa.array(root[have])], ["vec_id", "links", "root"])
+
+    dealt = members.join(blocks.select("block", "ids", "copies", "data"), "block").repartitionById(
+        tasks, F.expr(f"int(tile % {tasks})")
+    ).sortWithinPartitions("tile", "block")
+    return dealt.select("tile", "block", "partners", "ids", "copies", "data").mapInArrow(run, "vec_id long, links long, root long")
 
 
 def near_duplicates(spark: SparkSession, vectors: DataFrame, cfg: EgoConfig = EgoConfig()) -> DataFrame:
@@ -299,7 +323,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, cfg: EgoConfig = Eg
         return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     axes = principal_axes(classes, dim)
     blocks = sequence_blocks(spark, grid_order(classes, axes, cfg), dim, cfg)
-    found = materialise(spark, join_blocks(blocks, block_pairs(blocks, cfg), axes, cfg), "links")
+    found = materialise(spark, join_blocks(spark, blocks, block_pairs(blocks, cfg), axes, cfg), "links")
     groups = connected_components(spark, found.select(F.col("vec_id").alias("u"), F.col("root").alias("v")))
     sums = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     named = (

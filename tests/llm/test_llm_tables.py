@@ -5,6 +5,7 @@ import gzip
 import os
 import random
 import sys
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -50,7 +51,8 @@ def brute_links(rows, cosine):
     return {i: (len(near.get(i, ())), comp[i], comp[i] == i) for i in comp}
 
 
-def test_grid_order_join_matches_brute_force(spark):
+@pytest.mark.parametrize("tile_bytes", [1, 10_000, 1 << 27])
+def test_grid_order_join_matches_brute_force(spark, tile_bytes):
     rng = np.random.default_rng(4)
     rows = []
     for c in range(12):
@@ -59,7 +61,7 @@ def test_grid_order_join_matches_brute_force(spark):
     rows += [(5000 + i, rows[0][1]) for i in range(9)] + [(6000 + i, rng.normal(size=8).tolist()) for i in range(60)]
     rows += [(7000, None), (7001, []), (7002, [0.0] * 8), (7003, [1.0, None, 2.0]), (7004, [float("nan")] * 8), (7005, [float("inf"), 1.0]), (7006, [1e-200, 2e-200]), (7007, [1.0, 2.0])]
     table = spark.createDataFrame([(i, v, i, 1) for i, v in rows] + [(None, [1.0, 2.0], 0, 1)], "vec_id long, embedding array<double>, label long, copies int")
-    cfg = ego_join.EgoConfig(block=20, leaf=4, fan=2, axes=3, box_axes=4)
+    cfg = ego_join.EgoConfig(block=20, leaf=4, fan=2, axes=3, box_axes=4, tile_bytes=tile_bytes, tasks=5)
     got = ego_join.near_duplicates(spark, table, cfg).collect()
     assert len(got) == len(rows) + 1
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got if r.vec_id is not None} == brute_links(rows, 0.95)
@@ -80,6 +82,27 @@ def test_far_intervals_are_skipped(spark):
     assert ego_join.block_pairs(blocks, cfg).count() == 2 * (4 * 5 // 2)
 
 
+@pytest.mark.parametrize("n, width", [(1, 1), (7, 2), (25, 5), (40, 4)])
+def test_tiles_hold_each_block_pair_once(spark, n, width):
+    pairs = {(a, b) for b in range(n) for a in range(b + 1) if (a * 7 + b) % 5}
+    table = spark.createDataFrame(sorted(pairs) or [(0, 0)], "a long, b long")
+    rows = ego_join.tile_members(table, width).collect()
+    dealt = [(r.tile, r.block, p) for r in rows for p in r.partners]
+    assert sorted((a, b) for _, a, b in dealt) == sorted(pairs or {(0, 0)})
+    here = {(r.tile, r.block) for r in rows}
+    assert len(here) == len(rows) and all({(t, a), (t, b)} <= here for t, a, b in dealt)
+    side = -(-n // width)
+    assert max(r.tile for r in rows) < side * (side + 1) // 2
+    assert max(Counter(r.tile for r in rows).values()) <= 2 * width
+    assert max(Counter(r.block for r in rows).values()) <= side
+
+
+def test_tile_width_is_bounded_by_bytes():
+    cfg = ego_join.EgoConfig()
+    assert [ego_join.tile_width(n, 64, cfg) for n in (0, 1, 5, 25, 10_000)] == [1, 1, 2, 5, 64]
+    assert ego_join.tile_width(10_000, 4096, cfg) == 1
+
+
 # ---------------------------------------------------------------- urls
 
 
