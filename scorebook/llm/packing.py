@@ -5,13 +5,14 @@ is routed to the shortest context tier that holds it. Tiers are packed from the
 half its window opens a window of its own, and the gap behind it is filled from shorter tiers, largest fitting piece
 first, the last piece cut to end the window exactly. Remainders of the shortest tier fill windows of that tier. What
 is left open every ``buffer_docs`` documents, and at a partition's end, is cut at powers of two, so that no sequence needs padding. Sequences are
-dealt to step groups of equal token budget within each partition and sequence size. So each partition ends with at most
-one unfilled group for each size it has, those of the power-of-two tails included; the number of unfilled groups grows
-with the partitions, and a consumer that needs equal groups has to merge them.
+dealt to step groups of exactly ``step_tokens`` tokens over all partitions: those of one size are numbered through, from
+the partitions' counts as offsets, and fill groups of that size; what is left of each size, less than a group, fills mixed
+groups from the longest size down. As sizes are powers of two, none straddles a group, and only the last mixed group of
+the whole table may be short.
 
-The work is a single pass without a shuffle: every partition tokenises and packs its own documents as they stream by,
-holding ``buffer_docs`` remainders at a time. The order inside a partition is the scan's, so a task that runs again
-makes the same sequences.
+Texts are read in a single pass without a shuffle: every partition tokenises and packs its own documents as they stream
+by, holding ``buffer_docs`` remainders at a time, and writes its pieces to the scratch folder; step groups follow from
+these narrow rows. The order inside a partition is the scan's, so a task that runs again makes the same sequences.
 
 Tokenising: where a tokenizer's file names the normaliser and the pieces that are known here (``KNOWN_RULES``), texts
 whose bytes are ASCII or Latin-1 letters are cut into those pieces in numpy, and each distinct piece is sent to the
@@ -32,15 +33,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, Roller, Texts, process_cache, text_slices
+from .common import IS_SPACE, Roller, Texts, materialise, process_cache, text_slices
 
-SCHEMA = (
-    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
-    "tier int, step_group long"
-)
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int"
+SCHEMA = f"{PIECES}, step_group long"
 CACHE_PIECES = 250_000
 
 # The normaliser and the pieces of the tokenizers whose texts may be cut in numpy.
@@ -291,34 +290,37 @@ def pack(lengths: list[int], tiers: tuple[int, ...]) -> list[tuple[int, list[Pie
 
 def packed(docs: DataFrame, cfg: PackingConfig) -> DataFrame:
     """One row per piece of every row of (doc_id, text); see SCHEMA."""
+    if any(t & (t - 1) for t in cfg.tiers) or cfg.step_tokens % max(cfg.tiers):
+        raise ValueError("tiers must be powers of two, and step_tokens a multiple of the longest")
+    made = "part long, nth long"  # the task, and the sequence's number among those of its size there
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         encoder = tokenizer_of(cfg.tokenizer)
         context = TaskContext.get()
-        base = (context.partitionId() if context else 0) << 36
+        part = context.partitionId() if context else 0
+        base = part << 36
         serial, dealt = 0, dict.fromkeys((1 << b for b in range(32)), 0)
         ids: list = []
         tokens: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
             nonlocal serial
-            cols: list[list] = [[] for _ in range(9)]
+            cols: list[list] = [[] for _ in range(10)]
             for size, row in pack([len(t) for t in tokens], cfg.tiers):
-                group = dealt[size] * size // cfg.step_tokens
-                dealt[size] += 1
                 offset = 0
                 for p in row:
                     t = tokens[p.doc]
                     crc = zlib.crc32(t[p.start : p.start + p.length].astype("<u4").tobytes())
                     for c, v in zip(cols, (ids[p.doc], p.start, p.length, crc, len(t), base + serial, offset, size,
-                                           base + (group << 12) + size)):
+                                           part, dealt[size])):
                         c.append(v)
                     offset += p.length
+                dealt[size] += 1
                 serial += 1
-            kinds = [pa.int64()] * 7 + [pa.int32(), pa.int64()]
-            names = [x.split()[0] for x in SCHEMA.split(", ")]
+            kinds = [pa.int64()] * 7 + [pa.int32(), pa.int64(), pa.int64()]
+            names = [x.split()[0] for x in f"{PIECES}, {made}".split(", ")]
             ids.clear()
             tokens.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
@@ -337,4 +339,28 @@ def packed(docs: DataFrame, cfg: PackingConfig) -> DataFrame:
         if ids:
             yield flush()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+    pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, f"{PIECES}, {made}")
+    return step_groups(materialise(docs.sparkSession, pieces, "packed"), cfg.step_tokens)
+
+
+def step_groups(pieces: DataFrame, step_tokens: int) -> DataFrame:
+    """The pieces with their sequence's step group, in place of (part, nth).
+
+    A group of one size is numbered n * 2^32 + size, a mixed one n * 2^32.
+    """
+    spark = pieces.sparkSession
+    counts = pieces.where("offset = 0").groupBy("part", "tier").agg(F.count("*").alias("n"))  # a row a task and size
+    totals = sorted(((r.tier, r.n) for r in counts.groupBy("tier").agg(F.sum("n").alias("n")).collect()), reverse=True)
+    rows, lead = [], 0  # at most one for each power of two
+    for tier, n in totals:
+        full = n * tier // step_tokens * (step_tokens // tier)  # sequences in full groups of this size
+        rows.append((tier, full, lead))
+        lead += (n - full) * tier
+    sizes = F.broadcast(spark.createDataFrame(rows, "tier int, full long, lead long"))
+    before = F.sum("n").over(Window.partitionBy("tier").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("part", "tier", F.coalesce(before, F.lit(0)).alias("before"))
+    number, own = F.expr("before + nth"), F.expr(f"shiftleft((before + nth) * tier div {step_tokens}, 32) + tier")
+    mixed = F.expr(f"shiftleft((lead + (before + nth - full) * tier) div {step_tokens}, 32)")
+    return pieces.join(offsets, ["part", "tier"]).join(sizes, "tier").select(
+        *(x.split()[0] for x in PIECES.split(", ")), F.when(number < F.col("full"), own).otherwise(mixed).alias("step_group")
+    )

@@ -514,9 +514,38 @@ def test_packed_round_trip(spark):
             assert offset == at
             at += length
         assert at == tier <= 2048 and at & (at - 1) == 0
+    assert len(rows_of) == len({(r.sequence_id, r.step_group) for r in got})  # a sequence is in one group
     assert packing.packed(frame(spark, rows).where("false"), packing.PackingConfig(path)).collect() == []
 
 
+def test_step_groups_are_full_over_all_partitions(spark):
+    rng = random.Random(3)
+    rows, nth, sequence = [], Counter(), 0
+    for part in (0, 1, 2, 5, 9):
+        for _ in range(rng.randint(1, 60)):
+            size = rng.choice([2048, 1024, 512, 256, 64, 2, 1])
+            cut = rng.randint(1, size)
+            for at, n in ((0, cut), (cut, size - cut)):
+                if n:
+                    rows.append((sequence, 0, n, 0, n, sequence, at, size, part, nth[part, size]))
+            nth[part, size] += 1
+            sequence += 1
+    made = spark.createDataFrame(rows, f"{packing.PIECES}, part long, nth long").repartition(4)
+    got = packing.step_groups(made, 4096).collect()
+    assert sorted((r.sequence_id, r.offset, r.length) for r in got) == sorted((r[5], r[6], r[2]) for r in rows)
+    assert len({(r.sequence_id, r.step_group) for r in got}) == sequence
+    tokens, tiers = Counter(), {}
+    for r in got:
+        tokens[r.step_group] += r.length
+        tiers.setdefault(r.step_group, set()).add(r.tier)
+    short = [g for g, n in tokens.items() if n != 4096]
+    assert len(short) <= 1 and all(tokens[g] < 4096 and g == max(x for x in tokens if not x % 2**32) for g in short)
+    assert all(tiers[g] == {g % 2**32} for g in tokens if g % 2**32)
+    assert packing.step_groups(made.where("false"), 4096).collect() == []
+    with pytest.raises(ValueError, match="powers of two"):
+        packing.packed(made.select("doc_id"), packing.PackingConfig("", tiers=(1000,)))
+
+
 def test_linked_copies_are_not_dealt_to_each_other(spark):
     cfg = probminhash.MinHashConfig()
     comps = [1] * 5000 + [7001] + [7002] * 300
