@@ -4,7 +4,8 @@ Training labels are per document, so token labels are derived first, from two ki
 texts of the training sample: 4-byte grams (word edges marked) that occur in toxic documents and hardly in others, and
 stems (word starts of 5 to 7 bytes) that a text repeats at a rate of one in ``sparse`` words or denser. A single
 occurrence of a stem may be chance in a language that builds words freely; its repetition is the evidence there. What is
-marked has a bound on chance (``_marks``). A two-state chain (clean, toxic) is then fitted to these tokens by gradient
+marked has a bound on chance, or is as far from it as the best there is, and marks as strongly as it can be trusted
+(``_evidence``). A two-state chain (clean, toxic) is then fitted to these tokens by gradient
 ascent on the conditional likelihood (forward-backward expectations): hashed word, gram and repeated-stem weights, a
 bias and a 2 x 2 transition matrix. Scoring runs
 forward-backward over all words of a text, in log-free scaled form: words are laid out in blocks, the blocks' transfer
@@ -129,19 +130,20 @@ def _counts(f: Features, labels: np.ndarray, bits: int) -> tuple[np.ndarray, np.
     return np.bincount(g[toxic], minlength=size), np.bincount(g[~toxic], minlength=size)
 
 
-def _marks(
+def _evidence(
     pos: np.ndarray, neg: np.ndarray, toxic: int, clean: int, stands: tuple[float, float], min_share: float, false: float
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(marked, soft weight) of features with ``pos`` toxic and ``neg`` clean documents of the sample.
+    """(share, trust) of features with ``pos`` toxic and ``neg`` clean documents of the sample; trust is 0 below the least share.
 
     The classes are sampled apart: a toxic document of the sample stands for ``stands[0]`` labelled ones, a clean one for
     ``stands[1]``. Shares are those of all labelled documents; chance is that of the sample, in which features are drawn.
     A feature that has nothing to do with the label has chance at most exp(-n KL) of so large a toxic share in its n
-    documents (Chernoff). Features in too few documents to pass at all are not counted as tries (Tarone), so that at
-    most ``false`` are marked by chance. The soft weight is the share over one plus the number of chance features as good.
+    documents (Chernoff). Tries are the features in as many documents or more, those included that are in enough
+    documents for at most ``false`` chance ones of their size or more (Tarone). Trust is one over one plus the number of
+    chance features as good.
     """
     if not len(pos):
-        return np.zeros(0, bool), np.zeros(0)
+        return np.zeros(0), np.zeros(0)
     n, base = pos + neg, toxic / (toxic + clean)
     s = pos / n
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -151,10 +153,8 @@ def _marks(
     sizes = np.unique(n)
     tries = len(n) - np.searchsorted(np.sort(n), sizes)
     able = np.flatnonzero(np.log(tries) + sizes * np.log(base) <= np.log(false))
-    level = np.log(false) - np.log(tries[able[0]]) if len(able) else -np.inf
-    good = share >= min_share
-    soft = np.where(good, share / (1 + len(n) * np.exp(chance)), 0.0)
-    return good & (chance <= level), soft
+    tried = np.maximum(tries, tries[able[0]] if len(able) else 0)[np.searchsorted(sizes, n)]
+    return share, np.where(share >= min_share, 1.0 / (1.0 + tried * np.exp(chance)), 0.0)
 
 
 # ---------------------------------------------------------------- the chain
@@ -362,12 +362,12 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: CrfConfig = CrfConfig()) -> Crf
     if not found.num_rows or not share.get(1) or not share.get(0):
         return None
     feature, pos, neg = (found.column(c).to_numpy() for c in ("feature", "pos", "neg"))
-    marked, soft = np.zeros(len(feature), bool), np.zeros(len(feature))
+    shares, trust = np.zeros(len(feature)), np.zeros(len(feature))
     for kind, least in ((feature < size, cfg.min_share), (feature >= size, cfg.stem_share)):
-        marked[kind], soft[kind] = _marks(pos[kind], neg[kind], share[1], share[0], (stands[1], stands[0]), least, cfg.false_grams)
+        shares[kind], trust[kind] = _evidence(pos[kind], neg[kind], share[1], share[0], (stands[1], stands[0]), least, cfg.false_grams)
+    # One rule at every size: what is trusted about as much as the best feature tags, as strongly as it is trusted.
     marks = np.zeros(2 * size)
-    # With too few labels for any feature to pass, all weigh as much as they are more than chance.
-    marks[feature] = np.where(marked, 1.0, 0.0) if marked.any() else soft
+    marks[feature] = np.where(trust >= trust.max() / (1.0 + cfg.false_grams), shares * trust, 0.0)
     if not marks.any():
         return None
     texts, repeats = training_passages(sample, marks, cfg)

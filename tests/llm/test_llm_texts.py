@@ -1,7 +1,10 @@
 """Operators on documents against brute force, with nulls, empty and long texts, ties, repeats and clashing names."""
 
+import functools
 import hashlib
+import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -122,9 +125,99 @@ def test_windows_label_every_byte():
         assert got[i] == pytest.approx(total / max(len(r), 1), abs=1e-5)
 
 
+def plain_gru(table, u, raw):
+    """States after each byte, one number at a time."""
+    def soft(x):
+        return x / (1 + abs(x))
+
+    size = u.shape[1]
+    h, out = [0.0] * size, []
+    for c in raw:
+        g = [float(x) for x in table[c]]
+        dot = [sum(float(u[k, j]) * h[j] for j in range(size)) for k in range(2 * size)]
+        z = [(1 + soft(dot[k] + g[k])) / 2 for k in range(size)]
+        r = [(1 + soft(dot[size + k] + g[size + k])) / 2 for k in range(size)]
+        n = [soft(sum(float(u[2 * size + k, j]) * r[j] * h[j] for j in range(size)) + g[2 * size + k]) for k in range(size)]
+        h = [z[k] * h[k] + (1 - z[k]) * n[k] for k in range(size)]
+        out.append(h)
+    return out
+
+
+def test_language_id_matches_plain_network(spark):
+    rng = random.Random(8)
+    make = {"aa": "abcdé ", "bb": "bcdxy ", "cc": "xyzß  "}
+    rows = [(i, "".join(rng.choice(make[lang]) for _ in range(rng.randint(1, 190))), lang) for i, lang in enumerate(list(make) * 14)]
+    rows += [(100, None, "aa"), (101, "", "aa"), (102, "7 7", None), (None, "dab", None), (0, rows[0][1], "aa")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang string, score string")
+    cfg = langid.LangIdConfig(hidden=3, window=24, steps=25, sample_rows=30, lanes=7)
+    model = langid.fit(docs, cfg)
+    got = Counter((r.doc_id, r.lang_pred, round(r.score, 4)) for r in langid.predict(docs, model, cfg).collect())
+    want = []
+    for i, text, _ in rows:
+        raw, total = (text or "").encode(), [0.0] * len(model.langs)
+        for a in range(0, len(raw), cfg.window):
+            part = raw[a:a + cfg.window]
+            f, b = plain_gru(model.tables[0], model.recurrent[0], part), plain_gru(model.tables[1], model.recurrent[1], part[::-1])[::-1]
+            for state in (x + y for x, y in zip(f, b)):
+                e = [math.exp(sum(float(w) * v for w, v in zip(row, state)) + float(bias)) for row, bias in zip(model.out_w, model.out_b)]
+                total = [t + x / sum(e) for t, x in zip(total, e)]
+        best = max(range(len(total)), key=total.__getitem__)
+        known = any(c.isalpha() for c in text or "")
+        want.append((i, model.langs[best] if known else "und", round(total[best] / len(raw), 4) if known else 0.0))
+    assert same_rows(got, want)
+
+
+def same_rows(got, want, near=2e-4):
+    """Whether rows (id, value, score) agree, scores up to rounding."""
+    a, b = (sorted(x, key=lambda r: (r[0] is None, r[0] or 0)) for x in (got.elements(), want))
+    return [r[:2] for r in a] == [r[:2] for r in b] and all(abs(x[2] - y[2]) <= near for x, y in zip(a, b))
+
+
 # ---------------------------------------------------------------- quality
 
 
+def plain_statistics(text):
+    raw = (text or "").encode()
+    w = re.findall(rb"[^\x20\x09-\x0d]+", raw)
+    lines = [x for x in raw.split(b"\n") if x]
+    one, w1 = max(len(raw), 1), max(len(w), 1)
+
+    def share(x, of):
+        return math.log(x / of + 0.002)
+
+    upper, letters = sum(65 <= c <= 90 for c in raw), sum(65 <= c <= 90 or 97 <= c <= 122 for c in raw)
+    return [
+        math.log1p(len(raw)), math.log1p(len(w)), math.log1p(sum(map(len, w)) / w1), share(sum(len(x) > 14 for x in w), w1),
+        share(upper, max(letters, 1)), share(sum(48 <= c <= 57 for c in raw), one), share(sum(c in b"#$%&*!|@^~=+<>\\/_{}[]" for c in raw), one),
+        share(w.count(b"|"), w1), share(sum(x[-1] in b"#$%&*!|@^~=+<>" for x in w), w1), share(raw.count(b"\n"), one), len(set(w)) / w1,
+        share(sum(a == b for a, b in zip(w, w[1:])), w1), share(sum((n - 1) * len(x) for x, n in Counter(lines).items()), one),
+        share(sum(c >= 128 for c in raw), one), share(max(raw.count(c.encode()) for c in "#$%&*!|"), one),
+    ]
+
+
+def test_quality_matches_plain_discriminant(spark):
+    rng = random.Random(12)
+    texts = ["\n".join(" ".join(rng.choice(["w", "Way", "Öl", "12", "|", "end!", "a" * 20, "x*y"][: 4 + 4 * (i % 2)]) for _ in range(rng.randint(1, 30)))
+                       for _ in range(rng.randint(1, 5))) for i in range(60)] + [None, "", "\n\n", "same\nsame\n\nsame"]
+    docs = frame(spark, list(enumerate(texts)) + [(3, texts[3])])
+    labels = {i: i % 2 for i in range(50)}
+    stats = quality_qda.statistics(docs)
+    table = spark.createDataFrame([*labels.items(), (55, None), (56, 3)], "doc_id long, label int")
+    cfg = quality_qda.QdaConfig()
+    got = {r.doc_id: r.score for r in quality_qda.score(stats, quality_qda.fit(stats.join(table, "doc_id"), cfg), cfg).collect()}
+    x = np.array([plain_statistics(t) for t in texts])
+    rows = {c: x[[i for i in labels if labels[i] == c] + ([3] if c == 1 else [])] for c in (0, 1)}  # row 3 is there twice
+    total = sum(map(len, rows.values()))
+    pooled = sum(len(r) * r.var(axis=0) for r in rows.values()) / total
+    density = {}
+    for c, r in rows.items():
+        cov = (1 - cfg.shrinkage) * np.cov(r.T, bias=True) + cfg.shrinkage * np.diag(pooled) + cfg.floor * np.eye(x.shape[1])
+        away, inverse = x - r.mean(axis=0), np.linalg.inv(cov)
+        density[c] = math.log(len(r) / total) - 0.5 * (np.linalg.slogdet(cov)[1] + np.array([v @ inverse @ v for v in away]))
+    want = 1 / (1 + np.exp(-np.clip(cfg.temper * (density[1] - density[0]), -700, 700)))
+    assert sorted(got) == list(range(len(texts))) and [got[i] for i in range(len(texts))] == pytest.approx(want.tolist(), abs=1e-6)
+
+
 def test_quality_separates_and_scores_every_row(spark):
     good = [(i, " ".join(words(120, i)) + ".\n" + " ".join(words(60, i + 500))) for i in range(80)]
     bad = [(1000 + i, " ".join(w + "***" for w in words(100, i))) for i in range(30)] + [(2000 + i, "spam spam " * 80) for i in range(30)]
@@ -254,6 +347,82 @@ def test_toxic_texts_are_found_in_every_language(spark):
         assert sum(clean) <= 0.05 * len(clean), name
 
 
+def plain_marginals(emission, transition):
+    """Marginals of the toxic state of one chain, by messages of plain numbers."""
+    a, n = np.exp(transition), len(emission)
+    e = [np.array([1.0, math.exp(x)]) for x in emission]
+    ahead, back = [e[0]], [np.ones(2)]
+    for k in range(1, n):
+        m = (ahead[-1] @ a) * e[k]
+        ahead.append(m / m.sum())
+    for k in range(n - 1, 0, -1):
+        m = a @ (e[k] * back[-1])
+        back.append(m / m.sum())
+    return [float(f[1] * b[1] / (f @ b)) for f, b in zip(ahead, reversed(back))]
+
+
+def test_toxicity_matches_plain_chain(spark):
+    cfg = toxic_crf.CrfConfig(bits=12)
+    rows = [r for k, name in enumerate(LANGUAGES) for r in toxic_rows(name, 1000 * k, 64)]
+    docs = [(i, t) for i, t, _ in rows] + [(9000, None), (9001, ""), (9002, "#* ,"), (9003, "Stupid"), (9004, "trash " * 300)]
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, label int")
+    model = toxic_crf.fit(frame(spark, docs), labels, cfg)
+    got = {r.doc_id: r for r in toxic_crf.score(frame(spark, docs), model, cfg).collect()}
+    roller, shift = common.Roller(23), 64 - cfg.bits
+
+    def bucket(code):
+        return int(common.mix(np.array([code], np.uint64))[0]) >> shift
+
+    @functools.cache
+    def weight(w):
+        """Weight of a word and its grams; its stems' buckets."""
+        data = np.frombuffer(w, np.uint8)
+        total = model.bias + model.word[int(roller.spans(data, np.array([0]), np.array([len(w)]))[0]) >> shift]
+        edged = b" " + w + b" " * 3
+        total += sum(model.gram[bucket(int.from_bytes(edged[k:k + 4], "big") + 1)] for k in range(max(len(w) - 1, 1)))
+        return total, [bucket((int.from_bytes(w[:k], "big") << 3) | k) for k in toxic_crf.STEMS]
+
+    for i, text in docs:
+        low = bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode())
+        found = list(re.finditer(rb"[a-z0-9\x80-\xff]+", low))
+        stems = Counter(m[0][:k] for m in found for k in toxic_crf.STEMS if len(m[0]) >= k)
+        emission = []
+        for m in found:
+            total, stem = weight(m[0])
+            for k, at in zip(toxic_crf.STEMS, stem):
+                n = stems[m[0][:k]] if len(m[0]) >= k else 0
+                total += model.stem[at] if n > 1 and n * cfg.sparse >= len(found) else 0.0
+            emission.append(total)
+        p = plain_marginals(emission, model.transition) if found else []
+        assert got[i].score == pytest.approx(max(p, default=0.0), abs=1e-9)
+        sure = [(m.start(), m.end() - m.start(), q) for m, q in zip(found, p) if q >= 0.5]
+        assert [(x.start, x.length) for x in got[i].spans] == [(a, n) for a, n, _ in sure]
+        assert [x.marginal for x in got[i].spans] == pytest.approx([q for _, _, q in sure], abs=1e-9)
+    assert any(got[i].spans for i, _ in docs)
+
+
+def test_toxicity_of_empty_tables(spark):
+    docs, cfg = frame(spark, [(1, "a b"), (2, None)]), toxic_crf.CrfConfig(bits=10)
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, label int")
+    for d, y in ((docs.where("false"), labels), (docs, labels.where("false")), (docs, labels)):
+        model = toxic_crf.fit(d, y, cfg)
+        assert model is None and toxic_crf.filtered(d, model, cfg, 0.5).count() == d.count()
+    some = toxic_crf.CrfModel(*(np.zeros(1 << cfg.bits) for _ in range(3)), -2.0, np.zeros((2, 2)))
+    none = docs.where("false")
+    assert toxic_crf.score(none, some, cfg).collect() == [] and toxic_crf.filtered(none, some, cfg, 0.5).collect() == []
+
+
+@pytest.mark.parametrize("scale", [1, 2, 4, 64])
+def test_one_rule_marks_at_every_size(scale):
+    # Features in (toxic, clean) documents: two plain ones, one that is toxic by four fifths, one frequent, one rare.
+    pos, neg = np.array([6, 5, 4, 20, 1]) * scale, np.array([0, 0, 1, 180, 0]) * scale
+    share, trust = toxic_crf._evidence(pos, neg, 20 * scale, 180 * scale, (1.0, 1.0), 0.98, 0.05)
+    assert share.tolist() == pytest.approx([1, 1, 0.8, 0.1, 1]) and trust[2] == trust[3] == 0
+    assert trust[0] >= trust[1] >= trust[4] and trust[0] == trust.max() and (trust[1] > trust[4] or scale == 64)
+    # More labels with the same shares only add trust, without a jump back.
+    assert trust[0] >= toxic_crf._evidence(pos // scale, neg // scale, 20, 180, (1.0, 1.0), 0.98, 0.05)[1][0]
+
+
 def test_class_caps_do_not_change_the_share_that_marks(spark, monkeypatch):
     rows = [(i, " ".join([*words(30, i), "schuft" if i % 8 == 0 else "ruhe", "plapper" if i % 8 == 0 or i % 8 == 1 else "still"])) for i in range(480)]
     docs = frame(spark, rows)
