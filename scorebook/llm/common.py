@@ -7,6 +7,8 @@ bytes (one very long text is a slice of its own), so temporaries stay small whil
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorebook.session import scratch_path
+from scorebook.sources.catalog import delete_path
 
 SLICE_BYTES = 1 << 20
 CHUNK_BYTES = 1 << 19
@@ -31,13 +34,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared scratch folder and read it back: a lineage cut that survives lost executors."""
+#: Folders that the innermost open ``scratch_scope`` removes at its end; None outside of one.
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end or after a failure, the tables that operators have put into the scratch folder inside it.
+
+    What outlives the scope is written inside it with ``written``. Tables of an outer scope stay until that one ends.
+    """
+    folders: list[str] = []
+    token = _scope.set(folders)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in folders:
+            delete_path(spark, path)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh location under the shared scratch folder, removed with the open ``scratch_scope`` if there is one."""
     path = scratch_path(spark, name)
+    folders = _scope.get()
+    if folders is not None:
+        folders.append(path)
+    return path
+
+
+def written(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Write a table and read it back."""
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared scratch folder and read it back: a lineage cut that survives lost executors."""
+    return written(spark, df, scratch(spark, name))
+
+
 def carrying(docs: DataFrame) -> DataFrame:
     """(doc_id, text, carry): all other columns in one struct, so that no name of theirs can clash."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]

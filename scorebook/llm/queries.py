@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorebook.session import scratch_path
-
 from . import (
     code_cells, decontaminate, ego_join, filter_audit, langid, mixing, packing, probminhash, quality_qda, substr_dedup,
     toxic_crf, url_filter, warc_merkle,
 )
-from .common import crc_mod, materialise, table
+from .common import crc_mod, materialise, scratch, table
 from .oracle import ORACLE_SQL  # noqa: F401
 
 
@@ -79,7 +77,7 @@ def op8_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     hurt = F.when((F.col("page_id") % 97 == 13) & (F.length("html") > 0), F.concat(F.expr("left(html, length(html) - 1)"), F.lit("~")))
-    path = scratch_path(spark, "warc")
+    path = scratch(spark, "warc")
     warc_merkle.write_warc(pages, path, replicas={"ours": F.col("html"), "theirs": F.coalesce(hurt, "html")})
     return warc_merkle.audited(spark, f"{path}/replica=ours", f"{path}/replica=theirs")
 

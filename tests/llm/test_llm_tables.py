@@ -13,7 +13,8 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from scorebook.llm import components, ego_join, queries, url_filter, warc_merkle  # noqa: E402
-from scorebook.session import scratch_path  # noqa: E402
+from scorebook.llm.common import materialise, scratch, scratch_scope  # noqa: E402
+from scorebook.session import scratch_path, scratch_root  # noqa: E402
 
 
 def test_components_match_union_find(spark):
@@ -334,10 +335,10 @@ def test_pipeline_stages_match_brute_force(spark):
     bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     docs = cp.table(spark, sf, "documents")
     extra = spark.createDataFrame([(None, None, None, None, None), (9_000_001, "", "en", "s", 0), (9_000_002, None, "en", "s", None)], docs.schema)
-    docs = cp.materialise(spark, docs.unionByName(extra).unionByName(docs.limit(1)), "docs")
+    docs = materialise(spark, docs.unionByName(extra).unionByName(docs.limit(1)), "docs")
     for name, stage in cp.STAGES:
         before = [(r.doc_id, r.text) for r in docs.collect()]
-        after = cp.materialise(spark, stage(spark, docs, sf), name)
+        after = materialise(spark, stage(spark, docs, sf), name)
         if name == "toxicity":
             judged = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
             kept = {r.doc_id for r in after.collect()}
@@ -356,3 +357,31 @@ def test_pipeline_stages_match_brute_force(spark):
         if name != "packing":
             assert after.columns == list(cp.COLUMNS)
         docs = after
+
+
+def folders(spark):
+    root = scratch_root(spark)
+    return set(os.listdir(root[len("file:"):] if root.startswith("file:") else root))
+
+
+def test_scratch_scopes_remove_their_own_tables(spark):
+    before = folders(spark)
+    with scratch_scope(spark):
+        outer = materialise(spark, spark.range(3).toDF("doc_id"), "outer")
+        with pytest.raises(ValueError), scratch_scope(spark):
+            materialise(spark, outer, "inner")
+            scratch(spark, "never-written")
+            raise ValueError
+        assert len(folders(spark) - before) == 1 and outer.count() == 3
+    assert folders(spark) == before
+    kept = materialise(spark, spark.range(2).toDF("doc_id"), "kept")
+    assert len(folders(spark) - before) == 1 and kept.count() == 2
+
+
+def test_pipeline_leaves_its_stages_only(spark):
+    import corpus_pipeline as cp
+
+    before = folders(spark)
+    out = cp.run(spark, "/root/testdata/sf0.001")
+    left = sorted(name.rsplit("-", 1)[0] for name in folders(spark) - before)
+    assert left == sorted(f"pipeline-{name}" for name, _ in cp.STAGES) and out.count() > 0
