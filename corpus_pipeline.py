@@ -4,7 +4,8 @@ toxicity (rejected documents go) -> MinHash near-dedup (one document of each gro
 passages go from the texts) -> benchmark decontamination (contaminated documents go) -> packing into sequences.
 
 A stage is a function of (spark, docs, sf_dir). ``run`` writes each stage's result as Parquet to the shared scratch
-folder and reads it again as the next one's docs, so a lost executor costs at most a part of one stage. All but the
+folder and reads it again as the next one's docs, so a lost executor costs at most a part of one stage. When a stage is
+written, the tables that its operators put into the scratch folder are removed; the five results stay. All but the
 last stage return the columns of ``documents``.
 
 Defined results: rows that share a doc_id are judged by their own texts, and of rows that repeat both, one stays;
@@ -19,7 +20,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from scorebook.llm import decontaminate, packing, probminhash, queries, substr_dedup, toxic_crf
-from scorebook.llm.common import materialise, table
+from scorebook.llm.common import scratch_scope, table, written
+from scorebook.session import scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -70,5 +72,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialise(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch_scope(spark):
+            docs = written(spark, stage(spark, docs, sf_dir), scratch_path(spark, f"pipeline-{name}"))
     return docs
