@@ -30,6 +30,7 @@ from .common import materialise
 # Fixed value: the date of the records, so that equal pages make equal bytes.
 DATE = "2024-01-01T00:00:00Z"
 HEAD = b"WARC/1.0\r\n"
+TAIL = "\r\n\r"  # the writer adds the last newline
 
 
 @dataclass(frozen=True)
@@ -42,39 +43,53 @@ class MerkleConfig:
     compression: str = "gzip"  #: of the files; offsets and hashes are of the records' own bytes
 
 
-def record(page_id: Column, url: Column, payload: Column) -> Column:
-    """The record's text without its last newline, which the writer adds."""
+def head(page_id: Column, url: Column, payload: Column) -> Column:
+    """The record's text up to its payload."""
     return F.concat(
         F.lit("WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:"), F.coalesce(page_id.cast("string"), F.lit("")),
         F.lit(f">\r\nWARC-Date: {DATE}\r\nWARC-Target-URI: "), F.regexp_replace(F.coalesce(url, F.lit("")), r"[\r\n]", ""),
-        F.lit("\r\nContent-Type: text/html\r\nContent-Length: "), F.octet_length(payload).cast("string"),
-        F.lit("\r\n\r\n"), payload, F.lit("\r\n\r"),
+        F.lit("\r\nContent-Type: text/html\r\nContent-Length: "), F.octet_length(payload).cast("string"), F.lit("\r\n\r\n"),
     )
 
 
-def write_warc(pages: DataFrame, path: str, cfg: MerkleConfig = MerkleConfig(), replicas: dict[str, Column] | None = None) -> None:
-    """One folder per shard; inside a shard, records stand in order of page_id.
+def record(page_id: Column, url: Column, payload: Column) -> Column:
+    """The record's text without its last newline, which the writer adds."""
+    return F.concat(head(page_id, url, payload), payload, F.lit(TAIL))
 
-    ``replicas`` names several replicas and the payload of each (an expression over the columns of ``pages``); they are
-    written together, under ``path/replica=<name>``, so that the pages are shuffled once.
-    """
-    payloads = replicas or {"": F.col("html")}
+
+def rolled(pages: DataFrame, cfg: MerkleConfig, payloads: dict[str, Column]) -> DataFrame:
+    """(replica, shard, file, value): the records of every replica, each file's rows together and in order of page_id."""
     nameless = -1 - F.pmod(F.xxhash64("url", "html"), F.lit(cfg.null_shards))
     shard = F.coalesce(F.floor(F.col("page_id") / cfg.shard_ids), nameless).cast("long")
     total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     # The pages are shuffled once, before their records are made, to as many tasks as their bytes need.
     rows = pages.withColumn("__shard", shard).repartition(max(8, -(-total // cfg.task_bytes)), "__shard")
-    made = rows.select("page_id", F.col("__shard").alias("shard"), F.array(*(
-        F.struct(F.lit(n).alias("replica"), record(F.col("page_id"), F.col("url"), F.coalesce(p, F.lit(""))).alias("value"))
-        for n, p in payloads.items())).alias("copies"))
-    # One file number for all replicas of a record, by the bytes of the longest ones before it in its shard.
-    size = F.array_max(F.transform("copies", lambda c: F.octet_length(c["value"]).cast("long"))) + 1
-    order = Window.partitionBy("shard").orderBy("page_id", F.col("copies")[0]["value"]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rolled = made.withColumn("size", size).withColumn("file", F.floor((F.sum("size").over(order) - F.col("size")) / cfg.shard_bytes).cast("int"))
-    each = rolled.select("page_id", "shard", "file", F.col("copies")[0]["value"].alias("first"), F.explode("copies").alias("copy"))
+    filled = [F.coalesce(p, F.lit("")) for p in payloads.values()]
+    heads = [head(F.col("page_id"), F.col("url"), p) for p in filled]
+    # One file number for all replicas of a record, by the bytes of the longest ones before it in its shard. Equal ids
+    # stand in order of the first replica's records, that is of their heads and payloads. Sort and window hold each
+    # page once; the records are made after them, and the sort by file holds each record once, beside its place.
+    sizes = [F.octet_length(h).cast("long") + F.octet_length(p) + len(TAIL) + 1 for h, p in zip(heads, filled)]
+    sized = rows.withColumn("__size", F.greatest(*sizes) if len(sizes) > 1 else sizes[0])
+    order = Window.partitionBy("__shard").orderBy("page_id", heads[0], next(iter(payloads.values())))
+    placed = sized.withColumn("__end", F.sum("__size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    copies = F.array(*(F.struct(F.lit(n).alias("replica"), record(F.col("page_id"), F.col("url"), p).alias("value"))
+                       for n, p in zip(payloads, filled)))
+    file = F.floor((F.col("__end") - F.col("__size")) / cfg.shard_bytes).cast("int")
+    each = placed.select(F.col("__shard").alias("shard"), file.alias("file"), "__end", F.explode(copies).alias("copy"))
+    ordered = each.select(F.col("copy.replica").alias("replica"), "shard", "file", "__end", F.col("copy.value").alias("value"))
+    return ordered.sortWithinPartitions("replica", "shard", "file", "__end").select("replica", "shard", "file", "value")
+
+
+def write_warc(pages: DataFrame, path: str, cfg: MerkleConfig = MerkleConfig(), replicas: dict[str, Column] | None = None) -> None:
+    """One folder per shard; inside a shard, records stand in order of page_id.
+
+    ``replicas`` names several replicas and the payload of each (an expression over the columns of ``pages``); they are
+    written together, under ``path/replica=<name>``, so that the pages are shuffled once.
+    """
+    records = rolled(pages, cfg, replicas or {"": F.col("html")})
     folders = ["replica", "shard", "file"] if replicas else ["shard", "file"]
-    ordered = each.select("page_id", F.col("copy.replica").alias("replica"), "shard", "file", "first", F.col("copy.value").alias("value"))
-    writer = ordered.sortWithinPartitions(*folders, "page_id", "first").select(*folders, "value").write.partitionBy(*folders)
+    writer = records.select(*folders, "value").write.partitionBy(*folders)
     writer.option("compression", cfg.compression).text(path)
 
 

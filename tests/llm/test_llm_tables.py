@@ -194,6 +194,44 @@ def test_url_parts_and_rules_match_sql(spark):
 # ---------------------------------------------------------------- WARC
 
 
+def _plan_nodes(node):
+    yield node
+    kids = node.children()
+    for i in range(kids.size()):
+        yield from _plan_nodes(kids.apply(i))
+
+
+def test_writing_replicas_holds_each_page_once_in_sort_and_window(spark):
+    pages = spark.createDataFrame([(i, f"http://h/{i}", "x" * i) for i in range(9)], "page_id long, url string, html string")
+    payloads = {"a": warc_merkle.F.col("html"), "b": warc_merkle.F.concat("html", warc_merkle.F.lit("~"))}
+    frame = warc_merkle.rolled(pages, warc_merkle.MerkleConfig(), payloads)
+    plan = frame._jdf.queryExecution().optimizedPlan()
+    held = []
+    for node in _plan_nodes(plan):
+        if node.nodeName() in ("Window", "Sort"):
+            out = node.output()
+            types = [(out.apply(i).name(), out.apply(i).dataType().simpleString()) for i in range(out.size())]
+            assert all(t in ("string", "bigint", "int") for _, t in types), types  # no arrays of records
+            held.append(sorted(n for n, t in types if t == "string" and not n.startswith("_w")))
+    assert held == [["replica", "value"], ["html", "url"]]
+
+
+def test_equal_ids_stand_in_order_of_their_records(spark):
+    rows = [(1, "a", "x"), (1, "a\tb", "y"), (1, "a", "w"), (1, "a", "xx"), (1, None, None), (1, "", ""), (1, "a\r\nb", "z"), (None, "q", "z")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path = scratch_path(spark, "warc")
+    warc_merkle.write_warc(pages, path, warc_merkle.MerkleConfig(shard_bytes=400))
+    whole = {(r.shard, r.file): warc_merkle.unpacked(bytes(r.content)) for r in spark.read.format("binaryFile").option(
+        "recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path).select(
+        warc_merkle.F.regexp_extract("path", r"shard=(-?\d+)", 1).alias("shard"), warc_merkle.F.regexp_extract("path", r"file=(\d+)", 1).alias("file"), "content").collect()}
+    found = [raw[at:at + n] for key, raw in sorted(whole.items()) if key[0] == "0" for at, n, _ in warc_merkle.parse(raw)]
+    assert len(found) == 7 and found == sorted(found)
+    assert sorted(found) == sorted(
+        ("WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:1>\r\nWARC-Date: 2024-01-01T00:00:00Z\r\nWARC-Target-URI: "
+         + (u or "").replace("\r\n", "") + f"\r\nContent-Type: text/html\r\nContent-Length: {len(t or '')}\r\n\r\n{t or ''}\r\n\r\n").encode()
+        for i, u, t in rows if i == 1)
+
+
 def test_audit_finds_exactly_the_damage(spark):
     pages = [(i, f"http://h/{i}", "<p>" + "x" * (i % 50) + "é</p>") for i in range(120)] + [(3, None, None), (None, "u\r\nv", "line\n\nline"), (7, "http://h/7", "WARC/1.0\r\ninside")]
     cfg = warc_merkle.MerkleConfig(shard_ids=50, fan=3)
