@@ -20,6 +20,8 @@ from scorebook.sources.catalog import delete_path
 
 SLICE_BYTES = 1 << 20
 CHUNK_BYTES = 1 << 19
+BATCH_BYTES = 4 << 20  # of an Arrow batch between Spark and a Python worker, in what an operator writes
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 # The white space that separates words (space and 0x09-0x0D).
 WHITE_SPACE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -63,9 +65,26 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside send Arrow batches of about ``BATCH_BYTES`` to Python workers, unless the session sets a size.
+
+    Both the executor and its workers hold one batch per task outside the heap, Spark's own bound on it is 64 MB.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is not None:
+        yield
+        return
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_SETTING)
+
+
 def written(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """Write a table and read it back."""
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

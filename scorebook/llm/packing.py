@@ -11,7 +11,8 @@ groups from the longest size down. As sizes are powers of two, none straddles a
 the whole table may be short.
 
 Texts are read in a single pass without a shuffle: every partition tokenises and packs its own documents as they stream
-by, holding ``buffer_docs`` remainders at a time, and writes its pieces to the scratch folder; step groups follow from
+by, holding ``buffer_docs`` remainders at a time (counted where a run of texts ends: before it would pass ``RUN_BYTES`` or
+``RUN_ROWS``, however the rows reach the worker), and writes its pieces to the scratch folder; step groups follow from
 these narrow rows. The order inside a partition is the scan's, so a task that runs again makes the same sequences.
 
 Tokenising: where a tokenizer's file names the normaliser and the pieces that are known here (``KNOWN_RULES``), texts
@@ -36,11 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, Roller, Texts, materialise, process_cache, text_slices
+from .common import IS_SPACE, Roller, Texts, leased, materialise, process_cache, release_memory, text_slices
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int"
 SCHEMA = f"{PIECES}, step_group long"
 CACHE_PIECES = 250_000
+RUN_BYTES, RUN_ROWS = 1 << 20, 10_000
+ENCODE_BYTES = 1 << 18  # of the texts tokenised at once; temporaries are many times that
 
 # The normaliser and the pieces of the tokenizers whose texts may be cut in numpy.
 KNOWN_RULES = {
@@ -325,21 +328,25 @@ def packed(docs: DataFrame, cfg: PackingConfig) -> DataFrame:
             tokens.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
-        held = 0
+        held, run_rows, run_bytes, rows = 0, 0, 0, 0
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
-            for t in text_slices(batch.column("text")):
-                for i, x in enumerate(encoder.encode(t)):
+            for t in text_slices(batch.column("text"), ENCODE_BYTES):
+                for i, (x, size) in enumerate(zip(encoder.encode(t), np.diff(t.offsets).tolist())):
+                    if rows == RUN_ROWS or (run_rows and run_bytes + size > RUN_BYTES):
+                        rows, run_rows, run_bytes = rows % RUN_ROWS, 0, 0
+                        if len(ids) >= cfg.buffer_docs or held > 1 << 23:
+                            held = 0
+                            yield flush()
+                            release_memory()
+                    rows, run_rows, run_bytes = rows + 1, run_rows + 1, run_bytes + size
                     ids.append(keys[t.lo + i])
                     tokens.append(np.append(x, np.uint32(cfg.end_id)))
                     held += len(x)
-                if len(ids) >= cfg.buffer_docs or held > 1 << 23:
-                    held = 0
-                    yield flush()
         if ids:
             yield flush()
 
-    pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, f"{PIECES}, {made}")
+    pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(leased("tokenizer", run), f"{PIECES}, {made}")
     return step_groups(materialise(docs.sparkSession, pieces, "packed"), cfg.step_tokens)
 
 

@@ -655,6 +655,39 @@ def test_pack_uses_every_token_once_without_padding():
         assert len(used) == sum(lengths) and set(used.values()) <= {1}
 
 
+def test_packed_does_not_depend_on_batches(spark):
+    import public_tokenizers
+
+    cfg = packing.PackingConfig(public_tokenizers.path("word_bpe_49k.json"), buffer_docs=50)
+    docs = frame(spark, [(i, f"line {i} " * (i % 90)) for i in range(300)]).coalesce(1)
+    want = sorted(packing.packed(docs, cfg).collect())
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(setting, "7")
+    try:
+        assert sorted(packing.packed(docs, cfg).collect()) == want
+    finally:
+        spark.conf.unset(setting)
+
+
+def test_written_sends_small_batches(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes]), pa.array([b.num_rows])], ["size", "n"])
+
+    docs = spark.range(6000, numPartitions=1).select(F.repeat(F.lit("x"), 2000).alias("text"))
+    got = common.written(spark, docs.mapInArrow(sizes, "size long, n long"), f"{tmp_path}/sizes").collect()
+    assert sum(r.n for r in got) == 6000 and max(r.size for r in got) < 1.1 * common.BATCH_BYTES
+    assert spark.conf.get(common.BATCH_SETTING, None) is None
+    spark.conf.set(common.BATCH_SETTING, "100m")  # the session's own size holds
+    try:
+        assert len(common.written(spark, docs.mapInArrow(sizes, "size long, n long"), f"{tmp_path}/one").collect()) == 1
+        assert spark.conf.get(common.BATCH_SETTING) == "100m"
+    finally:
+        spark.conf.unset(common.BATCH_SETTING)
+
+
 def test_packed_round_trip(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
