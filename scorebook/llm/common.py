@@ -69,7 +69,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 def small_batches(spark: SparkSession) -> Iterator[None]:
     """Jobs started inside send Arrow batches of about ``BATCH_BYTES`` to Python workers, unless the session sets a size.
 
-    Both the executor and its workers hold one batch per task outside the heap, Spark's own bound on it is 64 MB.
+    The executor and its worker each hold a task's batch outside the heap; Spark's own bound on one is 64 MB.
     """
     if spark.conf.get(BATCH_SETTING, None) is not None:
         yield
