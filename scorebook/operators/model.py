@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scorebook.operators.categories import FeatureEncoder
+from scorebook.operators.forest import fit_forest
 from scorebook.operators.impute import ExactMedianImputer
 from scorebook.session import scratch_root
 
@@ -207,7 +208,9 @@ def fit(train: DataFrame, label_col: str, keys: Sequence[str], model_params: Map
         # The forest reads its input several times (size, splits, bins): labels and vectors, computed once.
         vectors = prepared.transform(laid_out).select(LABEL, FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return PipelineModel(stages=[*prepared.stages, forest_stage(model_params).fit(vectors)])
+            encoder = prepared.stages[-1]
+            forest = fit_forest(forest_stage(model_params), vectors, len(encoder.numeric()), encoder.getOrDefault(encoder.widths))
+            return PipelineModel(stages=[*prepared.stages, forest])
         finally:
             vectors.unpersist()
     finally:
