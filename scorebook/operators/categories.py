@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCol
@@ -23,6 +24,7 @@ from scorebook.operators.ranks import SINGLE_TASK_ROWS, exact_ranks, range_parti
 from scorebook.session import scratch_path
 
 BROADCAST_BYTES = 16 << 20  # of one column's dictionary
+DENSE_POSITIONS = 64  # vectors up to this width are dense
 ENTRY_BYTES = 64  # of a dictionary row beside its value, as held by a hash join
 
 
@@ -52,9 +54,14 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def sparse_vector(size: int, numeric: list[Column], hot: list[Column]) -> Column:
-    """A vector of ``size``: the numeric columns first, then 1.0 at each position of ``hot`` that is not null. The
-    vector's fields are written as text and read back as a vector, all by built-in functions: there is no cast from a
-    structure to a vector."""
+    """A vector of ``size``: the numeric columns first, then 1.0 at each position of ``hot`` that is not null. A narrow one
+    is made of an array of all its positions. A wide one's fields are written as text and read back as a vector, all by
+    built-in functions: there is no cast from a structure to a vector."""
+    if size <= DENSE_POSITIONS:
+        at = F.array(*[F.coalesce(h.cast("int"), F.lit(-1)) for h in hot]) if hot else F.array().cast("array<int>")
+        places = F.array(*[F.lit(p) for p in range(len(numeric), size)]).cast("array<int>")
+        ones = F.transform(places, lambda p: F.array_contains(at, p).cast("double"))
+        return array_to_vector(F.concat(F.array(*[n.cast("double") for n in numeric]).cast("array<double>"), ones))
     places = F.concat_ws(",", *[F.lit(str(i)) for i in range(len(numeric))], *[h.cast("string") for h in hot])
     values = F.concat_ws(",", *[n.cast("double").cast("string") for n in numeric], *[F.when(h.isNotNull(), "1.0") for h in hot])
     text = F.concat(F.lit(f'{{"v":{{"type":0,"size":{size},"indices":['), places, F.lit('],"values":['), values, F.lit("]}}"))

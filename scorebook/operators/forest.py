@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import StorageLevel, cloudpickle
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorebook.session import scratch_path
@@ -38,11 +38,13 @@ from scorebook.sources.catalog import delete_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK_ROWS = 1 << 17  # rows that are taken down a tree at once
+BLOCK_ROWS = 1 << 17  # rows of a piece of a binned table
+STEP_ROWS = 1 << 13  # rows that are taken down a tree at once, at least
 ROWS_PER_TASK = 100_000  # fewer rows do not get a task of their own in a level's pass
 FEW_VALUES = 10_000  # up to so many distinct values of a column are counted one by one for its bins
 SKETCH_ACCURACY = 10_000
 MAX_BINS = 4096  # bins of all columns; wider vectors go to Spark's trainer, which counts only each node's features
+MAX_SCORED = 1024  # positions of rows that are scored here, as dense arrays; wider ones are scored by the model itself
 MAX_CLASSES = 100  # as Spark's
 CHUNK_CELLS = 1 << 16  # counts of the nodes that travel as one row
 SLICE_CELLS = 1 << 23  # counts that a task holds at once
@@ -50,7 +52,7 @@ JOB_CELLS = 1 << 26  # counts of the trees that grow in one job
 BLOCKS = "part int, block int, n int, labels binary, codes binary"
 
 
-class Column(NamedTuple):
+class Codes(NamedTuple):
     """A column of codes: a number's bin (``thresholds``), or 0 and 1 + place of a text column's value (``width``)."""
 
     start: int  # its first position in the vector
@@ -65,7 +67,7 @@ class Column(NamedTuple):
 class Plan(NamedTuple):
     """What the tasks need to know beside the trees."""
 
-    columns: list[Column]
+    columns: list[Codes]
     positions: int
     classes: int
     seed: int
@@ -248,7 +250,7 @@ def go_down(tree: Tree, codes: np.ndarray, rows: np.ndarray, depth: int) -> np.n
 
 def _count_level(plan: Plan, trees, depth: int):
     """``trees`` is a broadcast of {tree: Tree}. Yields (tree, chunk of nodes, counts, their width in bytes)."""
-    k, chunk = plan.classes, plan.chunk
+    k, chunk, widest = plan.classes, plan.chunk, max(c.bins for c in plan.columns) * plan.classes
     per_slice = max(1, SLICE_CELLS // (plan.cells * chunk)) * chunk
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,28 +268,29 @@ def _count_level(plan: Plan, trees, depth: int):
         table = poisson_cells(plan.rate)
         for number, packed in trees.value.items():
             tree = packed._replace(column=packed.column.astype(np.intp), child=packed.child.astype(np.intp), slot=packed.slot.astype(np.intp))
-            placed = []
-            for part, block, held, both in blocks:
-                bag = bag_counts(plan, table, number, part, block, held.shape[1])
-                rows = np.flatnonzero(bag > 0)
-                slot = tree.slot.take(go_down(tree, held, rows, depth))
-                here = np.flatnonzero(slot >= 0)
-                if len(here) < len(rows):
-                    rows, slot = rows.take(here), slot.take(here)
-                placed.append((rows, slot, bag.take(rows).astype(np.float64), both))
             for lo in range(0, tree.n_open, per_slice):
                 n = min(per_slice, tree.n_open - lo)
                 parts = [np.zeros(n * c.bins * k) for c in plan.columns]
-                for rows, slot, weight, both in placed:
-                    if n < tree.n_open:
+                # As many rows at once as make the counting dearer than adding up its result.
+                step = max(STEP_ROWS, n * widest)
+                for part, block, held, both in blocks:
+                    bag = bag_counts(plan, table, number, part, block, held.shape[1])
+                    in_bag = np.flatnonzero(bag > 0)
+                    for first in range(0, len(in_bag), step):
+                        rows = in_bag[first:first + step]
+                        slot = tree.slot.take(go_down(tree, held, rows, depth))
                         here = np.flatnonzero((slot >= lo) & (slot < lo + n))
-                        rows, slot, weight = rows.take(here), slot.take(here) - lo, weight.take(here)
-                    if not len(rows):
-                        continue
-                    for i, c in enumerate(plan.columns):
-                        at = slot * (c.bins * k)
-                        at += both[i].take(rows)
-                        parts[i] += np.bincount(at, weights=weight, minlength=len(parts[i]))
+                        if len(here) < len(rows):
+                            rows, slot = rows.take(here), slot.take(here)
+                        if not len(rows):
+                            continue
+                        if lo:
+                            slot -= lo
+                        weight = bag.take(rows).astype(np.float64)
+                        for i, c in enumerate(plan.columns):
+                            at = slot * (c.bins * k)
+                            at += both[i].take(rows)
+                            parts[i] += np.bincount(at, weights=weight, minlength=len(parts[i]))
                 counts = np.concatenate([p.reshape(n, -1) for p in parts], axis=1)
                 most = counts.max()
                 if not most:
@@ -475,6 +478,75 @@ def grow_trees(vectors: DataFrame, blocks: DataFrame, plan: Plan, n_trees: int,
 
 # ---------------------------------------------------------------- the model
 
+class Nodes(NamedTuple):
+    """A grown tree's nodes: a value above ``threshold`` goes to the second of a node's ``kids``; a leaf's are the leaf itself."""
+
+    feature: np.ndarray
+    threshold: np.ndarray
+    kids: np.ndarray  # two per node, side by side
+    shares: np.ndarray  # (classes, nodes): of each class among a node's rows
+    depth: int
+
+
+def scoring_nodes(feature: np.ndarray, threshold: np.ndarray, left: np.ndarray, right: np.ndarray, counts: np.ndarray) -> Nodes:
+    """Nodes from a model's fields, where a leaf has feature -1; children come after their parent."""
+    own, inner = np.arange(len(feature)), feature >= 0
+    level = np.zeros(len(feature), dtype=np.int64)
+    for node in np.flatnonzero(inner):
+        level[left[node]] = level[right[node]] = level[node] + 1
+    kids = np.stack([np.where(inner, left, own), np.where(inner, right, own)], axis=1).ravel()
+    shares = (counts / np.maximum(counts.sum(axis=1), 1.0)[:, None]).T
+    return Nodes(np.where(inner, feature, 0).astype(np.int32), np.where(inner, threshold, np.inf), kids.astype(np.int32), np.ascontiguousarray(shares), int(level.max()))
+
+
+def read_nodes(path: str) -> list[Nodes]:
+    """The trees of a forest that Spark saved, in the form that scores rows."""
+    n = "nodeData"
+    fields = [F.col(f"{n}.split.featureIndex"), F.col(f"{n}.split.leftCategoriesOrThreshold"), F.col(f"{n}.leftChild"), F.col(f"{n}.rightChild"), F.col(f"{n}.impurityStats")]
+    saved = SparkSession.active().read.parquet(f"{path}/data").select("treeID", F.col(f"{n}.id"), *fields).toArrow().sort_by([("treeID", "ascending"), ("id", "ascending")])
+    tree, _, feature, cuts, left, right, stats = (c.combine_chunks() for c in saved.columns)
+    feature, left, right = (c.to_numpy() for c in (feature, left, right))
+    threshold = np.full(len(feature), np.inf)
+    threshold[feature >= 0] = cuts.flatten().to_numpy()
+    counts = stats.flatten().to_numpy().reshape(len(feature), -1)
+    ends = [0, *(np.flatnonzero(np.diff(tree.to_numpy())) + 1), len(feature)]
+    return [scoring_nodes(*(f[a:b] for f in (feature, threshold, left, right, counts))) for a, b in zip(ends, ends[1:])]
+
+
+def class_votes(trees: list[Nodes], x: np.ndarray) -> np.ndarray:
+    """(classes, rows) sums of the leaves' class shares, tree after tree as Spark adds them; ``x`` is (rows, positions)."""
+    flat, start = np.ascontiguousarray(x).ravel(), np.arange(len(x), dtype=np.intp) * x.shape[1]
+    votes = np.zeros((len(trees[0].shares), len(x)))
+    for tree in trees:
+        feature, kids = tree.feature.astype(np.intp), tree.kids.astype(np.intp)
+        node = np.zeros(len(x), dtype=np.intp)
+        for _ in range(tree.depth):
+            at = feature.take(node)
+            at += start
+            right = flat.take(at) > tree.threshold.take(node)
+            node *= 2
+            node += right
+            node = kids.take(node)
+        for k, share in enumerate(tree.shares):
+            votes[k] += share.take(node)
+    return votes
+
+
+def predicted_class(trees: list[Nodes], features: str) -> Column:
+    """The class with the most votes (the first of equals), as the model's own ``transform`` says. There a row visits a hundred
+    trees of scattered Java objects; here a batch of rows goes down one tree after the other."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            if not len(batch):
+                yield pa.array([], pa.int32())
+                continue
+            x = batch.flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+            yield pa.array(class_votes(trees, x).argmax(axis=0).astype(np.int32))
+
+    return F.arrow_udf(run, "int")(vector_to_array(features))
+
+
 def _metadata(name: str, uid: str, spark_version: str, params: dict, defaults: dict, **facts) -> str:
     return json.dumps({"class": f"org.apache.spark.ml.classification.{name}", "timestamp": int(time.time() * 1000), "sparkVersion": spark_version,
                        "uid": uid, "paramMap": params, "defaultParamMap": defaults, **facts})
@@ -532,7 +604,7 @@ def fit_forest(stage: RandomForestClassifier, vectors: DataFrame, numeric: int,
         return stage.fit(vectors)
     thresholds = find_thresholds(vectors, features, numeric, facts["rows"], most_bins) if numeric else []
     starts = numeric + np.cumsum([0, *widths])
-    columns = [Column(i, t, 1) for i, t in enumerate(thresholds)] + [Column(int(s), None, w) for s, w in zip(starts, widths) if w]
+    columns = [Codes(i, t, 1) for i, t in enumerate(thresholds)] + [Codes(int(s), None, w) for s, w in zip(starts, widths) if w]
     positions, n_trees = numeric + sum(widths), stage.getNumTrees()
     plan = Plan(columns, positions, int(facts["most"]) + 1, stage.getSeed() & (2**64 - 1), stage.getBootstrap(), stage.getSubsamplingRate(),
                 subset_size(stage.getFeatureSubsetStrategy(), positions, n_trees), stage.getImpurity(), stage.getMinInstancesPerNode(),
@@ -546,4 +618,10 @@ def fit_forest(stage: RandomForestClassifier, vectors: DataFrame, numeric: int,
         growers = grow_trees(vectors, blocks, plan, n_trees, stage.getMaxDepth(), tasks)
     finally:
         blocks.unpersist()
-    return spark_model(stage, vectors, plan, [g.pruned() for g in growers])
+    trees = [g.pruned() for g in growers]
+    model, (feature, *_, threshold) = spark_model(stage, vectors, plan, trees), plan.candidates()
+    if positions > MAX_SCORED:
+        return model
+    model.scoring = [scoring_nodes(*((np.where(t["split"] >= 0, feature[t["split"]], -1), np.where(t["split"] >= 0, threshold[t["split"]], np.inf))
+                                     if len(feature) else (t["split"], np.full(len(t["split"]), np.inf))), t["left"], t["right"], t["counts"]) for t in trees]
+    return model

@@ -17,14 +17,15 @@ from typing import Any, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.pipeline import PipelineSharedReadWrite
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scorebook.operators.categories import FeatureEncoder
-from scorebook.operators.forest import fit_forest
+from scorebook.operators.forest import MAX_SCORED, fit_forest, predicted_class, read_nodes
 from scorebook.operators.impute import ExactMedianImputer
 from scorebook.session import scratch_root
 
@@ -220,9 +221,11 @@ def fit(train: DataFrame, label_col: str, keys: Sequence[str], model_params: Map
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Every input column plus ``prediction`` as the label's int class; an input column of that name is
     replaced."""
-    scored = model.transform(df)
+    *prepared, forest = model.stages
+    trees = getattr(forest, "scoring", None)  # as left there by the fit or by ``load_model``
+    scored = PipelineModel(prepared).transform(df) if trees else model.transform(df)
     kept = [F.col(_quoted(c)) for c in df.columns if c != PREDICTION]
-    return scored.select(*kept, F.col(OUTPUT).cast("int").alias(PREDICTION))
+    return scored.select(*kept, (predicted_class(trees, FEATURES) if trees else F.col(OUTPUT).cast("int")).alias(PREDICTION))
 
 
 def save_model(model: PipelineModel, path: str) -> str:
@@ -232,7 +235,11 @@ def save_model(model: PipelineModel, path: str) -> str:
 
 
 def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    model = PipelineModel.load(path)
+    last = len(model.stages) - 1
+    if isinstance(model.stages[last], RandomForestClassificationModel) and model.stages[last].numFeatures <= MAX_SCORED:
+        model.stages[last].scoring = read_nodes(PipelineSharedReadWrite.getStagePath(model.stages[last].uid, last, last + 1, f"{path}/stages"))
+    return model
 
 
 def signature(df: DataFrame, label_col: str) -> list[tuple[str, str, str]]:

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from scorebook.operators import forest as FO
 from scorebook.operators import model as M
 from scorebook.operators.categories import sparse_vector
+from scorebook.session import scratch_path
 
 N_NUMERIC, WIDTHS = 2, [3, 2]
+SMALL = {"n_estimators": 6, "max_depth": 4, "min_samples_leaf": 1, "max_features": "sqrt", "random_state": 11}
 
 
 def _vectors(spark, n=700, classes=2):
@@ -135,7 +137,7 @@ def test_bags_are_poisson():
 
 
 def test_positions_must_be_indicators():
-    plan = FO.Plan([FO.Column(0, None, 2)], 2, 2, 1, True, 1.0, 1, "gini", 1, 0.0)
+    plan = FO.Plan([FO.Codes(0, None, 2)], 2, 2, 1, True, 1.0, 1, "gini", 1, 0.0)
     assert FO.encode(np.array([[0.0, 0.0], [0.0, 1.0], [1.0, 0.0]]), plan).tolist() == [[0, 2, 1]]
     for bad in ([1.0, 1.0], [0.0, 0.5]):
         with pytest.raises(ValueError, match="indicators"):
@@ -170,3 +172,30 @@ def test_edges(spark):
         FO.fit_forest(_stage(), vectors.withColumn(M.LABEL, F.lit(0.5)), N_NUMERIC, WIDTHS)
     flat = vectors.select(M.LABEL, sparse_vector(1, [F.lit(2.0)], []).alias(M.FEATURES))
     assert FO.fit_forest(_stage(), flat, 1, []).totalNumNodes == 1
+
+
+def test_rows_are_scored_as_sparks_model_does(spark):
+    df = spark.range(0, 500).selectExpr("id", "pmod(xxhash64(id, 1), 90) / 8.0 AS x", "concat('c', pmod(xxhash64(id, 2), 5)) AS c", "cast(pmod(xxhash64(id, 3), 3) as int) AS label")
+    model = M.fit(df, "label", ["id"], SMALL)
+    want = sorted(model.transform(df).select("id", F.col(M.OUTPUT).cast("int")).collect())
+    loaded = M.load_model(M.save_model(model, scratch_path(spark, "model")))
+    for m in (model, loaded):
+        assert m.stages[-1].scoring
+        assert sorted(M.predict(m, df).select("id", "prediction").collect()) == want
+        x = np.array([r.x for r in model.transform(df).select(vector_to_array(M.FEATURES).alias("x")).collect()])
+        raw = np.array([r.r for r in model.transform(df).select(vector_to_array(M.RAW).alias("r")).collect()])
+        assert (FO.class_votes(m.stages[-1].scoring, x).T == raw).all()  # to the last bit
+    assert M.predict(model, df.limit(0)).count() == 0
+    del loaded.stages[-1].scoring  # any other pipeline
+    assert sorted(M.predict(loaded, df).select("id", "prediction").collect()) == want
+
+
+def test_narrow_vectors_are_those_of_the_text_form(spark, monkeypatch):
+    from scorebook.operators import categories as C
+
+    df = spark.createDataFrame([(1.5, -0.0, 2, None), (float("inf"), 3.0, None, None), (-1e-300, 7.0, 4, 5)], "a double, b double, h int, g int")
+    made = lambda: [list(r.v) for r in df.select(vector_to_array(sparse_vector(6, [F.col("a"), F.col("b")], [F.col("h"), F.col("g")])).alias("v")).collect()]
+    narrow = made()
+    assert narrow == [[1.5, 0.0, 1.0, 0.0, 0.0, 0.0], [float("inf"), 3.0, 0.0, 0.0, 0.0, 0.0], [-1e-300, 7.0, 0.0, 0.0, 1.0, 1.0]]
+    monkeypatch.setattr(C, "DENSE_POSITIONS", -1)
+    assert made()[::2] == narrow[::2]
