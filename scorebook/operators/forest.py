@@ -39,7 +39,7 @@ from scorebook.sources.catalog import delete_path
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 1 << 17  # rows of a piece of a binned table
-STEP_ROWS = 1 << 13  # rows that are taken down a tree at once, at least
+STEP_ROWS = 1 << 15  # rows that are taken down a tree at once, at least
 ROWS_PER_TASK = 100_000  # fewer rows do not get a task of their own in a level's pass
 FEW_VALUES = 10_000  # up to so many distinct values of a column are counted one by one for its bins
 SKETCH_ACCURACY = 10_000
@@ -293,8 +293,6 @@ def _count_level(plan: Plan, trees, depth: int):
                             parts[i] += np.bincount(at, weights=weight, minlength=len(parts[i]))
                 counts = np.concatenate([p.reshape(n, -1) for p in parts], axis=1)
                 most = counts.max()
-                if not most:
-                    continue
                 kind = np.uint8 if most < 256 else np.uint16 if most < 65536 else np.uint32 if most < 2**32 else np.uint64
                 counts = counts.astype(kind)
                 cuts = range(0, n, chunk)

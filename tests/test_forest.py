@@ -168,6 +168,12 @@ def test_edges(spark):
     assert stump.totalNumNodes == 1 and stump.transform(vectors).count() == 60
     one = vectors.withColumn(M.LABEL, F.lit(0.0))
     assert FO.fit_forest(_stage(n_estimators=3, bootstrap=True), one, N_NUMERIC, WIDTHS).totalNumNodes == 3
+    empty = FO.fit_forest(_stage(n_estimators=12, bootstrap=True, max_samples=0.01), vectors, N_NUMERIC, WIDTHS)
+    bags = [float(t.shares[:, 0].sum()) for t in empty.scoring]
+    assert 0.0 in bags and 1.0 in bags  # a tree without a row votes for nothing
+    x = np.array([r.x for r in vectors.select(vector_to_array(M.FEATURES).alias("x")).collect()])
+    raw = [r.r for r in empty.transform(vectors).select(vector_to_array(M.RAW).alias("r")).collect()]
+    assert (FO.class_votes(empty.scoring, x).T == np.array(raw)).all()
     with pytest.raises(Exception, match="(?i)label"):
         FO.fit_forest(_stage(), vectors.withColumn(M.LABEL, F.lit(0.5)), N_NUMERIC, WIDTHS)
     flat = vectors.select(M.LABEL, sparse_vector(1, [F.lit(2.0)], []).alias(M.FEATURES))
